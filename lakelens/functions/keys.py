@@ -92,6 +92,15 @@ def value_buckets(df: DataFrame, col: str, n_buckets: int) -> tuple[list[float],
     return splits, hot
 
 
+def _bucketize(d: DataFrame, col: str, out: str, n_buckets: int) -> tuple[DataFrame, dict]:
+    """Add bucket index ``out`` from quantile cut points (one bucket when n_buckets <= 1)."""
+    splits, hot = value_buckets(d, col, n_buckets)
+    if len(splits) < 3:
+        return d.withColumn(out, F.lit(0.0)), {}
+    d = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(d)
+    return d, hot
+
+
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], ascending: bool = True,
                 inclusive: bool = True, n_buckets: int | None = None,
                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -105,9 +114,7 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], ascending:
     sign = 1.0 if ascending else -1.0
     skey = "__skey"
     d = df.withColumn(skey, F.col(order_col).cast("double") * F.lit(sign))
-    splits, _ = value_buckets(d, skey, n_buckets)
-    d = Bucketizer(splits=splits, inputCol=skey, outputCol="__bucket",
-                   handleInvalid="keep").transform(d)
+    d = _bucketize(d, skey, "__bucket", n_buckets)[0]
     totals = d.groupBy("__bucket").agg(*[F.sum(v).alias(v) for v in value_cols])
     offs = _offsets(totals, [], "__bucket", value_cols)   # <= n_buckets rows
     d = d.join(F.broadcast(offs), "__bucket")
@@ -137,9 +144,7 @@ def rank_by_value(df: DataFrame, order_col: str, tiebreak_key: str, rank_col: st
     sign = -1.0 if descending else 1.0
     skey = "__skey"
     d = df.withColumn(skey, F.col(order_col).cast("double") * F.lit(sign))
-    splits, hot = value_buckets(d, skey, n_buckets)
-    d = Bucketizer(splits=splits, inputCol=skey, outputCol="__b",
-                   handleInvalid="keep").transform(d)
+    d, hot = _bucketize(d, skey, "__b", n_buckets)
     if hot:
         hot_map = F.create_map(*[x for kv in hot.items() for x in (F.lit(float(kv[0])), F.lit(kv[1]))])
         is_hot_row = F.col(skey) == hot_map[F.col("__b")]
@@ -173,12 +178,7 @@ def grouped_prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
         n_buckets = _n_buckets(df.count(), rows_per_bucket)
     skey = "__skey"
     d = df.withColumn(skey, F.col(order_col).cast("double"))
-    if n_buckets > 1:
-        splits, _ = value_buckets(d, skey, n_buckets)
-        d = Bucketizer(splits=splits, inputCol=skey, outputCol="__bucket",
-                       handleInvalid="keep").transform(d)
-    else:
-        d = d.withColumn("__bucket", F.lit(0.0))
+    d = _bucketize(d, skey, "__bucket", n_buckets)[0]
     totals = d.groupBy(*group_cols, "__bucket").agg(*[F.sum(v).alias(v) for v in value_cols])
     offs = _offsets(totals, group_cols, "__bucket", value_cols)
     d = join_null_safe(d, offs, group_cols + ["__bucket"])
