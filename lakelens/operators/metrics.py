@@ -84,19 +84,19 @@ def classification_report(df: DataFrame, y: str = "y", pred: str = "pred") -> Da
     """
     per = _prf(class_counts(df, y, pred))
     tot = per.agg(
-        F.sum("support").alias("n"), F.sum(F.col("f1") * 0).alias("_z"),
+        F.sum("support").alias("n"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
         safe_div(F.sum(F.col("precision") * F.col("support")), F.sum("support")).alias("wp"),
         safe_div(F.sum(F.col("recall") * F.col("support")), F.sum("support")).alias("wr"),
         safe_div(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("wf"))
     acc = df.agg(F.avg((F.col(y) == F.col(pred)).cast("double")).alias("acc"))
     summary = tot.crossJoin(acc)   # one row x one row
+    def row(name, p, r, f):
+        return F.struct(F.lit(name).alias("label"), F.col(p).alias("precision"), F.col(r).alias("recall"),
+                        F.col(f).alias("f1"), F.col("n").alias("support"))
     rows = summary.select(F.explode(F.array(
-        F.struct(F.lit("accuracy").alias("label"), F.col("acc").alias("precision"),
-                 F.col("acc").alias("recall"), F.col("acc").alias("f1"), F.col("n").alias("support")),
-        F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), F.col("n")),
-        F.struct(F.lit("weighted avg"), F.col("wp"), F.col("wr"), F.col("wf"), F.col("n")),
-    )).alias("r")).select("r.*")
+        row("accuracy", "acc", "acc", "acc"), row("macro avg", "mp", "mr", "mf"),
+        row("weighted avg", "wp", "wr", "wf"))).alias("r")).select("r.*")
     return per.unionByName(rows)
 
 
