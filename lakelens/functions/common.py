@@ -58,8 +58,10 @@ def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str
                    hint_broadcast: bool = False) -> DataFrame:
     """Equi-join on ``cols`` treating NULL = NULL as a match; keeps left's key columns."""
     if not cols:
-        r = F.broadcast(right) if hint_broadcast else right
-        return left.crossJoin(r)  # right is a one-row frame by construction at the callers
+        # no group keys: ``right`` is a one-row statistics frame at every caller;
+        # attach it by an equi-join on a constant (a broadcast hash join, one build row)
+        r = right.withColumn("__one", F.lit(1))
+        return left.withColumn("__one", F.lit(1)).join(F.broadcast(r), "__one", how).drop("__one")
     ren = {c: f"__r_{c}" for c in cols}
     r = right.withColumnsRenamed(ren)
     if hint_broadcast:

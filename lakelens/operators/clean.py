@@ -69,11 +69,10 @@ def clip(c: str | Column, lo: float, hi: float) -> Column:
 
 def min_max_scale(df: DataFrame, cols: list[str], eps: float = 1e-9) -> DataFrame:
     """(x - min) / (max - min + eps): statistics in one aggregate, joined as one row."""
-    stats = df.agg(*[x for c in cols for x in (F.min(c).alias(f"__mn_{c}"), F.max(c).alias(f"__mx_{c}"))])
-    j = df.crossJoin(F.broadcast(stats))          # one row
-    j = j.withColumns({c: (F.col(c) - F.col(f"__mn_{c}")) / (F.col(f"__mx_{c}") - F.col(f"__mn_{c}") + F.lit(eps))
-                       for c in cols})
-    return j.drop(*[x for c in cols for x in (f"__mn_{c}", f"__mx_{c}")])
+    row = df.agg(*[x for c in cols for x in (F.min(c).alias(f"mn_{c}"), F.max(c).alias(f"mx_{c}"))]).first()
+    # fitted statistics (two numbers per column) become literals, as a fitted scaler
+    return df.withColumns({c: (F.col(c) - F.lit(row[f"mn_{c}"])) /
+                           (F.lit(row[f"mx_{c}"]) - F.lit(row[f"mn_{c}"]) + F.lit(eps)) for c in cols})
 
 
 def log_target(c: str) -> Column:

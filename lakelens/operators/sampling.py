@@ -97,11 +97,10 @@ def systematic_sample(df: DataFrame, order_col: str, key_cols: list[str], k: int
     """Sort by ``order_col``, take positions 0, s, 2s, ... (s = n // k), first k."""
     kd = with_key(df, key_cols, seed)
     r = rank_by_value(kd, order_col, KEY, rank_col="position")
-    n = df.agg(F.count(F.lit(1)).alias("__n"))
-    j = r.crossJoin(F.broadcast(n))                   # one row
-    step = F.greatest(F.floor(F.col("__n") / k), F.lit(1))
+    n = df.count()
+    step = max(n // k, 1)
     p0 = F.col("position") - 1
-    return j.where(((p0 % step) == 0) & (p0 < step * k)).drop(KEY, "__n")
+    return r.where(((p0 % step) == 0) & (p0 < step * k)).drop(KEY)
 
 
 def top_k(df: DataFrame, score: str, k: int, name: str | None = None, ascending: bool = False) -> DataFrame:

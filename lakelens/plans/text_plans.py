@@ -1 +1,458 @@
-"""placeholder"""
+"""§2.14 text, reply and chat queries on conversations, events (as tickets),
+documents and embeddings."""
+
+from pyspark.sql import functions as F
+
+from ..operators import chat, metrics, tables, text
+from .registry import register, table
+
+# Rule words that occur in the driver's conversations (the real
+# health keywords never do), one list per category, in priority order.
+FIXTURE_RULES = [
+    ("emergency", 1, ["nicht"], "E"),
+    ("self_harm", 2, ["que "], "S"),
+    ("prescription", 3, ["ung"], "P"),
+    ("diagnosis", 4, ["lich", "zu "], "D"),
+]
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def route_sql(col: str, rules, with_reply=True) -> str:
+    cat, rep = [], []
+    for name, _, words, reply in sorted(rules, key=lambda r: r[1]):
+        cond = " OR ".join(f"contains(lower({col}), {_sql_str(w.lower())})" for w in words)
+        cat.append(f"WHEN {cond} THEN '{name}'")
+        rep.append(f"WHEN {cond} THEN {_sql_str(reply)}")
+    c = "CASE " + " ".join(cat) + " ELSE 'pass' END"
+    r = "CASE " + " ".join(rep) + " ELSE NULL END"
+    return (c, r) if with_reply else c
+
+
+def _users(spark, sf):
+    c = table(spark, sf, "conversations")
+    return c.where(F.col("role") == "user").select("conv_id", "turn", "text")
+
+
+_c, _r = route_sql("text", text.HEALTH_RULES)
+
+
+@register("safety_route", f"""
+  SELECT conv_id, turn, {_c} AS category, {_r} AS canned_reply FROM conversations WHERE role = 'user'
+""")
+def q_safety_route(spark, sf):
+    return text.safety_route(_users(spark, sf)).drop("text")
+
+
+_fc, _fr = route_sql("text", FIXTURE_RULES)
+
+
+@register("safety_route_fixture", f"""
+  SELECT conv_id, turn, {_fc} AS category, {_fr} AS canned_reply FROM conversations WHERE role = 'user'
+""")
+def q_safety_route_fixture(spark, sf):
+    return text.safety_route(_users(spark, sf), rules=FIXTURE_RULES).drop("text")
+
+
+_cc, _cr = route_sql("text", text.CRISIS_RULES)
+
+
+@register("crisis_flag", f"""
+  SELECT conv_id, turn, {_cc} AS category, {_cr} AS canned_reply FROM conversations WHERE role = 'user'
+""")
+def q_crisis(spark, sf):
+    return text.crisis_flag(_users(spark, sf)).drop("text")
+
+
+@register("route_summary", f"""
+  SELECT {_fc} AS category, CAST(count(*) AS BIGINT) AS n FROM conversations WHERE role = 'user' GROUP BY 1
+""")
+def q_route_summary(spark, sf):
+    return text.route_summary(text.safety_route(_users(spark, sf), rules=FIXTURE_RULES))
+
+
+@register("ensure_disclaimer", f"""
+  SELECT conv_id, turn, CASE WHEN contains(lower(text), {_sql_str(text.DISCLAIMER.lower())}) THEN text
+         ELSE concat(text, {_sql_str(chr(10) * 2 + text.DISCLAIMER)}) END AS reply
+  FROM conversations WHERE role = 'assistant'
+""")
+def q_disclaimer(spark, sf):
+    c = table(spark, sf, "conversations").where(F.col("role") == "assistant")
+    return c.select("conv_id", "turn", text.ensure_disclaimer(F.col("text")).alias("reply"))
+
+
+STRIP_SQL = "trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
+
+FILTER_SQL = f"""
+  WITH b AS (SELECT conv_id, turn, role, text, {STRIP_SQL.format(x='text')} AS t, role = 'user' AS is_user
+             FROM conversations),
+  q AS (SELECT conv_id, min(turn) AS qt FROM b WHERE is_user AND lower(t) IN ('quit', 'exit') GROUP BY 1),
+  s AS (SELECT b.*, sum(CASE WHEN is_user AND lower(t) = 'reset' THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY b.conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS segment
+        FROM b LEFT JOIN q ON b.conv_id = q.conv_id WHERE qt IS NULL OR turn < qt)
+  SELECT conv_id, turn, role, CASE WHEN is_user THEN t ELSE text END AS text, CAST(segment AS BIGINT) AS segment
+  FROM s WHERE NOT (is_user AND (lower(t) = 'reset' OR t = '' OR t IS NULL))
+"""
+
+
+@register("command_filter", FILTER_SQL)
+def q_command_filter(spark, sf):
+    return chat.command_filter(table(spark, sf, "conversations"))
+
+
+def _history_sql(k: int) -> str:
+    fc = route_sql("text", FIXTURE_RULES, with_reply=False)
+    return f"""
+  WITH f AS ({FILTER_SQL}),
+  g AS (SELECT f.*, role = 'user' AND {fc} <> 'pass' AS blocked FROM f),
+  x AS (SELECT g.*, a.text IS NOT NULL AS reply_ok, u.blocked AS prev_blocked FROM g
+        LEFT JOIN g a ON a.conv_id = g.conv_id AND a.turn = g.turn + 1 AND a.role = 'assistant'
+        LEFT JOIN g u ON u.conv_id = g.conv_id AND u.turn = g.turn - 1 AND u.role = 'user'),
+  fl AS (SELECT *, role = 'user' AND NOT blocked AS target,
+                (role = 'user' AND NOT blocked AND coalesce(reply_ok, false))
+                OR (role = 'assistant' AND text IS NOT NULL AND NOT coalesce(prev_blocked, false)) AS kept FROM x),
+  pairs AS (SELECT tg.conv_id, tg.turn AS t, k.turn, k.role, k.text,
+                   row_number() OVER (PARTITION BY tg.conv_id, tg.turn ORDER BY k.turn DESC) AS rn
+            FROM fl tg JOIN fl k ON tg.conv_id = k.conv_id AND tg.segment = k.segment AND k.turn < tg.turn
+            WHERE tg.target AND k.kept),
+  h AS (SELECT conv_id, t, turn, role, text FROM pairs WHERE rn <= {k - 1}
+        UNION ALL SELECT conv_id, turn AS t, turn, role, text FROM fl WHERE target)
+  SELECT conv_id, t AS turn, CAST(count(*) AS BIGINT) AS history_len,
+         string_agg(concat(role, ': ', text), chr(10) ORDER BY turn) AS history_text
+  FROM h GROUP BY 1, 2
+"""
+
+
+@register("conversation_history", _history_sql(chat.DEFAULT_HISTORY))
+def q_history(spark, sf):
+    h = chat.conversation_history(table(spark, sf, "conversations"), chat.DEFAULT_HISTORY, FIXTURE_RULES)
+    return h.select("conv_id", "turn", "history_len", "history_text")
+
+
+@register("window_memory", _history_sql(3))
+def q_window_memory(spark, sf):
+    h = chat.conversation_history(table(spark, sf, "conversations"), 3, FIXTURE_RULES)
+    return h.select("conv_id", "turn", "history_len", "history_text")
+
+
+DIALOGUE_SQL = """
+  SELECT u.conv_id, u.turn, concat('User: ', u.text, ' ' || chr(10) || 'Bot: ', a.text) AS text
+  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  WHERE u.role = 'user' AND a.role = 'assistant'
+"""
+
+
+@register("dialogue_pair", DIALOGUE_SQL)
+def q_dialogue(spark, sf):
+    return text.dialogue_pairs(table(spark, sf, "conversations")).select("conv_id", "turn", "text")
+
+
+@register("extract_reply", f"""
+  SELECT conv_id, turn, regexp_replace(regexp_replace(str_split(text, 'Bot:')[-1], '^\\s+', ''), '\\s+$', '') AS reply
+  FROM ({DIALOGUE_SQL})
+""")
+def q_extract_reply(spark, sf):
+    d = text.dialogue_pairs(table(spark, sf, "conversations"))
+    return d.select("conv_id", "turn", text.extract_reply(F.col("text")).alias("reply"))
+
+
+@register("text_truncate", "SELECT doc_id, substring(text, 1, 80) AS text FROM documents")
+def q_truncate(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", text.text_truncate(F.col("text"), 80).alias("text"))
+
+
+# ---------------------------------------------------------------- tickets
+TAGS_SQL = "[" + ", ".join(_sql_str(t) for t in text.TAG_SCHEMA) + "]"
+STRATS = list(text.STRATEGIES)
+
+
+def tickets(spark, sf):
+    e = table(spark, sf, "events")
+    tags = F.array(*[F.lit(t) for t in text.TAG_SCHEMA])
+    return e.select(
+        F.concat(F.lit("TKT-"), F.lpad((F.col("event_id") + 1).cast("string"), 6, "0")).alias("ticket_id"),
+        "event_id",
+        F.concat(F.col("event_type"), F.lit(" issue: "), F.col("props")).alias("ticket"),
+        F.get(tags, F.pmod(F.col("user_id"), F.lit(10)).cast("int")).alias("true_tag"),
+        F.get_json_object("props", "$.k").cast("int").alias("k"))
+
+
+def replies(df):
+    """A landed replies table stand-in: each (ticket, strategy) reply is built
+    from the ticket's numbers, in six formats (plain, fenced, fenced without
+    marker and text confidence, trailing text, no tags, not JSON)."""
+    tags = F.array(*[F.lit(t) for t in text.TAG_SCHEMA])
+    s = F.col("strategy_pos")
+
+    def tag(off):
+        return F.get(tags, F.pmod(F.col("k") + s + F.lit(off), F.lit(10)).cast("int"))
+    c1 = F.concat(F.lit("0."), F.lpad((F.pmod(F.col("k"), F.lit(90)) + 10).cast("string"), 2, "0"))
+
+    def body(quote_conf):
+        q = F.lit('"') if quote_conf else F.lit("")
+        return F.concat(F.lit('{"tags": [{"tag": "'), tag(0), F.lit('", "confidence": '), q, c1, q,
+                        F.lit(', "reason": "r1"}, {"tag": "'), tag(3),
+                        F.lit('", "confidence": 0.05, "reason": "r2"}, {"tag": "'), tag(7),
+                        F.lit('", "confidence": 0.01, "reason": "r3"}]}'))
+    fmt = F.pmod(F.col("event_id") + s, F.lit(6))
+    rep = (F.when(fmt == 0, body(False))
+           .when(fmt == 1, F.concat(F.lit("```json\n"), body(False), F.lit("\n```")))
+           .when(fmt == 2, F.concat(F.lit("```\n"), body(True), F.lit("\n```")))
+           .when(fmt == 3, F.concat(body(False), F.lit(" Hope this helps!")))
+           .when(fmt == 4, F.lit('{"reasoning": "no clear category"}'))
+           .otherwise(F.lit("Sorry, I cannot classify this.")))
+    return df.withColumn("reply", rep)
+
+
+TICKETS_SQL = f"""
+  (SELECT concat('TKT-', lpad(CAST(event_id + 1 AS VARCHAR), 6, '0')) AS ticket_id, event_id,
+          concat(event_type, ' issue: ', props) AS ticket,
+          {TAGS_SQL}[CAST(user_id % 10 AS INTEGER) + 1] AS true_tag,
+          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+"""
+
+
+def _body_sql(quote):
+    q = "'\"'" if quote else "''"
+    c1 = "concat('0.', lpad(CAST(k % 90 + 10 AS VARCHAR), 2, '0'))"
+    return (f"concat('{{\"tags\": [{{\"tag\": \"', {TAGS_SQL}[CAST((k + s + 0) % 10 AS INTEGER) + 1], "
+            f"'\", \"confidence\": ', {q}, {c1}, {q}, ', \"reason\": \"r1\"}}, {{\"tag\": \"', "
+            f"{TAGS_SQL}[CAST((k + s + 3) % 10 AS INTEGER) + 1], "
+            f"'\", \"confidence\": 0.05, \"reason\": \"r2\"}}, {{\"tag\": \"', "
+            f"{TAGS_SQL}[CAST((k + s + 7) % 10 AS INTEGER) + 1], "
+            f"'\", \"confidence\": 0.01, \"reason\": \"r3\"}}]}}')")
+
+
+STRAT_VALUES = ", ".join(f"('{n}', {i})" for i, n in enumerate(STRATS))
+
+REPLIES_SQL = f"""
+  (SELECT t.*, st.strategy, st.s,
+     CASE (event_id + s) % 6
+       WHEN 0 THEN {_body_sql(False)}
+       WHEN 1 THEN concat('```json' || chr(10), {_body_sql(False)}, chr(10) || '```')
+       WHEN 2 THEN concat('```' || chr(10), {_body_sql(True)}, chr(10) || '```')
+       WHEN 3 THEN concat({_body_sql(False)}, ' Hope this helps!')
+       WHEN 4 THEN '{{"reasoning": "no clear category"}}'
+       ELSE 'Sorry, I cannot classify this.' END AS reply
+   FROM {TICKETS_SQL} t, (VALUES {STRAT_VALUES}) st(strategy, s))
+"""
+
+WS = "' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+PARSED_SQL = f"""
+  (WITH r AS (SELECT *, trim(reply, {WS}) AS raw FROM {REPLIES_SQL}),
+   b1 AS (SELECT *, CASE WHEN starts_with(raw, '```') THEN coalesce(str_split(raw, '```')[2], '') ELSE raw END AS b FROM r),
+   b2 AS (SELECT *, trim(CASE WHEN starts_with(b, 'json') THEN substr(b, 5) ELSE b END, {WS}) AS body FROM b1),
+   v AS (SELECT *, json_valid(body) AND regexp_matches(body, '^\\{{[\\s\\S]*\\}}$') AS ok FROM b2),
+   p AS (SELECT *, CASE WHEN ok THEN from_json(body, '{{"tags":[{{"tag":"VARCHAR","confidence":"VARCHAR","reason":"VARCHAR"}}]}}') END AS j FROM v)
+   SELECT ticket_id, event_id, true_tag, strategy, s,
+     CASE WHEN NOT ok THEN 'fallback' WHEN j.tags IS NULL THEN 'no_tags' ELSE 'ok' END AS parse_status,
+     CASE WHEN NOT ok THEN [{{'tag': 'General Inquiry', 'confidence': 0.5}}, {{'tag': 'General Inquiry', 'confidence': 0.5}},
+                            {{'tag': 'General Inquiry', 'confidence': 0.5}}]
+          WHEN j.tags IS NULL THEN []
+          ELSE list_transform(j.tags, lambda x: {{'tag': x.tag, 'confidence': TRY_CAST(x.confidence AS DOUBLE)}}) END AS tags
+   FROM p)
+"""
+
+RESULTS_SQL = f"""
+  (SELECT ticket_id, true_tag, strategy, parse_status,
+          coalesce(tags[1].tag, 'Unknown') AS top1_tag, coalesce(tags[1].confidence, 0.0) AS top1_conf,
+          array_to_string(list_transform(tags[1:3], lambda x: x.tag), '|') AS top3,
+          list_contains(list_transform(tags[1:3], lambda x: x.tag), true_tag) AS hit_top3
+   FROM {PARSED_SQL})
+"""
+
+
+def tag_results(spark, sf):
+    t = text.cross_strategies(tickets(spark, sf), "ticket")
+    p = text.parse_reply(replies(t), "reply")
+    return text.tag_result(p)
+
+
+@register("cross_strategies", f"""
+  WITH t AS {TICKETS_SQL}
+  SELECT ticket_id, strategy, length(prompt) AS prompt_len, md5(prompt) AS prompt_md5 FROM (
+    SELECT ticket_id, strategy,
+      CASE strategy {" ".join(
+          f"WHEN '{n}' THEN concat({_sql_str(text.render_prompt.__defaults__ and tpl.replace('<<TAGS>>', text.tags_block()).partition('<<TICKET>>')[0])}, ticket, {_sql_str(tpl.replace('<<TAGS>>', text.tags_block()).partition('<<TICKET>>')[2])})"
+          for n, tpl in text.STRATEGIES.items())} END AS prompt
+    FROM t, (VALUES {STRAT_VALUES}) st(strategy, s))
+""")
+def q_cross_strategies(spark, sf):
+    t = text.cross_strategies(tickets(spark, sf), "ticket")
+    return t.select("ticket_id", "strategy", F.length("prompt").alias("prompt_len"), F.md5("prompt").alias("prompt_md5"))
+
+
+@register("render_prompt", f"""
+  SELECT ticket_id, concat({_sql_str(text.ZERO_SHOT_TEMPLATE.replace('<<TAGS>>', text.tags_block()).partition('<<TICKET>>')[0])},
+                           ticket, {_sql_str(text.ZERO_SHOT_TEMPLATE.replace('<<TAGS>>', text.tags_block()).partition('<<TICKET>>')[2])}) AS prompt
+  FROM {TICKETS_SQL}
+""")
+def q_render_prompt(spark, sf):
+    t = tickets(spark, sf)
+    return t.select("ticket_id", text.render_prompt(F.col("ticket"), text.ZERO_SHOT_TEMPLATE).alias("prompt"))
+
+
+@register("parse_reply", f"""
+  SELECT ticket_id, strategy, parse_status, CAST(len(tags) AS INTEGER) AS n_tags,
+         array_to_string(list_transform(tags, lambda x: x.tag), '|') AS tag_list,
+         ROUND(coalesce(list_sum(list_transform(tags, lambda x: x.confidence)), 0.0), 6) AS conf_sum
+  FROM {PARSED_SQL}
+""")
+def q_parse_reply(spark, sf):
+    t = text.cross_strategies(tickets(spark, sf), "ticket")
+    p = text.parse_reply(replies(t), "reply")
+    return p.select("ticket_id", "strategy", "parse_status", F.size("tags").alias("n_tags"),
+                    F.array_join(F.transform("tags", lambda x: x["tag"]), "|").alias("tag_list"),
+                    F.aggregate(F.transform("tags", lambda x: x["confidence"]), F.lit(0.0),
+                                lambda a, b: a + b).alias("conf_sum"))
+
+
+@register("tag_result", f"""
+  SELECT ticket_id, true_tag, strategy, top1_tag, ROUND(top1_conf, 6) AS top1_conf, top3, hit_top3 FROM {RESULTS_SQL}
+""")
+def q_tag_result(spark, sf):
+    r = tag_results(spark, sf)
+    return r.select("ticket_id", "true_tag", "strategy", "top1_tag", "top1_conf",
+                    F.array_join("top3_tags", "|").alias("top3"), "hit_top3")
+
+
+@register("top_k_array", f"""
+  SELECT ticket_id, strategy, top1_tag, top3 FROM {RESULTS_SQL}
+""")
+def q_top_k_array(spark, sf):
+    r = tag_results(spark, sf)
+    return r.select("ticket_id", "strategy", "top1_tag", F.array_join("top3_tags", "|").alias("top3"))
+
+
+@register("membership_hit", f"SELECT ticket_id, strategy, hit_top3 FROM {RESULTS_SQL}")
+def q_membership(spark, sf):
+    return tag_results(spark, sf).select("ticket_id", "strategy", "hit_top3")
+
+
+@register("topk_accuracy", f"""
+  SELECT strategy, CAST(count(*) AS BIGINT) AS n, ROUND(avg(CAST(top1_tag = true_tag AS DOUBLE)), 6) AS top1_accuracy,
+         ROUND(avg(CAST(hit_top3 AS DOUBLE)), 6) AS top3_accuracy, ROUND(avg(top1_conf), 6) AS mean_confidence
+  FROM {RESULTS_SQL} GROUP BY 1
+""")
+def q_topk_accuracy(spark, sf):
+    return metrics.topk_accuracy(tag_results(spark, sf), "strategy")
+
+
+@register("strategy_mean_confidence", f"""
+  SELECT strategy, ROUND(avg(top1_conf), 6) AS mean_top1_conf FROM {RESULTS_SQL} GROUP BY 1
+""")
+def q_strategy_mean(spark, sf):
+    return tables.group_mean(tag_results(spark, sf), "strategy", ["top1_conf"])
+
+
+@register("best_strategy", f"""
+  WITH a AS (SELECT strategy, avg(CAST(hit_top3 AS DOUBLE)) AS acc FROM {RESULTS_SQL} GROUP BY 1),
+  p AS (SELECT * FROM (VALUES {STRAT_VALUES}) st(strategy, s))
+  SELECT arg_max(a.strategy, (acc, -s)) AS best_strategy, ROUND(max(acc), 6) AS best_acc FROM a JOIN p ON a.strategy = p.strategy
+""")
+def q_best_strategy(spark, sf):
+    r = tag_results(spark, sf).groupBy("strategy", "strategy_pos").agg(
+        F.avg(F.col("hit_top3").cast("double")).alias("acc"))
+    return tables.argmax_group(r, "strategy", "acc", "strategy_pos")
+
+
+@register("union_results", f"""
+  SELECT strategy, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT ticket_id) AS BIGINT) AS tickets
+  FROM {RESULTS_SQL} GROUP BY 1
+""")
+def q_union_results(spark, sf):
+    """Per-strategy frames stacked by name (as one would after separate runs)."""
+    allr = tag_results(spark, sf)
+    parts = [allr.where(F.col("strategy") == s) for s in STRATS]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy("strategy").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("ticket_id").alias("tickets"))
+
+
+@register("sample_predictions", f"""
+  SELECT ticket_id, true_tag, replace(top3, '|', ', ') AS predicted,
+         CASE WHEN hit_top3 THEN '✓' ELSE '✗' END AS hit
+  FROM {RESULTS_SQL} WHERE strategy = 'few_shot' ORDER BY ticket_id LIMIT 5
+""")
+def q_sample_predictions(spark, sf):
+    r = tag_results(spark, sf).where(F.col("strategy") == "few_shot")
+    return text.sample_predictions(r, 5, ["ticket_id"])
+
+
+# ---------------------------------------------------------------- tokens
+VOCAB_SQL = """
+  (WITH t AS (SELECT unnest(regexp_extract_all(lower(text), '([a-z]+)', 1)) AS token FROM documents),
+   c AS (SELECT token, count(*) AS count FROM t GROUP BY 1)
+   SELECT token, CAST(count AS BIGINT) AS count,
+          CAST(row_number() OVER (ORDER BY count DESC, md5(token)) + 1 AS BIGINT) AS id FROM c)
+"""
+
+
+@register("token_vocab", f"SELECT * FROM {VOCAB_SQL}")
+def q_token_vocab(spark, sf):
+    v = text.token_vocab(table(spark, sf, "documents"))
+    return v.select("token", "count", F.col("id").cast("long").alias("id"))
+
+
+@register("token_encode", f"""
+  WITH v AS {VOCAB_SQL},
+  tk AS (SELECT doc_id, regexp_extract_all(lower(text), '([a-z]+)', 1) AS toks FROM documents),
+  e AS (SELECT doc_id, unnest(toks) AS token, unnest(range(len(toks))) AS pos FROM tk),
+  j AS (SELECT doc_id, pos, coalesce(v.id, 1) AS id FROM e LEFT JOIN v ON e.token = v.token WHERE pos < 128),
+  g AS (SELECT doc_id, count(*) AS n, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids FROM j GROUP BY 1)
+  SELECT d.doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_tokens,
+         concat_ws(' ', ids, CASE WHEN 128 - coalesce(n, 0) > 0
+                              THEN trim(repeat('0 ', CAST(128 - coalesce(n, 0) AS INTEGER))) END) AS ids,
+         CAST(coalesce(n, 0) AS INTEGER) AS mask_sum
+  FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
+""")
+def q_token_encode(spark, sf):
+    d = table(spark, sf, "documents")
+    v = text.token_vocab(d)
+    enc = text.token_encode(d, v, "doc_id", "text", 128)
+    return enc.select("doc_id", "n_tokens", F.array_join("input_ids", " ").alias("ids"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, b: a + b).alias("mask_sum"))
+
+
+# ---------------------------------------------------------------- vectors
+def centroids(spark, sf):
+    e = table(spark, sf, "embeddings")
+    long = e.select("label", F.posexplode("embedding").alias("pos", "x"))
+    g = long.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    return g.groupBy(F.col("label").alias("query_id")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("query_vec"))
+
+
+VEC_SQL = """
+  WITH q AS (SELECT label AS query_id, list(m ORDER BY pos) AS qv FROM (
+               SELECT label, pos, avg(CAST(x AS DOUBLE)) AS m FROM (
+                 SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS pos FROM embeddings)
+               GROUP BY 1, 2) GROUP BY 1),
+  s AS (SELECT query_id, vec_id,
+               list_sum(list_transform(range(1, 65), lambda i: CAST(embedding[i] AS DOUBLE) * qv[i])) /
+               (sqrt(list_sum(list_transform(range(1, 65), lambda i: CAST(embedding[i] AS DOUBLE) * CAST(embedding[i] AS DOUBLE))))
+                * sqrt(list_sum(list_transform(range(1, 65), lambda i: qv[i] * qv[i])))) AS score
+        FROM embeddings, q),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  SELECT query_id, vec_id, ROUND(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5
+"""
+
+
+@register("vector_top_k", VEC_SQL)
+def q_vector_top_k(spark, sf):
+    e = table(spark, sf, "embeddings")
+    qs = text.collect_queries(centroids(spark, sf))
+    return text.vector_top_k(e, qs, 5).select("query_id", "vec_id", "score", "rank")
+
+
+@register("mmr_select")
+def q_mmr(spark, sf):
+    """Diversity re-rank of each query's 20 nearest to 5 (rows-only check)."""
+    e = table(spark, sf, "embeddings")
+    qs = text.collect_queries(centroids(spark, sf))
+    cands = text.vector_top_k(e, qs, 20, keep_query_vec=True)
+    return text.mmr_select(cands, 5, 0.5)
