@@ -1,4 +1,21 @@
-"""§2.12 models (filled below)."""
+"""§2.12 models and inference on Spark ML, configured to the reference's choices.
+
+Training is Spark ML (distributed fit); scoring is ``transform`` (the model is
+shipped with the plan).  Metrics come from the exact aggregates in
+``metrics``; the ML evaluators are used only for model selection, with
+``numBins=0`` (no down-sampling) for AUC.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
+                                       RandomForestClassifier)
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,3 +27,129 @@ def linear_score(df, coefs: dict, intercept: float = 0.0, out: str = "score"):
         expr = term if expr is None else expr + term
     expr = (expr if expr is not None else F.lit(0.0)) + F.lit(float(intercept))
     return df.withColumn(out, expr)
+
+
+# ------------------------------------------------------------------ estimators
+def linear_regression(label: str = "label", features: str = "features") -> LinearRegression:
+    """Ordinary least squares (normal equations, no penalty)."""
+    return LinearRegression(labelCol=label, featuresCol=features, solver="normal", regParam=0.0)
+
+
+def rf_regression(label="label", features="features", trees=200, depth=10, seed=42) -> RandomForestRegressor:
+    """All features at every split, as the reference's forest does."""
+    return RandomForestRegressor(labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth,
+                                 featureSubsetStrategy="all", seed=seed)
+
+
+def logistic_regression(n_train: int, C: float = 1.0, penalty: str = "l2", label="label",
+                        features="features", max_iter: int = 1000) -> LogisticRegression:
+    """scikit-learn's C * sum(loss) + penalty equals Spark's mean loss + lambda * penalty
+    with lambda = 1 / (C * n_train)."""
+    return LogisticRegression(labelCol=label, featuresCol=features, maxIter=max_iter,
+                              regParam=1.0 / (C * max(n_train, 1)),
+                              elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False)
+
+
+def decision_tree(label="label", features="features", depth=5, seed=42) -> DecisionTreeClassifier:
+    """Depth 5, gini.  Spark has no min-samples-to-split; minInstancesPerNode=5
+    (rows per child) is the nearest rule and is a stated difference."""
+    return DecisionTreeClassifier(labelCol=label, featuresCol=features, maxDepth=depth, impurity="gini",
+                                  minInstancesPerNode=5, seed=seed)
+
+
+def rf_classifier(label="label", features="features", trees=200, depth=20, seed=42) -> RandomForestClassifier:
+    """200 trees, sqrt features; 'unlimited' depth capped at 20 (Spark allows 30)."""
+    return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth,
+                                  featureSubsetStrategy="sqrt", seed=seed)
+
+
+def gbt_regression(label="label", features="features", iters=200, depth=4, step=0.1, seed=42) -> GBTRegressor:
+    return GBTRegressor(labelCol=label, featuresCol=features, maxIter=iters, maxDepth=depth, stepSize=step,
+                        seed=seed)
+
+
+def huber_regression(label="label", features="features", epsilon: float = 1.35) -> LinearRegression:
+    """Robust linear fit (Huber loss) on assembled image + tabular features."""
+    return LinearRegression(labelCol=label, featuresCol=features, loss="huber", epsilon=epsilon,
+                            regParam=0.0, maxIter=200)
+
+
+def text_classifier(n_classes: int, label="label", features="features") -> LogisticRegression:
+    return LogisticRegression(labelCol=label, featuresCol=features, family="multinomial", maxIter=100,
+                              regParam=1e-3)
+
+
+# ------------------------------------------------------------------ tuning
+def auc_evaluator(label="label", raw="rawPrediction") -> BinaryClassificationEvaluator:
+    """Exact AUC (numBins=0: no curve down-sampling)."""
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC",
+                                         numBins=0)
+
+
+def grid_search(stages: list, lr: LogisticRegression, n_train: int, Cs: list[float],
+                penalties: list[str] = ("l1", "l2"), fold_col: str = "fold", label="label",
+                parallelism: int = 4) -> CrossValidator:
+    """C x penalty grid over precomputed class-balanced folds, scored by AUC, refit on all."""
+    grid = ParamGridBuilder()
+    grid = grid.addGrid(lr.regParam, [1.0 / (c * max(n_train, 1)) for c in Cs])
+    grid = grid.addGrid(lr.elasticNetParam, [1.0 if p == "l1" else 0.0 for p in penalties])
+    return CrossValidator(estimator=Pipeline(stages=stages + [lr]), estimatorParamMaps=grid.build(),
+                          evaluator=auc_evaluator(label), foldCol=fold_col, parallelism=parallelism,
+                          collectSubModels=False)
+
+
+def cross_val_score(stages: list, est, evaluator, fold_col: str = "fold", parallelism: int = 4) -> CrossValidator:
+    """Per-fold scores of one configuration: avgMetrics and stdMetrics (population)."""
+    return CrossValidator(estimator=Pipeline(stages=stages + [est]),
+                          estimatorParamMaps=ParamGridBuilder().build(), evaluator=evaluator,
+                          foldCol=fold_col, parallelism=parallelism)
+
+
+# ------------------------------------------------------------------ outputs
+def predict_proba(scored: DataFrame, prob: str = "probability", prediction: str = "prediction") -> DataFrame:
+    """Class-1 probability and the confidence of the predicted class."""
+    arr = vector_to_array(F.col(prob))
+    return scored.withColumns({"p1": F.get(arr, 1),
+                               "confidence": F.get(arr, F.col(prediction).cast("int"))})
+
+
+def softmax_argmax(logits) -> tuple:
+    """(probabilities, best index, its confidence) for an array column, stable
+    (max subtracted), all array SQL."""
+    m = F.array_max(logits)
+    ex = F.transform(logits, lambda x: F.exp(x.cast("double") - m))
+    tot = F.aggregate(ex, F.lit(0.0), lambda a, b: a + b)
+    probs = F.transform(ex, lambda x: x / tot)
+    best = F.array_position(logits, m) - 1
+    return probs, best, F.get(probs, best.cast("int"))
+
+
+def feature_importance(model, names: list[str]) -> list[tuple[str, float]]:
+    """Tree importances (or |coefficient|) by feature name, descending."""
+    if hasattr(model, "featureImportances"):
+        vals = model.featureImportances.toArray().tolist()
+    else:
+        vals = [abs(x) for x in model.coefficients.toArray().tolist()]
+    return sorted(zip(names, vals), key=lambda t: (-t[1], t[0]))
+
+
+def tree_nodes(spark, model, path: str) -> DataFrame:
+    """A fitted tree as a node table (id, prediction, impurity, gain, children,
+    split feature and threshold), read from the saved model's data files."""
+    model.write().overwrite().save(path)
+    d = spark.read.parquet(path + "/data")
+    return d.select("id", "prediction", "impurity", "gain", "leftChild", "rightChild",
+                    F.col("split.featureIndex").alias("feature"),
+                    F.get(F.col("split.leftCategoriesOrThreshold"), 0).alias("threshold"))
+
+
+def learning_curve_lr(model) -> list[tuple[int, float]]:
+    return list(enumerate(model.summary.objectiveHistory))
+
+
+def learning_curve_gbt(model, df: DataFrame, loss: str = "squared") -> list[tuple[int, float]]:
+    return list(enumerate(model.evaluateEachIteration(df, loss)))
+
+
+def fit_pipeline(stages: list, df: DataFrame) -> PipelineModel:
+    return Pipeline(stages=stages).fit(df)
