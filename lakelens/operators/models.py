@@ -88,21 +88,22 @@ def auc_evaluator(label="label", raw="rawPrediction") -> BinaryClassificationEva
 
 def grid_search(stages: list, lr: LogisticRegression, n_train: int, Cs: list[float],
                 penalties: list[str] = ("l1", "l2"), fold_col: str = "fold", label="label",
-                parallelism: int = 4) -> CrossValidator:
+                parallelism: int = 4, n_folds: int = 5) -> CrossValidator:
     """C x penalty grid over precomputed class-balanced folds, scored by AUC, refit on all."""
     grid = ParamGridBuilder()
     grid = grid.addGrid(lr.regParam, [1.0 / (c * max(n_train, 1)) for c in Cs])
     grid = grid.addGrid(lr.elasticNetParam, [1.0 if p == "l1" else 0.0 for p in penalties])
     return CrossValidator(estimator=Pipeline(stages=stages + [lr]), estimatorParamMaps=grid.build(),
-                          evaluator=auc_evaluator(label), foldCol=fold_col, parallelism=parallelism,
-                          collectSubModels=False)
+                          evaluator=auc_evaluator(label), foldCol=fold_col, numFolds=n_folds,
+                          parallelism=parallelism, collectSubModels=False)
 
 
-def cross_val_score(stages: list, est, evaluator, fold_col: str = "fold", parallelism: int = 4) -> CrossValidator:
+def cross_val_score(stages: list, est, evaluator, fold_col: str = "fold", parallelism: int = 4,
+                    n_folds: int = 5) -> CrossValidator:
     """Per-fold scores of one configuration: avgMetrics and stdMetrics (population)."""
     return CrossValidator(estimator=Pipeline(stages=stages + [est]),
                           estimatorParamMaps=ParamGridBuilder().build(), evaluator=evaluator,
-                          foldCol=fold_col, parallelism=parallelism)
+                          foldCol=fold_col, numFolds=n_folds, parallelism=parallelism)
 
 
 # ------------------------------------------------------------------ outputs

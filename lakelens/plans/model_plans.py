@@ -1 +1,379 @@
-"""placeholder"""
+"""§2.11-2.12 features and models on driver-derived tables (rows-only checks,
+except the feature transforms that have an SQL twin).
+
+Stand-ins: price bars = events daily bars; heart = orders joined to customer
+(target: status F); churn = gen_churn keyed by customer; houses = gen_housing
+keyed by part; news = documents labelled by language.
+"""
+
+import uuid
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ..functions.keys import md5_key
+from ..operators import features as fx
+from ..operators import metrics, models, sampling, series, text
+from ..session import materialize, scratch_path
+from .registry import register, table
+from .source_plans import churn_frame, housing_frame
+
+BAR_FEATURES = series.FEATURES
+
+
+# ------------------------------------------------------------------ feature transforms (O)
+CUST_TRAIN = "md5(concat(CAST(c_custkey AS VARCHAR), '|7')) < 'cc'"
+
+
+def _cust_split(spark, sf):
+    c = table(spark, sf, "customer").withColumn("__k", md5_key("c_custkey", seed=7))
+    return c.where(F.col("__k") < "cc").drop("__k"), c.where(F.col("__k") >= "cc").drop("__k")
+
+
+@register("standard_scale", f"""
+  WITH s AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS sd FROM customer WHERE {CUST_TRAIN})
+  SELECT c_custkey, ROUND((c_acctbal - m) / CASE WHEN sd > 0 THEN sd ELSE 1.0 END, 6) AS c_acctbal
+  FROM customer, s WHERE NOT ({CUST_TRAIN})
+""")
+def q_standard_scale(spark, sf):
+    train, test = _cust_split(spark, sf)
+    _, test_s = fx.standard_scale(train, ["c_acctbal"], test)
+    return test_s.select("c_custkey", "c_acctbal")
+
+
+SEGMENTS_SQL = "(SELECT DISTINCT c_mktsegment AS v FROM customer WHERE " + CUST_TRAIN + ")"
+
+
+def _one_hot_sql(spark_values):
+    cols = ", ".join(f"CASE WHEN c_mktsegment = '{v}' THEN 1.0 ELSE 0.0 END AS \"seg_{v}\"" for v in spark_values)
+    return f"SELECT c_custkey, {cols} FROM customer"
+
+
+# The market segments of the customer table (alphabetical).
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@register("one_hot", _one_hot_sql(SEGMENTS))
+def q_one_hot(spark, sf):
+    """One-hot fitted on train rows, applied to all; wide form named by category."""
+    from pyspark.ml import Pipeline
+    train, _ = _cust_split(spark, sf)
+    allc = table(spark, sf, "customer")
+    m = Pipeline(stages=fx.one_hot_stages(["c_mktsegment"])).fit(train)
+    labels = m.stages[0].labelsArray[0]
+    out = m.transform(allc).withColumn("__a", vector_to_array("c_mktsegment_ohe"))
+    return out.select("c_custkey", *[F.get("__a", i).alias(f"seg_{v}") for i, v in enumerate(labels)])
+
+
+@register("softmax_argmax", """
+  WITH l AS (SELECT vec_id, list_transform(embedding[1:4], lambda x: CAST(x AS DOUBLE)) AS z FROM embeddings),
+  e AS (SELECT vec_id, z, list_transform(z, lambda x: exp(x - list_max(z))) AS ex FROM l)
+  SELECT vec_id, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS best,
+         ROUND(ex[list_position(z, list_max(z))] / list_sum(ex), 6) AS confidence,
+         ROUND(ex[1] / list_sum(ex), 6) AS p0, ROUND(ex[2] / list_sum(ex), 6) AS p1,
+         ROUND(ex[3] / list_sum(ex), 6) AS p2, ROUND(ex[4] / list_sum(ex), 6) AS p3
+  FROM e
+""")
+def q_softmax(spark, sf):
+    e = table(spark, sf, "embeddings")
+    z = F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double"))
+    probs, best, conf = models.softmax_argmax(z)
+    return e.select("vec_id", best.cast("int").alias("best"), conf.alias("confidence"),
+                    *[F.get(probs, i).alias(f"p{i}") for i in range(4)])
+
+
+# ------------------------------------------------------------------ price forecast (R)
+def _bars_split(spark, sf):
+    f = materialize(series.chrono_split(series.ohlc_features(series.daily_bars(table(spark, sf, "events")))))
+    return f.where(F.col("part") == "train"), f.where(F.col("part") == "test"), f
+
+
+def _forecast_models(spark, sf):
+    train, test, allf = _bars_split(spark, sf)
+    from pyspark.ml import Pipeline
+    asm = VectorAssembler(inputCols=BAR_FEATURES, outputCol="raw")
+    scl = fx.PopulationScaler(inputCols=BAR_FEATURES, outputCols=[c + "_s" for c in BAR_FEATURES])
+    asm_s = VectorAssembler(inputCols=[c + "_s" for c in BAR_FEATURES], outputCol="features")
+    lr = Pipeline(stages=[scl, asm_s, models.linear_regression("target", "features")]).fit(train)
+    rf = Pipeline(stages=[asm, models.rf_regression("target", "raw")]).fit(train)
+    return lr, rf, train, test, allf
+
+
+@register("linear_regression")
+def q_linear_regression(spark, sf):
+    lr, _, _, test, _ = _forecast_models(spark, sf)
+    return metrics.regression_metrics(lr.transform(test), "target", "prediction")
+
+
+@register("rf_regression")
+def q_rf_regression(spark, sf):
+    _, rf, _, test, _ = _forecast_models(spark, sf)
+    return metrics.regression_metrics(rf.transform(test), "target", "prediction")
+
+
+@register("forecast_next")
+def q_forecast_next(spark, sf):
+    lr, rf, _, _, allf = _forecast_models(spark, sf)
+    last = series.latest_row(allf)
+    a = lr.transform(last).select("entity", F.col("close").alias("last_close"), F.col("prediction").alias("lr_next"))
+    b = rf.transform(last).select("entity", F.col("prediction").alias("rf_next"))
+    return a.join(b, "entity")
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    _, rf, *_ = _forecast_models(spark, sf)
+    imp = models.feature_importance(rf.stages[-1], BAR_FEATURES)
+    return spark.createDataFrame(imp, "feature string, importance double")
+
+
+# ------------------------------------------------------------------ heart stand-in (R)
+HEART_NUM = ["o_totalprice", "c_acctbal", "c_nationkey", "prio", "order_year", "order_month"]
+
+
+def heart_frame(spark, sf):
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    return j.select("o_orderkey", "o_totalprice", "c_acctbal", F.col("c_nationkey").cast("double").alias("c_nationkey"),
+                    F.substring("o_orderpriority", 1, 1).cast("double").alias("prio"),
+                    F.year("o_orderdate").cast("double").alias("order_year"),
+                    F.month("o_orderdate").cast("double").alias("order_month"),
+                    (F.col("o_orderstatus") == "F").cast("int").alias("label"))
+
+
+def _heart(spark, sf):
+    h = sampling.stratified_split(heart_frame(spark, sf), "label", ["o_orderkey"])
+    h = materialize(sampling.stratified_folds(h, "label", ["o_orderkey"], k=5, seed=11))
+    return h.where(F.col("part") == "train"), h.where(F.col("part") == "test")
+
+
+def _heart_stages():
+    scl = fx.PopulationScaler(inputCols=HEART_NUM, outputCols=[c + "_s" for c in HEART_NUM])
+    asm = VectorAssembler(inputCols=[c + "_s" for c in HEART_NUM], outputCol="features")
+    return [scl, asm]
+
+
+def _binary_summary(scored):
+    s = predict = models.predict_proba(scored)
+    auc = metrics.roc_auc(s, "label", "p1")
+    acc = metrics.accuracy(s.withColumn("prediction", F.col("prediction").cast("int")), "label", "prediction")
+    return acc.withColumn("__one", F.lit(1)).join(auc.withColumn("__one", F.lit(1)), "__one").drop("__one")
+
+
+@register("logistic_regression")
+def q_logistic(spark, sf):
+    from pyspark.ml import Pipeline
+    train, test = _heart(spark, sf)
+    n = train.count()
+    m = Pipeline(stages=_heart_stages() + [models.logistic_regression(n)]).fit(train)
+    return _binary_summary(m.transform(test))
+
+
+@register("decision_tree")
+def q_decision_tree(spark, sf):
+    from pyspark.ml import Pipeline
+    train, test = _heart(spark, sf)
+    m = Pipeline(stages=_heart_stages() + [models.decision_tree()]).fit(train)
+    return _binary_summary(m.transform(test))
+
+
+@register("cross_val_score")
+def q_cross_val(spark, sf):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    train, _ = _heart(spark, sf)
+    n = train.count()
+    cv = models.cross_val_score(_heart_stages(), models.logistic_regression(int(n * 0.8)),
+                                MulticlassClassificationEvaluator(metricName="accuracy"), "fold").fit(train)
+    return spark.createDataFrame([(float(cv.avgMetrics[0]), float(cv.stdMetrics[0]), 5)],
+                                 "mean_accuracy double, std_accuracy double, folds int")
+
+
+@register("tree_rules")
+def q_tree_rules(spark, sf):
+    from pyspark.ml import Pipeline
+    train, _ = _heart(spark, sf)
+    m = Pipeline(stages=_heart_stages() + [models.decision_tree()]).fit(train)
+    return models.tree_nodes(spark, m.stages[-1], scratch_path(spark, f"tree-{uuid.uuid4().hex}"))
+
+
+@register("predict_proba")
+def q_predict_proba(spark, sf):
+    from pyspark.ml import Pipeline
+    train, test = _heart(spark, sf)
+    m = Pipeline(stages=_heart_stages() + [models.logistic_regression(train.count())]).fit(train)
+    return models.predict_proba(m.transform(test)).select("o_orderkey", "label", "prediction", "p1", "confidence")
+
+
+@register("score_new_rows")
+def q_score_new_rows(spark, sf):
+    """Newest orders (not used in training) through the saved pipeline, with label text."""
+    from pyspark.ml import Pipeline, PipelineModel
+    train, test = _heart(spark, sf)
+    m = Pipeline(stages=_heart_stages() + [models.logistic_regression(train.count())]).fit(train)
+    path = scratch_path(spark, f"heart-{uuid.uuid4().hex}")
+    m.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    newest = test.orderBy(F.desc("order_year"), F.desc("order_month"), "o_orderkey").limit(3)
+    s = models.predict_proba(loaded.transform(newest))
+    return s.select("o_orderkey", F.when(F.col("prediction") == 1, "finished").otherwise("open").alias("label_text"),
+                    "confidence")
+
+
+# ------------------------------------------------------------------ churn (R)
+CHURN_NUM = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges"]
+CHURN_CAT = ["gender", "Partner", "Dependents", "PhoneService", "MultipleLines", "InternetService",
+             "OnlineSecurity", "TechSupport", "Contract", "PaperlessBilling", "PaymentMethod"]
+
+
+def _churn_split(spark, sf):
+    c = churn_frame(spark, sf)
+    c = c.withColumn("TotalCharges", F.col("TotalCharges").cast("double")) \
+         .withColumn("label", (F.col("Churn") == "Yes").cast("int"))
+    c = sampling.stratified_split(c, "label", ["customerID"])
+    c = materialize(sampling.stratified_folds(c, "label", ["customerID"], 5, seed=3))
+    return c.where(F.col("part") == "train"), c.where(F.col("part") == "test")
+
+
+@register("column_transformer")
+def q_column_transformer(spark, sf):
+    from pyspark.ml import Pipeline
+    train, test = _churn_split(spark, sf)
+    m = Pipeline(stages=fx.column_transformer(CHURN_NUM, CHURN_CAT)).fit(train)
+    out = m.transform(test)
+    return out.select("customerID", F.size(vector_to_array("features")).alias("n_features"))
+
+
+@register("feature_names")
+def q_feature_names(spark, sf):
+    from pyspark.ml import Pipeline
+    train, _ = _churn_split(spark, sf)
+    m = Pipeline(stages=fx.column_transformer(CHURN_NUM, CHURN_CAT)).fit(train)
+    names = fx.feature_names(m.transform(train.limit(1)))
+    return spark.createDataFrame(list(enumerate(names)), "idx int, name string")
+
+
+@register("rf_classifier")
+def q_rf_classifier(spark, sf):
+    from pyspark.ml import Pipeline
+    train, test = _churn_split(spark, sf)
+    m = Pipeline(stages=fx.column_transformer(CHURN_NUM, CHURN_CAT) + [models.rf_classifier()]).fit(train)
+    return _binary_summary(m.transform(test))
+
+
+@register("grid_search")
+def q_grid_search(spark, sf):
+    train, test = _churn_split(spark, sf)
+    n = train.count()
+    lr = models.logistic_regression(int(n * 0.8))
+    cv = models.grid_search(fx.column_transformer(CHURN_NUM, CHURN_CAT), lr, int(n * 0.8),
+                            Cs=[0.01, 0.1, 1.0, 10.0, 100.0]).fit(train)
+    best_i = max(range(len(cv.avgMetrics)), key=lambda i: (cv.avgMetrics[i], -i))
+    pm = cv.getEstimatorParamMaps()[best_i]
+    test_auc = metrics.roc_auc(models.predict_proba(cv.bestModel.transform(test)), "label", "p1").first()[0]
+    return spark.createDataFrame([(best_i, float(cv.avgMetrics[best_i]), float(cv.stdMetrics[best_i]),
+                                   float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), float(test_auc or 0.0))],
+                                 "best_index int, cv_auc double, cv_auc_std double, reg_param double, "
+                                 "elastic_net double, test_auc double")
+
+
+@register("verify_roundtrip")
+def q_verify_roundtrip(spark, sf):
+    """Save the fitted churn pipeline, load it back, score the test rows with
+    both: differing predictions must be 0 and AUC equal."""
+    from pyspark.ml import Pipeline
+    from ..sources import files
+    train, test = _churn_split(spark, sf)
+    n = train.count()
+    m = Pipeline(stages=fx.column_transformer(CHURN_NUM, CHURN_CAT) + [models.logistic_regression(n)]).fit(train)
+    path = scratch_path(spark, f"churn-{uuid.uuid4().hex}")
+    files.sink_model(m, path)
+    back = files.source_model(path)
+    a = models.predict_proba(m.transform(test)).select("customerID", "label", F.col("p1").alias("p_a"))
+    b = models.predict_proba(back.transform(test)).select("customerID", F.col("p1").alias("p_b"))
+    j = a.join(b, "customerID")
+    auc_a = metrics.roc_auc(j, "label", "p_a").withColumnRenamed("auc", "auc_before")
+    auc_b = metrics.roc_auc(j, "label", "p_b").withColumnRenamed("auc", "auc_after")
+    d = j.agg(F.count(F.lit(1)).alias("n_rows"), F.sum((F.col("p_a") != F.col("p_b")).cast("long")).alias("n_diff"))
+    one = F.lit(1)
+    return d.withColumn("__o", one).join(auc_a.withColumn("__o", one), "__o").join(auc_b.withColumn("__o", one), "__o").drop("__o")
+
+
+# ------------------------------------------------------------------ houses (R)
+HOUSE_FEATURES = ["sqft", "bedrooms", "bathrooms", "house_age", "has_garage", "location_score"]
+
+
+def _houses(spark, sf):
+    h = housing_frame(spark, sf)
+    h = sampling.random_split(h, ["house_id"], 0.2, seed=42)
+    h = materialize(h.withColumn("log_price", F.log1p("price")))
+    return h.where(F.col("part") == "train"), h.where(F.col("part") == "test")
+
+
+@register("gbt_regression")
+def q_gbt(spark, sf):
+    from pyspark.ml import Pipeline
+    train, test = _houses(spark, sf)
+    m = Pipeline(stages=[fx.assemble_features(HOUSE_FEATURES), models.gbt_regression("log_price")]).fit(train)
+    p = m.transform(test).withColumn("pred_price", F.expm1("prediction"))
+    return metrics.regression_metrics(p, "price", "pred_price")
+
+
+@register("huber_regression")
+def q_huber_regression(spark, sf):
+    from pyspark.ml import Pipeline
+    train, test = _houses(spark, sf)
+    scl = fx.PopulationScaler(inputCols=HOUSE_FEATURES, outputCols=[c + "_s" for c in HOUSE_FEATURES])
+    m = Pipeline(stages=[scl, fx.assemble_features([c + "_s" for c in HOUSE_FEATURES]),
+                         models.huber_regression("log_price")]).fit(train)
+    p = m.transform(test).withColumn("pred_price", F.expm1("prediction"))
+    return metrics.regression_metrics(p, "price", "pred_price")
+
+
+@register("learning_curve")
+def q_learning_curve(spark, sf):
+    from pyspark.ml import Pipeline
+    train, test = _houses(spark, sf)
+    m = Pipeline(stages=[fx.assemble_features(HOUSE_FEATURES), models.gbt_regression("log_price", iters=50)]).fit(train)
+    ev = models.learning_curve_gbt(m.stages[-1], m.stages[0].transform(test))
+    return spark.createDataFrame([(i + 1, float(v)) for i, v in ev], "iteration int, test_loss double")
+
+
+# ------------------------------------------------------------------ news stand-in (R)
+# Language code -> class id (four classes, like the four news topics).
+LANGS = ["de", "en", "es", "fr"]
+
+
+def _docs(spark, sf):
+    d = table(spark, sf, "documents")
+    m = F.create_map(*[x for i, l in enumerate(LANGS) for x in (F.lit(l), F.lit(float(i)))])
+    d = d.withColumn("label", m[F.col("lang")]).where(F.col("label").isNotNull())
+    d = materialize(sampling.stratified_split(d, "lang", ["doc_id"], 0.2, seed=42))
+    return d.where(F.col("part") == "train"), d.where(F.col("part") == "test")
+
+
+@register("text_tfidf")
+def q_text_tfidf(spark, sf):
+    from pyspark.ml import Pipeline
+    train, test = _docs(spark, sf)
+    m = Pipeline(stages=fx.text_tfidf_stages("text", "features", 1 << 16)).fit(train)
+    out = m.transform(test)
+    return out.select("doc_id", F.size(F.col("__tokens")).alias("n_tokens"))
+
+
+@register("text_classifier")
+def q_text_classifier(spark, sf):
+    from pyspark.ml import Pipeline
+    train, test = _docs(spark, sf)
+    m = Pipeline(stages=fx.text_tfidf_stages("text", "features", 1 << 16) + [models.text_classifier(4)]).fit(train)
+    p = m.transform(test)
+    return metrics.classification_report(p.withColumn("y", F.col("label").cast("int"))
+                                          .withColumn("pred", F.col("prediction").cast("int")), "y", "pred")
+
+
+@register("assemble_features")
+def q_assemble(spark, sf):
+    h = housing_frame(spark, sf)
+    out = fx.assemble_features(HOUSE_FEATURES).transform(h)
+    return out.select("house_id", F.size(vector_to_array("features")).alias("width"))

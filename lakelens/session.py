@@ -68,3 +68,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/tables/" + name
+
+
+def materialize(df):
+    """Cut lineage before iterative work (model fitting): a reliable checkpoint
+    in the shared checkpoint folder, so a lost executor does not replay the
+    whole plan and each training pass reads the stored rows."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
