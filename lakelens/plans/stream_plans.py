@@ -1 +1,69 @@
-"""placeholder"""
+"""§2.15 streaming queries: each runs an availableNow stream over a driver
+table into the shared scratch folder and returns what it wrote, so the result
+can be checked against the batch form (and its SQL twin)."""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..session import scratch_path
+from ..streaming import chat as sc
+from .registry import REGISTRY, register
+
+
+def _read(spark, sf, name, schema):
+    return sc.read_stream(spark, sf.rstrip("/"), schema, file_glob=f"{name}.parquet")
+
+
+@register("stream_safety_route")
+def q_stream_safety_route(spark, sf):
+    s = _read(spark, sf, "conversations", sc.CONV_SCHEMA).where(F.col("role") == "user")
+    routed = sc.stream_safety_route(s).select("conv_id", "turn", "category", "canned_reply")
+    base = scratch_path(spark, f"stream-route-{uuid.uuid4().hex}")
+    sc.run_available(routed, base + "/out", base + "/ckpt")
+    return spark.read.schema("conv_id long, turn long, category string, canned_reply string").parquet(base + "/out")
+
+
+@register("stream_chat_state")
+def q_stream_chat_state(spark, sf):
+    from .text_plans import FIXTURE_RULES
+    from ..operators.chat import DEFAULT_HISTORY
+    s = _read(spark, sf, "conversations", sc.CONV_SCHEMA)
+    h = sc.stream_chat_history(s, DEFAULT_HISTORY, FIXTURE_RULES)
+    base = scratch_path(spark, f"stream-chat-{uuid.uuid4().hex}")
+    sc.run_available(h, base + "/out", base + "/ckpt")
+    return spark.read.schema(sc.OUT_SCHEMA).parquet(base + "/out")
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    """Fit a language classifier on documents (batch), save it, load it, and
+    score the documents table as a stream."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from ..operators import features as fx
+    from ..operators import models
+    from .model_plans import _docs
+    train, _ = _docs(spark, sf)
+    m = Pipeline(stages=fx.text_tfidf_stages("text", "features", 1 << 16) + [models.text_classifier(4)]).fit(train)
+    base = scratch_path(spark, f"stream-score-{uuid.uuid4().hex}")
+    m.write().overwrite().save(base + "/model")
+    loaded = PipelineModel.load(base + "/model")
+    s = _read(spark, sf, "documents", "doc_id long, text string, lang string, source string, n_chars long")
+    scored = sc.stream_score(s, loaded).select("doc_id", "lang", F.col("prediction").cast("int").alias("prediction"))
+    sc.run_available(scored, base + "/out", base + "/ckpt")
+    return spark.read.schema("doc_id long, lang string, prediction int").parquet(base + "/out")
+
+
+def _share_sql():
+    from .text_plans import _history_sql, route_sql
+    from ..operators.chat import DEFAULT_HISTORY
+    from ..operators.text import HEALTH_RULES
+    c, r = route_sql("text", HEALTH_RULES)
+    fn, _ = REGISTRY["stream_safety_route"]
+    REGISTRY["stream_safety_route"] = (fn, f"SELECT conv_id, turn, {c} AS category, {r} AS canned_reply "
+                                           f"FROM conversations WHERE role = 'user'")
+    fn, _ = REGISTRY["stream_chat_state"]
+    REGISTRY["stream_chat_state"] = (fn, _history_sql(DEFAULT_HISTORY))
+
+
+_share_sql()
