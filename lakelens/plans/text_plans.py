@@ -456,3 +456,58 @@ def q_mmr(spark, sf):
     qs = text.collect_queries(centroids(spark, sf))
     cands = text.vector_top_k(e, qs, 20, keep_query_vec=True)
     return text.mmr_select(cands, 5, 0.5)
+
+
+# ---------------------------------------------------------------- extension points
+@register("strategy_registry", f"""
+  SELECT ticket_id, strategy, length(out) AS prompt_len FROM (
+    SELECT ticket_id, strategy, CASE strategy {" ".join(
+        f"WHEN '{n}' THEN concat({_sql_str(tpl.replace('<<TAGS>>', text.tags_block()).partition('<<TICKET>>')[0])}, ticket, {_sql_str(tpl.replace('<<TAGS>>', text.tags_block()).partition('<<TICKET>>')[2])})"
+        for n, tpl in text.STRATEGIES.items())} END AS out
+    FROM {TICKETS_SQL} t, (VALUES {STRAT_VALUES}) st(strategy, s))
+""")
+def q_strategy_registry(spark, sf):
+    from ..functions.udf import ColumnRegistry
+    reg = ColumnRegistry()
+    for n, tpl in text.STRATEGIES.items():
+        reg.register(n)(lambda c, _t=tpl: text.render_prompt(c, _t))
+    out = reg.apply_all(tickets(spark, sf), "ticket", "strategy", "out")
+    return out.select("ticket_id", "strategy", F.length("out").alias("prompt_len"))
+
+
+@register("map_batches", f"""
+  SELECT conv_id, turn, CAST(length(text) AS BIGINT) AS n_chars,
+         CAST(len(string_split(text, ' ')) AS BIGINT) AS n_words FROM ({DIALOGUE_SQL})
+""")
+def q_map_batches(spark, sf):
+    """Dialogue pairs mapped in pandas batches (length and word counts), other columns dropped."""
+    from ..functions.udf import map_batches
+
+    def fn(pdf):
+        import pandas as pd
+        return pd.DataFrame({"conv_id": pdf["conv_id"], "turn": pdf["turn"],
+                             "n_chars": pdf["text"].str.len().astype("int64"),
+                             "n_words": pdf["text"].str.split(" ").str.len().astype("int64")})
+    d = text.dialogue_pairs(table(spark, sf, "conversations"))
+    return map_batches(d, fn, "conv_id long, turn long, n_chars long, n_words long", ["conv_id", "turn", "text"])
+
+
+@register("map_rows", f"""
+  SELECT conv_id, turn, substring(text, 7, 20) AS head, CAST(length(text) AS INTEGER) AS n_chars FROM ({DIALOGUE_SQL})
+""")
+def q_map_rows(spark, sf):
+    from ..functions.udf import map_rows
+    d = text.dialogue_pairs(table(spark, sf, "conversations")).select("conv_id", "turn", "text")
+    return map_rows(d, {"head": F.substring("text", 7, 20), "n_chars": F.length("text")}, drop=["text"])
+
+
+@register("reply_provider", f"""
+  SELECT ticket_id, strategy, parse_status FROM {PARSED_SQL}
+""")
+def q_reply_provider(spark, sf):
+    """Replies joined from a landed replies table, then parsed."""
+    from ..functions.udf import provide_replies
+    t = text.cross_strategies(tickets(spark, sf), "ticket")
+    landed = replies(t).select("ticket_id", "strategy", "reply")
+    got = provide_replies(t.select("ticket_id", "strategy", "prompt"), ["ticket_id", "strategy"], landed)
+    return text.parse_reply(got, "reply").select("ticket_id", "strategy", "parse_status")
