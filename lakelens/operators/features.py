@@ -10,6 +10,8 @@ both save and load inside a PipelineModel.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, OneHotEncoder, RegexTokenizer,
@@ -131,7 +133,7 @@ def one_hot_stages(cat_cols: list[str], suffix_idx: str = "_idx", suffix_ohe: st
     idx = StringIndexer(inputCols=cat_cols, outputCols=[c + suffix_idx for c in cat_cols],
                         handleInvalid="keep", stringOrderType="alphabetAsc")
     ohe = OneHotEncoder(inputCols=[c + suffix_idx for c in cat_cols],
-                        outputCols=[c + suffix_ohe for c in cat_cols], dropLast=True, handleInvalid="keep")
+                        outputCols=[c + suffix_ohe for c in cat_cols], dropLast=True)
     return [idx, ohe]
 
 
@@ -180,9 +182,6 @@ IMAGE_FEATURES = ["mean_b", "mean_g", "mean_r", "std_b", "std_g", "std_r"]
 def image_color_features(images: DataFrame, image_col: str = "image", bins: int = 4) -> DataFrame:
     """Per image: mean and std of each channel and a ``bins``-bucket histogram
     per channel (B, G, R order, as the image source stores pixels)."""
-    import numpy as np
-    import pandas as pd
-
     fields = ", ".join(f"{n} double" for n in IMAGE_FEATURES)
     hist_fields = ", ".join(f"hist_{ch}_{i} double" for ch in "bgr" for i in range(bins))
     schema = f"{fields}, {hist_fields}"
@@ -209,9 +208,6 @@ def image_color_features(images: DataFrame, image_col: str = "image", bins: int
 def image_normalize(images: DataFrame, size: int = 8, image_col: str = "image", out: str = "pixels") -> DataFrame:
     """Block-mean resize to size x size, scale to [0, 1], then (x - 0.5) / 0.5;
     RGB order, flattened."""
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def norm(h: pd.Series, w: pd.Series, c: pd.Series, data: pd.Series) -> pd.Series:
         out_rows = []
