@@ -71,3 +71,11 @@ def metric_registry() -> dict[str, Callable]:
     from ..operators import metrics
     return {"accuracy": metrics.accuracy, "roc_auc": metrics.roc_auc, "f1": metrics.f1_binary,
             "f1_weighted": metrics.f1_weighted, "regression": metrics.regression_metrics}
+
+
+def score_by_name(df: DataFrame, name: str, **cols) -> DataFrame:
+    """Run the registered scorer ``name`` and return one ``(metric, value)`` row
+    (the scorer is a plain aggregate, so this is one pass over ``df``)."""
+    out = metric_registry()[name](df, **cols)
+    first = out.columns[0]
+    return out.select(F.lit(name).alias("metric"), F.col(first).cast("double").alias("value"))

@@ -222,3 +222,48 @@ def q_model_comparison(spark, sf):
 """)
 def q_best_model(spark, sf):
     return tables.argmax_group(model_comparison_frame(spark, sf), "model", "auc", "position")
+
+
+ORDER_PRED = "CASE WHEN o_totalprice >= 150000 THEN 'O' ELSE 'F' END"
+
+TRUTH_PRED_SQL = f"""
+  SELECT t.o_orderkey, t.y, p.pred
+  FROM (SELECT o_orderkey, o_orderstatus AS y FROM orders) t
+  JOIN (SELECT o_orderkey, {ORDER_PRED} AS pred FROM orders) p ON t.o_orderkey = p.o_orderkey
+"""
+
+
+@register("join_truth_prediction", TRUTH_PRED_SQL)
+def q_join_truth_prediction(spark, sf):
+    """Truth and predictions held apart are aligned by a unique key, never by
+    position: an equi-join on o_orderkey (both sides grow with the data, so a
+    shuffle join; AQE may pick broadcast only from measured sizes).  When
+    predictions come from ``transform`` they are already on the row and no
+    join is planned."""
+    o = table(spark, sf, "orders")
+    truth = o.select("o_orderkey", F.col("o_orderstatus").alias("y"))
+    pred = o.select("o_orderkey", F.when(F.col("o_totalprice") >= 150000, "O").otherwise("F").alias("pred"))
+    return truth.join(pred, "o_orderkey", "inner")
+
+
+@register("metric_fn", f"""
+  SELECT 'accuracy' AS metric, accuracy AS value
+    FROM (SELECT ROUND(avg(CAST(y = pred AS DOUBLE)), 6) AS accuracy FROM {SCORED_SQL})
+  UNION ALL
+  SELECT 'roc_auc', auc FROM ({AUC_SQL.format(score="score", y="yb", src=SCORED_SQL)})
+  UNION ALL
+  SELECT 'f1', f1 FROM (SELECT ROUND(CASE WHEN 2 * sum(yb * pb) + sum((1 - yb) * pb) + sum(yb * (1 - pb)) = 0
+         THEN 0.0 ELSE 2.0 * sum(yb * pb) / (2 * sum(yb * pb) + sum((1 - yb) * pb) + sum(yb * (1 - pb))) END, 6)
+         AS f1 FROM {SCORED_SQL})
+""")
+def q_metric_fn(spark, sf):
+    """Scorers picked by name, as model selection does with ``scoring=``."""
+    from ..functions.udf import score_by_name
+    s = scored(spark, sf)
+    parts = [score_by_name(s, "accuracy", y="y", pred="pred"),
+             score_by_name(s, "roc_auc", y="yb", score="score"),
+             score_by_name(s, "f1", y="yb", pred="pb")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

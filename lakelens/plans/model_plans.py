@@ -278,6 +278,21 @@ def q_grid_search(spark, sf):
                                  "elastic_net double, test_auc double")
 
 
+@register("sink_model")
+def q_sink_model(spark, sf):
+    """Persist the fitted churn feature pipeline to the shared folder, load it
+    back, and score every churn row with the loaded copy."""
+    from pyspark.ml import Pipeline
+    from ..sources import files
+    train, test = _churn_split(spark, sf)
+    m = Pipeline(stages=fx.column_transformer(CHURN_NUM, CHURN_CAT)).fit(train)
+    path = scratch_path(spark, f"churn-features-{uuid.uuid4().hex}")
+    files.sink_model(m, path)
+    back = files.source_model(path)
+    return back.transform(train.unionByName(test)).select(
+        "customerID", "part", vector_to_array("features").alias("features"))
+
+
 @register("verify_roundtrip")
 def q_verify_roundtrip(spark, sf):
     """Save the fitted churn pipeline, load it back, score the test rows with

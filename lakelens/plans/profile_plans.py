@@ -166,3 +166,11 @@ def q_corr_lower(spark, sf):
 def q_corr_target(spark, sf):
     return profile.corr_with_target(table(spark, sf, "lineitem"), "l_extendedprice",
                                     ["l_quantity", "l_discount", "l_tax"])
+
+
+@register("columns_by_type", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def q_columns_by_type(spark, sf):
+    """Numeric columns found from the schema (no job), then projected: the
+    scan reads only those columns."""
+    o = table(spark, sf, "orders")
+    return o.select(*profile.columns_by_type(o)["numeric"])

@@ -89,6 +89,13 @@ def file_name(c) -> "F.Column":
     return F.lower(F.regexp_extract(c, r"([^/\\]+)$", 1))
 
 
+def join_images(rows: DataFrame, images: DataFrame, key: str = "file") -> tuple[DataFrame, DataFrame]:
+    """Rows joined to their image on a normalised file name, plus the
+    ``left_anti`` report of rows whose image is missing (the reference raises
+    on the first one; here the caller decides)."""
+    return rows.join(images, key, "inner"), rows.join(images.select(key), key, "left_anti")
+
+
 def sink_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 

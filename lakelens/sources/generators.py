@@ -120,3 +120,30 @@ def gen_housing(keys: DataFrame, key: str = "id", seed: int = 42) -> DataFrame:
     price = F.greatest(F.lit(HOUSE_CLIP[0]), F.least(F.lit(HOUSE_CLIP[1]), lin + F.col("__noise")))
     return df.withColumn("price", price).withColumn(
         "img_path", F.format_string("images/house_%04d.jpg", F.col("house_id"))).drop("__noise")
+
+
+def house_tiles(houses: DataFrame, size: int = 16, price: str = "price", path: str = "img_path") -> DataFrame:
+    """One plain-colour image per house, in the image source's struct layout
+    (origin, height, width, nChannels, mode, data as BGR bytes).
+
+    Colour encodes the price tier as in the reference's generated photos:
+    t = (price - min) / (range + 1e-9); red = floor(200 t + 30),
+    green = floor(180 (1 - 2 |t - 0.5|) + 50), blue = floor(200 (1 - t) + 30).
+    The min/max are scalar subqueries (Catalyst merges them into one partial
+    aggregate), and the bytes are built by ``unhex(repeat(...))``, so nothing
+    leaves the JVM and no join is planned.
+    Drawing the house outline and pixel noise is not built.
+    """
+    lo = houses.select(F.min(price)).scalar()
+    hi = houses.select(F.max(price)).scalar()
+    t = (F.col(price) - lo) / (hi - lo + F.lit(1e-9))
+    r = F.floor(t * 200 + 30).cast("int")
+    g = F.floor((F.lit(1.0) - F.abs(t - 0.5) * 2) * 180 + 50).cast("int")
+    b = F.floor((F.lit(1.0) - t) * 200 + 30).cast("int")
+    pixel = F.format_string("%02X%02X%02X", b, g, r)
+    image = F.struct(
+        F.concat(F.lit("file:/"), F.col(path)).alias("origin"),
+        F.lit(size).alias("height"), F.lit(size).alias("width"), F.lit(3).alias("nChannels"),
+        F.lit(16).alias("mode"),  # CV_8UC3
+        F.unhex(F.repeat(pixel, size * size)).alias("data"))
+    return houses.select(F.col("house_id"), image.alias("image"))

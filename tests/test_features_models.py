@@ -105,3 +105,22 @@ def test_csv_roundtrip_blank_lines(spark, tmpdir_path):
     assert files.scan_csv(spark, p, "a int, b string").count() == 2
     df, src = files.scan_or_generate(spark, tmpdir_path + "/absent.csv", lambda: spark.range(3))
     assert src == "generated" and df.count() == 3
+
+
+def test_house_tiles_colour_tiers_and_missing_report(spark):
+    from lakelens.sources import files, generators
+    houses = spark.createDataFrame(
+        [(1, 100.0, "images/house_0001.jpg"), (2, 300.0, "images/house_0002.jpg"),
+         (3, 200.0, "a/b/HOUSE_0003.JPG")], "house_id long, price double, img_path string")
+    t = generators.house_tiles(houses, size=4)
+    f = {r["house_id"]: r for r in fx.image_color_features(t, bins=4).collect()}
+    # cheapest: t=0 -> (r, g, b) = (30, 50, 230); dearest: t~1 -> (229, 50, 30); mid: t just under 0.5 -> (129, 229, 130)
+    assert (round(f[1]["mean_r"] * 255), round(f[1]["mean_g"] * 255), round(f[1]["mean_b"] * 255)) == (30, 50, 230)
+    assert (round(f[2]["mean_r"] * 255), round(f[2]["mean_b"] * 255)) == (229, 30)
+    assert (round(f[3]["mean_r"] * 255), round(f[3]["mean_g"] * 255)) == (129, 229)
+    assert all(f[k]["std_r"] == 0.0 for k in f)
+    rows = houses.select("house_id", files.file_name("img_path").alias("file"))
+    imgs = t.where("house_id != 2").select(files.file_name("image.origin").alias("file"))
+    joined, missing = files.join_images(rows, imgs, "file")
+    assert sorted(r[0] for r in joined.collect()) == [1, 3]
+    assert [r[0] for r in missing.collect()] == [2]
