@@ -122,5 +122,5 @@ def test_house_tiles_colour_tiers_and_missing_report(spark):
     rows = houses.select("house_id", files.file_name("img_path").alias("file"))
     imgs = t.where("house_id != 2").select(files.file_name("image.origin").alias("file"))
     joined, missing = files.join_images(rows, imgs, "file")
-    assert sorted(r[0] for r in joined.collect()) == [1, 3]
-    assert [r[0] for r in missing.collect()] == [2]
+    assert sorted(r["house_id"] for r in joined.collect()) == [1, 3]
+    assert [r["house_id"] for r in missing.collect()] == [2]
