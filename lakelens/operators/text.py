@@ -177,12 +177,16 @@ REPLY_SCHEMA = T.StructType([
     T.StructField("_corrupt", T.StringType()),
 ])
 
-WS_STRIP = r"^\s+|\s+$"
+
+
+# Fixed value: the ASCII whitespace set of Python's str.strip() (as in \s).
+WS_CHARS = " \t\n\r\x0b\x0c"
 
 
 def py_strip(c: Column) -> Column:
-    """Python's str.strip(): all leading/trailing whitespace (Spark's trim is spaces only)."""
-    return F.regexp_replace(c, WS_STRIP, "")
+    """Python's str.strip() on ASCII whitespace (Spark's trim is spaces only):
+    ``btrim`` with the whitespace set, no regex."""
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 # ------------------------------------------------------------------ routing
@@ -252,7 +256,11 @@ def cross_strategies(tickets: DataFrame, ticket_col: str = "ticket",
 
 # ------------------------------------------------------------------ replies
 def reply_body(reply: Column) -> Column:
-    """Strip, drop a ``` fence and its 'json' marker, strip again."""
+    """Strip, drop a ``` fence and its 'json' marker, strip again.
+
+    Each intermediate is referenced several times; inside one expression tree
+    that would re-run the strip regex per reference, so ``parse_reply`` goes
+    through ``_reply_body_cols`` (one projection per step) instead."""
     raw = py_strip(reply)
     fenced = F.get(F.split(raw, "```"), 1)
     body = F.when(raw.startswith("```"), F.coalesce(fenced, F.lit(""))).otherwise(raw)
@@ -260,6 +268,17 @@ def reply_body(reply: Column) -> Column:
     return py_strip(body)
 
 
+def _reply_body_cols(df: DataFrame, reply: str, out: str) -> DataFrame:
+    """``reply_body`` as a chain of projections: every regex runs once per row."""
+    d = df.withColumn("__raw", py_strip(F.col(reply)))
+    raw = F.col("__raw")
+    d = d.withColumn("__unf", F.when(raw.startswith("```"), F.coalesce(F.get(F.split(raw, "```"), 1), F.lit("")))
+                     .otherwise(raw))
+    unf = F.col("__unf")
+    d = d.withColumn(out, py_strip(F.when(unf.startswith("json"), F.substring(unf, 5, 1 << 30)).otherwise(unf)))
+    return d.drop("__raw", "__unf")
+
+
 def parse_reply(df: DataFrame, reply: str = "reply") -> DataFrame:
     """Adds ``tags`` (array<struct<tag, confidence double, reason>>) and ``parse_status``.
 
@@ -268,11 +287,11 @@ def parse_reply(df: DataFrame, reply: str = "reply") -> DataFrame:
     three times (General Inquiry, 0.5, 'Parse error')).  Spark's JSON reader is
     lenient about text after the object, so the body must also end in '}'.
     """
-    body = reply_body(F.col(reply))
-    parsed = F.from_json(body, REPLY_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
-                                              "allowSingleQuotes": "false"})
-    d = df.withColumn("__p", parsed).withColumn("__b", body)
-    strict = F.col("__b").rlike(r"^\{[\s\S]*\}$")
+    d = _reply_body_cols(df, reply, "__b")
+    parsed = F.from_json(F.col("__b"), REPLY_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
+                                                      "allowSingleQuotes": "false"})
+    d = d.withColumn("__p", parsed)
+    strict = F.col("__b").startswith("{") & F.col("__b").endswith("}")
     ok_obj = F.col("__p").isNotNull() & F.col("__p._corrupt").isNull() & strict
     tags = F.transform(F.col("__p.tags"), lambda t: F.struct(
         t["tag"].alias("tag"), t["confidence"].try_cast("double").alias("confidence"), t["reason"].alias("reason")))
@@ -281,8 +300,10 @@ def parse_reply(df: DataFrame, reply: str = "reply") -> DataFrame:
     empty = F.filter(fb, lambda x: F.lit(False))
     status = F.when(~ok_obj | F.col(reply).isNull(), "fallback") \
               .when(F.col("__p.tags").isNull(), "no_tags").otherwise("ok")
-    out = F.when(status == "fallback", fb).when(status == "no_tags", empty).otherwise(tags)
-    return d.withColumns({"tags": out, "parse_status": status}).drop("__p", "__b")
+    d = d.withColumn("parse_status", status)
+    st = F.col("parse_status")
+    out = F.when(st == "fallback", fb).when(st == "no_tags", empty).otherwise(tags)
+    return d.withColumn("tags", out).drop("__p", "__b")
 
 
 def tag_result(parsed: DataFrame, true_tag: str = "true_tag") -> DataFrame:
