@@ -165,13 +165,15 @@ def rank_by_value(df: DataFrame, order_col: str, tiebreak_key: str, rank_col: st
 def grouped_prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
                         group_cols: list[str] | tuple = (), inclusive: bool = True,
                         n_buckets: int | None = None,
-                        rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                        rows_per_bucket: int = ROWS_PER_BUCKET,
+                        keep_bucket: bool = False) -> DataFrame:
     """Running sums of ``value_cols`` by ascending ``order_col`` inside each group.
 
     ``(group, order_col)`` must be unique (group by it first).  Buckets come
     from global value quantiles, so a group with many distinct values is
     spread over many tasks; offsets are per (group, bucket).
-    Adds ``cum_<v>`` and ``total_<v>``.
+    Adds ``cum_<v>`` and ``total_<v>`` (and ``__bucket`` if ``keep_bucket``,
+    so later joins can key on it too).
     """
     group_cols = list(group_cols)
     if n_buckets is None:
@@ -189,7 +191,7 @@ def grouped_prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
         cols[f"cum_{v}"] = F.coalesce(F.sum(v).over(frame), F.lit(0)) + F.col(f"__off_{v}")
         cols[f"total_{v}"] = F.col(f"__tot_{v}")
     d = d.withColumns(cols)
-    return d.drop(skey, "__bucket", *[f"__off_{v}" for v in value_cols],
+    return d.drop(skey, *([] if keep_bucket else ["__bucket"]), *[f"__off_{v}" for v in value_cols],
                   *[f"__tot_{v}" for v in value_cols])
 
 
@@ -201,17 +203,26 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     Distributed: values are first reduced to distinct (group, value, count)
     (a hot value collapses to one row), cumulative counts come from bucketed
     prefix sums, and the two order statistics around each target position are
-    found by a join of (group, target rank) against the covering value.  No
-    task ever holds a whole group.  NULL values are ignored.
+    found by a join of (group, value bucket, target rank) against the covering
+    value: each target is first placed in its bucket from the small
+    (group, bucket) rank-range frame, so the big side of the join is keyed by
+    bucket as well and no task ever holds a whole group.  NULL values are
+    ignored.
     """
     group_cols = list(group_cols)
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     base = df.where(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("__v"))
     dv = base.groupBy(*group_cols, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    cum = grouped_prefix_sums(dv, "__v", ["__c"], group_cols, inclusive=True, n_buckets=n_buckets)
+    cum = grouped_prefix_sums(dv, "__v", ["__c"], group_cols, inclusive=True, n_buckets=n_buckets,
+                              keep_bucket=True)
     cum = cum.withColumn("__lo_rank", F.col("cum___c") - F.col("__c"))   # 0-based first rank
+
     # per group and prob: positions lo, hi (0-based) and interpolation weight
-    sizes = cum.groupBy(*group_cols).agg(F.max("total___c").alias("__n"))
+    # (group, bucket) rank ranges: a small frame (groups x buckets); group sizes
+    # come from it too, so ``cum`` itself is read only here and in the cover join
+    ranges = cum.groupBy(*group_cols, "__bucket").agg(
+        F.min("__lo_rank").alias("__b_lo"), F.max("cum___c").alias("__b_hi"))
+    sizes = ranges.groupBy(*group_cols).agg(F.max("__b_hi").alias("__n"))
     tg = sizes.select(*group_cols, "__n", F.explode(F.array(*[
         F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])).alias("t"))
     pos = (F.col("__n") - 1).cast("double") * F.col("t.p")
@@ -221,13 +232,21 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
         F.struct(F.lit(0).alias("side"), F.col("__r_lo").alias("r")),
         F.struct(F.lit(1).alias("side"), F.col("__r_hi").alias("r")))).alias("s")) \
         .select(*group_cols, "__pi", "__pos", "s.side", "s.r")
-    # cover: lo_rank <= r < cum   (equi on group, range inside)
-    cv = cum.select(*group_cols, "__v", "__lo_rank", F.col("cum___c").alias("__hi_rank"))
     ren = {c: f"__g_{c}" for c in group_cols}
-    cvr = cv.withColumnsRenamed(ren)
-    cond = (F.col("r") >= F.col("__lo_rank")) & (F.col("r") < F.col("__hi_rank"))
-    for c in group_cols:
-        cond = cond & F.col(c).eqNullSafe(F.col(ren[c]))
+
+    def same_group(cond):
+        for c in group_cols:
+            cond = cond & F.col(c).eqNullSafe(F.col(ren[c]))
+        return cond
+    # target rank -> its bucket, from the (group, bucket) rank ranges (small x small)
+    br = ranges.withColumnsRenamed(ren)
+    pts = pts.join(br, same_group((F.col("r") >= F.col("__b_lo")) & (F.col("r") < F.col("__b_hi"))), "inner") \
+             .select(*group_cols, "__pi", "__pos", "side", "r", "__bucket")
+    # cover: lo_rank <= r < cum   (equi on group and bucket, range inside)
+    cvr = cum.select(*group_cols, F.col("__bucket").alias("__cb"), "__v", "__lo_rank",
+                     F.col("cum___c").alias("__hi_rank")).withColumnsRenamed(ren)
+    cond = same_group((F.col("__bucket") == F.col("__cb"))
+                      & (F.col("r") >= F.col("__lo_rank")) & (F.col("r") < F.col("__hi_rank")))
     hit = pts.join(cvr, cond, "inner").select(*group_cols, "__pi", "__pos", "side", "__v")
     per = hit.groupBy(*group_cols, "__pi").agg(
         F.first("__pos").alias("__pos"),

@@ -59,3 +59,18 @@ def test_same_result_for_any_shuffle_partitions(spark):
         res.append(sorted(rank_by_key(df, "k").select("id", "rank").collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert res[0] == res[1] == res[2]
+
+
+@pytest.mark.parametrize("nb", [1, 3, 8])
+def test_grouped_exact_quantiles_many_buckets(spark, nb):
+    rng = np.random.default_rng(5)
+    groups = {"a": list(rng.integers(0, 50, 200).astype(float)),
+              "b": [7.0] * 90 + [1.0, 2.0],                      # one hot value
+              "c": list(rng.normal(100, 5, 31).round(2)),
+              "d": [42.0]}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r["g"]: r for r in exact_quantiles(df, "x", [0.1, 0.5, 0.9], ["g"], n_buckets=nb).collect()}
+    for g, vs in groups.items():
+        for p, name in [(10, "q10"), (50, "q50"), (90, "q90")]:
+            assert got[g][name] == pytest.approx(np.percentile(vs, p)), (g, name)
