@@ -7,6 +7,8 @@ greedy loop over at most ``fetch_k`` rows per query) runs in pandas.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -437,6 +439,34 @@ def vector_top_k(items: DataFrame, queries: list[tuple], k: int, item_id: str =
     return out if keep_query_vec else out.drop("query_vec")
 
 
+def vector_top_k_frame(items: DataFrame, queries: DataFrame, k: int, query_id: str = "query_id",
+                       qvec: str = "query_vec", max_chunk: int = MAX_QUERIES, **kw) -> DataFrame:
+    """``vector_top_k`` for a query set of any size, exactly.
+
+    Up to ``max_chunk`` queries travel as literals in one plan.  A larger set
+    is cut into exact chunks of ``max_chunk`` by a distributed rank on
+    ``md5(query id)`` (stored once in the checkpoint folder); each chunk is one
+    bounded literal set and one pass over the items, and the results are
+    unioned.  No query is dropped and nothing unbounded reaches the driver.
+    """
+    from ..functions.keys import md5_key, rank_by_key
+    n = queries.count()
+    if n <= max_chunk:
+        return vector_top_k(items, collect_queries(queries, query_id, qvec, max_chunk), k,
+                            query_id=query_id, **kw)
+    q = queries.select(query_id, qvec).withColumn("__qk", md5_key(query_id, seed="chunk"))
+    q = rank_by_key(q, "__qk", rank_col="__qr", small_groups=True)
+    q = q.withColumn("__chunk", F.floor((F.col("__qr") - 1) / F.lit(max_chunk))).drop("__qk", "__qr")
+    q = q.checkpoint(eager=True)
+    parts = [vector_top_k(items, collect_queries(q.where(F.col("__chunk") == i), query_id, qvec, max_chunk),
+                          k, query_id=query_id, **kw)
+             for i in range(math.ceil(n / max_chunk))]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
 def mmr_select(cands: DataFrame, k: int, lambda_mult: float = 0.5, query_id: str = "query_id",
                item_id: str = "vec_id", vec: str = "embedding", qvec: str = "query_vec") -> DataFrame:
     """Maximal marginal relevance over each query's candidates (<= fetch_k rows).

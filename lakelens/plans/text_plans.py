@@ -445,16 +445,14 @@ VEC_SQL = """
 @register("vector_top_k", VEC_SQL)
 def q_vector_top_k(spark, sf):
     e = table(spark, sf, "embeddings")
-    qs = text.collect_queries(centroids(spark, sf))
-    return text.vector_top_k(e, qs, 5).select("query_id", "vec_id", "score", "rank")
+    return text.vector_top_k_frame(e, centroids(spark, sf), 5).select("query_id", "vec_id", "score", "rank")
 
 
 @register("mmr_select")
 def q_mmr(spark, sf):
     """Diversity re-rank of each query's 20 nearest to 5 (rows-only check)."""
     e = table(spark, sf, "embeddings")
-    qs = text.collect_queries(centroids(spark, sf))
-    cands = text.vector_top_k(e, qs, 20, keep_query_vec=True)
+    cands = text.vector_top_k_frame(e, centroids(spark, sf), 20, keep_query_vec=True)
     return text.mmr_select(cands, 5, 0.5)
 
 

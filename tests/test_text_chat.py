@@ -1,4 +1,5 @@
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from lakelens.operators import chat, text
@@ -120,3 +121,17 @@ def test_vector_top_k_ties(spark):
     items = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0])], "vec_id long, embedding array<float>")
     got = text.vector_top_k(items, [(0, [1.0, 0.0])], 2).orderBy("rank").collect()
     assert [r["vec_id"] for r in got] == [1, 2]
+
+
+def test_vector_top_k_chunked_equals_single_plan(spark):
+    from lakelens.operators import text as tx
+    rng = np.random.default_rng(3)
+    items = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(60)],
+                                  "vec_id long, embedding array<float>")
+    queries = spark.createDataFrame([(q, [float(x) for x in rng.normal(size=4)]) for q in range(7)],
+                                    "query_id int, query_vec array<double>")
+    one = tx.vector_top_k_frame(items, queries, 3)
+    chunked = tx.vector_top_k_frame(items, queries, 3, max_chunk=2)
+    cols = ["query_id", "vec_id", "rank"]
+    assert sorted(one.select(cols).collect()) == sorted(chunked.select(cols).collect())
+    assert chunked.count() == 21
