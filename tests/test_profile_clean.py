@@ -69,3 +69,12 @@ def test_inject_nulls_exact(spark):
     df = spark.range(100).withColumn("v", F.lit(1.0))
     out = clean.inject_nulls(df, "v", 11, ["id"])
     assert out.where(F.col("v").isNull()).count() == 11
+
+
+def test_literal_rows_keeps_schema_and_values(spark):
+    from lakelens.sources import files
+    df = files.literal_rows(spark, [("TKT-000001", "Login fails", "Account"), ("TKT-000002", None, "Billing")],
+                            "ticket_id string, ticket string, true_tag string")
+    assert df.columns == ["ticket_id", "ticket", "true_tag"]
+    assert [tuple(r) for r in df.orderBy("ticket_id").collect()] == [
+        ("TKT-000001", "Login fails", "Account"), ("TKT-000002", None, "Billing")]
