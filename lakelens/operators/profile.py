@@ -92,10 +92,12 @@ def value_counts(df: DataFrame, col: str, sort_by_value: bool = False) -> DataFr
 
 
 def value_shares(df: DataFrame, col: str) -> DataFrame:
-    """Counts normalised by the total; the window runs over the small grouped frame."""
-    from pyspark.sql import Window
+    """Counts normalised by the total.  The total is a scalar subquery (one
+    partial aggregate), not a window over all values, so a high-cardinality
+    column never lands in one task."""
     vc = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    return vc.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy()))
+    total = df.where(F.col(col).isNotNull()).select(F.count(F.lit(1))).scalar()
+    return vc.withColumn("share", F.col("count") / total)
 
 
 def flag_rate(df: DataFrame, cond, group_cols: list[str] | tuple = ()) -> DataFrame:
