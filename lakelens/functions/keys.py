@@ -197,7 +197,7 @@ def grouped_prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
                     group_cols: list[str] | tuple = (), names: list[str] | None = None,
-                    n_buckets: int | None = None) -> DataFrame:
+                    n_buckets: int | None = None, stage: bool = True) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / DuckDB ``quantile_cont``).
 
     Distributed: values are first reduced to distinct (group, value, count)
@@ -213,6 +213,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     base = df.where(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("__v"))
     dv = base.groupBy(*group_cols, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    if stage:
+        # the bucket sizing and the plan below read ``dv`` six times: derive it once
+        from ..session import stage_table
+        dv = stage_table(dv, "distinct-values")
     cum = grouped_prefix_sums(dv, "__v", ["__c"], group_cols, inclusive=True, n_buckets=n_buckets,
                               keep_bucket=True)
     cum = cum.withColumn("__lo_rank", F.col("cum___c") - F.col("__c"))   # 0-based first rank

@@ -363,8 +363,10 @@ def token_vocab(docs: DataFrame, text: str = "text", max_size: int | None = None
     Counts are a partial-aggregated group-by; ranking over distinct tokens uses
     the bucketed global rank (no single-task sort)."""
     from ..functions.keys import rank_by_value
+    from ..session import stage_table
     cnt = docs.select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token") \
               .agg(F.count(F.lit(1)).alias("count"))
+    cnt = stage_table(cnt, "token-counts")   # ranking reads it 4 times; tokenise once
     r = rank_by_value(cnt.withColumn("__k", F.md5("token")), "count", "__k", "rank", descending=True)
     if max_size:
         r = r.where(F.col("rank") <= max_size)
@@ -375,10 +377,11 @@ def token_encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text
                  max_len: int = 128) -> DataFrame:
     """ids cut/padded to ``max_len`` and the attention mask, per document.
 
-    The whole text is tokenised; the first ``max_len`` positions are looked up
-    in the vocabulary (a hash join; AQE broadcasts it when it is small)."""
-    toks = docs.select(id_col, F.posexplode(tokens(F.col(text))).alias("pos", "token")) \
-               .where(F.col("pos") < max_len)
+    The whole text is tokenised; the token array is cut to its first
+    ``max_len`` entries before it is exploded (as truncation does), and those
+    are looked up in the vocabulary (a hash join; AQE broadcasts it when it is
+    small and splits a skewed token partition otherwise)."""
+    toks = docs.select(id_col, F.posexplode(F.slice(tokens(F.col(text)), 1, max_len)).alias("pos", "token"))
     j = toks.join(vocab.select("token", "id"), "token", "left") \
             .withColumn("id", F.coalesce(F.col("id"), F.lit(UNK_ID)).cast("int"))
     g = j.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("__s"))

@@ -76,3 +76,16 @@ def materialize(df):
     whole plan and each training pass reads the stored rows."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_table(df, name: str):
+    """Write an intermediate that later stages read several times (and that is
+    expensive to derive) as parquet in the shared checkpoint folder, then read
+    it back: one computation, and a lost executor re-reads files instead of
+    replaying the lineage.  Used for reduced frames (distinct values, token
+    counts), never for raw tables."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
