@@ -55,11 +55,16 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner",
-                   hint_broadcast: bool = False) -> DataFrame:
-    """Equi-join on ``cols`` treating NULL = NULL as a match; keeps left's key columns."""
+                   hint_broadcast: bool = False, one_row: bool = False) -> DataFrame:
+    """Equi-join on ``cols`` treating NULL = NULL as a match; keeps left's key columns.
+
+    With no keys, ``right`` is either a one-row statistics frame (``one_row``:
+    its columns become scalar subqueries, which Catalyst merges into one
+    aggregate job, so no join is planned) or a small frame bounded by
+    construction (a KDE grid), attached by a broadcast on a constant key."""
+    if not cols and one_row and how in ("inner", "left"):
+        return left.select("*", *[right.select(c).scalar().alias(c) for c in right.columns])
     if not cols:
-        # no group keys: ``right`` is a one-row statistics frame at every caller;
-        # attach it by an equi-join on a constant (a broadcast hash join, one build row)
         r = right.withColumn("__one", F.lit(1))
         return left.withColumn("__one", F.lit(1)).join(F.broadcast(r), "__one", how).drop("__one")
     ren = {c: f"__r_{c}" for c in cols}

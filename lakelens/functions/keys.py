@@ -96,7 +96,9 @@ def _bucketize(d: DataFrame, col: str, out: str, n_buckets: int) -> tuple[DataFr
     """Add bucket index ``out`` from quantile cut points (one bucket when n_buckets <= 1)."""
     splits, hot = value_buckets(d, col, n_buckets)
     if len(splits) < 3:
-        return d.withColumn(out, F.lit(0.0)), {}
+        # one bucket (NULLs apart, first in ascending order); an expression of
+        # the row rather than a literal, so the offsets join keeps its key
+        return d.withColumn(out, F.when(F.col(col).isNull(), F.lit(-1.0)).otherwise(F.lit(0.0))), {}
     d = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(d)
     return d, hot
 

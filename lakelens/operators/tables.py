@@ -57,7 +57,7 @@ def histogram(df: DataFrame, x: str, bins: int, group_cols: list[str] | tuple =
                    F.when(F.col("__mn") == F.col("__mx"), F.col("__mn") - 0.5).otherwise(F.col("__mn")).alias("__lo"),
                    F.when(F.col("__mn") == F.col("__mx"), F.col("__mx") + 0.5).otherwise(F.col("__mx")).alias("__hi"))
     st = st.withColumn("__w", (F.col("__hi") - F.col("__lo")) / F.lit(float(bins)))
-    j = join_null_safe(d, st, group_cols, hint_broadcast=not group_cols)
+    j = join_null_safe(d, st, group_cols, hint_broadcast=not group_cols, one_row=not group_cols)
     norm = F.lit(float(bins)) / (F.col("__hi") - F.col("__lo"))
     i0 = F.least(F.floor((F.col("__x") - F.col("__lo")) * norm), F.lit(bins - 1))
     j = j.withColumn("__i", i0)
@@ -90,7 +90,7 @@ def box_stats(df: DataFrame, x: str, group_cols: list[str] | tuple = (), whis: f
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("__flo", F.col("q1") - F.lit(whis) * F.col("iqr")) \
          .withColumn("__fhi", F.col("q3") + F.lit(whis) * F.col("iqr"))
-    j = join_null_safe(d, q, group_cols, hint_broadcast=not group_cols)
+    j = join_null_safe(d, q, group_cols, hint_broadcast=not group_cols, one_row=not group_cols)
     inside = (F.col("__x") >= F.col("__flo")) & (F.col("__x") <= F.col("__fhi"))
     agg = j.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("n"),
@@ -110,7 +110,7 @@ def box_outliers(df: DataFrame, x: str, group_cols: list[str] | tuple = (), whis
     q = exact_quantiles(d, "__x", [0.25, 0.75], group_cols, names=["q1", "q3"])
     q = q.select(*group_cols, (F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("__flo"),
                  (F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("__fhi"))
-    j = join_null_safe(d, q, group_cols, hint_broadcast=not group_cols)
+    j = join_null_safe(d, q, group_cols, hint_broadcast=not group_cols, one_row=not group_cols)
     return j.where((F.col("__x") < F.col("__flo")) | (F.col("__x") > F.col("__fhi"))) \
             .select(*group_cols, *keep, F.col("__x").alias(x))
 
@@ -132,7 +132,7 @@ def kde(df: DataFrame, x: str, group_cols: list[str] | tuple = (), points: int =
                                     F.min("__x").alias("__mn"), F.max("__x").alias("__mx"))
     st = st.withColumn("__h", F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
     if prebin:
-        j = join_null_safe(d, st, group_cols, hint_broadcast=not group_cols)
+        j = join_null_safe(d, st, group_cols, hint_broadcast=not group_cols, one_row=not group_cols)
         w = (F.col("__mx") - F.col("__mn")) / F.lit(float(prebin))
         b = F.least(F.floor((F.col("__x") - F.col("__mn")) / w), F.lit(prebin - 1))
         d = j.select(*group_cols, F.when(w > 0, F.col("__mn") + (b + 0.5) * w).otherwise(F.col("__x")).alias("__x"))
