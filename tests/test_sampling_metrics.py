@@ -77,3 +77,17 @@ def test_confusion_total(spark):
     df = spark.createDataFrame([(1, 1), (0, 1), (1, 0), (0, 0), (0, 0)], "y int, pred int")
     cm = metrics.confusion_matrix(df, [0, 1]).collect()
     assert sum(r["0"] + r["1"] for r in cm) == 5
+
+
+def test_stratified_split_with_hot_class_spread_over_buckets(spark):
+    # one class holds 40% of the rows; quotas stay exact and ranks stay unique
+    from lakelens.operators import sampling
+    from pyspark.sql import functions as F
+    df = spark.range(2000).withColumn("label", F.when(F.col("id") < 800, 0).otherwise((F.col("id") % 3) + 1))
+    out = sampling.stratified_split(df, "label", ["id"], 0.2)
+    got = {(r["label"], r["part"]): r["n"] for r in out.groupBy("label", "part").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["label"]: r["c"] for r in df.groupBy("label").agg(F.count("*").alias("c")).collect()}
+    assert sum(v for (lab, p), v in got.items() if p == "test") == 400
+    for lab, n in sizes.items():
+        assert got[(lab, "train")] + got[(lab, "test")] == n
+        assert abs(got[(lab, "test")] - 0.2 * n) <= 1

@@ -135,3 +135,26 @@ def test_vector_top_k_chunked_equals_single_plan(spark):
     cols = ["query_id", "vec_id", "rank"]
     assert sorted(one.select(cols).collect()) == sorted(chunked.select(cols).collect())
     assert chunked.count() == 21
+
+
+def test_history_length_bounded_by_k(spark):
+    from lakelens.operators import chat
+    conv = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    for k in (1, 3):
+        h = chat.conversation_history(conv, k=k)
+        assert h.agg(F.max("history_len")).first()[0] <= k
+        # the last history entry is the turn itself
+        assert h.where(F.element_at("history", -1)["turn"] != F.col("turn")).count() == 0
+
+
+def test_token_encode_cuts_after_tokenising_whole_text(spark):
+    from lakelens.operators import text as tx
+    long_doc = " ".join(["alpha"] * 200 + ["omega"] * 5)
+    docs = spark.createDataFrame([(1, long_doc), (2, "omega beta"), (3, "")], "doc_id long, text string")
+    vocab = tx.token_vocab(docs)
+    ids = {r["token"]: r["id"] for r in vocab.collect()}
+    assert ids["alpha"] < ids["omega"]          # counted over the whole text: 200 > 6
+    enc = {r["doc_id"]: r for r in tx.token_encode(docs, vocab, "doc_id", "text", 128).collect()}
+    assert enc[1]["n_tokens"] == 128 and set(enc[1]["input_ids"]) == {ids["alpha"]}
+    assert enc[2]["input_ids"][:2] == [ids["omega"], ids["beta"]] and sum(enc[2]["attention_mask"]) == 2
+    assert enc[3]["n_tokens"] == 0 and len(enc[3]["input_ids"]) == 128
