@@ -267,12 +267,11 @@ def q_grid_search(spark, sf):
     train, test = _churn_split(spark, sf)
     n = train.count()
     lr = models.logistic_regression(int(n * 0.8))
-    cv = models.grid_search(fx.column_transformer(CHURN_NUM, CHURN_CAT), lr, int(n * 0.8),
-                            Cs=[0.01, 0.1, 1.0, 10.0, 100.0]).fit(train)
-    best_i = max(range(len(cv.avgMetrics)), key=lambda i: (cv.avgMetrics[i], -i))
-    pm = cv.getEstimatorParamMaps()[best_i]
-    test_auc = metrics.roc_auc(models.predict_proba(cv.bestModel.transform(test)), "label", "p1").first()[0]
-    return spark.createDataFrame([(best_i, float(cv.avgMetrics[best_i]), float(cv.stdMetrics[best_i]),
+    maps = models.grid_maps(lr, int(n * 0.8), Cs=[0.01, 0.1, 1.0, 10.0, 100.0])
+    res = models.grid_search_by_fold(fx.column_transformer(CHURN_NUM, CHURN_CAT), lr, maps, train)
+    i, pm = res["best_index"], res["best_params"]
+    test_auc = metrics.roc_auc(models.predict_proba(res["model"].transform(test)), "label", "p1").first()[0]
+    return spark.createDataFrame([(i, float(res["avg"][i]), float(res["std"][i]),
                                    float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), float(test_auc or 0.0))],
                                  "best_index int, cv_auc double, cv_auc_std double, reg_param double, "
                                  "elastic_net double, test_auc double")

@@ -124,3 +124,22 @@ def test_house_tiles_colour_tiers_and_missing_report(spark):
     joined, missing = files.join_images(rows, imgs, "file")
     assert sorted(r["house_id"] for r in joined.collect()) == [1, 3]
     assert [r["house_id"] for r in missing.collect()] == [2]
+
+
+def test_grid_search_by_fold_equals_cross_validator(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(240):
+        x1, x2 = float(rng.normal()), float(rng.normal())
+        y = int(x1 + 0.5 * x2 + rng.normal() * 0.8 > 0)
+        rows.append((i, x1 if i % 17 else None, x2, ["a", "b", "c"][i % 3], y, i % 3))
+    df = spark.createDataFrame(rows, "id int, x1 double, x2 double, cat string, label int, fold int")
+    stages = fx.column_transformer(["x1", "x2"], ["cat"])
+    lr = models.logistic_regression(160)
+    maps = models.grid_maps(lr, 160, [0.1, 10.0], penalties=["l2"])
+    res = models.grid_search_by_fold(stages, lr, maps, df, n_folds=3)
+    from pyspark.ml.tuning import CrossValidator
+    cv = CrossValidator(estimator=Pipeline(stages=stages + [lr]), estimatorParamMaps=maps,
+                        evaluator=models.auc_evaluator("label"), foldCol="fold", numFolds=3).fit(df)
+    assert res["avg"] == pytest.approx(list(cv.avgMetrics), abs=1e-9)
+    assert res["std"] == pytest.approx(list(cv.stdMetrics), abs=1e-9)
