@@ -89,26 +89,29 @@ def _bars_split(spark, sf):
     return f.where(F.col("part") == "train"), f.where(F.col("part") == "test"), f
 
 
-def _forecast_models(spark, sf):
+def _forecast_models(spark, sf, fit=("lr", "rf")):
+    """Scaled OLS and the forest on the bar features; only the models asked
+    for are fitted (the forest is the expensive one)."""
     train, test, allf = _bars_split(spark, sf)
     from pyspark.ml import Pipeline
     asm = VectorAssembler(inputCols=BAR_FEATURES, outputCol="raw")
     scl = fx.PopulationScaler(inputCols=BAR_FEATURES, outputCols=[c + "_s" for c in BAR_FEATURES])
     asm_s = VectorAssembler(inputCols=[c + "_s" for c in BAR_FEATURES], outputCol="features")
-    lr = Pipeline(stages=[scl, asm_s, models.linear_regression("target", "features")]).fit(train)
-    rf = Pipeline(stages=[asm, models.rf_regression("target", "raw")]).fit(train)
+    lr = Pipeline(stages=[scl, asm_s, models.linear_regression("target", "features")]).fit(train) \
+        if "lr" in fit else None
+    rf = Pipeline(stages=[asm, models.rf_regression("target", "raw")]).fit(train) if "rf" in fit else None
     return lr, rf, train, test, allf
 
 
 @register("linear_regression")
 def q_linear_regression(spark, sf):
-    lr, _, _, test, _ = _forecast_models(spark, sf)
+    lr, _, _, test, _ = _forecast_models(spark, sf, fit=("lr",))
     return metrics.regression_metrics(lr.transform(test), "target", "prediction")
 
 
 @register("rf_regression")
 def q_rf_regression(spark, sf):
-    _, rf, _, test, _ = _forecast_models(spark, sf)
+    _, rf, _, test, _ = _forecast_models(spark, sf, fit=("rf",))
     return metrics.regression_metrics(rf.transform(test), "target", "prediction")
 
 
@@ -123,7 +126,7 @@ def q_forecast_next(spark, sf):
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    _, rf, *_ = _forecast_models(spark, sf)
+    _, rf, *_ = _forecast_models(spark, sf, fit=("rf",))
     imp = models.feature_importance(rf.stages[-1], BAR_FEATURES)
     return spark.createDataFrame(imp, "feature string, importance double")
 
