@@ -162,7 +162,7 @@ def _binary_summary(scored):
     s = predict = models.predict_proba(scored)
     auc = metrics.roc_auc(s, "label", "p1")
     acc = metrics.accuracy(s.withColumn("prediction", F.col("prediction").cast("int")), "label", "prediction")
-    return acc.withColumn("__one", F.lit(1)).join(auc.withColumn("__one", F.lit(1)), "__one").drop("__one")
+    return acc.withColumn("auc", auc.select("auc").scalar())
 
 
 @register("logistic_regression")
@@ -313,8 +313,8 @@ def q_verify_roundtrip(spark, sf):
     auc_a = metrics.roc_auc(j, "label", "p_a").withColumnRenamed("auc", "auc_before")
     auc_b = metrics.roc_auc(j, "label", "p_b").withColumnRenamed("auc", "auc_after")
     d = j.agg(F.count(F.lit(1)).alias("n_rows"), F.sum((F.col("p_a") != F.col("p_b")).cast("long")).alias("n_diff"))
-    one = F.lit(1)
-    return d.withColumn("__o", one).join(auc_a.withColumn("__o", one), "__o").join(auc_b.withColumn("__o", one), "__o").drop("__o")
+    return d.withColumns({"auc_before": auc_a.select("auc_before").scalar(),
+                          "auc_after": auc_b.select("auc_after").scalar()})
 
 
 # ------------------------------------------------------------------ houses (R)

@@ -71,11 +71,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage before iterative work (model fitting): a reliable checkpoint
-    in the shared checkpoint folder, so a lost executor does not replay the
-    whole plan and each training pass reads the stored rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage before iterative work (model fitting): the rows are written
+    once as parquet in the shared checkpoint folder and read back, so each
+    training pass reads stored rows and a lost executor re-reads files instead
+    of replaying the whole plan.  (A reliable ``checkpoint()`` would compute the
+    plan twice unless it were also cached.)"""
+    return stage_table(df, "fit-input")
 
 
 def stage_table(df, name: str):
