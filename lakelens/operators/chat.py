@@ -75,7 +75,10 @@ def conversation_history(conv: DataFrame, k: int = DEFAULT_HISTORY, rules=HEALTH
     struct(turn, role, text) in turn order), history_len, history_text."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    h = history_rows(conv, rules).withColumn("__kv", F.col("kept").cast("long"))
+    # the filtered, flagged rows feed a bucket sizing pass, a quantile sketch and
+    # two branches below; write them once instead of re-running the joins
+    from ..session import stage_table
+    h = stage_table(history_rows(conv, rules), "history-rows").withColumn("__kv", F.col("kept").cast("long"))
     h = grouped_prefix_sums(h, "turn", ["__kv"], ["conv_id", "segment"], inclusive=True)
     h = h.withColumn("__pos", F.col("cum___kv"))            # kept rows before and incl. this one
     tg = h.where("target").select("conv_id", "segment", "turn", "role", "text",
