@@ -141,7 +141,8 @@ def roc_curve(df: DataFrame, y: str = "y", score: str = "score", n_buckets: int
     ``drop_intermediate`` removes points collinear with both neighbours, as
     scikit-learn does (second differences of fps and tps both zero).
     """
-    sc = score_counts(df, y, score)
+    from ..session import stage_table
+    sc = stage_table(score_counts(df, y, score), "score-counts")   # read by sizing, sketch and main
     ps = prefix_sums(sc, "score", ["pos", "neg"], ascending=False, inclusive=True, n_buckets=n_buckets)
     pts = ps.select(F.col("score").alias("threshold"), F.col("cum_neg").alias("fps"),
                     F.col("cum_pos").alias("tps"), F.col("total_pos").alias("P"),
@@ -151,6 +152,7 @@ def roc_curve(df: DataFrame, y: str = "y", score: str = "score", n_buckets: int
         # score so the window runs in parallel, halo rows supplied by the lag/lead
         # over the whole ordered set is avoided with a self-join on rank.
         from ..functions.keys import rank_by_value
+        pts = stage_table(pts, "roc-points")     # the ranking below reads it four times
         r = rank_by_value(pts.withColumn("__k", F.lit("0")), "threshold", "__k", "__rk",
                           descending=True, n_buckets=n_buckets)
         prev = r.select((F.col("__rk") + 1).alias("__rk"), F.col("fps").alias("__pf"), F.col("tps").alias("__pt"))
