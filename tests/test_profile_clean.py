@@ -78,3 +78,18 @@ def test_literal_rows_keeps_schema_and_values(spark):
     assert df.columns == ["ticket_id", "ticket", "true_tag"]
     assert [tuple(r) for r in df.orderBy("ticket_id").collect()] == [
         ("TKT-000001", "Login fails", "Account"), ("TKT-000002", None, "Billing")]
+
+
+def test_value_shares_and_one_row_stats_attach(spark):
+    from pyspark.sql import functions as F
+    from lakelens.functions.common import join_null_safe
+    from lakelens.operators import profile
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "v string")
+    got = {r["value"]: (r["count"], r["share"]) for r in profile.value_shares(df, "v").collect()}
+    assert got == {"a": (2, 2 / 3), "b": (1, 1 / 3)}
+    stats = df.agg(F.count("v").alias("n"), F.max("v").alias("mx"))
+    out = join_null_safe(df, stats, [], one_row=True)
+    assert out.columns == ["v", "n", "mx"]
+    assert sorted((r["v"] or "", r["n"], r["mx"]) for r in out.collect()) == [
+        ("", 3, "b"), ("a", 3, "b"), ("a", 3, "b"), ("b", 3, "b")]
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
