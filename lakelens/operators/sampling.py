@@ -51,14 +51,12 @@ def class_quotas(df: DataFrame, label: str, test_size: float = 0.2) -> DataFrame
     takes the rest, as scikit-learn's stratified shuffle split does.
     Works on the small per-class frame only."""
     cc = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    allw = Window.partitionBy()
-    n = F.sum("n_class").over(allw)
-    q = cc.withColumn("__n", n)
+    q = cc.withColumn("__n", cc.select(F.sum("n_class")).scalar())    # totals: scalar subqueries
     q = q.withColumn("__ntrain", F.col("__n") - F.ceil(F.col("__n").cast("double") * F.lit(test_size)))
     num = F.col("__ntrain") * F.col("n_class")                         # exact integers
     q = q.withColumn("__fl", F.floor(num / F.col("__n")).cast("long")) \
          .withColumn("__rem", num - F.floor(num / F.col("__n")).cast("long") * F.col("__n"))
-    q = q.withColumn("__left", F.col("__ntrain") - F.sum("__fl").over(allw))
+    q = q.withColumn("__left", F.col("__ntrain") - q.select(F.sum("__fl")).scalar())
     q = q.withColumn("__ord", F.row_number().over(Window.orderBy(F.desc("__rem"), F.col(label))))
     q = q.withColumn("n_train", F.col("__fl") + F.when(F.col("__ord") <= F.col("__left"), 1).otherwise(0))
     return q.select(label, "n_class", "n_train", (F.col("n_class") - F.col("n_train")).alias("n_test"))
