@@ -1,9 +1,80 @@
-"""Corpus pipeline: toxicity -> SimHash near-dedup -> benchmark
-decontamination -> source mixing -> sharding."""
+"""Corpus pipeline over ``documents``: toxicity, SimHash near-dedup, benchmark
+decontamination, source mixing, sharding.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor
+kept.  A stage that filters returns the columns of ``documents`` unchanged.
+
+Defined cases: a NULL or empty text is not toxic, shares fingerprint zero with
+other wordless texts, matches no benchmark item, has size 0 in the mix (only
+certain copies remain) and is placed like any other row.  Rows that repeat a
+``doc_id`` share that id's fate in near-dedup, are otherwise treated one by one.
+A NULL ``doc_id`` passes near-dedup.  An empty table stays empty.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakelens.llm import decontaminate, mixing, sharding, simhash, toxicity
+from lakelens.llm.common import read_table
+from lakelens.session import scratch_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows scored under 0.5; the model learns from ``labels`` and these texts."""
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return docs.filter(toxicity.scorer(docs, model)(F.col("text")) < 0.5)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the smallest doc_id."""
+    found = simhash.near_duplicates(docs)
+    extra = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a window like a benchmark item."""
+    return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows repeated as often as the mix takes them (0, 1 or 2 times)."""
+    n = (mixing.mix(docs).groupBy("doc_id").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+         .withColumnRenamed("doc_id", "_mix_id"))
+    both = docs.join(n, docs["doc_id"].eqNullSafe(n["_mix_id"]))
+    # rows that repeat an id share its copies evenly (they rank side by side)
+    times = F.ceil(F.col("_copies") / F.col("_rows")).cast("int")
+    return (both.filter("_copies > 0").withColumn("_time", F.explode(F.sequence(F.lit(1), times)))
+            .select(*docs.columns))
+
+
+def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each row goes: doc_id, size, text_crc32, law, shard, slot."""
+    return sharding.shard_documents(docs).drop("grown_shard")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark),
+    ("source_mix", mix_sources),
+    ("sharding", assign_shards),
+]
+
+# A trained model, XXH64 fingerprints and label propagation have no SQL form;
+# tests/llm/test_pipeline.py holds the stages against brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as parquet and read again."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}-{uuid.uuid4().hex}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, sharding, simhash
+from . import decontaminate, mixing, pii, quality, sharding, simhash, toxicity
 from .common import read_table
 
 
@@ -26,8 +26,21 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_balanced_shards, op2_simhash_components, op5_quality_rules, op6_source_mix)}
+        op1_balanced_shards, op2_simhash_components, op5_quality_rules, op6_source_mix,
+        op8_benchmark_leaks, op9_toxicity, op10_personal_data)}
 
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.oracle_sql()}
