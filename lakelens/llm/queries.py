@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, pii, quality, sharding, simhash, toxicity
+from . import decontaminate, mixing, pii, quality, sharding, simhash, suffix, toxicity
 from .common import read_table
 
 
@@ -26,6 +26,10 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -41,6 +45,6 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_balanced_shards, op2_simhash_components, op5_quality_rules, op6_source_mix,
-        op8_benchmark_leaks, op9_toxicity, op10_personal_data)}
+        op7_suffix_dedup, op8_benchmark_leaks, op9_toxicity, op10_personal_data)}
 
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.oracle_sql()}
