@@ -99,7 +99,7 @@ def expected(q: np.ndarray) -> np.ndarray:
 
 
 def _places(keys: np.ndarray, level: int, bits: np.ndarray) -> list[np.ndarray]:
-    a = _mix(keys + np.uint64(level) * _GOLD)
+    a = _mix(keys + np.uint64(level * int(_GOLD) & 0xFFFFFFFFFFFFFFFF))
     b = _mix(a ^ _GOLD) | np.uint64(1)
     return [(a + np.uint64(i) * b) % bits for i in range(PROBES)]
 

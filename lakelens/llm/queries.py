@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, lm, mixing, pii, quality, sharding, simhash, suffix, toxicity
+from . import decontaminate, licenses, lm, mixing, pii, quality, sharding, simhash, suffix, toxicity
 from .common import read_table
 
 
@@ -22,6 +22,10 @@ def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(read_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"), licenses.template_table(spark))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read_table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,8 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_balanced_shards, op2_simhash_components, op3_lm_scores, op5_quality_rules, op6_source_mix,
+        op1_balanced_shards, op2_simhash_components, op3_lm_scores, op4_license_scan,
+        op5_quality_rules, op6_source_mix,
         op7_suffix_dedup, op8_benchmark_leaks, op9_toxicity, op10_personal_data)}
 
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.oracle_sql()}
