@@ -8,9 +8,10 @@ else.  The work is cut up by content:
    the same gram as their anchor, so they meet under its hash.
 2. Anchors that occur once cannot belong to a repeat.  For the others, the
    context (the strings that chose the anchor) is sent to the anchor's bucket.
-3. In a bucket, runs of strings whose 64-bit hash occurs twice are joined to one
-   text, a suffix array of it is built by grouping, and strings equal to a
-   neighbour in suffix order (byte by byte) are repeated.
+3. In a bucket, contexts are cut into 8-byte symbols counted from their anchor,
+   so equal strings are cut alike and hold 24 equal symbols.  A suffix array of
+   the symbols is built by grouping; strings whose 24 symbols equal a neighbour's
+   in suffix order are compared on their remaining 8 bytes.  Exact throughout.
 4. Anchors with very many contexts are split by string: their strings are
    grouped by hash, which spreads and pre-aggregates them.
 
@@ -32,7 +33,8 @@ from .common import staged
 LENGTH = 200
 GRAM = 32
 HOT = 512               # contexts of one anchor that are sorted together
-CHUNK = 1 << 20         # bytes of one suffix array
+CHUNK = 4 << 20         # bytes of contexts of one suffix array
+SYMBOL = 8
 
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,8 +96,9 @@ def anchors(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
     return h[own[first]], own[first], first, last
 
 
-def suffix_array(text: bytes) -> list[int]:
-    """Suffix array by grouping, linear in the text.
+def suffix_array(text: bytes | np.ndarray) -> list[int]:
+    """Suffix array of bytes, or of small non-negative integers, by grouping;
+    linear in the text.
 
     Suffixes are kept in groups of equal Lyndon prefix, in order.  Groups are
     taken from the highest down: each member looks up its nearest previous
@@ -108,13 +111,13 @@ def suffix_array(text: bytes) -> list[int]:
     n = len(text)
     if n == 0:
         return []
-    b = np.frombuffer(text, np.uint8)
+    b = np.frombuffer(text, np.uint8) if isinstance(text, bytes) else text
     order = np.argsort(b, kind="stable")
     sa = order.tolist()
     pos_a = np.empty(n, np.int64)
     pos_a[order] = np.arange(n)
     pos = pos_a.tolist()                # place of a suffix in sa
-    count = np.bincount(b, minlength=256)
+    count = np.bincount(b)
     begin = np.concatenate([[0], np.cumsum(count)[:-1]])
     group = begin[b].tolist()           # first place of a suffix's group
     size = [0] * (n + 1)                # of the group that starts at a place
@@ -179,49 +182,76 @@ def suffix_array(text: bytes) -> list[int]:
     return out
 
 
-def repeated_starts(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For every text the flags of its strings (by start) that occur more than
-    once among all texts of the list."""
-    runs = {}           # distinct run -> [(text, start)]
-    hashes = [gram_hashes(np.frombuffer(t, np.uint8), length) for t in texts]
-    flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    flags = [np.zeros(len(h), bool) for h in hashes]
-    if not len(flat):
-        return flags
-    _, back, n = np.unique(flat, return_inverse=True, return_counts=True)
-    maybe = n[back] > 1         # a hash that occurs once is no repeat
-    at = 0
-    for k, h in enumerate(hashes):
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], maybe[at:at + len(h)].view(np.int8), [0]])))
-        for a, e in zip(edge[::2].tolist(), edge[1::2].tolist()):
-            runs.setdefault(texts[k][a:e + length - 1], []).append((k, a))
-        at += len(h)
-    if not runs:
-        return flags
-    whole = b"\0".join(runs)
-    valid = np.zeros(len(whole), bool)
-    starts, many, at = [], np.zeros(len(whole), bool), 0
-    for r, where in runs.items():
-        m = len(r) - length + 1
-        valid[at:at + m] = True
-        many[at:at + m] = len(where) > 1
-        starts.append(at)
-        at += len(r) + 1
-    order = np.array(suffix_array(whole), np.int64)
-    order = order[valid[order]]
-    b = np.lib.stride_tricks.sliding_window_view(np.frombuffer(whole, np.uint8), length)
-    same = np.zeros(len(order), bool)
-    for i in range(0, len(order) - 1, 1 << 14):     # neighbours byte by byte, bounded memory
-        j = min(len(order) - 1, i + (1 << 14))
-        same[i:j] = (b[order[i:j]] == b[order[i + 1:j + 1]]).all(axis=1)
-    hit = many
-    hit[order[:-1][same[:-1]]] = True
-    hit[order[1:][same[:-1]]] = True
-    for (r, where), s in zip(runs.items(), starts):
-        f = hit[s:s + len(r) - length + 1]
-        for k, a in where:
-            flags[k][a:a + len(f)] |= f
-    return flags
+def _words_at(b: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Big-endian 8-byte numbers at the places ``at`` of a byte array."""
+    out = np.zeros(len(at), np.uint64)
+    for j in range(SYMBOL):
+        out = (out << np.uint64(8)) | b[at + j]
+    return out
+
+
+def repeated_starts(contexts: list[tuple[bytes, int]], length: int = LENGTH) -> list[np.ndarray]:
+    """For every (bytes, place of the anchor) the flags of its strings, by start,
+    that occur more than once among all contexts of the list."""
+    own: dict[tuple[bytes, int], int] = {}
+    which = [own.setdefault((t, p % SYMBOL), len(own)) for t, p in contexts]
+    copies = np.bincount(which, minlength=len(own))
+    inner = length // SYMBOL - 1                # whole symbols inside any string, besides 8 bytes
+    texts = list(own)
+    pad = b"\0" * 2 * SYMBOL
+    whole = np.frombuffer(pad + pad.join(t for t, _ in texts) + pad + pad, np.uint8)
+    size = np.array([len(t) for t, _ in texts], np.int64)
+    begin = np.cumsum(size + len(pad)) - size   # of every text in whole
+    strings = size - length + 1
+    flags = [np.full(n, c > 1) for n, c in zip(strings.tolist(), copies.tolist())]
+    # symbols: first boundary at or after the start, then every 8 bytes
+    phase = np.array([p for _, p in texts], np.int64)
+    n_sym = (size - phase) // SYMBOL
+    first = np.cumsum(n_sym + 1) - (n_sym + 1)  # of every text's symbols, one separator each
+    total = int((n_sym + 1).sum())
+    k = np.repeat(np.arange(len(texts)), n_sym + 1)
+    i = np.arange(total) - first[k]
+    at = begin[k] + phase[k] + i * SYMBOL       # place of a symbol in whole
+    sep = i == n_sym[k]
+    value = _words_at(whole, np.where(sep, 0, at))
+    rank = np.unique(value, return_inverse=True)[1] + 1
+    rank[sep] = 0
+    # places whose next ``inner`` symbols hold no separator, and that are inside some string
+    start_ok = (i + inner <= n_sym[k]) & ~sep
+    order = np.array(suffix_array(rank), np.int64)
+    order = order[start_ok[order]]
+    if not len(order):
+        return [flags[w] for w in which]
+    view = np.lib.stride_tricks.sliding_window_view(np.append(rank, np.zeros(inner, rank.dtype)), inner)
+    new = np.ones(len(order), bool)
+    for c in range(1, len(order), 1 << 15):     # neighbours in suffix order, bounded memory
+        d = min(len(order), c + (1 << 15))
+        new[c:d] = (view[order[c:d]] != view[order[c - 1:d - 1]]).any(axis=1)
+    group = np.cumsum(new)
+    shared = np.bincount(group)[group] > 1
+    order, group = order[shared], group[shared]
+    a, t0 = at[order], k[order]
+    before, after = _words_at(whole, a - SYMBOL), _words_at(whole, a + inner * SYMBOL)
+    for t in range(SYMBOL):                     # the string starts t bytes before the boundary
+        start = a - t - begin[t0]
+        live = (start >= 0) & (start < strings[t0])
+        if not live.any():
+            continue
+        bits = np.uint64(8 * t)
+        key = after[live] >> bits
+        if t:
+            key |= before[live] << (np.uint64(64) - bits)
+        cols = [key, group[live]]
+        by = np.lexsort(cols)
+        same = np.ones(len(by) - 1, bool)
+        for col in cols:
+            same &= col[by][1:] == col[by][:-1]
+        hit = np.zeros(len(by), bool)
+        hit[by[1:]] |= same
+        hit[by[:-1]] |= same
+        for w, x in zip(t0[live][hit].tolist(), start[live][hit].tolist()):
+            flags[w][x] = True
+    return [flags[w] for w in which]
 
 
 def _spans(flags: np.ndarray, base: int, length: int) -> list[tuple[int, int]]:
@@ -240,25 +270,32 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .withColumn("_key", F.unhex(F.md5("_text")))
 
 
-def repeated_anchors(texts: DataFrame, length: int) -> DataFrame:
-    """(_key, _anchors): per text the anchors that occur more than once anywhere."""
+def repeated_anchors(texts: DataFrame, length: int) -> tuple[DataFrame, bool]:
+    """(_key, _anchors): per text the places of anchors that occur more than once
+    anywhere, and whether any of them is hot.
+
+    A place packs (first start, last start - first, anchor - first start).
+    Repeated rows count, so all anchors of copied texts are among them.
+    """
     def run(batches):
         for b in batches:
-            keys, hs, ns = [], [], []
-            for key, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                u, n = np.unique(anchors(t, length)[0], return_counts=True)
-                keys += [key] * len(u)
-                hs.append(u)
-                ns.append(n)
-            h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
-            n = np.concatenate(ns) if ns else np.zeros(0, np.int64)
+            at, hs, ps = [], [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                h, p, first, last = anchors(t, length)
+                at.append(np.full(len(h), i, np.int64))
+                hs.append(h)
+                ps.append((first << 24) | ((last - first) << 12) | (p - first))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(h.view(np.int64)), pa.array(n, pa.int64())], ["_key", "_h", "_n"])
+                [b.column(0).take(pa.array(np.concatenate(at))), pa.array(np.concatenate(hs).view(np.int64)),
+                 pa.array(np.concatenate(ps))], ["_key", "_h", "_p"])
 
-    found = texts.select("_key", "_text").mapInArrow(run, "_key binary, _h long, _n long")
-    total = found.groupBy("_h").agg(F.sum("_n").alias("_total")).filter("_total > 1")
-    return (found.select("_key", "_h").join(total, "_h")
-            .groupBy("_key").agg(F.collect_set(F.struct("_h", (F.col("_total") > HOT).alias("_hot"))).alias("_anchors")))
+    found = texts.select("_key", "_text").filter(F.octet_length("_text") >= length).mapInArrow(
+        run, "_key binary, _h long, _p long")
+    total = staged(found.groupBy("_h").agg(F.count("*").alias("_n")).filter("_n > 1")
+                   .select("_h", (F.col("_n") > HOT).alias("_hot")), "suffix-anchors")
+    per = (found.join(total, "_h").groupBy("_key")
+           .agg(F.collect_set(F.struct("_h", "_p", "_hot")).alias("_anchors")))
+    return per, not total.filter("_hot").isEmpty()
 
 
 def distinct_texts(texts: DataFrame) -> DataFrame:
@@ -278,28 +315,38 @@ def _contexts(texts: DataFrame, length: int, hot: bool) -> DataFrame:
     def run(batches):
         d = zstandard.ZstdDecompressor()
         for b in batches:
-            for key, z, own in zip(*(b.column(i).to_pylist() for i in range(3))):
+            hs, starts, places, parts, at = [], [], [], [], []
+            for i, (z, own) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
                 t = d.decompress(z)
-                want = np.array([a["_h"] for a in own if a["_hot"] == hot], np.int64).view(np.uint64)
-                if not len(want):
-                    continue
-                h, _, first, last = anchors(t, length)
-                rows = []
-                for i in np.flatnonzero(np.isin(h, want)).tolist():
-                    a, e = int(first[i]), int(last[i])
-                    v = int(h[i].view(np.int64))
-                    part = t[a:e + length]
+                for x in own:
+                    if x["_hot"] != hot:
+                        continue
+                    p = x["_p"]
+                    a = p >> 24
+                    part = t[a:a + (p >> 12 & 0xFFF) + length]
                     if hot:
                         s = gram_hashes(np.frombuffer(part, np.uint8), length).view(np.int64).tolist()
-                        rows += [(v, x, key, a + j) for j, x in enumerate(s)]
+                        parts += s
+                        starts += range(a, a + len(s))
+                        hs += [x["_h"]] * len(s)
+                        at += [i] * len(s)
                     else:
-                        rows.append((v, a, key, part))
-                for i in range(0, len(rows), 5000):
-                    yield _batch(rows[i:i + 5000], *(
-                        (["_h", "_s", "_key", "_start"], [pa.int64(), pa.int64(), pa.binary(), pa.int64()]) if hot else
-                        (["_h", "_start", "_key", "_part"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])))
+                        parts.append(part)
+                        starts.append(a)
+                        places.append(p & 0xFFF)
+                        hs.append(x["_h"])
+                        at.append(i)
+            key = b.column(0).take(pa.array(at, pa.int64()))
+            if hot:
+                yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(parts, pa.int64()), key,
+                                                  pa.array(starts, pa.int64())], ["_h", "_s", "_key", "_start"])
+            else:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hs, pa.int64()), pa.array(starts, pa.int64()), key, pa.array(parts, pa.binary()),
+                     pa.array(places, pa.int32())], ["_h", "_start", "_key", "_part", "_place"])
     return texts.select("_key", "_z", "_anchors").mapInArrow(
-        run, "_h long, _s long, _key binary, _start long" if hot else "_h long, _start long, _key binary, _part binary")
+        run, "_h long, _s long, _key binary, _start long" if hot else
+        "_h long, _start long, _key binary, _part binary, _place int")
 
 
 def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
@@ -309,12 +356,12 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
 
         def flush(rows):
             out = []
-            for (_, start, key, _), f in zip(rows, repeated_starts([r[3] for r in rows], length)):
+            for (_, start, key, _, _), f in zip(rows, repeated_starts([r[3:] for r in rows], length)):
                 out += [(key, a, e) for a, e in _spans(f, start, length)]
             return _batch(out, ["_key", "_from", "_to"], [pa.binary(), pa.int64(), pa.int64()])
 
         for b in batches:
-            for row in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for row in zip(*(b.column(i).to_pylist() for i in range(5))):
                 if size > CHUNK and row[0] != held[-1][0]:      # never inside one anchor
                     yield flush(held)
                     held, size = [], 0
@@ -342,13 +389,15 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     NULL counts as the empty text.  Texts shorter than ``length`` bytes keep all
     bytes.  Rows of equal text (repeated rows too) are each other's repeats.
     """
+    if length % SYMBOL or length < GRAM + SYMBOL or length > 4000:
+        raise ValueError("length: a multiple of 8 from 40 to 4000 bytes")
     texts = keyed_texts(docs, id_col, text_col)
     own = distinct_texts(texts)
-    marked = own.join(repeated_anchors(texts, length), "_key")
-    spans = _sorted_spans(_contexts(marked, length, False), length)
-    hot = staged(_contexts(marked.filter(F.exists("_anchors", lambda a: a["_hot"])), length, True), "suffix-hot")
-    if not hot.isEmpty():
-        spans = spans.unionByName(_hot_spans(hot, length))
+    per, any_hot = repeated_anchors(texts, length)
+    spans = _sorted_spans(_contexts(own.join(per, "_key"), length, False), length)
+    if any_hot:
+        some = own.join(per.filter(F.exists("_anchors", lambda a: a["_hot"])), "_key")
+        spans = spans.unionByName(_hot_spans(staged(_contexts(some, length, True), "suffix-hot"), length))
     per = staged(spans.groupBy("_key").agg(
         F.collect_list(F.struct("_from", "_to")).alias("_spans")), "suffix-spans")
 
