@@ -100,7 +100,15 @@ def _bucketize(d: DataFrame, col: str, out: str, n_buckets: int) -> tuple[DataFr
         # the row rather than a literal, so the offsets join keeps its key
         return d.withColumn(out, F.when(F.col(col).isNull(), F.lit(-1.0)).otherwise(F.lit(0.0))), {}
     d = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(d)
-    return d, hot
+    # NULLs have the same bucket of their own for every bucket count
+    return d.withColumn(out, F.coalesce(F.col(out), F.lit(-1.0))), hot
+
+
+def _ordered(order_col: str, ascending: bool):
+    """Order by the column itself (a double would merge int64 values from 2**53
+    on), NULLs first as their bucket is."""
+    c = F.col(order_col)
+    return c.asc_nulls_first() if ascending else c.desc_nulls_first()
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], ascending: bool = True,
@@ -120,7 +128,7 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], ascending:
     totals = d.groupBy("__bucket").agg(*[F.sum(v).alias(v) for v in value_cols])
     offs = _offsets(totals, [], "__bucket", value_cols)   # <= n_buckets rows
     d = d.join(F.broadcast(offs), "__bucket")
-    w = Window.partitionBy("__bucket").orderBy(skey)
+    w = Window.partitionBy("__bucket").orderBy(_ordered(order_col, ascending))
     frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     cols = {}
     for v in value_cols:
@@ -147,6 +155,9 @@ def rank_by_value(df: DataFrame, order_col: str, tiebreak_key: str, rank_col: st
     skey = "__skey"
     d = df.withColumn(skey, F.col(order_col).cast("double") * F.lit(sign))
     d, hot = _bucketize(d, skey, "__b", n_buckets)
+    # from 2**53 on one double stands for several integers, which the tie-break
+    # alone would not order
+    hot = {b: v for b, v in hot.items() if abs(v) < 1 << 53}
     if hot:
         hot_map = F.create_map(*[x for kv in hot.items() for x in (F.lit(float(kv[0])), F.lit(kv[1]))])
         is_hot_row = F.col(skey) == hot_map[F.col("__b")]
@@ -159,7 +170,7 @@ def rank_by_value(df: DataFrame, order_col: str, tiebreak_key: str, rank_col: st
     w_small = Window.orderBy("__b", "__s").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("__b", "__s", F.coalesce(F.sum("__n").over(w_small), F.lit(0)).alias("__off"))
     d = d.join(F.broadcast(offs), ["__b", "__s"])           # bounded: buckets x 257
-    w = Window.partitionBy("__b", "__s").orderBy(skey, tiebreak_key)
+    w = Window.partitionBy("__b", "__s").orderBy(_ordered(order_col, not descending), tiebreak_key)
     d = d.withColumn(rank_col, F.row_number().over(w) + F.col("__off"))
     return d.drop(skey, "__b", "__s", "__off")
 
@@ -186,7 +197,7 @@ def grouped_prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
     totals = d.groupBy(*group_cols, "__bucket").agg(*[F.sum(v).alias(v) for v in value_cols])
     offs = _offsets(totals, group_cols, "__bucket", value_cols)
     d = join_null_safe(d, offs, group_cols + ["__bucket"])
-    w = Window.partitionBy(*group_cols, "__bucket").orderBy(skey)
+    w = Window.partitionBy(*group_cols, "__bucket").orderBy(_ordered(order_col, True))
     frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     cols = {}
     for v in value_cols:

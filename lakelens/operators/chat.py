@@ -1,15 +1,14 @@
 """Conversation logs: commands, segments and per-turn history (batch form).
 
-Rows are ``(conv_id, turn, role, text)``.  Nothing here windows over a whole
-conversation: the quit cut is a per-conversation min joined back, segments are
-bucketed prefix counts of resets, replies pair with their user turn by an
-equi-join on (conv_id, turn + 1), and history is built by sending each kept
-row to the next ``k - 1`` history slots (bounded fan-out) and grouping by slot.
+Rows are ``(conv_id, turn, role, text)``.  The quit cut is a per-conversation
+min joined back, segments are bucketed prefix counts of resets, replies pair
+with their user turn by an equi-join on (conv_id, turn + 1), and history is one
+window per (conversation, segment) in turn order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import grouped_prefix_sums
@@ -21,8 +20,6 @@ RESET_WORDS = ["reset"]
 # The whitespace that Python's str.strip() removes (ASCII part).
 STRIP_CLASS = "[ \\t\\n\\r\\f\\u000B]"
 
-DEFAULT_HISTORY = 20
-
 
 def strip_ws(c):
     return F.regexp_replace(c, f"^{STRIP_CLASS}+|{STRIP_CLASS}+$", "")
@@ -69,37 +66,27 @@ def history_rows(conv: DataFrame, rules=HEALTH_RULES) -> DataFrame:
                     target.alias("target"), kept.alias("kept"))
 
 
-def conversation_history(conv: DataFrame, k: int = DEFAULT_HISTORY, rules=HEALTH_RULES) -> DataFrame:
-    """For each passing user turn: the last ``k - 1`` kept turns of its segment
-    before it, then itself.  Output: conv_id, turn, history (array of
-    struct(turn, role, text) in turn order), history_len, history_text."""
-    if k < 1:
+def conversation_history(conv: DataFrame, k: int | None = None, rules=HEALTH_RULES) -> DataFrame:
+    """For each passing user turn: the kept turns of its segment before it, then
+    itself; with ``k``, the last ``k - 1`` of them (a window memory).  Output:
+    conv_id, turn, history (array of struct(turn, role, text) in turn order),
+    history_len, history_text.
+
+    One window per (conversation, segment) in turn order; without ``k`` the
+    output itself grows with the square of a segment's turns.
+    """
+    if k is not None and k < 1:
         raise ValueError("k must be >= 1")
-    # the filtered, flagged rows feed a bucket sizing pass, a quantile sketch and
-    # two branches below; write them once instead of re-running the joins
-    from ..session import stage_table
-    h = stage_table(history_rows(conv, rules), "history-rows").withColumn("__kv", F.col("kept").cast("long"))
-    h = grouped_prefix_sums(h, "turn", ["__kv"], ["conv_id", "segment"], inclusive=True)
-    h = h.withColumn("__pos", F.col("cum___kv"))            # kept rows before and incl. this one
-    tg = h.where("target").select("conv_id", "segment", "turn", "role", "text",
-                                  (F.col("__pos") - F.col("__kv")).alias("__slot"))
-    fan = max(k - 1, 0)
-    kept = h.where("kept").select("conv_id", "segment", F.struct("turn", "role", "text").alias("m"),
-                                  F.explode(F.sequence(F.col("__pos"), F.col("__pos") + F.lit(fan - 1)))
-                                  .alias("__slot")) if fan > 0 else None
-    if kept is not None:
-        prior = kept.groupBy("conv_id", "segment", "__slot").agg(F.collect_list("m").alias("__prior"))
-        j = tg.join(prior, ["conv_id", "segment", "__slot"], "left")
-        prior_arr = F.coalesce(F.col("__prior"), F.array().cast("array<struct<turn:bigint,role:string,text:string>>"))
-    else:
-        j = tg
-        prior_arr = F.array().cast("array<struct<turn:bigint,role:string,text:string>>")
+    h = history_rows(conv, rules)
     me = F.struct(F.col("turn").cast("bigint").alias("turn"), F.col("role"), F.col("text"))
-    # prior rows from slots may include rows after the target when targets share a slot;
-    # keep only rows strictly before the target turn
-    prior_f = F.filter(prior_arr, lambda m: m["turn"] < F.col("turn"))
-    hist = F.array_sort(F.concat(prior_f, F.array(me)))
-    out = j.select("conv_id", "turn", hist.alias("history"))
+    before = (Window.partitionBy("conv_id", "segment").orderBy("turn")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    h = h.withColumn("__prior", F.collect_list(F.when(F.col("kept"), me)).over(before)).where("target")
+    prior = F.col("__prior")
+    if k is not None:
+        size = F.least(F.size(prior), F.lit(k - 1))
+        prior = F.slice(prior, F.size(prior) - size + 1, size) if k > 1 else F.slice(prior, 1, 0)
+    out = h.select("conv_id", "turn", F.concat(prior, F.array(me)).alias("history"))
     return out.withColumns({
         "history_len": F.size("history").cast("long"),
         "history_text": F.array_join(F.transform("history", lambda m: F.concat(m["role"], F.lit(": "), m["text"])), "\n"),

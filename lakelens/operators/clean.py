@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegralType
 
 from ..functions.common import FLOAT_TYPES, numeric_columns, string_columns
 from ..functions.keys import exact_quantiles, md5_key, rank_by_key
@@ -113,7 +114,10 @@ class FittedImputer:
         exprs = {}
         for c, v in vals.items():
             x = F.nanvl(F.col(c), F.lit(None).cast("double")) if c in fl else F.col(c)
-            exprs[c] = F.coalesce(x, F.lit(v).cast(df.schema[c].dataType))
+            kind = df.schema[c].dataType
+            if isinstance(kind, IntegralType) and isinstance(v, float) and not v.is_integer():
+                kind = DoubleType()         # a half median widens an integer column
+            exprs[c] = F.coalesce(x.cast(kind), F.lit(v).cast(kind))
         return df.withColumns(exprs)
 
 

@@ -17,7 +17,9 @@ def _r2(sse: Column, sst: Column) -> Column:
 
 def regression_metrics(df: DataFrame, y: str = "y", pred: str = "pred",
                        group_cols: list[str] | tuple = ()) -> DataFrame:
-    """n, MAE, RMSE, R^2 (R^2 from the stable centred variance), per group if given."""
+    """n, MAE, RMSE, R^2 (R^2 from the stable centred variance), per group if given,
+    over the rows where truth and prediction are both present."""
+    df = df.where(F.col(y).isNotNull() & F.col(pred).isNotNull())
     e = F.col(pred).cast("double") - F.col(y).cast("double")
     agg = df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("n"),
@@ -45,9 +47,10 @@ def confusion_long(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame
 
 
 def confusion_matrix(df: DataFrame, labels: list, y: str = "y", pred: str = "pred") -> DataFrame:
-    """truth x prediction counts, one column per label (explicit values: no extra job)."""
+    """truth x prediction counts, one column per label (explicit values: no extra job).
+    A NULL truth is a row of its own; predictions outside ``labels`` have no column."""
     return (df.groupBy(F.col(y).alias("truth"))
-            .pivot(pred, labels).agg(F.count(F.lit(1))).fillna(0))
+            .pivot(pred, labels).agg(F.count(F.lit(1))).fillna(0, subset=[str(x) for x in labels]))
 
 
 def class_counts(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
@@ -115,7 +118,9 @@ def f1_weighted(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
 
 
 def score_counts(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
-    """Distinct score -> (pos, neg): the only input ROC and AUC need."""
+    """Distinct score -> (pos, neg): the only input ROC and AUC need.  Rows
+    without a score or a truth are left out."""
+    df = df.where(F.col(score).isNotNull() & F.col(y).isNotNull())
     return df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.sum((F.col(y) == 1).cast("long")).alias("pos"),
         F.sum((F.col(y) != 1).cast("long")).alias("neg"))
@@ -123,6 +128,7 @@ def score_counts(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame
 
 def roc_auc(df: DataFrame, y: str = "y", score: str = "score", n_buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC with ties counted half; NULL when only one class is present.
+    Rows without a score or a truth are left out.
 
     Group by score first (a hot score collapses to one row), then running
     negatives below each score by bucketed prefix sums.

@@ -53,9 +53,10 @@ def class_quotas(df: DataFrame, label: str, test_size: float = 0.2) -> DataFrame
     cc = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
     q = cc.withColumn("__n", cc.select(F.sum("n_class")).scalar())    # totals: scalar subqueries
     q = q.withColumn("__ntrain", F.col("__n") - F.ceil(F.col("__n").cast("double") * F.lit(test_size)))
-    num = F.col("__ntrain") * F.col("n_class")                         # exact integers
-    q = q.withColumn("__fl", F.floor(num / F.col("__n")).cast("long")) \
-         .withColumn("__rem", num - F.floor(num / F.col("__n")).cast("long") * F.col("__n"))
+    # exact integers: the product passes int64 from about 3e9 rows on
+    num = "(cast(__ntrain as decimal(19,0)) * cast(n_class as decimal(19,0)))"
+    q = q.withColumn("__fl", F.expr(f"{num} div cast(__n as decimal(19,0))").cast("long")) \
+         .withColumn("__rem", F.expr(f"{num} % cast(__n as decimal(19,0))").cast("long"))
     q = q.withColumn("__left", F.col("__ntrain") - q.select(F.sum("__fl")).scalar())
     q = q.withColumn("__ord", F.row_number().over(Window.orderBy(F.desc("__rem"), F.col(label))))
     q = q.withColumn("n_train", F.col("__fl") + F.when(F.col("__ord") <= F.col("__left"), 1).otherwise(0))

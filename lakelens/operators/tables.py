@@ -178,8 +178,8 @@ def argmax_group(df: DataFrame, name: str, metric: str, position: str | None = N
                  group_cols: list[str] | tuple = ()) -> DataFrame:
     """Best name by metric; ties go to the first position (then the smallest name)."""
     pos = F.col(position) if position else F.lit(0)
-    key = F.struct(F.col(metric), -pos, F.lit(0))
-    return df.groupBy(*group_cols).agg(F.max_by(F.col(name), key).alias(f"best_{name}"),
+    key = F.struct(F.col(metric).isNull(), -F.col(metric), pos, F.col(name))
+    return df.groupBy(*group_cols).agg(F.min_by(F.col(name), key).alias(f"best_{name}"),
                                        F.max(F.col(metric)).alias(f"best_{metric}"))
 
 

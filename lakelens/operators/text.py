@@ -257,21 +257,9 @@ def cross_strategies(tickets: DataFrame, ticket_col: str = "ticket",
 
 
 # ------------------------------------------------------------------ replies
-def reply_body(reply: Column) -> Column:
-    """Strip, drop a ``` fence and its 'json' marker, strip again.
-
-    Each intermediate is referenced several times; inside one expression tree
-    that would re-run the strip regex per reference, so ``parse_reply`` goes
-    through ``_reply_body_cols`` (one projection per step) instead."""
-    raw = py_strip(reply)
-    fenced = F.get(F.split(raw, "```"), 1)
-    body = F.when(raw.startswith("```"), F.coalesce(fenced, F.lit(""))).otherwise(raw)
-    body = F.when(body.startswith("json"), F.substring(body, 5, 1 << 30)).otherwise(body)
-    return py_strip(body)
-
-
 def _reply_body_cols(df: DataFrame, reply: str, out: str) -> DataFrame:
-    """``reply_body`` as a chain of projections: every regex runs once per row."""
+    """Strip, drop a ``` fence and its 'json' marker, strip again: a chain of
+    projections, so that every regex runs once per row."""
     d = df.withColumn("__raw", py_strip(F.col(reply)))
     raw = F.col("__raw")
     d = d.withColumn("__unf", F.when(raw.startswith("```"), F.coalesce(F.get(F.split(raw, "```"), 1), F.lit("")))
@@ -287,13 +275,17 @@ def parse_reply(df: DataFrame, reply: str = "reply") -> DataFrame:
     status 'ok' (object with a tags list), 'no_tags' (object without tags ->
     empty list) or 'fallback' (not strict JSON, not an object, null reply ->
     three times (General Inquiry, 0.5, 'Parse error')).  Spark's JSON reader is
-    lenient about text after the object, so the body must also end in '}'.
+    lenient about text after the object, so the body must also parse as the only
+    element of an array.
     """
     d = _reply_body_cols(df, reply, "__b")
     parsed = F.from_json(F.col("__b"), REPLY_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
                                                       "allowSingleQuotes": "false"})
     d = d.withColumn("__p", parsed)
-    strict = F.col("__b").startswith("{") & F.col("__b").endswith("}")
+    # one JSON value and nothing after it: as the only element of an array
+    alone = F.size(F.from_json(F.concat(F.lit("["), F.col("__b"), F.lit("]")), "array<string>",
+                               {"allowSingleQuotes": "false"})) == 1
+    strict = F.col("__b").startswith("{") & F.col("__b").endswith("}") & F.coalesce(alone, F.lit(False))
     ok_obj = F.col("__p").isNotNull() & F.col("__p._corrupt").isNull() & strict
     tags = F.transform(F.col("__p.tags"), lambda t: F.struct(
         t["tag"].alias("tag"), t["confidence"].try_cast("double").alias("confidence"), t["reason"].alias("reason")))

@@ -12,6 +12,10 @@ from .registry import REGISTRY, register
 
 
 def _read(spark, sf, name, schema):
+    """The table as a stream, whether it is one file or a folder of part files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{name}.parquet")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return sc.read_stream(spark, f"{sf.rstrip('/')}/{name}.parquet", schema)
     return sc.read_stream(spark, sf.rstrip("/"), schema, file_glob=f"{name}.parquet")
 
 
@@ -27,9 +31,8 @@ def q_stream_safety_route(spark, sf):
 @register("stream_chat_state")
 def q_stream_chat_state(spark, sf):
     from .text_plans import FIXTURE_RULES
-    from ..operators.chat import DEFAULT_HISTORY
     s = _read(spark, sf, "conversations", sc.CONV_SCHEMA)
-    h = sc.stream_chat_history(s, DEFAULT_HISTORY, FIXTURE_RULES)
+    h = sc.stream_chat_history(s, None, FIXTURE_RULES)
     base = scratch_path(spark, f"stream-chat-{uuid.uuid4().hex}")
     sc.run_available(h, base + "/out", base + "/ckpt")
     return spark.read.schema(sc.OUT_SCHEMA).parquet(base + "/out")
@@ -56,14 +59,13 @@ def q_stream_score(spark, sf):
 
 def _share_sql():
     from .text_plans import _history_sql, route_sql
-    from ..operators.chat import DEFAULT_HISTORY
     from ..operators.text import HEALTH_RULES
     c, r = route_sql("text", HEALTH_RULES)
     fn, _ = REGISTRY["stream_safety_route"]
     REGISTRY["stream_safety_route"] = (fn, f"SELECT conv_id, turn, {c} AS category, {r} AS canned_reply "
                                            f"FROM conversations WHERE role = 'user'")
     fn, _ = REGISTRY["stream_chat_state"]
-    REGISTRY["stream_chat_state"] = (fn, _history_sql(DEFAULT_HISTORY))
+    REGISTRY["stream_chat_state"] = (fn, _history_sql(None))
 
 
 _share_sql()

@@ -102,7 +102,7 @@ def q_command_filter(spark, sf):
     return chat.command_filter(table(spark, sf, "conversations"))
 
 
-def _history_sql(k: int) -> str:
+def _history_sql(k: int | None) -> str:
     fc = route_sql("text", FIXTURE_RULES, with_reply=False)
     return f"""
   WITH f AS ({FILTER_SQL}),
@@ -117,7 +117,7 @@ def _history_sql(k: int) -> str:
                    row_number() OVER (PARTITION BY tg.conv_id, tg.turn ORDER BY k.turn DESC) AS rn
             FROM fl tg JOIN fl k ON tg.conv_id = k.conv_id AND tg.segment = k.segment AND k.turn < tg.turn
             WHERE tg.target AND k.kept),
-  h AS (SELECT conv_id, t, turn, role, text FROM pairs WHERE rn <= {k - 1}
+  h AS (SELECT conv_id, t, turn, role, text FROM pairs{'' if k is None else f' WHERE rn <= {k - 1}'}
         UNION ALL SELECT conv_id, turn AS t, turn, role, text FROM fl WHERE target)
   SELECT conv_id, t AS turn, CAST(count(*) AS BIGINT) AS history_len,
          string_agg(concat(role, ': ', text), chr(10) ORDER BY turn) AS history_text
@@ -125,9 +125,9 @@ def _history_sql(k: int) -> str:
 """
 
 
-@register("conversation_history", _history_sql(chat.DEFAULT_HISTORY))
+@register("conversation_history", _history_sql(None))
 def q_history(spark, sf):
-    h = chat.conversation_history(table(spark, sf, "conversations"), chat.DEFAULT_HISTORY, FIXTURE_RULES)
+    h = chat.conversation_history(table(spark, sf, "conversations"), None, FIXTURE_RULES)
     return h.select("conv_id", "turn", "history_len", "history_text")
 
 

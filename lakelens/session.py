@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,7 +58,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(d)
         return d
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", master):      # local-cluster has several machines' worth of JVMs
         raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
     d = tempfile.mkdtemp(prefix="lakelens-ckpt-", dir=os.environ.get("LAKELENS_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)

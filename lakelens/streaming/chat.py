@@ -1,10 +1,10 @@
 """Streams: stateless safety routing, per-conversation chat state, model scoring.
 
 ``stream_chat_history`` keeps, per conversation, only what later turns need:
-the last ``k - 1`` kept messages, the user turn waiting for its reply, the
-turn of the last blocked user message and whether the session has ended.
-State is therefore bounded by ``k`` whatever the conversation length, and a
-conversation's rows may arrive over many micro-batches (in turn order).
+the kept messages (the last ``k - 1`` with a window ``k``), the user turn waiting
+for its reply, the turn of the last blocked user message and whether the session
+has ended.  A conversation's rows may arrive over many micro-batches (in turn
+order); ``idle_timeout`` drops the state of conversations that went silent.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..operators.chat import DEFAULT_HISTORY, QUIT_WORDS, RESET_WORDS
+from ..operators.chat import QUIT_WORDS, RESET_WORDS
 from ..operators.text import HEALTH_RULES, route_expr
 
 CONV_SCHEMA = "conv_id long, turn long, role string, text string"
@@ -46,11 +46,11 @@ def _route_words(rules):
     return [(name, [w.lower() for w in words]) for name, _, words, _ in sorted(rules, key=lambda r: r[1])]
 
 
-def stream_chat_history(stream: DataFrame, k: int = DEFAULT_HISTORY, rules=HEALTH_RULES,
+def stream_chat_history(stream: DataFrame, k: int | None = None, rules=HEALTH_RULES,
                         idle_timeout: str | None = None) -> DataFrame:
     """Per-user-turn history, equal to ``chat.conversation_history`` on the same rows."""
     words = _route_words(rules)
-    cap = max(k - 1, 0)
+    cap = None if k is None else max(k - 1, 0)
 
     def blocked(t: str) -> bool:
         low = t.lower()
@@ -90,7 +90,7 @@ def stream_chat_history(stream: DataFrame, k: int = DEFAULT_HISTORY, rules=HEALT
                     last_blocked = turn
                     continue
                 me = [turn, "user", t]
-                full = hist[-cap:] + [me] if cap else [me]
+                full = (hist if cap is None else hist[-cap:] if cap else []) + [me]
                 out.append((key[0], turn, len(full), "\n".join(f"{r}: {x}" for _, r, x in full)))
                 pending = me
             elif role == "assistant":
@@ -104,7 +104,8 @@ def stream_chat_history(stream: DataFrame, k: int = DEFAULT_HISTORY, rules=HEALT
                     hist.append(pending)
                 hist.append([turn, "assistant", txt])
                 pending = None
-                hist = hist[-cap:] if cap else []
+                if cap is not None:
+                    hist = hist[-cap:] if cap else []
         state.update((json.dumps(hist), json.dumps(pending) if pending else None, int(last_blocked), bool(ended)))
         if idle_timeout:
             state.setTimeoutDuration(idle_timeout)
