@@ -146,22 +146,44 @@ class Filter:
         return out
 
 
-def codes(t: np.ndarray, f: Filter) -> np.ndarray:
-    """Levels of (word, context, bigram) for every token: a 3 x n array."""
+CHUNK = 1 << 20         # tokens looked up together
+
+
+def chunks(texts: list[bytes | None]):
+    """(tokens, first token of every text) of as many texts as make a chunk."""
+    held, size = [], 0
+    for t in texts:
+        held.append(tokens(t))
+        size += len(held[-1])
+        if size >= CHUNK:
+            yield np.concatenate(held), np.cumsum([0, *map(len, held)])[:-1]
+            held, size = [], 0
+    if held:
+        yield np.concatenate(held), np.cumsum([0, *map(len, held)])[:-1]
+
+
+def codes(t: np.ndarray, first: np.ndarray, f: Filter) -> np.ndarray:
+    """Levels of (word, context, bigram) for every token of some texts: a 3 x n
+    array.  Every distinct n-gram is probed once; the context of a text's first
+    token has level 0."""
     before = np.concatenate([[BEGIN], t[:-1]])
-    u, back = np.unique(np.concatenate([t, before]), return_inverse=True)
-    level = f.levels(unigram_key(u))[back]
-    return np.stack([level[:len(t)], level[len(t):], f.levels(bigrams(t))]).astype(np.uint8)
+    before[first] = BEGIN
+    u, back = np.unique(t, return_inverse=True)
+    word = f.levels(unigram_key(u))[back]
+    context = np.concatenate([[0], word[:-1]])
+    context[first] = 0
+    u, back = np.unique(_mix(before * _GOLD + t), return_inverse=True)
+    return np.stack([word, context, f.levels(u)[back]]).astype(np.uint8)
 
 
-def log_prob(c: np.ndarray, total: int, vocabulary: int, begins: int) -> float:
-    """log10 probability of a text from its levels."""
+def log_probs(c: np.ndarray, first: np.ndarray, total: int, vocabulary: int, begins: int) -> np.ndarray:
+    """log10 probability of each text from the levels of its tokens."""
     word, before, both = expected(c[0].astype(np.int64)), expected(c[1].astype(np.int64)), expected(c[2].astype(np.int64))
-    before[0] = begins          # the context of the first token: one per training text
+    before[first] = begins      # the context of the first token: one per training text
     p1 = (word + 0.1) / (total + 0.1 * (vocabulary + 1))
     p2 = np.minimum(1.0, both / np.maximum(before, 1.0))
     p = np.where(before > 0, (1 - LAMBDA) * p1 + LAMBDA * p2, p1)
-    return float(np.log10(p).sum())
+    return np.add.reduceat(np.log10(p), first)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -336,15 +358,19 @@ def _scored(rows: DataFrame, kind: str, head, f, total: int, vocabulary: int, be
         hw, hc = head.value
         lm = f.value
         for b in batches:
-            n, part, known, score = [], [], [], []
-            for t in b.column(1).to_pylist():
-                x = tokens(t)
-                n.append(len(x))
-                score.append(log_prob(codes(x, lm), total, vocabulary, begins))
-                p = np.minimum(np.searchsorted(hw, x), max(0, len(hw) - 1))
-                c = hc[p][hw[p] == x] if len(hw) else np.zeros(0, np.int64)
-                part.append(float(np.log10(c + 0.1).sum()))
-                known.append(int((c > 0).sum()))
+            n, part, known, score = ([np.zeros(0, k)] for k in (np.int64, float, np.int64, float))
+            for x, first in chunks(b.column(1).to_pylist()):
+                score.append(log_probs(codes(x, first, lm), first, total, vocabulary, begins))
+                c = np.zeros(len(x), np.int64)
+                inside = np.zeros(len(x), bool)
+                if len(hw):
+                    p = np.minimum(np.searchsorted(hw, x), len(hw) - 1)
+                    inside = hw[p] == x
+                    c = hc[p]
+                n.append(np.diff(np.append(first, len(x))))
+                part.append(np.add.reduceat(np.where(inside, np.log10(c + 0.1), 0.0), first))
+                known.append(np.add.reduceat((inside & (c > 0)).astype(np.int64), first))
+            n, part, known, score = map(np.concatenate, (n, part, known, score))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(part, pa.float64()),
                  pa.array(known, pa.int64()), pa.array(score, pa.float64())],
@@ -359,7 +385,8 @@ def _sliced_scores(rows: DataFrame, slices: list, total: int, vocabulary: int, b
     def probe(f):
         def run(batches):
             for b in batches:
-                got = [codes(tokens(t), f.value).tobytes() for t in b.column(0).to_pylist()]
+                one = np.zeros(1, np.int64)
+                got = [codes(tokens(t), one, f.value).tobytes() for t in b.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(1), pa.array(got, pa.binary())], ["_doc", "_codes"])
         return rows.select("_text", "_doc").dropDuplicates(["_doc"]).select("_text", "_doc").mapInArrow(
             run, "_doc long, _codes binary")
@@ -367,7 +394,7 @@ def _sliced_scores(rows: DataFrame, slices: list, total: int, vocabulary: int, b
     def join(table: pa.Table) -> pa.Table:
         c = np.max([np.frombuffer(x, np.uint8) for x in table.column("_codes").to_pylist()], axis=0).reshape(3, -1)
         return pa.table({"_doc": table.column("_doc").slice(0, 1),
-                         "score": pa.array([log_prob(c, total, vocabulary, begins)])})
+                         "score": pa.array(log_probs(c, np.zeros(1, np.int64), total, vocabulary, begins))})
 
     parts = None
     for f in slices:
