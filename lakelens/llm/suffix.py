@@ -190,6 +190,15 @@ def _words_at(b: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def _symbol_hashes(x: np.ndarray, count: int) -> np.ndarray:
+    """64-bit hash of x[i:i+count] for every i (zeros after the end)."""
+    v = _mix(np.append(x, np.zeros(count, x.dtype)).astype(np.uint64) * _ODD[9] + _ODD[10])
+    out = np.zeros(len(x), np.uint64)
+    for j in range(count):
+        out = out * _ODD[11] + v[j:j + len(x)]
+    return _mix(out)
+
+
 def repeated_starts(contexts: list[tuple[bytes, int]], length: int = LENGTH) -> list[np.ndarray]:
     """For every (bytes, place of the anchor) the flags of its strings, by start,
     that occur more than once among all contexts of the list."""
@@ -203,7 +212,9 @@ def repeated_starts(contexts: list[tuple[bytes, int]], length: int = LENGTH) ->
     size = np.array([len(t) for t, _ in texts], np.int64)
     begin = np.cumsum(size + len(pad)) - size   # of every text in whole
     strings = size - length + 1
-    flags = [np.full(n, c > 1) for n, c in zip(strings.tolist(), copies.tolist())]
+    base = np.cumsum(strings) - strings
+    flat = np.repeat(copies > 1, strings)
+    flags = np.split(flat, base[1:])            # views: one flag per string
     # symbols: first boundary at or after the start, then every 8 bytes
     phase = np.array([p for _, p in texts], np.int64)
     n_sym = (size - phase) // SYMBOL
@@ -218,10 +229,21 @@ def repeated_starts(contexts: list[tuple[bytes, int]], length: int = LENGTH) ->
     rank[sep] = 0
     # places whose next ``inner`` symbols hold no separator, and that are inside some string
     start_ok = (i + inner <= n_sym[k]) & ~sep
-    order = np.array(suffix_array(rank), np.int64)
-    order = order[start_ok[order]]
-    if not len(order):
+    # a run of symbols whose hash occurs once repeats nothing: only the others are sorted
+    h = _symbol_hashes(rank, inner)
+    h = h[start_ok]
+    maybe = np.zeros(total, bool)
+    _, back, n = np.unique(h, return_inverse=True, return_counts=True)
+    maybe[np.flatnonzero(start_ok)[n[back] > 1]] = True
+    if not maybe.any():
         return [flags[w] for w in which]
+    step = np.zeros(total + inner, np.int32)
+    step[np.flatnonzero(maybe)] += 1
+    step[np.flatnonzero(maybe) + inner] -= 1
+    need = np.cumsum(step)[:total] > 0
+    kept = np.flatnonzero(need | np.concatenate([[False], need[:-1]]))     # one separator after each run
+    order = kept[np.array(suffix_array(np.where(need[kept], rank[kept], 0)), np.int64)]
+    order = order[maybe[order]]
     view = np.lib.stride_tricks.sliding_window_view(np.append(rank, np.zeros(inner, rank.dtype)), inner)
     new = np.ones(len(order), bool)
     for c in range(1, len(order), 1 << 15):     # neighbours in suffix order, bounded memory
@@ -249,8 +271,7 @@ def repeated_starts(contexts: list[tuple[bytes, int]], length: int = LENGTH) ->
         hit = np.zeros(len(by), bool)
         hit[by[1:]] |= same
         hit[by[:-1]] |= same
-        for w, x in zip(t0[live][hit].tolist(), start[live][hit].tolist()):
-            flags[w][x] = True
+        flat[base[t0[live][hit]] + start[live][hit]] = True
     return [flags[w] for w in which]
 
 
