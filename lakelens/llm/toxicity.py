@@ -25,7 +25,7 @@ from .common import fold
 
 WORD = re.compile(r"\w+")
 PER_CLASS = 5000        # bound of the fitting sample, rows per label
-MIN_DOCS = 5            # a term must occur in so many sampled texts
+MIN_DOCS = 2            # a term must occur in so many sampled texts
 FACTORS = 8
 EPOCHS = 12
 PREFIX = 4
