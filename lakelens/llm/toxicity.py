@@ -105,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_col: str = "toxic", folds: int = 5, per_class: int = PER_CLASS) -> Model:
     """Fit on labelled rows whose crc32(id as text) mod ``folds`` is not 0.
     NULL labels and NULL ids are left out; a text labelled twice counts as 1 if
-    any label is 1.  Without labelled rows every score is near 0."""
+    any label is 1.  Of rows that repeat an id, the smallest text is fitted.  Without labelled rows every score is near 0."""
     own = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
            .filter((fold(F.col("_id"), folds) != 0) & F.col("_y").isin(0, 1) & F.col("_id").isNotNull())
            .groupBy("_id").agg(F.max("_y").alias("_y")))
@@ -120,9 +120,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def hashed(t: pd.Series) -> pd.Series:
         return t.map(lambda x: terms(x).astype(np.int64))
 
-    # at most 2 * per_class ids are broadcast, and as many rows come back
-    sample = text.join(F.broadcast(picked), "_id").select("_id", "_y", hashed("_text").alias("_terms"))
-    got = sorted(((r["_id"], r["_y"], r["_terms"]) for r in sample.toLocalIterator()), key=lambda r: (r[0], len(r[2])))
+    # at most 2 * per_class ids are broadcast, and one text of each comes back
+    sample = (text.join(F.broadcast(picked), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
+              .select("_id", "_y", hashed("_text").alias("_terms")))
+    got = sorted(((r["_id"], r["_y"], r["_terms"]) for r in sample.toLocalIterator()), key=lambda r: r[0])
     rows = [(np.array(t, dtype=np.uint32), y) for _, y, t in got]
     return train(rows, n.get(1, 0) / max(1, sum(n.values())))
 
