@@ -42,6 +42,34 @@ def test_pairs_count(spark):
     assert max(score[0], score[1], score[3]) < 0.5 < score[2]
 
 
+def test_pairs_without_marginal_effect():
+    """Every group word is as frequent in both labels, and so is every insult:
+    only who is insulted how tells the labels apart."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(1200):
+        a, b = rng.randrange(2), rng.randrange(2)
+        words = [f"n{rng.randrange(40)}" for _ in range(8)] + [("rotter", "cad")[a], ("north", "south")[b]]
+        rows.append((toxicity.terms(" ".join(words)), int(a == b)))
+    m = toxicity.train(rows, 0.5)
+    held = [(a, b, m.margin(toxicity.terms(f"n1 n2 {a} {b}")))
+            for a in ("rotter", "cad") for b in ("north", "south")]
+    assert all((x > 0) == ((a, b) in (("rotter", "north"), ("cad", "south"))) for a, b, x in held)
+
+
+def test_rare_terms_of_one_label_are_learnt():
+    """Eight toxic texts and no clean one hold each of these words."""
+    rng = random.Random(3)
+    vocab = [f"word{i}" for i in range(2000)]
+    rows = []
+    for i in range(480):
+        rows.append((toxicity.terms(" ".join(rng.choices(vocab, k=60) + [f"{i % 60}slur"])), 1))
+        rows.append((toxicity.terms(" ".join(rng.choices(vocab, k=60))), 0))
+    m = toxicity.train(rows, 0.5)
+    assert all(m.margin(toxicity.terms(f"word1 word2 word3 {i}slur")) > 0 for i in range(60))
+    assert m.margin(toxicity.terms("word5 word6 word7")) < 0
+
+
 def test_edge_rows_and_empty(spark, edge, empty):
     labels = spark.createDataFrame([(5, 1), (5, 0), (6, None), (None, 1), (8, 0), (9, 0)], "doc_id long, toxic int")
     assert toxicity.toxicity(edge, labels).count() == edge.count()
