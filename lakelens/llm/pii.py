@@ -4,8 +4,9 @@ Identifiers are found twice: in the text itself (the base spans), and in a
 normalised copy made by small transducers that undo look-alike letters, spelled
 digits and at/dot disguises.  A transducer keeps, for every character it writes,
 the source range that it came from, so spans of the copy map back to code points
-of the source.  Base spans stay; spans of the copy are added where they overlap
-no span of the same kind.
+of the source.  Base spans stay; spans of the copy are added unless a base span
+of the same kind holds them, so a base match of only a part of a disguised
+identifier stays beside the whole.
 """
 
 from __future__ import annotations
@@ -170,7 +171,7 @@ def spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     found = list(base)
     for kind, a, b in detect(t.text):
         a, b = t.begin[a], t.end[b - 1]
-        if not any(k == kind and a < e and s < b for k, s, e in found):
+        if not any(k == kind and s <= a and b <= e for k, s, e in base):
             found.append((kind, a, b))
     return base, sorted(found, key=order)
 

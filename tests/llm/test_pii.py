@@ -24,6 +24,16 @@ def test_disguises_map_back_to_the_source():
     assert ("card", "４１１１ １１１１ １１１１ １１１１") in found("no ４１１１ １１１１ １１１１ １１１１.")
 
 
+def test_whole_identifier_is_added_beside_a_base_part():
+    for text, part, whole in [("to jоhn@example.com now", "hn@example.com", "jоhn@example.com"),
+                              ("to john@example.cоm now", "john@example.c", "john@example.cоm"),
+                              ("to ann@mail.example dot com now", "ann@mail.example", "ann@mail.example dot com")]:
+        base, every = pii.spans(text)
+        assert [text[a:b] for _, a, b in base] == [part]
+        assert found(text) == sorted([("email", part), ("email", whole)], key=lambda x: text.index(x[1]))
+        assert set(base) <= set(every) and len(every) == 2
+
+
 def test_plain_prose_has_no_spans():
     for text in ("", None, "look at one dot", "at five or six, seven or eight people met", "été ñandú ßtraße " * 50):
         assert pii.spans(text) == ([], [])
