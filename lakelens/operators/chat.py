@@ -2,16 +2,19 @@
 
 Rows are ``(conv_id, turn, role, text)``.  The quit cut is a per-conversation
 min joined back, segments are bucketed prefix counts of resets, replies pair
-with their user turn by an equi-join on (conv_id, turn + 1), and history is one
-window per (conversation, segment) in turn order.
+with their user turn by an equi-join on (conv_id, turn + 1).  A history of the
+last k turns is collected in blocks of positions, the whole history in one window
+per (conversation, segment) in turn order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import grouped_prefix_sums
+from ..functions.common import join_null_safe
+from ..functions.keys import ROWS_PER_BUCKET, grouped_prefix_sums
+from ..session import stage_table
 from .text import HEALTH_RULES, route_expr
 
 # Session commands (typed alone, any case, surrounding blanks ignored).
@@ -20,6 +23,9 @@ RESET_WORDS = ["reset"]
 # The whitespace that Python's str.strip() removes (ASCII part).
 STRIP_CLASS = "[ \\t\\n\\r\\f\\u000B]"
 
+# Kept rows of a segment that one window of a bounded history takes.
+BLOCK = 1024
+
 
 def strip_ws(c):
     return F.regexp_replace(c, f"^{STRIP_CLASS}+|{STRIP_CLASS}+$", "")
@@ -72,22 +78,44 @@ def conversation_history(conv: DataFrame, k: int | None = None, rules=HEALTH_RUL
     conv_id, turn, history (array of struct(turn, role, text) in turn order),
     history_len, history_text.
 
-    One window per (conversation, segment) in turn order; without ``k`` the
+    With ``k``, kept rows are numbered within their segment and cut into blocks
+    of positions with a halo of the ``k - 2`` kept rows before, so no window holds
+    a whole session; a turn takes the rows up to its last kept one by an equi-join.
+    Without ``k``, one window per (conversation, segment) in turn order: the
     output itself grows with the square of a segment's turns.
     """
     if k is not None and k < 1:
         raise ValueError("k must be >= 1")
     h = history_rows(conv, rules)
     me = F.struct(F.col("turn").cast("bigint").alias("turn"), F.col("role"), F.col("text"))
-    before = (Window.partitionBy("conv_id", "segment").orderBy("turn")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    h = h.withColumn("__prior", F.collect_list(F.when(F.col("kept"), me)).over(before)).where("target")
-    prior = F.col("__prior")
-    if k is not None:
-        size = F.least(F.size(prior), F.lit(k - 1))
-        prior = F.slice(prior, F.size(prior) - size + 1, size) if k > 1 else F.slice(prior, 1, 0)
-    out = h.select("conv_id", "turn", F.concat(prior, F.array(me)).alias("history"))
+    if k is None:
+        before = (Window.partitionBy("conv_id", "segment").orderBy("turn")
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        h = h.withColumn("__prior", F.collect_list(F.when(F.col("kept"), me)).over(before)).where("target")
+    elif k == 1:
+        h = h.where("target").withColumn("__prior", F.slice(F.array(me), 1, 0))
+    else:
+        h = _last_kept(h, conv, k - 1, me)
+    out = h.select("conv_id", "turn", F.concat("__prior", F.array(me)).alias("history"))
     return out.withColumns({
         "history_len": F.size("history").cast("long"),
         "history_text": F.array_join(F.transform("history", lambda m: F.concat(m["role"], F.lit(": "), m["text"])), "\n"),
     })
+
+
+def _last_kept(h: DataFrame, conv: DataFrame, n: int, me: Column) -> DataFrame:
+    """Target rows with ``__prior``, the last ``n`` kept rows of the segment before each."""
+    d = h.where(F.col("target") | F.col("kept")).withColumn("__kept", F.col("kept").cast("long"))
+    d = grouped_prefix_sums(d, "turn", ["__kept"], ["conv_id", "segment"], inclusive=False,
+                            n_buckets=-(-conv.count() // ROWS_PER_BUCKET) or 1)
+    d = stage_table(d.withColumn("__pos", F.col("cum___kept")).drop("__kept", "cum___kept", "total___kept"),
+                    "history-rows")
+    size = max(BLOCK, n)
+    block = lambda pos: F.floor(pos / F.lit(size))
+    own = block(F.col("__pos"))
+    halo = d.where("kept").withColumn("__block", F.explode(F.sequence(own, block(F.col("__pos") + n - 1))))
+    upto = Window.partitionBy("conv_id", "segment", "__block").orderBy("__pos").rowsBetween(1 - n, 0)
+    tails = (halo.withColumn("__prior", F.collect_list(me).over(upto)).where(F.col("__block") == own)
+             .select("conv_id", "segment", (F.col("__pos") + 1).alias("__pos"), "__prior"))
+    out = join_null_safe(d.where("target"), tails, ["conv_id", "segment", "__pos"], "left")
+    return out.withColumn("__prior", F.coalesce("__prior", F.slice(F.array(me), 1, 0)))

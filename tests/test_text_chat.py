@@ -147,6 +147,19 @@ def test_history_length_bounded_by_k(spark):
         assert h.where(F.element_at("history", -1)["turn"] != F.col("turn")).count() == 0
 
 
+def test_window_memory_is_bounded_in_a_long_session(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK", 8, raising=False)    # many blocks
+    rows = [(9, t, "user" if t % 2 == 0 else "assistant", None if t % 14 == 5 else f"m{t}") for t in range(400)]
+    conv = spark.createDataFrame(rows + [(None, 0, "user", "q"), *CONV], chat_schema())
+    whole = {(r["conv_id"], r["turn"]): r["history"] for r in chat.conversation_history(conv).collect()}
+    for k in (1, 2, 3, 12):
+        part = chat.conversation_history(conv, k)
+        assert {(r["conv_id"], r["turn"]): r["history"] for r in part.collect()} == {i: h[-k:] for i, h in whole.items()}
+    plan = chat.conversation_history(conv, 3)._jdf.queryExecution().optimizedPlan().toString()
+    lists = [line for line in plan.splitlines() if "collect_list" in line]
+    assert lists and not any("unboundedpreceding" in line.lower() for line in lists)
+
+
 def test_token_encode_cuts_after_tokenising_whole_text(spark):
     from lakelens.operators import text as tx
     long_doc = " ".join(["alpha"] * 200 + ["omega"] * 5)
