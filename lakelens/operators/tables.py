@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import join_null_safe, safe_div
-from ..functions.keys import exact_quantiles, md5_key
+from ..functions.keys import exact_quantiles
 
 
 # ---------------------------------------------------------------- cross-tabs
@@ -153,20 +153,13 @@ def kde(df: DataFrame, x: str, group_cols: list[str] | tuple = (), points: int =
 
 # ---------------------------------------------------------------- scatter etc.
 def scatter_pairs(df: DataFrame, pairs: list[tuple[str, str]], cls: str | None = None,
-                  budget: int | None = None, key_cols: list[str] | None = None, seed: int = 42) -> DataFrame:
-    """(pair, x, y, class) in long form; above ``budget`` points per pair a seeded
-    hash sample keeps about ``budget`` of them (the sampling is the feature)."""
+                  key_cols: list[str] | None = None) -> DataFrame:
+    """(pair, x, y, class) in long form, every row of each pair."""
     parts = F.array(*[F.struct(F.lit(f"{a}~{b}").alias("pair"), F.col(a).cast("double").alias("x"),
                                F.col(b).cast("double").alias("y")) for a, b in pairs])
     extra = [F.col(cls).alias("class")] if cls else []
     keys = [F.col(k) for k in (key_cols or [])]
     out = df.select(*keys, *extra, F.explode(parts).alias("p")).select(*[k for k in (key_cols or [])], *(["class"] if cls else []), "p.*")
-    if budget:
-        n = df.count()
-        if n > budget:
-            frac = budget / n
-            h = F.conv(F.substring(md5_key(*(key_cols or df.columns), seed=seed), 1, 8), 16, 10).cast("double") / 4294967296.0
-            out = out.where(h < frac)
     return out
 
 

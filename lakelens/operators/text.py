@@ -349,7 +349,7 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(f"({TOKEN_PATTERN})"), 1)
 
 
-def token_vocab(docs: DataFrame, text: str = "text", max_size: int | None = None) -> DataFrame:
+def token_vocab(docs: DataFrame, text: str = "text") -> DataFrame:
     """Token -> id ranked by (count desc, md5 of token); ids start after PAD/UNK.
 
     Counts are a partial-aggregated group-by; ranking over distinct tokens uses
@@ -360,8 +360,6 @@ def token_vocab(docs: DataFrame, text: str = "text", max_size: int | None = None
               .agg(F.count(F.lit(1)).alias("count"))
     cnt = stage_table(cnt, "token-counts")   # ranking reads it 4 times; tokenise once
     r = rank_by_value(cnt.withColumn("__k", F.md5("token")), "count", "__k", "rank", descending=True)
-    if max_size:
-        r = r.where(F.col("rank") <= max_size)
     return r.select("token", "count", (F.col("rank") + 1).alias("id")).drop("__k")
 
 

@@ -352,7 +352,7 @@ def q_huber_regression(spark, sf):
 def q_learning_curve(spark, sf):
     from pyspark.ml import Pipeline
     train, test = _houses(spark, sf)
-    m = Pipeline(stages=[fx.assemble_features(HOUSE_FEATURES), models.gbt_regression("log_price", iters=50)]).fit(train)
+    m = Pipeline(stages=[fx.assemble_features(HOUSE_FEATURES), models.gbt_regression("log_price", iters=200)]).fit(train)
     ev = models.learning_curve_gbt(m.stages[-1], m.stages[0].transform(test))
     return spark.createDataFrame([(i + 1, float(v)) for i, v in ev], "iteration int, test_loss double")
 

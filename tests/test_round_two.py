@@ -66,3 +66,21 @@ def test_history_is_whole(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     assert [r["history_len"] for r in chat.conversation_history(df).orderBy("turn").collect()] == list(range(1, 61, 2))
     assert max(r["history_len"] for r in chat.conversation_history(df, 3).collect()) == 3
+
+
+def test_no_size_switches_and_whole_learning_curve(spark, monkeypatch):
+    import inspect
+
+    from lakelens.operators import models, tables
+    from lakelens.plans import model_plans
+    assert "budget" not in inspect.signature(tables.scatter_pairs).parameters
+    assert "max_size" not in inspect.signature(text.token_vocab).parameters
+
+    class Asked(Exception):
+        pass
+
+    def fit(label, iters, **_):
+        raise Asked(iters)
+    monkeypatch.setattr(models, "gbt_regression", fit)
+    with pytest.raises(Asked, match="^200$"):
+        model_plans.q_learning_curve(spark, "/root/testdata/sf0.001")
