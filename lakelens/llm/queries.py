@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, lm, mixing, pii, quality, sharding, simhash, suffix, toxicity
+from . import (centroids, decontaminate, hnsw, licenses, lm, mixing, pii, quality, ranked, sharding, simhash, suffix,
+               toxicity)
 from .common import read_table
 
 
@@ -50,10 +51,25 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings")).drop("scans")
+
+
+def op13_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_balanced_shards, op2_simhash_components, op3_lm_scores, op4_license_scan,
         op5_quality_rules, op6_source_mix,
-        op7_suffix_dedup, op8_benchmark_leaks, op9_toxicity, op10_personal_data)}
+        op7_suffix_dedup, op8_benchmark_leaks, op9_toxicity, op10_personal_data,
+        op11_ranked_search, op12_centroid_clusters, op13_embedding_duplicates)}
 
-ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.oracle_sql(),
+                              "op11_ranked_search": ranked.oracle_sql(),
+                              "op12_centroid_clusters": centroids.oracle_sql()}
