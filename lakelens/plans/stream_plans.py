@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..streaming import chat as sc
+from ..streaming import turns
 from .registry import REGISTRY, register
 
 
@@ -30,11 +31,18 @@ def q_stream_safety_route(spark, sf):
 
 @register("stream_chat_state")
 def q_stream_chat_state(spark, sf):
+    """The table carries no arrival times, so all turns arrive at one instant; a
+    closing row far in the future then ends the waits and idle sessions."""
     from .text_plans import FIXTURE_RULES
-    s = _read(spark, sf, "conversations", sc.CONV_SCHEMA)
-    h = sc.stream_chat_history(s, None, FIXTURE_RULES)
     base = scratch_path(spark, f"stream-chat-{uuid.uuid4().hex}")
-    sc.run_available(h, base + "/out", base + "/ckpt")
+    schema = sc.CONV_SCHEMA + ", ts timestamp"
+    spark.sql("SELECT CAST(NULL AS LONG) AS conv_id, CAST(NULL AS LONG) AS turn, CAST(NULL AS STRING) AS role, "
+              "CAST(NULL AS STRING) AS text, TIMESTAMP '2999-01-01' AS ts").write.parquet(base + "/end")
+    s = _read(spark, sf, "conversations", sc.CONV_SCHEMA).withColumn("ts", F.lit("2000-01-01").cast("timestamp"))
+    s = s.unionByName(sc.read_stream(spark, base + "/end", schema))
+    s = s.withWatermark("ts", "1 minute").where("ts < TIMESTAMP '2900-01-01'")
+    with turns.rocksdb_state(spark):
+        sc.run_available(turns.stream_chat_turns(s, None, FIXTURE_RULES), base + "/out", base + "/ckpt")
     return spark.read.schema(sc.OUT_SCHEMA).parquet(base + "/out")
 
 
