@@ -208,30 +208,85 @@ def grouped_prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
                   *[f"__tot_{v}" for v in value_cols])
 
 
+# Rank error of the sketches is at most rows / SKETCH; a bracket reaches three
+# times as far.  Groups of at most SKETCH_ROWS rows need no bracket.
+SKETCH = 10_000
+SKETCH_ROWS = 20_000
+# Bracketed values (all groups) that one window per group may order.
+BRACKET_ROWS = 1_000_000
+# Groups whose brackets are broadcast; more are joined by a shuffle.
+BROADCAST_GROUPS = 50_000
+
+
+def sketch_aggs(value: Column, probs: list[float]) -> list[Column]:
+    """Count and quantile sketch of a group: the input of ``exact_quantiles(sketch=...)``."""
+    reach = 3.0 / SKETCH
+    at = [x for p in probs for x in (max(p - reach, 0.0), min(p + reach, 1.0))]
+    return [F.count(value).alias("__n"), F.percentile_approx(value, at, SKETCH).alias("__at")]
+
+
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
                     group_cols: list[str] | tuple = (), names: list[str] | None = None,
-                    n_buckets: int | None = None, stage: bool = True) -> DataFrame:
+                    n_buckets: int | None = None, sketch: DataFrame | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / DuckDB ``quantile_cont``).
 
-    Distributed: values are first reduced to distinct (group, value, count)
-    (a hot value collapses to one row), cumulative counts come from bucketed
-    prefix sums, and the two order statistics around each target position are
-    found by a join of (group, value bucket, target rank) against the covering
-    value: each target is first placed in its bucket from the small
-    (group, bucket) rank-range frame, so the big side of the join is keyed by
-    bucket as well and no task ever holds a whole group.  NULL values are
-    ignored.
+    Two passes.  The first merges a quantile sketch per group, which brackets
+    every wanted order statistic within a few rows / 10,000.  The second counts
+    the rows between the brackets and keeps only the values inside them, with
+    their counts; rows outside collapse to one row per gap and task before the
+    shuffle, so no table of distinct values is made.  What is left is small; if
+    it is not (many groups, ``BRACKET_ROWS``) its ranks come from bucketed prefix
+    sums instead of one window per group.  NULL values are ignored.
+
+    ``sketch``: the first pass made elsewhere (groups, ``sketch_aggs``).
     """
+    from ..session import stage_table
     group_cols = list(group_cols)
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     base = df.where(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("__v"))
-    dv = base.groupBy(*group_cols, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    if stage:
-        # the bucket sizing and the plan below read ``dv`` six times: derive it once
-        from ..session import stage_table
-        dv = stage_table(dv, "distinct-values")
-    cum = grouped_prefix_sums(dv, "__v", ["__c"], group_cols, inclusive=True, n_buckets=n_buckets,
-                              keep_bucket=True)
+    if sketch is None:
+        sketch = stage_table(base.groupBy(*group_cols).agg(*sketch_aggs(F.col("__v"), probs)), "quantile-sketch")
+    whole = F.col("__n") <= SKETCH_ROWS
+    reach = 3.0 / SKETCH
+    lows = [F.when(whole | F.lit(p - reach <= 0), F.lit(-math.inf)).otherwise(F.col("__at")[2 * i])
+            for i, p in enumerate(probs)]
+    highs = [F.when(whole | F.lit(p + reach >= 1), F.lit(math.nan)).otherwise(F.col("__at")[2 * i + 1])
+             for i, p in enumerate(probs)]         # NaN orders last
+    br = sketch.where(F.col("__n") > 0).select(*group_cols, *[c.alias(f"__lo{i}") for i, c in enumerate(lows)],
+                                               *[c.alias(f"__hi{i}") for i, c in enumerate(highs)])
+    small = not group_cols or sketch.count() <= BROADCAST_GROUPS
+    j = join_null_safe(base, br, group_cols, hint_broadcast=small and bool(group_cols), one_row=not group_cols)
+    inside, gap = F.lit(False), F.lit(0)
+    for i in range(len(probs)):
+        inside = inside | ((F.col("__v") >= F.col(f"__lo{i}")) & (F.col("__v") <= F.col(f"__hi{i}")))
+        gap = gap + (F.col("__v") > F.col(f"__hi{i}")).cast("int")
+    kept = j.select(*group_cols, "__v", F.when(inside, F.col("__v")).alias("__in"),
+                    F.when(inside, F.lit(-1)).otherwise(gap).alias("__gap"))
+    # one row per gap between brackets (its least value stands for it) or value inside
+    dv = kept.groupBy(*group_cols, "__gap", "__in").agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__v"))
+    dv = stage_table(dv.select(*group_cols, "__v", "__c"), "quantile-brackets")
+    if n_buckets is None and dv.count() <= BRACKET_ROWS:
+        cum = _group_sums(dv, group_cols)
+    else:
+        cum = grouped_prefix_sums(dv, "__v", ["__c"], group_cols, inclusive=True, n_buckets=n_buckets,
+                                  keep_bucket=True)
+    return _order_statistics(cum, probs, group_cols, names)
+
+
+def _group_sums(dv: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Running counts by value, one window per group (few rows, one bucket)."""
+    d = dv.withColumn("__bucket", F.lit(0.0))
+    w = Window.partitionBy(*group_cols, "__bucket").orderBy(_ordered("__v", True))
+    return d.withColumn("cum___c", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _order_statistics(cum: DataFrame, probs: list[float], group_cols: list[str], names: list[str]) -> DataFrame:
+    """Interpolated quantiles from (group, bucket, value, count, running count).
+
+    Each target rank is first placed in its bucket from the small (group,
+    bucket) rank ranges, so the join with the covering value is keyed by bucket
+    as well and no task holds a whole group.
+    """
     cum = cum.withColumn("__lo_rank", F.col("cum___c") - F.col("__c"))   # 0-based first rank
 
     # per group and prob: positions lo, hi (0-based) and interpolation weight

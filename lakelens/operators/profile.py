@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.common import FLOAT_TYPES, is_missing, numeric_columns, safe_div, string_columns
-from ..functions.keys import exact_quantiles
+from ..functions.keys import exact_quantiles, sketch_aggs
+from ..session import stage_table
 
 AGG_CHUNK = 200   # expressions per aggregate
 
@@ -68,15 +69,19 @@ def profile_describe(df: DataFrame, cols: list[str] | None = None, digits: int |
         F.struct(F.lit(c).alias("column"),
                  F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("x"))
         for c in cols])).alias("__r")).select("__r.*")
-    mom = long.groupBy("column").agg(
-        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), F.max("x").alias("max"))
+    probs = [0.25, 0.5, 0.75]
+    moments = [F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+               F.min("x").alias("min"), F.max("x").alias("max")]
     if approx:
+        mom = long.groupBy("column").agg(*moments)
         q = long.groupBy("column").agg(
             F.percentile_approx("x", [0.25, 0.5, 0.75], 100000).alias("__q")).select(
             "column", F.col("__q")[0].alias("q25"), F.col("__q")[1].alias("q50"), F.col("__q")[2].alias("q75"))
     else:
-        q = exact_quantiles(long, "x", [0.25, 0.5, 0.75], ["column"], names=["q25", "q50", "q75"])
+        # one row per column; the first pass of the quartiles rides along
+        mom = stage_table(long.groupBy("column").agg(*moments, *sketch_aggs(F.col("x"), probs)), "describe")
+        q = exact_quantiles(long, "x", probs, ["column"], names=["q25", "q50", "q75"],
+                            sketch=mom.select("column", "__n", "__at"))
     out = mom.join(q, "column", "left").select(
         "column", F.col("count").cast("long").alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max")
     if digits is not None:
