@@ -2,9 +2,8 @@
 
 Rows are ``(conv_id, turn, role, text)``.  The quit cut is a per-conversation
 min joined back, segments are bucketed prefix counts of resets, replies pair
-with their user turn by an equi-join on (conv_id, turn + 1).  A history of the
-last k turns is collected in blocks of positions, the whole history in one window
-per (conversation, segment) in turn order.
+with their user turn by an equi-join on (conv_id, turn + 1).  Histories are put
+together from blocks of rows, so no window or group holds a whole session.
 """
 
 from __future__ import annotations
@@ -72,7 +71,8 @@ def history_rows(conv: DataFrame, rules=HEALTH_RULES) -> DataFrame:
                     target.alias("target"), kept.alias("kept"))
 
 
-def conversation_history(conv: DataFrame, k: int | None = None, rules=HEALTH_RULES) -> DataFrame:
+def conversation_history(conv: DataFrame, k: int | None = None, rules=HEALTH_RULES,
+                         block: int = BLOCK) -> DataFrame:
     """For each passing user turn: the kept turns of its segment before it, then
     itself; with ``k``, the last ``k - 1`` of them (a window memory).  Output:
     conv_id, turn, history (array of struct(turn, role, text) in turn order),
@@ -81,17 +81,18 @@ def conversation_history(conv: DataFrame, k: int | None = None, rules=HEALTH_RUL
     With ``k``, kept rows are numbered within their segment and cut into blocks
     of positions with a halo of the ``k - 2`` kept rows before, so no window holds
     a whole session; a turn takes the rows up to its last kept one by an equi-join.
-    Without ``k``, one window per (conversation, segment) in turn order: the
-    output itself grows with the square of a segment's turns.
+    Without ``k``, the segment's rows are cut into blocks of ``block`` rows.  A
+    block's kept rows are collected once; the rows of all earlier blocks are
+    attached per block by an equi-join on the block number, and a window inside
+    the block adds what precedes each turn there.  The output itself grows with
+    the square of a segment's turns, the work before it by a ``block``-th of that.
     """
     if k is not None and k < 1:
         raise ValueError("k must be >= 1")
     h = history_rows(conv, rules)
     me = F.struct(F.col("turn").cast("bigint").alias("turn"), F.col("role"), F.col("text"))
     if k is None:
-        before = (Window.partitionBy("conv_id", "segment").orderBy("turn")
-                  .rowsBetween(Window.unboundedPreceding, -1))
-        h = h.withColumn("__prior", F.collect_list(F.when(F.col("kept"), me)).over(before)).where("target")
+        h = _all_kept(h, conv, block, me)
     elif k == 1:
         h = h.where("target").withColumn("__prior", F.slice(F.array(me), 1, 0))
     else:
@@ -103,6 +104,27 @@ def conversation_history(conv: DataFrame, k: int | None = None, rules=HEALTH_RUL
     })
 
 
+def _all_kept(h: DataFrame, conv: DataFrame, size: int, me: Column) -> DataFrame:
+    """Target rows with ``__prior``, all kept rows of the segment before each."""
+    d = h.where(F.col("target") | F.col("kept")).withColumn("__one", F.lit(1).cast("long"))
+    d = grouped_prefix_sums(d, "turn", ["__one"], ["conv_id", "segment"], inclusive=False,
+                            n_buckets=-(-conv.count() // ROWS_PER_BUCKET) or 1)
+    d = stage_table(d.withColumn("__block", F.floor(F.col("cum___one") / F.lit(size)))
+                    .drop("__one", "cum___one", "total___one"), "history-blocks")
+    keys = ["conv_id", "segment", "__block"]
+    inside = Window.partitionBy(*keys).orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    near = d.withColumn("__near", F.collect_list(F.when(F.col("kept"), me)).over(inside)).where("target")
+    # whole earlier blocks, once per later block of the segment
+    blocks = d.where("kept").groupBy(*keys).agg(F.sort_array(F.collect_list(me)).alias("__rows"))
+    later = (d.where(F.col("target") & (F.col("__block") > 0)).select(*keys).distinct()
+             .withColumn("__early", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__block") - 1))))
+    met = join_null_safe(later, blocks.withColumnRenamed("__block", "__early"), ["conv_id", "segment", "__early"])
+    far = met.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("__early", "__rows"))).alias("__far"))
+    far = far.withColumn("__far", F.flatten(F.transform("__far", lambda b: b["__rows"])))
+    out = join_null_safe(near, far, keys, "left")
+    return out.withColumn("__prior", F.concat(F.coalesce("__far", F.slice(F.array(me), 1, 0)), F.col("__near")))
+
+
 def _last_kept(h: DataFrame, conv: DataFrame, n: int, me: Column) -> DataFrame:
     """Target rows with ``__prior``, the last ``n`` kept rows of the segment before each."""
     d = h.where(F.col("target") | F.col("kept")).withColumn("__kept", F.col("kept").cast("long"))
