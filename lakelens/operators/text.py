@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .vectors import QUERY_ROWS, pivot_top_k
+
 # ------------------------------------------------------------------ fixed values
 # Safety keyword lists in priority order (emergency, self-harm,
 # prescription, diagnosis), matched as lower-case substrings.
@@ -397,26 +399,13 @@ def cosine(a: Column, b: Column) -> Column:
     return _dot(a, b) / (F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
 
 
-MAX_QUERIES = 10_000
-
-
-def collect_queries(queries: DataFrame, query_id: str = "query_id", qvec: str = "query_vec",
-                    max_queries: int = MAX_QUERIES) -> list[tuple]:
-    """Bring a query set to the driver after checking its size (it becomes literals)."""
-    rows = queries.select(query_id, qvec).limit(max_queries + 1).collect()
-    if len(rows) > max_queries:
-        raise ValueError(f"more than {max_queries} query vectors; split the query set")
-    return [(r[0], [float(x) for x in r[1]]) for r in rows]
-
-
 def vector_top_k(items: DataFrame, queries: list[tuple], k: int, item_id: str = "vec_id",
                  vec: str = "embedding", query_id: str = "query_id",
                  salt_buckets: int = 64, keep_query_vec: bool = False) -> DataFrame:
     """k nearest items per query by cosine similarity (ties -> smaller id).
 
-    ``queries`` is a small, size-checked list of (id, vector) (see
-    ``collect_queries``); it travels as a literal array with the plan, so no
-    join is needed.  Top-k runs in two phases: inside (query, salt) buckets,
+    ``queries`` is a short list of (id, vector) that travels as a literal array
+    with the plan; query sets in a table go to ``vector_top_k_frame``.  Top-k runs in two phases: inside (query, salt) buckets,
     then over the <= salt_buckets * k survivors, so one query never sorts the
     whole item table in one task.
     """
@@ -433,31 +422,10 @@ def vector_top_k(items: DataFrame, queries: list[tuple], k: int, item_id: str =
 
 
 def vector_top_k_frame(items: DataFrame, queries: DataFrame, k: int, query_id: str = "query_id",
-                       qvec: str = "query_vec", max_chunk: int = MAX_QUERIES, **kw) -> DataFrame:
-    """``vector_top_k`` for a query set of any size, exactly.
-
-    Up to ``max_chunk`` queries travel as literals in one plan.  A larger set
-    is cut into exact chunks of ``max_chunk`` by a distributed rank on
-    ``md5(query id)`` (stored once in the checkpoint folder); each chunk is one
-    bounded literal set and one pass over the items, and the results are
-    unioned.  No query is dropped and nothing unbounded reaches the driver.
-    """
-    from ..functions.keys import md5_key, rank_by_key
-    n = queries.count()
-    if n <= max_chunk:
-        return vector_top_k(items, collect_queries(queries, query_id, qvec, max_chunk), k,
-                            query_id=query_id, **kw)
-    q = queries.select(query_id, qvec).withColumn("__qk", md5_key(query_id, seed="chunk"))
-    q = rank_by_key(q, "__qk", rank_col="__qr", small_groups=True)
-    q = q.withColumn("__chunk", F.floor((F.col("__qr") - 1) / F.lit(max_chunk))).drop("__qk", "__qr")
-    q = q.checkpoint(eager=True)
-    parts = [vector_top_k(items, collect_queries(q.where(F.col("__chunk") == i), query_id, qvec, max_chunk),
-                          k, query_id=query_id, **kw)
-             for i in range(math.ceil(n / max_chunk))]
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+                       qvec: str = "query_vec", max_chunk: int = QUERY_ROWS, **kw) -> DataFrame:
+    """Top-k for a query set of any size, as rows (``vectors.pivot_top_k``);
+    ``max_chunk`` queries meet a part of a cell in one group."""
+    return pivot_top_k(items, queries, k, query_id=query_id, qvec=qvec, query_rows=max_chunk, **kw)
 
 
 def mmr_select(cands: DataFrame, k: int, lambda_mult: float = 0.5, query_id: str = "query_id",
