@@ -11,6 +11,7 @@ identifier stays beside the whole.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import unicodedata
@@ -23,9 +24,14 @@ from .common import id_type
 
 KINDS = ("email", "ip", "card", "phone")
 
-# Patterns of the contract (fixed values).
+# Patterns of the contract (fixed values).  Plain searches for EMAIL and IP try
+# again from every character of a long run, so ``detect`` finds the same matches
+# from their anchors instead; CARD and PHONE never read a character twice.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -41,14 +47,24 @@ _digit = "(?:" + "|".join(DIGITS) + ")"
 SPELLED = re.compile(rf"(?i)\b(?:plus[ -]+)?(?:{_digit}|[0-9])(?:[ ,.-]+(?:{_digit}|[0-9]+)){{6,}}\b")
 WORDY = re.compile(rf"{_digit}[ ,.-]+(?:{_digit}|[0-9])")        # on lower-case text
 DIGIT_WORD = re.compile(rf"(?i)\b(?:{_digit}|plus)\b")
-# name [at] host [dot] tld, with brackets, or plain words " at " ... " dot "
-_open, _close = r"\s*[\[({<]\s*", r"\s*[\])}>]\s*"
-BRACKET_AT = re.compile(rf"(?i){_open}(?:at|@){_close}")
-BRACKET_DOT = re.compile(rf"(?i){_open}(?:dot|\.){_close}")
-PLAIN_AT = re.compile(r"(?i)(?<![\w.%+-])[\w.%+-]+(\s+at\s+)[\w-]+(?:\s+dot\s+[\w-]+)+(?!\w)")
-PLAIN_DOT = re.compile(r"(?i)\s+dot\s+")
+# name [at] host [dot] tld: the bracketed words, blanks around them added by hand
+BRACKET_AT = re.compile(r"(?i)[\[({<]\s*(?:at|@)\s*[\])}>]")
+BRACKET_DOT = re.compile(r"(?i)[\[({<]\s*(?:dot|\.)\s*[\])}>]")
 BRACKETED = re.compile(r"[\[({<]\s*(?:at|dot|@|\.)\s*[\])}>]")   # on lower-case text
 DOT_WORD = re.compile(r"\sdot\s")
+AT_HOST = re.compile(r"\sat\s+[\w-]+\.")
+# the signs between name and host, and what may follow them
+AT = re.compile(r"(?i)@|(?<=[\w.%+-])\s+at\s+(?=\w)")
+LABELS = re.compile(r"(?i)[\w-]+(?:(?:\.|\s+dot\s+)[\w-]+)*")
+LABEL_DOT = re.compile(r"(?i)(?<!\s)\s+dot\s+")
+NAME = re.compile(r"[\w.%+-]")
+VISIBLE = re.compile(r"\S")
+# a plain " at " before a host written with real dots counts under these endings (fixed values)
+ENDINGS = {"com", "org", "net", "edu", "gov", "int", "info", "biz", "io", "co", "eu", "de", "fr", "es", "it", "nl",
+           "uk", "us", "ca", "au", "ch", "at", "be", "pl", "se", "in", "jp", "cn", "br", "ru", "app", "dev"}
+_number = rf"(?:{_digit}|[0-9]{{1,3}})(?:[ ,-]+(?:{_digit}|[0-9]))" + "{0,2}"
+SPELLED_IP = re.compile(rf"(?i)\b{_number}(?:\s+dot\s+{_number}){{3}}\b")
+SPELLED_DOT = re.compile(rf"{_digit}\s+dot\s+(?:{_digit}|[0-9])|[0-9]\s+dot\s+(?:{_digit}|[0-9])")   # on lower-case text
 
 
 def luhn(digits: str) -> bool:
@@ -59,14 +75,40 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str):
+    """Spans of EMAIL's leftmost non-overlapping matches, in linear time: a match
+    starts where the run of name characters before an @ starts."""
+    done, prev, at = 0, 0, text.find("@")
+    while at >= 0:
+        if at >= done:
+            left = text[max(done, prev):at]
+            name = len(left) - len(left.rstrip(LOCAL))
+            host = HOST.match(text, at + 1) if name else None
+            if host:
+                yield at - name, host.end()
+                done = host.end()
+        prev = at + 1
+        at = text.find("@", prev)
+
+
+def _ips(text: str):
+    """Spans of IP's matches: every four numbers of a dotted run, from its start."""
+    for run in NUMBERS.finditer(text):
+        if run[0].count(".") >= 3:
+            parts, at = run[0].split("."), run.start()
+            for i in range(0, len(parts) - 3, 4):
+                four = parts[i:i + 4]
+                end = at + sum(map(len, four)) + 3
+                yield at, end, four
+                at = end + 1
+
+
 def detect(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end): leftmost non-overlapping matches of each kind that pass its check."""
-    out = []
-    if "@" in text:
-        out += [(0, *m.span()) for m in EMAIL.finditer(text)]
-    for m in IP.finditer(text) if "." in text else ():
-        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
-            out.append((1, *m.span()))
+    out = [(0, a, b) for a, b in _emails(text)]
+    for a, b, four in _ips(text) if "." in text else ():
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in four):
+            out.append((1, a, b))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 14:
             digits = m[0].replace(" ", "").replace("-", "")
@@ -117,6 +159,18 @@ def _fold_letters(t: Tape) -> None:
 
 
 def _fold_digits(t: Tape) -> None:
+    edits = []
+    for run in SPELLED_IP.finditer(t.text):
+        for m in re.finditer(r"\w+|[^\w]+", run[0]):
+            a, b = run.start() + m.start(), run.start() + m.end()
+            word = m[0].lower()
+            if word in DIGITS:
+                edits.append((a, b, DIGITS[word]))
+            elif word == "dot":
+                edits.append((a, b, "."))
+            elif not m[0][0].isalnum():
+                edits.append((a, b, ""))
+    t.rewrite(edits)
     edits = []
     for run in SPELLED.finditer(t.text):
         if not DIGIT_WORD.search(run[0]):
@@ -133,18 +187,69 @@ def _fold_digits(t: Tape) -> None:
     t.rewrite(edits)
 
 
+def _with_blanks(text: str, a: int, b: int, done: int) -> tuple[int, int]:
+    """The span with the blanks around it, not before ``done``."""
+    m = VISIBLE.search(text, b)
+    return _skip_blanks(text, done, a), m.start() if m else len(text)
+
+
+def _skip_blanks(text: str, done: int, at: int) -> int:
+    while at > done and text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def _name_dots(text: str, done: int, end: int) -> tuple[int, list[tuple[int, int]]]:
+    """Start of the name that ends at ``end`` (not before ``done``) and the
+    spelled dots in it."""
+    dots = []
+    at = end
+    while True:
+        start = at
+        while start > done and NAME.match(text[start - 1]):
+            start -= 1
+        if start == at:                     # a dot word without a name before it: not part of the name
+            return (dots.pop()[1], dots) if dots else (end, [])
+        left = _skip_blanks(text, done, start)
+        word = text[max(done, left - 3):left]
+        before = left - 3
+        if left == start or word.lower() != "dot" or before <= done or not text[before - 1].isspace():
+            return start, dots
+        name_end = _skip_blanks(text, done, before)
+        dots.append((name_end, start))
+        at = name_end
+
+
 def _fold_disguises(t: Tape) -> None:
     for pattern, plain in ((BRACKET_AT, "@"), (BRACKET_DOT, ".")):
-        t.rewrite([(*m.span(), plain) for m in pattern.finditer(t.text)])
-    edits = []
-    for m in PLAIN_AT.finditer(t.text):
-        edits.append((*m.span(1), "@"))
-        edits += [(m.end(1) + d.start(), m.end(1) + d.end(), ".")
-                  for d in PLAIN_DOT.finditer(t.text[m.end(1):m.end()])]
+        edits, done = [], 0
+        for m in pattern.finditer(t.text):
+            a, b = _with_blanks(t.text, *m.span(), done)
+            edits.append((a, b, plain))
+            done = b
+        t.rewrite(edits)
+    edits, done = [], 0
+    for m in AT.finditer(t.text):
+        if m.start() < done:
+            continue
+        host = LABELS.match(t.text, m.end())
+        if not host:
+            continue
+        start, dots = _name_dots(t.text, done, m.start())
+        if start == m.start():
+            continue
+        spelled = list(LABEL_DOT.finditer(host[0]))
+        last = re.split(r"(?i)\.|\s+dot\s+", host[0])
+        if m[0] != "@" and not (len(last) > 1 and (spelled or last[-1].lower() in ENDINGS)):
+            continue                        # "at" as a plain word
+        done = host.end()
+        if m[0] == "@" and not spelled and not dots:
+            continue
+        edits += [(a, b, ".") for a, b in reversed(dots)]
+        if m[0] != "@":
+            edits.append((*m.span(), "@"))
+        edits += [(host.start() + d.start(), host.start() + d.end(), ".") for d in spelled]
     t.rewrite(edits)
-    if "@" in t.text:       # user@host dot com
-        t.rewrite([(*d.span(1), ".") for d in re.finditer(r"(?i)(?<=\w)(\s+dot\s+)(?=\w)", t.text)
-                   if "@" in t.text[max(0, d.start() - 80):d.start()].rsplit(None, 1)[-1]])
 
 
 def spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -155,8 +260,8 @@ def spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     # cheap tests first: most texts have no trace of a disguise
     low = text.lower()
     odd = not text.isascii() and ODD.search(text)
-    spelled = any(w in low for w in DIGITS) and WORDY.search(low)
-    disguised = BRACKETED.search(low) or ("dot" in low and DOT_WORD.search(low))
+    spelled = (any(w in low for w in DIGITS) and WORDY.search(low)) or ("dot" in low and SPELLED_DOT.search(low))
+    disguised = BRACKETED.search(low) or ("dot" in low and DOT_WORD.search(low)) or AT_HOST.search(low)
     if not (odd or spelled or disguised):
         return base, base
     t = Tape(text)
@@ -169,9 +274,11 @@ def spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     if t.text == text:
         return base, base
     found = list(base)
+    own = [[(a, b) for k, a, b in base if k == kind] for kind in range(len(KINDS))]
     for kind, a, b in detect(t.text):
         a, b = t.begin[a], t.end[b - 1]
-        if not any(k == kind and s <= a and b <= e for k, s, e in base):
+        i = bisect.bisect_right(own[kind], (a, len(text) + 1)) - 1      # the last base span that starts by a
+        if i < 0 or own[kind][i][1] < b:
             found.append((kind, a, b))
     return base, sorted(found, key=order)
 
@@ -186,7 +293,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     (those that only the normalised copy shows).
 
     NULL and empty texts have no span.  Offsets count code points; the end is
-    exclusive.
+    exclusive.  Rows that repeat an id or have none are rows of their own.  A
+    text is read whole, in time proportional to its length.
     """
     def run(batches):
         for b in batches:
