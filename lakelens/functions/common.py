@@ -76,3 +76,18 @@ def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str
         e = F.col(c).eqNullSafe(F.col(ren[c]))
         cond = e if cond is None else cond & e
     return left.join(r, cond, how).drop(*ren.values())
+
+
+# Rows of a per-group statistics frame that are broadcast; beyond, the join shuffles.
+BROADCAST_GROUPS = 50_000
+
+
+def join_stats(rows: DataFrame, stats: DataFrame, cols: list[str], name: str = "group-stats") -> DataFrame:
+    """Attach per-group statistics to the group's rows.  The statistics are
+    written once; if they are few (counted), they are broadcast, so that rows of
+    a hot group are not gathered on its key."""
+    if not cols:
+        return join_null_safe(rows, stats, cols, one_row=True)
+    from ..session import stage_table
+    stats = stage_table(stats, name)
+    return join_null_safe(rows, stats, cols, hint_broadcast=stats.count() <= BROADCAST_GROUPS)

@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col_of, join_null_safe
+from .common import BROADCAST_GROUPS, col_of, join_null_safe
 
 # Hex digits of the md5 key used as bucket: 16**4 = 65,536 buckets at most.
 MD5_PREFIX = 4
@@ -214,8 +214,6 @@ SKETCH = 10_000
 SKETCH_ROWS = 20_000
 # Bracketed values (all groups) that one window per group may order.
 BRACKET_ROWS = 1_000_000
-# Groups whose brackets are broadcast; more are joined by a shuffle.
-BROADCAST_GROUPS = 50_000
 
 
 def sketch_aggs(value: Column, probs: list[float]) -> list[Column]:

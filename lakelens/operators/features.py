@@ -10,6 +10,8 @@ both save and load inside a PipelineModel.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.common import FLOAT_TYPES
+from ..session import stage_table
 
 
 class _HasValues(Params):
@@ -175,6 +178,57 @@ def text_tfidf_stages(text: str = "text", out: str = "features", vocab_size: int
     return [tok, tf, IDF(inputCol="__tf", outputCol=out)]
 
 
+def tfidf_vocabulary(train: DataFrame, text: str = "text") -> DataFrame:
+    """Every token of the training texts: token, idx (0-based, by document count
+    descending, then md5), docs, idf = ln((n + 1) / (docs + 1)).
+
+    Ranks come from the bucketed global rank, so no task sorts the vocabulary
+    and no token is hashed away or cut."""
+    from ..functions.keys import rank_by_value
+    from .text import tokens
+    n = train.count()
+    df = train.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("token")).groupBy("token") \
+        .agg(F.count(F.lit(1)).alias("docs"))
+    df = stage_table(df, "tfidf-docs")
+    r = rank_by_value(df.withColumn("__k", F.md5("token")), "docs", "__k", "rank", descending=True)
+    idf = F.log(F.lit(float(n + 1)) / (F.col("docs") + 1))
+    return stage_table(r.select("token", (F.col("rank") - 1).cast("int").alias("idx"), "docs", idf.alias("idf")),
+                       "tfidf-vocabulary")
+
+
+def tfidf_weights(docs: DataFrame, vocab: DataFrame, row: str, text: str = "text") -> DataFrame:
+    """One row per (``row``, known token): token, idx, tf, weight = tf * idf.
+    Tokens are counted per row before they meet the vocabulary."""
+    from .text import tokens
+    tf = docs.select(row, F.explode(tokens(F.col(text))).alias("token")).groupBy(row, "token") \
+        .agg(F.count(F.lit(1)).alias("tf"))
+    return tf.join(vocab.select("token", "idx", "idf"), "token") \
+        .select(row, "token", "idx", "tf", (F.col("tf") * F.col("idf")).alias("weight"))
+
+
+def tfidf_vectors(docs: DataFrame, vocab: DataFrame, text: str = "text", out: str = "features") -> DataFrame:
+    """``docs`` with a sparse vector of all its known tokens (empty text: no entry).
+
+    The parts of each vector are collected per row in index order and stored as
+    the vector type's own struct; reading the file back with the vector type in
+    the schema makes them vectors, without Python."""
+    from pyspark.ml.linalg import VectorUDT
+
+    from ..session import scratch_path
+    spark = docs.sparkSession
+    rows = stage_table(docs.withColumn("__row", F.monotonically_increasing_id()), "tfidf-rows")
+    parts = tfidf_weights(rows, vocab, "__row", text).groupBy("__row") \
+        .agg(F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("__e"))
+    size = vocab.count()
+    none = F.array().cast("array<struct<idx:int,weight:double>>")
+    e = F.coalesce(F.col("__e"), none)
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                      F.transform(e, lambda x: x["idx"]).alias("indices"), F.transform(e, lambda x: x["weight"]).alias("values"))
+    path = scratch_path(spark, f"tfidf-vectors-{uuid.uuid4().hex}")
+    rows.join(parts, "__row", "left").select(*docs.columns, vector.alias(out)).write.parquet(path)
+    return spark.read.schema(T.StructType([*docs.schema.fields, T.StructField(out, VectorUDT())])).parquet(path)
+
+
 # ------------------------------------------------------------------ images
 IMAGE_FEATURES = ["mean_b", "mean_g", "mean_r", "std_b", "std_g", "std_r"]
 

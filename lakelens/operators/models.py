@@ -8,10 +8,12 @@ shipped with the plan).  Metrics come from the exact aggregates in
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -50,15 +52,15 @@ def logistic_regression(n_train: int, C: float = 1.0, penalty: str = "l2", label
                               elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False)
 
 
-def decision_tree(label="label", features="features", depth=5, seed=42) -> DecisionTreeClassifier:
-    """Depth 5, gini.  Spark has no min-samples-to-split; minInstancesPerNode=5
-    (rows per child) is the nearest rule and is a stated difference."""
+def decision_tree(label="label", features="features", depth=5, seed=42, max_bins=32) -> DecisionTreeClassifier:
+    """Depth 5, gini, grown freely; ``trees.prune_min_split`` then applies the
+    minimum of rows to split a node, which Spark's tree does not have."""
     return DecisionTreeClassifier(labelCol=label, featuresCol=features, maxDepth=depth, impurity="gini",
-                                  minInstancesPerNode=5, seed=seed)
+                                  minInstancesPerNode=1, maxBins=max_bins, seed=seed)
 
 
-def rf_classifier(label="label", features="features", trees=200, depth=20, seed=42) -> RandomForestClassifier:
-    """200 trees, sqrt features; 'unlimited' depth capped at 20 (Spark allows 30)."""
+def rf_classifier(label="label", features="features", trees=200, depth=30, seed=42) -> RandomForestClassifier:
+    """200 trees, sqrt features; 'unlimited' depth is Spark's largest, 30."""
     return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth,
                                   featureSubsetStrategy="sqrt", seed=seed)
 
@@ -79,7 +81,36 @@ def text_classifier(n_classes: int, label="label", features="features") -> Logis
                               regParam=1e-3)
 
 
+def gbt_classifier(label="label", features="features", iters=200, depth=3, step=0.1, seed=42) -> GBTClassifier:
+    return GBTClassifier(labelCol=label, featuresCol=features, maxIter=iters, maxDepth=depth, stepSize=step, seed=seed)
+
+
 # ------------------------------------------------------------------ tuning
+class MetricEvaluator(Evaluator):
+    """A metric of this library as an ML evaluator, so model selection scores
+    with it: ``fn`` takes the scored rows (with ``p1``, the class-1 probability,
+    where the model gives one) and returns a one-value frame.  A NULL metric
+    (AUC of one class) counts as the worst value."""
+
+    def __init__(self, fn, larger: bool = True):
+        super().__init__()
+        self.fn, self.larger = fn, larger
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        scored = predict_proba(dataset) if "probability" in dataset.columns else dataset
+        got = self.fn(scored).first()[0]
+        return float(got) if got is not None else (-math.inf if self.larger else math.inf)
+
+    def isLargerBetter(self) -> bool:
+        return self.larger
+
+
+def exact_auc(label: str = "label") -> MetricEvaluator:
+    """The exact ROC AUC, ties counted half."""
+    from .metrics import roc_auc
+    return MetricEvaluator(lambda d: roc_auc(d, label, "p1"))
+
+
 def auc_evaluator(label="label", raw="rawPrediction") -> BinaryClassificationEvaluator:
     """Exact AUC (numBins=0: no curve down-sampling)."""
     return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC",
@@ -98,13 +129,16 @@ def grid_search(stages: list, lr: LogisticRegression, n_train: int, Cs: list[flo
                           parallelism=parallelism, collectSubModels=False)
 
 
-def grid_search_by_fold(stages: list, lr: LogisticRegression, param_maps: list, train: DataFrame,
+def grid_search_by_fold(stages: list, lr, param_maps: list, train: DataFrame,
                         fold_col: str = "fold", label: str = "label", n_folds: int = 5,
-                        parallelism: int = 4) -> dict:
+                        parallelism: int = 4, evaluator: Evaluator | None = None) -> dict:
     """The same search as ``grid_search`` with the feature stages fitted once
     per fold instead of once per (fold, grid point): they do not depend on the
     grid, so refitting them for every point only repeats identical jobs.
 
+    ``lr``: any estimator (logistic, tree, forest); ``evaluator``: any, ML's AUC
+    by default, ``MetricEvaluator`` for the library's own metrics.
+
     Per fold: fit ``stages`` on the other folds, transform both sides, fit every
     grid point on the transformed rows and score AUC on the held-out fold.
     Grid points of a fold are fitted ``parallelism`` at a time (concurrent
@@ -115,7 +149,7 @@ def grid_search_by_fold(stages: list, lr: LogisticRegression, param_maps: list,
     from concurrent.futures import ThreadPoolExecutor
 
     import numpy as np
-    ev = auc_evaluator(label)
+    ev = evaluator or auc_evaluator(label)
     feats = lr.getFeaturesCol()
     scores = np.zeros((len(param_maps), n_folds))
     for f in range(n_folds):
@@ -129,9 +163,9 @@ def grid_search_by_fold(stages: list, lr: LogisticRegression, param_maps: list,
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             scores[:, f] = list(pool.map(score, param_maps))
     avg, std = scores.mean(axis=1), scores.std(axis=1)
-    best = int(np.argmax(avg))
+    best = int(np.argmax(avg if ev.isLargerBetter() else -avg))
     model = Pipeline(stages=stages + [lr.copy(param_maps[best])]).fit(train)
-    return {"avg": avg.tolist(), "std": std.tolist(), "best_index": best,
+    return {"folds": scores.tolist(), "avg": avg.tolist(), "std": std.tolist(), "best_index": best,
             "best_params": param_maps[best], "model": model}
 
 
@@ -180,23 +214,5 @@ def feature_importance(model, names: list[str]) -> list[tuple[str, float]]:
     return sorted(zip(names, vals), key=lambda t: (-t[1], t[0]))
 
 
-def tree_nodes(spark, model, path: str) -> DataFrame:
-    """A fitted tree as a node table (id, prediction, impurity, gain, children,
-    split feature and threshold), read from the saved model's data files."""
-    model.write().overwrite().save(path)
-    d = spark.read.parquet(path + "/data")
-    return d.select("id", "prediction", "impurity", "gain", "leftChild", "rightChild",
-                    F.col("split.featureIndex").alias("feature"),
-                    F.get(F.col("split.leftCategoriesOrThreshold"), 0).alias("threshold"))
-
-
-def learning_curve_lr(model) -> list[tuple[int, float]]:
-    return list(enumerate(model.summary.objectiveHistory))
-
-
-def learning_curve_gbt(model, df: DataFrame, loss: str = "squared") -> list[tuple[int, float]]:
-    return list(enumerate(model.evaluateEachIteration(df, loss)))
-
-
 def fit_pipeline(stages: list, df: DataFrame) -> PipelineModel:
     return Pipeline(stages=stages).fit(df)

@@ -16,7 +16,7 @@ from ..functions.common import FLOAT_TYPES, is_missing, numeric_columns, safe_di
 from ..functions.keys import exact_quantiles, sketch_aggs
 from ..session import stage_table
 
-AGG_CHUNK = 200   # expressions per aggregate
+AGG_CHUNK = 200   # pairs of columns in one aggregate
 
 
 def profile_shape(df: DataFrame) -> DataFrame:
@@ -142,19 +142,17 @@ def _pair_corr(a: str, b: str):
 
 
 def corr_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Pearson r for all pairs, long form (col_a, col_b, i, j, r), mirrored, with diagonal."""
+    """Pearson r for all pairs, long form (col_a, col_b, i, j, r), mirrored, with
+    diagonal.  Few columns: one aggregate; more pairs than one aggregate takes: ``corr_wide``."""
     cols = cols or numeric_columns(df)
+    if len(cols) * (len(cols) + 1) // 2 > AGG_CHUNK:
+        from .gram import corr_wide
+        return corr_wide(df, cols)
     d = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     pairs = [(i, j) for i, j in combinations(range(len(cols)), 2)] + [(i, i) for i in range(len(cols))]
-    parts = []
-    for start in range(0, len(pairs), AGG_CHUNK):
-        chunk = pairs[start:start + AGG_CHUNK]
-        row = d.agg(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
-                                       _pair_corr(cols[i], cols[j]).alias("r")) for i, j in chunk]).alias("a"))
-        parts.append(row.select(F.explode("a").alias("p")).select("p.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    row = d.agg(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
+                                   _pair_corr(cols[i], cols[j]).alias("r")) for i, j in pairs]).alias("a"))
+    out = row.select(F.explode("a").alias("p")).select("p.*")
     mirrored = out.where(F.col("i") != F.col("j")).select(F.col("j").alias("i"), F.col("i").alias("j"), "r")
     full = out.unionByName(mirrored)
     names = F.array(*[F.lit(c) for c in cols])

@@ -9,11 +9,14 @@ from a one-task window or a driver-side list of ids.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import join_null_safe
-from ..functions.keys import md5_key, rank_by_key, rank_by_value
+from ..functions.common import BROADCAST_GROUPS, join_null_safe
+from ..functions.keys import MD5_PREFIX, md5_key, prefix_sums, rank_by_key, rank_by_value
+from ..session import stage_table
 
 KEY = "__key"
 
@@ -45,31 +48,71 @@ def random_split(df: DataFrame, key_cols: list[str], test_size: float = 0.2, see
     return r.withColumn(out, F.when(F.col("__r") <= quota, "test").otherwise("train")).drop(KEY, "__r", "__n")
 
 
+# Classes up to which per-class frames are broadcast (their md5 buckets: 65,536 a class).
+BROADCAST_CLASSES = 16
+
+
+def _label_rank(rows: DataFrame, label: str, cuts: int = 64) -> DataFrame:
+    """1-based rank (``__pos``) of distinct ``label`` values in ascending order, NULL first.
+
+    Cut points are the sorted labels of a fixed hash sample (at most ``cuts``);
+    counts between them give offsets and a window ranks inside each range."""
+    sample = [r[0] for r in rows.where(F.col(label).isNotNull()).select(label)
+              .orderBy(F.xxhash64(label)).limit(cuts).collect()]
+    kind = rows.schema[label].dataType
+    marks = F.array(*[F.lit(x).cast(kind) for x in sorted(sample)])
+    bucket = F.when(F.col(label).isNull(), F.lit(-1)).otherwise(
+        F.size(F.filter(marks, lambda m: m <= F.col(label))) if sample else F.lit(0))
+    d = rows.withColumn("__b", bucket)
+    n = d.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))          # at most cuts + 2 rows
+    off = n.withColumn("__off", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
+    w = Window.partitionBy("__b").orderBy(label)
+    return d.join(F.broadcast(off), "__b").withColumn("__pos", F.row_number().over(w) + F.col("__off")).drop("__b", "__off")
+
+
 def class_quotas(df: DataFrame, label: str, test_size: float = 0.2) -> DataFrame:
     """Per class: n and test quota.  Train sizes are the largest-remainder
     allocation of ``n - ceil(test_size * n)`` (ties -> smaller label); test
     takes the rest, as scikit-learn's stratified shuffle split does.
-    Works on the small per-class frame only."""
-    cc = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    q = cc.withColumn("__n", cc.select(F.sum("n_class")).scalar())    # totals: scalar subqueries
-    q = q.withColumn("__ntrain", F.col("__n") - F.ceil(F.col("__n").cast("double") * F.lit(test_size)))
+
+    The classes that get one more are found by a threshold: classes are counted
+    by remainder, running counts place the remainder at which the spare rows end
+    (all larger ones get one), and only the classes at it are ranked by label.
+    No step holds all classes in one task.
+    """
+    cc = stage_table(df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class")), "class-counts")
+    total = cc.agg(F.sum("n_class")).first()[0] or 0
+    n_train = total - math.ceil(total * test_size)
     # exact integers: the product passes int64 from about 3e9 rows on
-    num = "(cast(__ntrain as decimal(19,0)) * cast(n_class as decimal(19,0)))"
-    q = q.withColumn("__fl", F.expr(f"{num} div cast(__n as decimal(19,0))").cast("long")) \
-         .withColumn("__rem", F.expr(f"{num} % cast(__n as decimal(19,0))").cast("long"))
-    q = q.withColumn("__left", F.col("__ntrain") - q.select(F.sum("__fl")).scalar())
-    q = q.withColumn("__ord", F.row_number().over(Window.orderBy(F.desc("__rem"), F.col(label))))
-    q = q.withColumn("n_train", F.col("__fl") + F.when(F.col("__ord") <= F.col("__left"), 1).otherwise(0))
-    return q.select(label, "n_class", "n_train", (F.col("n_class") - F.col("n_train")).alias("n_test"))
+    num = f"(cast({n_train} as decimal(19,0)) * cast(n_class as decimal(19,0)))"
+    den = f"cast({max(total, 1)} as decimal(19,0))"
+    q = cc.withColumn("__fl", F.expr(f"{num} div {den}").cast("long")) \
+          .withColumn("__rem", F.expr(f"{num} % {den}").cast("long"))
+    left = n_train - (q.agg(F.sum("__fl")).first()[0] or 0)
+    by_rem = stage_table(q.groupBy("__rem").agg(F.count(F.lit(1)).alias("__k")), "class-remainders")
+    at = prefix_sums(by_rem, "__rem", ["__k"], ascending=False, inclusive=False) \
+        .where((F.col("cum___k") < left) & (F.col("cum___k") + F.col("__k") >= left)).select("__rem", "cum___k").first()
+    cut, spare = (at["__rem"], left - at["cum___k"]) if at else (None, 0)
+    if cut is None:
+        more = q.withColumn("__more", F.lit(0))
+    else:
+        tied = _label_rank(q.where(F.col("__rem") == cut), label)
+        tied = tied.withColumn("__more", (F.col("__pos") <= spare).cast("int")).drop("__pos")
+        more = q.where(F.col("__rem") != cut).withColumn("__more", (F.col("__rem") > cut).cast("int")).unionByName(tied)
+    out = more.withColumn("n_train", F.col("__fl") + F.col("__more"))
+    return out.select(label, "n_class", "n_train", (F.col("n_class") - F.col("n_train")).alias("n_test"))
 
 
 def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_size: float = 0.2,
                      seed: int = 42, out: str = "part") -> DataFrame:
     """Same class ratio in both parts, exact quotas; rows ranked by key inside each
-    class (spread over md5 buckets, so a big class is many tasks)."""
-    q = class_quotas(df, label, test_size)
-    r = rank_by_key(with_key(df, key_cols, seed), KEY, [label], rank_col="__r")
-    j = join_null_safe(r, q.select(label, "n_test"), [label], hint_broadcast=True)  # one row per class
+    class (spread over md5 buckets, so a big class is many tasks).  Per-class
+    frames are broadcast only if the classes, counted, are few."""
+    q = stage_table(class_quotas(df, label, test_size), "class-quotas")
+    few = q.count()
+    r = rank_by_key(with_key(df, key_cols, seed), KEY, [label], rank_col="__r", small_groups=few <= BROADCAST_CLASSES)
+    j = join_null_safe(r, q.select(label, "n_test"), [label], hint_broadcast=few <= BROADCAST_GROUPS)
     return j.withColumn(out, F.when(F.col("__r") <= F.col("n_test"), "test").otherwise("train")) \
             .drop(KEY, "__r", "n_test")
 
@@ -77,7 +120,8 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_size:
 def stratified_folds(df: DataFrame, label: str, key_cols: list[str], k: int = 5, seed: int = 42,
                      out: str = "fold") -> DataFrame:
     """fold = (rank inside class by key - 1) mod k: class-balanced, sizes differ by <= 1."""
-    r = rank_by_key(with_key(df, key_cols, seed), KEY, [label], rank_col="__r")
+    few = df.select(label).distinct().limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES
+    r = rank_by_key(with_key(df, key_cols, seed), KEY, [label], rank_col="__r", small_groups=few)
     return r.withColumn(out, ((F.col("__r") - 1) % k).cast("int")).drop(KEY, "__r")
 
 

@@ -12,8 +12,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import join_null_safe, safe_div
+from ..functions.common import join_null_safe, join_stats, safe_div
 from ..functions.keys import exact_quantiles
+from ..session import stage_table
 
 
 # ---------------------------------------------------------------- cross-tabs
@@ -57,7 +58,8 @@ def histogram(df: DataFrame, x: str, bins: int, group_cols: list[str] | tuple =
                    F.when(F.col("__mn") == F.col("__mx"), F.col("__mn") - 0.5).otherwise(F.col("__mn")).alias("__lo"),
                    F.when(F.col("__mn") == F.col("__mx"), F.col("__mx") + 0.5).otherwise(F.col("__mx")).alias("__hi"))
     st = st.withColumn("__w", (F.col("__hi") - F.col("__lo")) / F.lit(float(bins)))
-    j = join_null_safe(d, st, group_cols, hint_broadcast=not group_cols, one_row=not group_cols)
+    st = stage_table(st, "histogram-edges") if group_cols else st
+    j = join_stats(d, st, group_cols)
     norm = F.lit(float(bins)) / (F.col("__hi") - F.col("__lo"))
     i0 = F.least(F.floor((F.col("__x") - F.col("__lo")) * norm), F.lit(bins - 1))
     j = j.withColumn("__i", i0)
@@ -90,7 +92,7 @@ def box_stats(df: DataFrame, x: str, group_cols: list[str] | tuple = (), whis: f
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("__flo", F.col("q1") - F.lit(whis) * F.col("iqr")) \
          .withColumn("__fhi", F.col("q3") + F.lit(whis) * F.col("iqr"))
-    j = join_null_safe(d, q, group_cols, hint_broadcast=not group_cols, one_row=not group_cols)
+    j = join_stats(d, q, group_cols)
     inside = (F.col("__x") >= F.col("__flo")) & (F.col("__x") <= F.col("__fhi"))
     agg = j.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("n"),
@@ -110,45 +112,55 @@ def box_outliers(df: DataFrame, x: str, group_cols: list[str] | tuple = (), whis
     q = exact_quantiles(d, "__x", [0.25, 0.75], group_cols, names=["q1", "q3"])
     q = q.select(*group_cols, (F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("__flo"),
                  (F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("__fhi"))
-    j = join_null_safe(d, q, group_cols, hint_broadcast=not group_cols, one_row=not group_cols)
+    j = join_stats(d, q, group_cols)
     return j.where((F.col("__x") < F.col("__flo")) | (F.col("__x") > F.col("__fhi"))) \
             .select(*group_cols, *keep, F.col("__x").alias(x))
 
 
 # ---------------------------------------------------------------- densities
-def kde(df: DataFrame, x: str, group_cols: list[str] | tuple = (), points: int = 1000,
-        prebin: int | None = None) -> DataFrame:
+# Beyond REACH bandwidths a kernel is below 1e-16 of its peak; values are binned
+# at 1 / BINS of a bandwidth, which moves a density by less than 1e-7 of its peak.
+REACH = 8.6
+BINS = 1024
+
+
+def kde(df: DataFrame, x: str, group_cols: list[str] | tuple = (), points: int = 1000) -> DataFrame:
     """Gaussian density per group on an even grid, Scott bandwidth (scipy/pandas).
 
     h = std_samp * n^(-1/5); grid = [min - range/2, max + range/2].  Values are
-    reduced to distinct (value, count) before meeting the grid, so work is
-    distinct values x grid points.  ``prebin`` (approximate, opt-in) first
-    rounds values to that many bins per group for very high cardinality.
+    counted in bins of a small fraction of the bandwidth, each standing at its
+    values' mean, and a bin meets only the grid points its kernel reaches, so
+    the work is bins x neighbouring points.  A group of one value, or of equal
+    values, has no bandwidth and gives NULL densities.
     """
     group_cols = list(group_cols)
     d = df.select(*group_cols, F.nanvl(F.col(x).cast("double"), F.lit(None).cast("double")).alias("__x")) \
           .where(F.col("__x").isNotNull())
     st = d.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"), F.stddev_samp("__x").alias("__sd"),
                                     F.min("__x").alias("__mn"), F.max("__x").alias("__mx"))
-    st = st.withColumn("__h", F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
-    if prebin:
-        j = join_null_safe(d, st, group_cols, hint_broadcast=not group_cols, one_row=not group_cols)
-        w = (F.col("__mx") - F.col("__mn")) / F.lit(float(prebin))
-        b = F.least(F.floor((F.col("__x") - F.col("__mn")) / w), F.lit(prebin - 1))
-        d = j.select(*group_cols, F.when(w > 0, F.col("__mn") + (b + 0.5) * w).otherwise(F.col("__x")).alias("__x"))
-    dv = d.groupBy(*group_cols, "__x").agg(F.count(F.lit(1)).alias("__c"))
     rng = F.col("__mx") - F.col("__mn")
-    grid = st.select(*group_cols, "__n", "__h",
-                     F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
-                     (F.col("__mn") - rng / 2).alias("__g0"), (rng * 2 / F.lit(float(points - 1))).alias("__gs"))
-    grid = grid.withColumn("grid_x", F.col("__g0") + F.col("point").cast("double") * F.col("__gs"))
-    j = join_null_safe(dv, grid, group_cols, hint_broadcast=not group_cols)
-    z = (F.col("grid_x") - F.col("__x")) / F.col("__h")
-    term = F.col("__c").cast("double") * F.exp(-0.5 * z * z)
-    out = j.groupBy(*group_cols, "point").agg(
-        F.first("grid_x").alias("grid_x"),
-        (F.sum(term) / (F.first("__n").cast("double") * F.first("__h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
-    return out
+    h = F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2))
+    st = st.select(*group_cols, "__n", F.when(h > 0, h).alias("__h"), (F.col("__mn") - rng / 2).alias("__g0"),
+                   (rng * 2 / F.lit(float(points - 1))).alias("__gs"))
+    if group_cols:
+        st = stage_table(st, "kde-stats")
+    j = join_stats(d, st, group_cols).where(F.col("__h").isNotNull())
+    j = j.withColumn("__bin", F.floor((F.col("__x") - F.col("__g0")) / F.col("__h") * BINS))
+    bins = j.groupBy(*group_cols, "__bin").agg(
+        F.count(F.lit(1)).cast("double").alias("__c"), F.avg("__x").alias("__x"), F.first("__h").alias("__h"),
+        F.first("__g0").alias("__g0"), F.first("__gs").alias("__gs"))
+    reach = F.lit(REACH) * F.col("__h")
+    low = F.greatest(F.ceil((F.col("__x") - reach - F.col("__g0")) / F.col("__gs")), F.lit(0)).cast("int")
+    high = F.least(F.floor((F.col("__x") + reach - F.col("__g0")) / F.col("__gs")), F.lit(points - 1)).cast("int")
+    near = bins.where(high >= low).select("*", F.explode(F.sequence(low, high)).alias("point"))
+    z = (F.col("__g0") + F.col("point").cast("double") * F.col("__gs") - F.col("__x")) / F.col("__h")
+    mass = near.groupBy(*group_cols, "point").agg(F.sum(F.col("__c") * F.exp(-0.5 * z * z)).alias("__mass"))
+    grid = st.select(*group_cols, "__n", "__h", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
+                     "__g0", "__gs")
+    out = join_null_safe(grid, mass, [*group_cols, "point"], how="left")
+    scale = F.col("__n").cast("double") * F.col("__h") * F.lit(math.sqrt(2 * math.pi))
+    return out.select(*group_cols, "point", (F.col("__g0") + F.col("point").cast("double") * F.col("__gs")).alias("grid_x"),
+                      (F.coalesce("__mass", F.lit(0.0)) / scale).alias("density"))
 
 
 # ---------------------------------------------------------------- scatter etc.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import md5_key
 from ..operators import features as fx
-from ..operators import metrics, models, sampling, series, text
+from ..operators import metrics, models, sampling, series, text, trees
 from ..session import materialize, scratch_path
 from .registry import register, table
 from .source_plans import churn_frame, housing_frame
@@ -67,20 +67,32 @@ def q_one_hot(spark, sf):
 
 
 @register("softmax_argmax", """
-  WITH l AS (SELECT vec_id, list_transform(embedding[1:4], lambda x: CAST(x AS DOUBLE)) AS z FROM embeddings),
-  e AS (SELECT vec_id, z, list_transform(z, lambda x: exp(x - list_max(z))) AS ex FROM l)
-  SELECT vec_id, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS best,
-         ROUND(ex[list_position(z, list_max(z))] / list_sum(ex), 6) AS confidence,
-         ROUND(ex[1] / list_sum(ex), 6) AS p0, ROUND(ex[2] / list_sum(ex), 6) AS p1,
-         ROUND(ex[3] / list_sum(ex), 6) AS p2, ROUND(ex[4] / list_sum(ex), 6) AS p3
-  FROM e
+  WITH l AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS z FROM embeddings),
+  e AS (SELECT vec_id, z, list_max(z) AS m FROM l),
+  x AS (SELECT vec_id, z, m, [exp(v - m) FOR v IN z] AS ex FROM e)
+  SELECT vec_id, CAST(list_position(z, m) - 1 AS INTEGER) AS best,
+         ROUND(ex[list_position(z, m)] / list_sum(ex), 6) AS confidence,
+         CAST(len(z) AS INTEGER) AS n_classes FROM x
 """)
 def q_softmax(spark, sf):
+    """Every element of the array is a class."""
     e = table(spark, sf, "embeddings")
-    z = F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double"))
+    z = F.transform("embedding", lambda x: x.cast("double"))
     probs, best, conf = models.softmax_argmax(z)
-    return e.select("vec_id", best.cast("int").alias("best"), conf.alias("confidence"),
-                    *[F.get(probs, i).alias(f"p{i}") for i in range(4)])
+    return e.select("vec_id", best.cast("int").alias("best"), conf.alias("confidence"), F.size(z).alias("n_classes"))
+
+
+@register("class_probabilities", """
+  WITH l AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS z FROM embeddings),
+  x AS (SELECT vec_id, z, [exp(v - list_max(z)) FOR v IN z] AS ex FROM l),
+  p AS (SELECT vec_id, unnest(range(len(z))) AS class, unnest(ex) / list_sum(ex) AS p FROM x)
+  SELECT vec_id, CAST(class AS INTEGER) AS class, ROUND(p, 6) AS probability FROM p
+""")
+def q_class_probabilities(spark, sf):
+    """One row per class: the table beside the top prediction."""
+    e = table(spark, sf, "embeddings")
+    probs, _, _ = models.softmax_argmax(F.transform("embedding", lambda x: x.cast("double")))
+    return e.select("vec_id", F.posexplode(probs).alias("class", "probability"))
 
 
 # ------------------------------------------------------------------ price forecast (R)
@@ -174,12 +186,27 @@ def q_logistic(spark, sf):
     return _binary_summary(m.transform(test))
 
 
+# Names of the two order states (status not F, status F).
+STATES = ["open", "finished"]
+
+
+def _heart_tree(spark, train):
+    """Assembled raw features and the pruned tree (min-split 10) as one pipeline model."""
+    from pyspark.ml import Pipeline, PipelineModel
+    grown = Pipeline(stages=[VectorAssembler(inputCols=HEART_NUM, outputCol="features"), models.decision_tree()]).fit(train)
+    cut = trees.prune_min_split(spark, grown.stages[-1], scratch_path(spark, f"tree-{uuid.uuid4().hex}"), 10)
+    return PipelineModel([grown.stages[0], cut])
+
+
+def _heart_logistic(train):
+    from pyspark.ml import Pipeline
+    return Pipeline(stages=_heart_stages() + [models.logistic_regression(train.count())]).fit(train)
+
+
 @register("decision_tree")
 def q_decision_tree(spark, sf):
-    from pyspark.ml import Pipeline
     train, test = _heart(spark, sf)
-    m = Pipeline(stages=_heart_stages() + [models.decision_tree()]).fit(train)
-    return _binary_summary(m.transform(test))
+    return _binary_summary(_heart_tree(spark, train).transform(test))
 
 
 @register("cross_val_score")
@@ -193,12 +220,87 @@ def q_cross_val(spark, sf):
                                  "mean_accuracy double, std_accuracy double, folds int")
 
 
+@register("model_selection")
+def q_model_selection(spark, sf):
+    """The library's exact AUC inside the by-fold search: one row per model and fold."""
+    train, _ = _heart(spark, sf)
+    asm = [VectorAssembler(inputCols=HEART_NUM, outputCol="features")]
+    rows = []
+    for name, stages, est in [("logistic_regression", _heart_stages(), models.logistic_regression(train.count())),
+                              ("decision_tree", asm, models.decision_tree())]:
+        got = models.grid_search_by_fold(stages, est, [{}], train, evaluator=models.exact_auc())
+        rows += [(name, f, float(a)) for f, a in enumerate(got["folds"][0])]
+    return spark.createDataFrame(rows, "model string, fold int, auc double")
+
+
 @register("tree_rules")
 def q_tree_rules(spark, sf):
-    from pyspark.ml import Pipeline
+    """One rule per leaf of the pruned tree, in the table's own columns."""
     train, _ = _heart(spark, sf)
-    m = Pipeline(stages=_heart_stages() + [models.decision_tree()]).fit(train)
-    return models.tree_nodes(spark, m.stages[-1], scratch_path(spark, f"tree-{uuid.uuid4().hex}"))
+    path = scratch_path(spark, f"rules-{uuid.uuid4().hex}")
+    return trees.tree_rules(spark, _heart_tree(spark, train).stages[-1], path, HEART_NUM, STATES)
+
+
+@register("fitted_comparison")
+def q_fitted_comparison(spark, sf):
+    """Held-out accuracy, F1 and AUC of the fitted models; the best by AUC is
+    saved, loaded again, and must give the same AUC (``auc_loaded``)."""
+    from pyspark.ml import Pipeline
+    from ..sources import files
+    train, test = _heart(spark, sf)
+    asm = VectorAssembler(inputCols=HEART_NUM, outputCol="features")
+    fitted = {"logistic_regression": _heart_logistic(train), "decision_tree": _heart_tree(spark, train),
+              "gradient_boosting": Pipeline(stages=[asm, models.gbt_classifier(iters=20)]).fit(train)}
+    auc = models.exact_auc()
+    rows = []
+    for name, m in fitted.items():
+        s = models.predict_proba(m.transform(test)).withColumn("pred", F.col("prediction").cast("int"))
+        rows.append((name, metrics.accuracy(s, "label", "pred").first()["accuracy"], metrics.f1_binary(s, "label", "pred").first()["f1"],
+                     auc.evaluate(m.transform(test))))
+    best = max(rows, key=lambda r: (r[3], r[0]))[0]
+    path = scratch_path(spark, f"best-{uuid.uuid4().hex}")
+    files.sink_model(fitted[best], path)
+    again = auc.evaluate(files.source_model(path).transform(test))
+    return spark.createDataFrame([(*r, r[0] == best, again if r[0] == best else None) for r in rows],
+                                 "model string, accuracy double, f1 double, auc double, best boolean, auc_loaded double")
+
+
+# Mixed columns of an order and its customer, with missing values on both kinds.
+MIXED_NUM = ["o_totalprice", "balance"]
+MIXED_CAT = ["segment", "o_orderpriority"]
+MIXED_SQL = """
+  (SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance,
+          CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END AS segment, o_orderpriority,
+          o_orderstatus = 'F' AS finished, md5(concat(CAST(o_orderkey AS VARCHAR), '|7')) < 'cc' AS train
+   FROM orders JOIN customer ON o_custkey = c_custkey)
+"""
+
+
+def _mixed(spark, sf):
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    d = o.join(c, o.o_custkey == c.c_custkey).select(
+        "o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance"),
+        F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")).alias("segment"), "o_orderpriority",
+        (F.col("o_orderstatus") == "F").cast("int").alias("label"), md5_key("o_orderkey", seed=7).alias("__k"))
+    d = materialize(d)
+    return d.where(F.col("__k") < "cc").drop("__k"), d.where(F.col("__k") >= "cc").drop("__k")
+
+
+@register("classifier_importance")
+def q_classifier_importance(spark, sf):
+    """Forest importances and logistic |coefficients| by one-hot name, top 15 of each."""
+    from pyspark.ml import Pipeline
+    train, _ = _mixed(spark, sf)
+    fm = Pipeline(stages=fx.column_transformer(MIXED_NUM, MIXED_CAT)).fit(train)
+    rows = materialize(fm.transform(train).select("label", "features"))
+    names = fx.feature_names(fm.transform(train.limit(1)))
+    out = []
+    for kind, est in [("random_forest", models.rf_classifier(trees=50, depth=8)),
+                      ("logistic_regression", models.logistic_regression(rows.count()))]:
+        imp = models.feature_importance(est.fit(rows), names)[:15]
+        out += [(kind, i + 1, n, float(v)) for i, (n, v) in enumerate(imp)]
+    return spark.createDataFrame(out, "model string, rank int, feature string, importance double")
 
 
 @register("predict_proba")
@@ -211,17 +313,19 @@ def q_predict_proba(spark, sf):
 
 @register("score_new_rows")
 def q_score_new_rows(spark, sf):
-    """Newest orders (not used in training) through the saved pipeline, with label text."""
-    from pyspark.ml import Pipeline, PipelineModel
+    """Every order not used in training, through both saved models: label text
+    and confidence per model."""
+    from ..sources import files
     train, test = _heart(spark, sf)
-    m = Pipeline(stages=_heart_stages() + [models.logistic_regression(train.count())]).fit(train)
-    path = scratch_path(spark, f"heart-{uuid.uuid4().hex}")
-    m.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    newest = test.orderBy(F.desc("order_year"), F.desc("order_month"), "o_orderkey").limit(3)
-    s = models.predict_proba(loaded.transform(newest))
-    return s.select("o_orderkey", F.when(F.col("prediction") == 1, "finished").otherwise("open").alias("label_text"),
-                    "confidence")
+    out = None
+    for name, m in [("logistic_regression", _heart_logistic(train)), ("decision_tree", _heart_tree(spark, train))]:
+        path = scratch_path(spark, f"heart-{uuid.uuid4().hex}")
+        files.sink_model(m, path)
+        s = models.predict_proba(files.source_model(path).transform(test))
+        s = s.select("o_orderkey", F.lit(name).alias("model"),
+                     F.when(F.col("prediction") == 1, STATES[1]).otherwise(STATES[0]).alias("label_text"), "confidence")
+        out = s if out is None else out.unionByName(s)
+    return out
 
 
 # ------------------------------------------------------------------ churn (R)
@@ -239,20 +343,45 @@ def _churn_split(spark, sf):
     return c.where(F.col("part") == "train"), c.where(F.col("part") == "test")
 
 
-@register("column_transformer")
+def _mixed_sql(body):
+    """DuckDB: fitted on the training rows (medians, population scale, modes,
+    categories); modes by count, then smallest."""
+    mode = lambda c: (f"(SELECT {c} FROM m WHERE train AND {c} IS NOT NULL GROUP BY 1 "
+                      f"ORDER BY count(*) DESC, {c} LIMIT 1)")
+    num = ", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM m WHERE train)) AS {c}" for c in MIXED_NUM)
+    cat = ", ".join(f"coalesce({c}, {mode(c)}) AS {c}" for c in MIXED_CAT)
+    return f"WITH m AS MATERIALIZED {MIXED_SQL}, f AS (SELECT o_orderkey, train, {num}, {cat} FROM m) {body}"
+
+
+# The segments (without the one made missing) and priorities of the tables.
+MIXED_VALUES = {"segment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"],
+                "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]}
+MIXED_NAMES = MIXED_NUM + [f"{c}_{v}" for c, vs in MIXED_VALUES.items() for v in vs]
+
+
+@register("column_transformer", _mixed_sql("SELECT o_orderkey, " + ", ".join(
+    [f"ROUND(({c} - (SELECT avg({c}) FROM f WHERE train)) / (SELECT stddev_pop({c}) FROM f WHERE train), 6) AS f{i}"
+     for i, c in enumerate(MIXED_NUM)]
+    + [f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS f{i + len(MIXED_NUM)}"
+       for i, (c, v) in enumerate((c, v) for c, vs in MIXED_VALUES.items() for v in vs)]) + " FROM f WHERE NOT train"))
 def q_column_transformer(spark, sf):
+    """Every assembled feature of the held-out orders."""
     from pyspark.ml import Pipeline
-    train, test = _churn_split(spark, sf)
-    m = Pipeline(stages=fx.column_transformer(CHURN_NUM, CHURN_CAT)).fit(train)
-    out = m.transform(test)
-    return out.select("customerID", F.size(vector_to_array("features")).alias("n_features"))
+    train, test = _mixed(spark, sf)
+    out = Pipeline(stages=fx.column_transformer(MIXED_NUM, MIXED_CAT)).fit(train).transform(test)
+    a = vector_to_array("features")
+    return out.select("o_orderkey", *[F.get(a, i).alias(f"f{i}") for i in range(len(MIXED_NAMES))])
 
 
-@register("feature_names")
+@register("feature_names", _mixed_sql(
+    "SELECT CAST(row_number() OVER (ORDER BY k, v) - 1 AS INTEGER) AS idx, name FROM ("
+    + " UNION ALL ".join([f"SELECT {i} AS k, '' AS v, '{c}' AS name" for i, c in enumerate(MIXED_NUM)]
+                         + [f"SELECT DISTINCT {i + len(MIXED_NUM)}, {c}, concat('{c}_', {c}) FROM f WHERE train"
+                            for i, c in enumerate(MIXED_CAT)]) + ")"))
 def q_feature_names(spark, sf):
     from pyspark.ml import Pipeline
-    train, _ = _churn_split(spark, sf)
-    m = Pipeline(stages=fx.column_transformer(CHURN_NUM, CHURN_CAT)).fit(train)
+    train, _ = _mixed(spark, sf)
+    m = Pipeline(stages=fx.column_transformer(MIXED_NUM, MIXED_CAT)).fit(train)
     names = fx.feature_names(m.transform(train.limit(1)))
     return spark.createDataFrame(list(enumerate(names)), "idx int, name string")
 
@@ -350,11 +479,22 @@ def q_huber_regression(spark, sf):
 
 @register("learning_curve")
 def q_learning_curve(spark, sf):
+    """Train and held-out loss of every prefix of a boosted regressor (200 trees)."""
     from pyspark.ml import Pipeline
     train, test = _houses(spark, sf)
     m = Pipeline(stages=[fx.assemble_features(HOUSE_FEATURES), models.gbt_regression("log_price", iters=200)]).fit(train)
-    ev = models.learning_curve_gbt(m.stages[-1], m.stages[0].transform(test))
-    return spark.createDataFrame([(i + 1, float(v)) for i, v in ev], "iteration int, test_loss double")
+    return trees.learning_curve(spark, m.stages[-1], m.stages[0].transform(train.unionByName(test)),
+                                scratch_path(spark, f"curve-{uuid.uuid4().hex}"), "log_price")
+
+
+@register("learning_curve_classes")
+def q_learning_curve_classes(spark, sf):
+    """Loss, accuracy and F1 of every prefix of a boosted classifier, on both parts."""
+    train, test = _heart(spark, sf)
+    asm = VectorAssembler(inputCols=HEART_NUM, outputCol="features")
+    m = models.gbt_classifier(iters=50).fit(asm.transform(train))
+    return trees.learning_curve(spark, m, asm.transform(train.unionByName(test)),
+                                scratch_path(spark, f"curve-{uuid.uuid4().hex}"))
 
 
 # ------------------------------------------------------------------ news stand-in (R)
@@ -370,27 +510,36 @@ def _docs(spark, sf):
     return d.where(F.col("part") == "train"), d.where(F.col("part") == "test")
 
 
-@register("text_tfidf")
+@register("text_tfidf", """
+  WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '([a-z]+)', 1) AS toks,
+                    md5(concat(CAST(doc_id AS VARCHAR), '|7')) < 'cc' AS train FROM documents),
+  n AS (SELECT count(*) AS n FROM d WHERE train),
+  df AS (SELECT token, count(*) AS docs FROM (SELECT doc_id, unnest(list_distinct(toks)) AS token FROM d WHERE train) GROUP BY 1),
+  v AS (SELECT token, CAST(row_number() OVER (ORDER BY docs DESC, md5(token)) - 1 AS INTEGER) AS idx,
+               ln(CAST(n + 1 AS DOUBLE) / (docs + 1)) AS idf FROM df, n),
+  tf AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest(toks) AS token FROM d WHERE NOT train) GROUP BY 1, 2)
+  SELECT doc_id, token, idx, tf, ROUND(tf * idf, 6) AS weight FROM tf JOIN v USING (token)
+""")
 def q_text_tfidf(spark, sf):
-    from pyspark.ml import Pipeline
-    train, test = _docs(spark, sf)
-    m = Pipeline(stages=fx.text_tfidf_stages("text", "features", 1 << 16)).fit(train)
-    out = m.transform(test)
-    return out.select("doc_id", F.size(F.col("__tokens")).alias("n_tokens"))
+    """Weights of the held-out documents under the training documents' vocabulary."""
+    d = table(spark, sf, "documents").select("doc_id", "text", md5_key("doc_id", seed=7).alias("__k"))
+    vocab = fx.tfidf_vocabulary(d.where(F.col("__k") < "cc"))
+    return fx.tfidf_weights(d.where(F.col("__k") >= "cc"), vocab, "doc_id")
 
 
 @register("text_classifier")
 def q_text_classifier(spark, sf):
-    from pyspark.ml import Pipeline
     train, test = _docs(spark, sf)
-    m = Pipeline(stages=fx.text_tfidf_stages("text", "features", 1 << 16) + [models.text_classifier(4)]).fit(train)
-    p = m.transform(test)
+    vocab = fx.tfidf_vocabulary(train)
+    m = models.text_classifier(4).fit(fx.tfidf_vectors(train.select("text", "label"), vocab))
+    p = m.transform(fx.tfidf_vectors(test.select("text", "label"), vocab))
     return metrics.classification_report(p.withColumn("y", F.col("label").cast("int"))
                                           .withColumn("pred", F.col("prediction").cast("int")), "y", "pred")
 
 
-@register("assemble_features")
+@register("assemble_features", "SELECT l_orderkey, l_linenumber, ROUND(l_quantity, 6) AS f0, "
+          "ROUND(l_extendedprice, 6) AS f1, ROUND(l_discount, 6) AS f2, ROUND(l_tax, 6) AS f3 FROM lineitem")
 def q_assemble(spark, sf):
-    h = housing_frame(spark, sf)
-    out = fx.assemble_features(HOUSE_FEATURES).transform(h)
-    return out.select("house_id", F.size(vector_to_array("features")).alias("width"))
+    out = fx.assemble_features(["l_quantity", "l_extendedprice", "l_discount", "l_tax"]).transform(table(spark, sf, "lineitem"))
+    a = vector_to_array("features")
+    return out.select("l_orderkey", "l_linenumber", *[F.get(a, i).alias(f"f{i}") for i in range(4)])

@@ -154,6 +154,36 @@ def q_corr_matrix(spark, sf):
     return profile.corr_matrix(table(spark, sf, "lineitem"), LI_MEASURES)
 
 
+# Twelve columns with missing values on different rows and one constant.
+WIDE = {
+    "quantity": "l_quantity", "price": "l_extendedprice", "discount": "l_discount", "tax": "l_tax",
+    "net": "l_extendedprice * (1 - l_discount)", "unit": "l_extendedprice / l_quantity",
+    "line": "CAST(l_linenumber AS DOUBLE)", "part_no": "CAST(l_partkey AS DOUBLE)",
+    "low_tax": "CASE WHEN l_tax < 0.04 THEN l_tax END", "bulk": "CASE WHEN l_quantity > 25 THEN l_quantity END",
+    "returned": "CASE WHEN l_returnflag = 'R' THEN 1.0 WHEN l_returnflag = 'A' THEN 0.0 END",
+    "same": "CASE WHEN l_linenumber <> 2 THEN CAST(7 AS DOUBLE) END"}
+
+
+def _corr_wide_sql():
+    base = ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in WIDE.items())
+    parts = []
+    for i, a in enumerate(WIDE):
+        for j, b in enumerate(WIDE):
+            x, y = f"CASE WHEN {b} IS NOT NULL THEN {a} END", f"CASE WHEN {a} IS NOT NULL THEN {b} END"
+            sd = f"stddev_pop({x}) * stddev_pop({y})"
+            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, CAST({i} AS BIGINT) AS i, CAST({j} AS BIGINT) AS j, "
+                         f"ROUND(CASE WHEN {sd} > 0 THEN covar_pop({x}, {y}) / ({sd}) END, 6) AS r FROM w")
+    return f"WITH w AS MATERIALIZED (SELECT {base} FROM lineitem) " + " UNION ALL ".join(parts)
+
+
+@register("corr_matrix_wide", _corr_wide_sql())
+def q_corr_wide(spark, sf):
+    """Blocked one-scan form, as used beyond a dozen or so columns."""
+    from ..operators.gram import corr_wide
+    d = table(spark, sf, "lineitem").selectExpr(*[f"CAST({e} AS DOUBLE) AS {c}" for c, e in WIDE.items()])
+    return corr_wide(d, list(WIDE))
+
+
 @register("corr_lower_triangle", _corr_sql(lower_only=True))
 def q_corr_lower(spark, sf):
     return profile.corr_lower_triangle(table(spark, sf, "lineitem"), LI_MEASURES)

@@ -55,7 +55,7 @@ def q_stream_score(spark, sf):
     from ..operators import models
     from .model_plans import _docs
     train, _ = _docs(spark, sf)
-    m = Pipeline(stages=fx.text_tfidf_stages("text", "features", 1 << 16) + [models.text_classifier(4)]).fit(train)
+    m = Pipeline(stages=fx.text_tfidf_stages("text", "features", 1 << 18, hashing=False) + [models.text_classifier(4)]).fit(train)
     base = scratch_path(spark, f"stream-score-{uuid.uuid4().hex}")
     m.write().overwrite().save(base + "/model")
     loaded = PipelineModel.load(base + "/model")

@@ -123,15 +123,15 @@ def q_box_outliers(spark, sf):
   st2 AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st),
   dv AS (SELECT g, x, count(*) AS c FROM d GROUP BY g, x),
   grid AS (SELECT g, n, h, CAST(p AS INTEGER) AS point,
-                  (mn - (mx - mn) / 2) + CAST(p AS DOUBLE) * ((mx - mn) * 2 / CAST(49 AS DOUBLE)) AS grid_x
-           FROM st2, range(0, 50) t(p))
+                  (mn - (mx - mn) / 2) + CAST(p AS DOUBLE) * ((mx - mn) * 2 / CAST(999 AS DOUBLE)) AS grid_x
+           FROM st2, range(0, 1000) t(p))
   SELECT grid.g AS l_returnflag, point, ROUND(min(grid_x), 6) AS grid_x,
          ROUND(sum(c * exp(-0.5 * ((grid_x - x) / h) * ((grid_x - x) / h))) /
                (CAST(min(n) AS DOUBLE) * min(h) * sqrt(2 * pi())), 6) AS density
   FROM dv JOIN grid ON dv.g = grid.g GROUP BY 1, 2
 """)
 def q_kde(spark, sf):
-    return tables.kde(table(spark, sf, "lineitem"), "l_quantity", ["l_returnflag"], points=50)
+    return tables.kde(table(spark, sf, "lineitem"), "l_quantity", ["l_returnflag"], points=1000)
 
 
 @register("scatter_pairs", """
