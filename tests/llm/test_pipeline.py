@@ -37,9 +37,42 @@ def test_stages_keep_what_they_should(spark, docs):
     assert Counter(r["doc_id"] for r in mixed.collect()) == Counter(want)
 
 
+CLASH = ("doc_id long, text string, lang string, source string, n_chars long, _copies int, _time string, _rows int, "
+         "_mix_id long, _id string, _text string, _row long, _doc string, component_id long, `a.b` int, size long, shard int")
+
+
+def test_clashing_columns_and_rows_one_by_one(spark):
+    text = "the same words stand in this text and in its copy too"
+    rows = [(1, text), (1, text), (None, text), (None, "a text of its own without any id"), (None, None), (2, None), (2, "other words, same id"),
+            (3, "long " + "word run " * 30_000), (4, ""), (5, text)]
+    extra = (7, "t", 8, 9, "i", "x", 10, "d", 11, 12, 13, 14)
+    df = spark.createDataFrame([(i, t, "en", "s", 1, *extra) for i, t in rows], CLASH)
+    out = P.drop_near_duplicates(spark, df, SF)
+    assert out.columns == df.columns
+    # one of the four copies (the smallest id), one of the three wordless texts, and the rest
+    left = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert left == sorted([(1, text), (None, rows[3][1]), (2, None), (2, rows[6][1]), (3, rows[7][1])], key=str)
+    mixed = P.mix_sources(spark, df, SF)
+    assert mixed.columns == df.columns and {tuple(r)[5:] for r in mixed.collect()} == {extra}
+    assert mixed.count() > 0
+    for _, stage in P.STAGES[:3]:
+        assert stage(spark, df, SF).columns == df.columns
+    sharded = P.assign_shards(spark, df, SF)
+    assert sharded.count() == len(rows)
+
+
 def test_empty_and_edge(spark, empty, edge):
-    for df in (empty.drop("_id", "_text"), edge.drop("_id", "_text")):
+    for df in (empty, edge):
         n = df.count()
-        for _, stage in P.STAGES:
+        every = [tuple(r) for r in df.collect()]
+        for name, stage in P.STAGES:
             out = stage(spark, df, SF)
-            assert (out.count() == 0) == (n == 0)
+            rows = [tuple(r) for r in out.collect()]
+            assert (len(rows) == 0) == (n == 0)
+            if name != "sharding":
+                assert out.columns == df.columns and set(rows) <= set(every)
+            if name in ("toxicity", "decontamination"):
+                assert not Counter(rows) - Counter(every)
+            if name == "near_duplicates":
+                comp = brute_components(list(range(n)), [brute_fp(r[1]) for r in every])
+                assert len(rows) == len(set(comp))
