@@ -4,6 +4,7 @@ documents and embeddings."""
 from pyspark.sql import functions as F
 
 from ..operators import chat, metrics, tables, text
+from ..session import stage_table
 from .registry import register, table
 
 # Rule words that occur in the driver's conversations (the real
@@ -102,8 +103,8 @@ def q_command_filter(spark, sf):
     return chat.command_filter(table(spark, sf, "conversations"))
 
 
-def _history_sql(k: int | None) -> str:
-    fc = route_sql("text", FIXTURE_RULES, with_reply=False)
+def _history_sql(k: int | None, rules=FIXTURE_RULES) -> str:
+    fc = route_sql("text", rules, with_reply=False)
     return f"""
   WITH f AS ({FILTER_SQL}),
   g AS (SELECT f.*, role = 'user' AND {fc} <> 'pass' AS blocked FROM f),
@@ -137,6 +138,62 @@ def q_window_memory(spark, sf):
     return h.select("conv_id", "turn", "history_len", "history_text")
 
 
+# The tables' own turns hold no command and no alarming word, so these queries put
+# some in, the same way in both engines, by conversation and turn.
+DERIVED_TURNS = ["I have CHEST PAIN since noon", "I want to die, and my chest pain too", "can you prescribe me something",
+                 "Can you diagnose me?", "a stroke of luck", "  RESET ", "reset", "quit", " Exit ", "", " \t ",
+                 "what dose should I take", "I feel hopeless", "please quit smoking with me"]
+DERIVED_CASE = ("CASE WHEN role = 'user' THEN CASE (conv_id * 5 + turn * 3) % 29 "
+                + " ".join(f"WHEN {i} THEN {_sql_str(t)}" for i, t in enumerate(DERIVED_TURNS))
+                + " ELSE text END WHEN (conv_id + turn) % 11 = 3 THEN NULL ELSE text END")
+DERIVED_SQL = f"(SELECT conv_id, turn, role, {DERIVED_CASE} AS text FROM conversations) conversations"
+
+
+def derived_sql(sql: str) -> str:
+    return sql.replace("FROM conversations", f"FROM {DERIVED_SQL}")
+
+
+def derived_turns(conv):
+    return conv.withColumn("text", F.expr(DERIVED_CASE))
+
+
+@register("safety_route_derived", derived_sql(f"""
+  SELECT conv_id, turn, {_c} AS category, {_r} AS canned_reply FROM conversations WHERE role = 'user'
+"""))
+def q_safety_route_derived(spark, sf):
+    c = derived_turns(table(spark, sf, "conversations")).where(F.col("role") == "user").select("conv_id", "turn", "text")
+    return text.safety_route(c).drop("text")
+
+
+@register("crisis_flag_derived", derived_sql(f"""
+  SELECT conv_id, turn, {_cc} AS category, {_cr} AS canned_reply FROM conversations WHERE role = 'user'
+"""))
+def q_crisis_derived(spark, sf):
+    c = derived_turns(table(spark, sf, "conversations")).where(F.col("role") == "user").select("conv_id", "turn", "text")
+    return text.crisis_flag(c).drop("text")
+
+
+@register("command_filter_derived", derived_sql(FILTER_SQL))
+def q_command_filter_derived(spark, sf):
+    return chat.command_filter(derived_turns(table(spark, sf, "conversations")))
+
+
+def _health_history_sql(k):
+    return derived_sql(_history_sql(k, text.HEALTH_RULES))
+
+
+@register("conversation_history_derived", _health_history_sql(None))
+def q_history_derived(spark, sf):
+    h = chat.conversation_history(derived_turns(table(spark, sf, "conversations")))
+    return h.select("conv_id", "turn", "history_len", "history_text")
+
+
+@register("window_memory_derived", _health_history_sql(3))
+def q_window_memory_derived(spark, sf):
+    h = chat.conversation_history(derived_turns(table(spark, sf, "conversations")), 3)
+    return h.select("conv_id", "turn", "history_len", "history_text")
+
+
 DIALOGUE_SQL = """
   SELECT u.conv_id, u.turn, concat('User: ', u.text, ' ' || chr(10) || 'Bot: ', a.text) AS text
   FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
@@ -364,8 +421,9 @@ def q_best_strategy(spark, sf):
   FROM {RESULTS_SQL} GROUP BY 1
 """)
 def q_union_results(spark, sf):
-    """Per-strategy frames stacked by name (as one would after separate runs)."""
-    allr = tag_results(spark, sf)
+    """Per-strategy frames stacked by name (as one would after separate runs);
+    the replies are parsed once and every branch reads the stored result."""
+    allr = stage_table(tag_results(spark, sf).select("strategy", "ticket_id"), "tag-results")
     parts = [allr.where(F.col("strategy") == s) for s in STRATS]
     u = parts[0]
     for p in parts[1:]:
@@ -491,12 +549,12 @@ def q_map_batches(spark, sf):
 
 
 @register("map_rows", f"""
-  SELECT conv_id, turn, substring(text, 7, 20) AS head, CAST(length(text) AS INTEGER) AS n_chars FROM ({DIALOGUE_SQL})
+  SELECT conv_id, turn, upper(substring(text, 7)) AS body, CAST(length(text) AS INTEGER) AS n_chars FROM ({DIALOGUE_SQL})
 """)
 def q_map_rows(spark, sf):
     from ..functions.udf import map_rows
     d = text.dialogue_pairs(table(spark, sf, "conversations")).select("conv_id", "turn", "text")
-    return map_rows(d, {"head": F.substring("text", 7, 20), "n_chars": F.length("text")}, drop=["text"])
+    return map_rows(d, {"body": F.upper(F.substr("text", F.lit(7))), "n_chars": F.length("text")}, drop=["text"])
 
 
 @register("reply_provider", f"""
