@@ -4,9 +4,11 @@ Features are the distinct lower-case words of a text and their four-letter
 prefixes, hashed to 32 bits; every term of two sampled texts is fitted, whatever
 its rates.  The machine adds a weight per term and an interaction per pair of
 terms (the product of two small vectors), so that a pair such as an insult with a
-group name can count more than the sum of its parts.  Noise is held down by a soft
-threshold on the weights, and by training the vectors only as long as they help on
-sampled texts kept out.
+group name can count more than the sum of its parts.  A text's n terms enter the
+pairs with 1 / sqrt(n) each, so long texts, with their many pairs, are not all
+noise.  Noise is further held down by a soft threshold on the weights, a ridge on
+the vectors, and by stopping at the epoch, one at least, that serves sampled
+texts kept out best.
 
 The fit uses a bounded sample of the labelled rows (``per_class`` rows of each
 label, the first in hash order); scoring covers every row and whole texts.
@@ -29,11 +31,14 @@ WORD = re.compile(r"\w+")
 PER_CLASS = 5000        # bound of the fitting sample, rows per label
 MIN_DOCS = 2            # a term must occur in so many sampled texts
 FACTORS = 8
-EPOCHS = 12
-PATIENCE = 3            # epochs without a gain after which the vectors are given up
+EPOCHS = 24
+PATIENCE = 4            # epochs without a better one after which the vectors are not trained on
+RATE = 0.2              # AdaGrad's step of the vectors
+BATCH = 32              # texts a step
 PREFIX = 4
 L1 = 1.5                # soft threshold of the weights, in deviations of a term's gradient
 RIDGE = 0.2
+PAIR_RIDGE = 1e-3       # of the vectors, a text and step
 
 
 def terms(text: str | None) -> np.ndarray:
@@ -50,17 +55,35 @@ class Model:
     linear: np.ndarray
     factors: np.ndarray     # terms x factors
 
+    def margins(self, found: list[np.ndarray]) -> np.ndarray:
+        """Log odds of texts given by their terms, all looked up at once."""
+        size = np.array([len(f) for f in found], dtype=np.int64)
+        if not len(self.keys) or not size.sum():
+            return np.full(len(found), self.bias)
+        term, row = np.concatenate(found), np.repeat(np.arange(len(found)), size)
+        at = np.minimum(np.searchsorted(self.keys, term), len(self.keys) - 1)
+        own = self.keys[at] == term
+        at, row = at[own], row[own]
+        known = np.bincount(row, minlength=len(found))
+        linear = np.bincount(row, weights=self.linear[at], minlength=len(found))
+        return self.bias + linear + _pair_sums(self.factors[at], row, known)
+
     def margin(self, found: np.ndarray) -> float:
-        if not len(self.keys):
-            return self.bias
-        at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
-        at = at[self.keys[at] == found]
-        v = self.factors[at]
-        s = v.sum(axis=0)
-        return float(self.bias + self.linear[at].sum() + 0.5 * (s @ s - (v * v).sum()))
+        return float(self.margins([found])[0])
+
+    def scores(self, texts) -> np.ndarray:
+        return _sigmoid(self.margins([terms(t) for t in texts]))
 
     def score(self, text: str | None) -> float:
-        return float(1.0 / (1.0 + np.exp(-np.clip(self.margin(terms(text)), -30, 30))))
+        return float(self.scores([text])[0])
+
+
+def _pair_sums(v: np.ndarray, row: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Per text: the sum of its terms' pairwise products, divided by its terms."""
+    n = len(known)
+    s = np.stack([np.bincount(row, weights=v[:, f], minlength=n) for f in range(v.shape[1])], axis=1)
+    q = np.bincount(row, weights=(v * v).sum(axis=1), minlength=n)
+    return 0.5 * ((s * s).sum(axis=1) - q) / np.maximum(known, 1)
 
 
 def _sigmoid(m):
@@ -97,6 +120,11 @@ def _linear(docs: list[np.ndarray], y: np.ndarray, size: int) -> tuple[np.ndarra
     return _descend([d[on[d]] for d in docs], y, w, np.zeros(size), RIDGE)
 
 
+def _flat(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    size = np.array([len(d) for d in docs], dtype=np.int64)
+    return np.concatenate(docs), np.repeat(np.arange(len(docs)), size), size
+
+
 def _pairs(docs: list[np.ndarray], y: np.ndarray, w: np.ndarray, b: float, factors: int, epochs: int, seed: int):
     """AdaGrad on the vectors of all terms over the residual of the linear part;
     yields them after every epoch."""
@@ -105,40 +133,44 @@ def _pairs(docs: list[np.ndarray], y: np.ndarray, w: np.ndarray, b: float, facto
     v = rng.normal(0, 0.02, (len(w), factors))
     gv = np.full(v.shape, 1e-2)
     for _ in range(epochs):
-        for i in rng.permutation(len(docs)):
-            at = docs[i]
+        order = rng.permutation(len(docs))
+        for start in range(0, len(order), BATCH):
+            part = order[start:start + BATCH]
+            at, row, size = _flat([docs[i] for i in part])
+            if not len(at):
+                continue
             va = v[at]
-            s = va.sum(axis=0)
-            g = _sigmoid(base[i] + 0.5 * (s @ s - (va * va).sum())) - y[i]
-            dv = g * (s - va) + 1e-3 * va
-            ga = gv[at] + dv * dv
-            gv[at] = ga
-            v[at] = va - 0.02 * dv / np.sqrt(ga)
+            s = np.stack([np.bincount(row, weights=va[:, f], minlength=len(part)) for f in range(factors)], axis=1)
+            g = (_sigmoid(base[part] + _pair_sums(va, row, size)) - y[part]) / np.maximum(size, 1)
+            step = g[row][:, None] * (s[row] - va) + PAIR_RIDGE * va
+            on, inv = np.unique(at, return_inverse=True)
+            step = np.stack([np.bincount(inv, weights=step[:, f], minlength=len(on)) for f in range(factors)], axis=1)
+            gv[on] += step * step
+            v[on] -= RATE * step / np.sqrt(gv[on])
         yield v
 
 
 def _best_epochs(docs: list[np.ndarray], y: np.ndarray, size: int, factors: int, epochs: int, seed: int) -> int:
-    """How many epochs the vectors are trained: the best on every fifth sampled
-    text of each label, kept out of this fit.  0 unless the gain on them is over
-    one standard error."""
+    """How many epochs the vectors are trained, at least one: the best on every
+    fifth sampled text of each label, kept out of this fit.  All epochs if there
+    are too few texts to keep any out."""
     held = np.zeros(len(docs), dtype=bool)
     for k in (0, 1):
         held[np.random.default_rng(seed).permutation(np.flatnonzero(y == k))[::5]] = True
     train_docs = [d for d, h in zip(docs, held) if not h]
     test, ty = [d for d, h in zip(docs, held) if h], y[held]
     if len(set(y[~held])) < 2 or len(set(ty)) < 2:
-        return 0
+        return epochs
     w, b = _linear(train_docs, y[~held], size)
     base = np.array([b + w[d].sum() for d in test])
-    loss = lambda m: np.logaddexp(0, np.where(ty == 1, -m, m))
-    plain, best, least, at = loss(base), 0, np.inf, 0
+    at, row, known = _flat(test)
+    best, least = 1, np.inf
     for e, v in enumerate(_pairs(train_docs, y[~held], w, b, factors, epochs, seed), 1):
-        va = [v[d] for d in test]
-        gain = plain - loss(base + np.array([0.5 * ((x.sum(axis=0) ** 2).sum() - (x * x).sum()) for x in va]))
-        if -gain.mean() < least:
-            least, at = -gain.mean(), e
-            best = e if gain.mean() > gain.std() / np.sqrt(len(gain)) else 0
-        elif e >= at + PATIENCE:
+        m = base + _pair_sums(v[at], row, known)
+        loss = np.logaddexp(0, np.where(ty == 1, -m, m)).mean()
+        if loss < least:
+            best, least = e, loss
+        elif e >= best + PATIENCE:
             break
     return best
 
@@ -199,7 +231,7 @@ def scorer(docs: DataFrame, model: Model):
     @F.pandas_udf("double")
     def score(t: pd.Series) -> pd.Series:
         m = shared.value
-        return t.map(m.score).astype("float64")
+        return pd.Series(m.scores(t), dtype="float64")
 
     def apply(text: Column) -> Column:
         return score(F.coalesce(text, F.lit("")))
@@ -210,7 +242,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              folds: int = 5, per_class: int = PER_CLASS) -> DataFrame:
     """Every row's id, held_out, score (0 to 1) and predicted (score >= 0.5).
 
-    NULL and empty texts score the bias alone.  Scores read the text only.
+    NULL and empty texts score the bias alone.  Scores read the text only, as a
+    whole, in time proportional to its length; equal texts score alike.
     """
     score = scorer(docs, fit(docs, labels, id_col, text_col, "toxic", folds, per_class))
     out = docs.select(F.col(id_col).alias("_id"), score(F.col(text_col)).alias("score"))

@@ -76,3 +76,51 @@ def test_edge_rows_and_empty(spark, edge, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert all(r["predicted"] == 0 for r in toxicity.toxicity(edge, none).collect())
     assert toxicity.toxicity(empty, none).count() == 0
+
+
+def sampled(sf):
+    import pyarrow.parquet as pq
+    docs = pq.read_table(f"/root/testdata/{sf}/documents.parquet", columns=["doc_id", "text"]).to_pydict()
+    text = dict(zip(docs["doc_id"], docs["text"]))
+    labels = pq.read_table(f"/root/testdata/{sf}/labels.parquet").to_pydict()
+    y = {i: t for i, t in zip(labels["doc_id"], labels["toxic"]) if i in text}
+    out = [[], []]
+    for i in sorted(y):
+        out[zlib.crc32(str(i).encode()) % 5 == 0].append((toxicity.terms(text[i]), y[i]))
+    return out[0], out[1], sum(y.values()) / len(y)
+
+
+def test_vectors_are_trained_on_the_tables():
+    """The pairs take part: no vector table of zeros, other scores without them,
+    and no worse than the weights alone."""
+    import numpy as np
+    for sf in ("sf0.01", "sf0.1"):
+        rows, held, share = sampled(sf)
+        m = toxicity.train(rows, share)
+        assert np.abs(m.factors).max() > 0.05
+        found, y = [t for t, _ in held], np.array([k for _, k in held])
+        plain = toxicity.Model(m.keys, m.bias, m.linear, np.zeros_like(m.factors))
+        mixed = toxicity.Model(m.keys, m.bias, m.linear, np.random.default_rng(1).permutation(m.factors))
+        full = m.margins(found)
+        assert np.abs(full - plain.margins(found)).max() > 1e-3 and np.abs(full - mixed.margins(found)).max() > 1e-3
+        loss = lambda x: np.logaddexp(0, np.where(y == 1, -x, x)).mean()
+        assert ((full >= 0) == y).mean() >= ((plain.margins(found) >= 0) == y).mean() and loss(full) <= loss(plain.margins(found)) * 1.02
+        assert ((full >= 0) == y).mean() > 0.95
+
+
+def test_at_least_one_epoch(monkeypatch):
+    import numpy as np
+    rows = [(toxicity.terms(f"a b c {i % 7}" + " bad" * (i % 2)), i % 2) for i in range(60)]
+    keys = np.unique(np.concatenate([r for r, _ in rows]))
+    docs = [np.searchsorted(keys, r) for r, _ in rows]
+    y = np.array([k for _, k in rows], dtype=float)
+    assert toxicity._best_epochs(docs, y, len(keys), 4, 6, 1) >= 1
+    assert toxicity._best_epochs(docs[:2], y[:2], len(keys), 4, 6, 1) == 6
+
+
+def test_batches_score_as_single_texts():
+    rows, _, share = sampled("sf0.001")
+    m = toxicity.train(rows, share)
+    texts = ["", None, "some words", "x" * 50_000, "some words", "word " * 3000]
+    assert m.scores(texts).tolist() == [m.score(t) for t in texts]
+    assert m.scores([]).tolist() == []
