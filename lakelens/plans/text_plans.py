@@ -3,7 +3,7 @@ documents and embeddings."""
 
 from pyspark.sql import functions as F
 
-from ..operators import chat, metrics, tables, text
+from ..operators import chat, metrics, subwords, tables, text
 from ..session import stage_table
 from .registry import register, table
 
@@ -476,6 +476,20 @@ def q_token_encode(spark, sf):
                       F.aggregate("attention_mask", F.lit(0), lambda a, b: a + b).alias("mask_sum"))
 
 
+@register("subword_encode")
+def q_subword_encode(spark, sf):
+    """Start and end ids around the first subwords, as a classifier takes them."""
+    path = subwords.tokenizer_path()
+    enc = subwords.subword_encode(table(spark, sf, "documents"), path, "doc_id", "text", 128, bos=49406, eos=49407)
+    return enc.select("doc_id", "n_tokens", F.array_join("input_ids", " ").alias("ids"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, b: a + b).alias("mask_sum"))
+
+
+@register("subword_vocab")
+def q_subword_vocab(spark, sf):
+    return subwords.subword_counts(table(spark, sf, "documents"), subwords.tokenizer_path())
+
+
 # ---------------------------------------------------------------- vectors
 def centroids(spark, sf):
     e = table(spark, sf, "embeddings")
