@@ -12,9 +12,15 @@ else.  The work is cut up by content:
    so equal strings are cut alike and hold 24 equal symbols.  A suffix array of
    the symbols is built by grouping; strings whose 24 symbols equal a neighbour's
    in suffix order are compared on their remaining 8 bytes.  Exact throughout.
-4. Anchors with very many contexts are split by string: their strings are
-   grouped by hash, which spreads and pre-aggregates them.
-
+4. Contexts of an anchor with very many of them are cut into parts first: the
+   strings whose anchor lies in the same RANGE places.  They all hold the same
+   core of LENGTH - RANGE + 1 bytes, whose hash is the part's group, so a common
+   anchor falls apart into groups of equal cores.  Equal parts are counted, one
+   of each goes to the group's suffix array, and its spans are joined back to
+   all.  A group whose *different* parts are still very many (a passage's edge in
+   many documents) is finished string by string on those parts.
+
+Texts, parts and such strings are told apart by MD5, everything else by bytes.
 Equal texts are worked on once; their strings are repeated by definition.
 """
 
@@ -24,6 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +39,8 @@ from .common import staged
 
 LENGTH = 200
 GRAM = 32
-HOT = 512               # contexts of one anchor that are sorted together
+HOT = 512               # contexts of an anchor, or different parts of a group, that are sorted as they are
+RANGE = 24              # places of the anchor in the strings of one part
 CHUNK = 4 << 20         # bytes of contexts of one suffix array
 SYMBOL = 8
 
@@ -330,9 +338,8 @@ def distinct_texts(texts: DataFrame) -> DataFrame:
     return z.groupBy("_key").agg(F.first("_z").alias("_z"), F.count("*").alias("_n"))
 
 
-def _contexts(texts: DataFrame, length: int, hot: bool) -> DataFrame:
-    """Contexts of the repeated anchors; with ``hot`` the strings of anchors
-    with very many contexts, as (anchor, string hash, key, start)."""
+def _contexts(texts: DataFrame, length: int) -> DataFrame:
+    """Contexts of the repeated anchors that are not hot."""
     def run(batches):
         d = zstandard.ZstdDecompressor()
         for b in batches:
@@ -340,34 +347,124 @@ def _contexts(texts: DataFrame, length: int, hot: bool) -> DataFrame:
             for i, (z, own) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
                 t = d.decompress(z)
                 for x in own:
-                    if x["_hot"] != hot:
-                        continue
-                    p = x["_p"]
-                    a = p >> 24
-                    part = t[a:a + (p >> 12 & 0xFFF) + length]
-                    if hot:
-                        s = gram_hashes(np.frombuffer(part, np.uint8), length).view(np.int64).tolist()
-                        parts += s
-                        starts += range(a, a + len(s))
-                        hs += [x["_h"]] * len(s)
-                        at += [i] * len(s)
-                    else:
-                        parts.append(part)
+                    if not x["_hot"]:
+                        p = x["_p"]
+                        a = p >> 24
+                        parts.append(t[a:a + (p >> 12 & 0xFFF) + length])
                         starts.append(a)
                         places.append(p & 0xFFF)
                         hs.append(x["_h"])
                         at.append(i)
             key = b.column(0).take(pa.array(at, pa.int64()))
-            if hot:
-                yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(parts, pa.int64()), key,
-                                                  pa.array(starts, pa.int64())], ["_h", "_s", "_key", "_start"])
-            else:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hs, pa.int64()), pa.array(starts, pa.int64()), key, pa.array(parts, pa.binary()),
-                     pa.array(places, pa.int32())], ["_h", "_start", "_key", "_part", "_place"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hs, pa.int64()), pa.array(starts, pa.int64()), key, pa.array(parts, pa.binary()),
+                 pa.array(places, pa.int32())], ["_h", "_start", "_key", "_part", "_place"])
     return texts.select("_key", "_z", "_anchors").mapInArrow(
-        run, "_h long, _s long, _key binary, _start long" if hot else
-        "_h long, _start long, _key binary, _part binary, _place int")
+        run, "_h long, _start long, _key binary, _part binary, _place int")
+
+
+def cut_parts(text: bytes, packed: int, length: int) -> list[tuple[int, int, int, int, int]]:
+    """(range, start, end, place of the anchor, place of the core's start) of every
+    part of a context; the last two count from the part's start."""
+    first, last_off, place = packed >> 24, packed >> 12 & 0xFFF, packed & 0xFFF
+    out = []
+    for j in range(max(0, place - last_off) // RANGE, place // RANGE + 1):
+        high = min(place, j * RANGE + RANGE - 1)        # bytes before the anchor in the first string
+        low = max(0, place - last_off, j * RANGE)
+        start = first + place - high
+        out.append((j, start, first + place - low + length, high, high - j * RANGE))
+    return out
+
+
+def _hot_parts(texts: DataFrame, length: int) -> DataFrame:
+    """(_g, _m, _key, _start, _part, _place): parts of the hot anchors' contexts;
+    ``_g`` hashes anchor, range and core, ``_m`` the part's bytes and place."""
+    core = length - RANGE + 1
+
+    def run(batches):
+        d = zstandard.ZstdDecompressor()
+        for b in batches:
+            gs, ms, starts, places, parts, at = [], [], [], [], [], []
+            for i, (z, own) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
+                t = d.decompress(z)
+                for x in own:
+                    if x["_hot"]:
+                        for j, a, e, place, c in cut_parts(t, x["_p"], length):
+                            part = t[a:e]
+                            gs.append(xxhash.xxh64_intdigest(part[c:c + core], (x["_h"] ^ j) & ((1 << 64) - 1)))
+                            ms.append(hashlib.md5(part + bytes([place & 255, place >> 8])).digest())
+                            starts.append(a)
+                            places.append(place)
+                            parts.append(part)
+                            at.append(i)
+            key = b.column(0).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(gs, dtype=np.uint64).view(np.int64)), pa.array(ms, pa.binary()), key,
+                 pa.array(starts, pa.int64()), pa.array(parts, pa.binary()), pa.array(places, pa.int32())],
+                ["_g", "_m", "_key", "_start", "_part", "_place"])
+    return texts.select("_key", "_z", "_anchors").mapInArrow(
+        run, "_g long, _m binary, _key binary, _start long, _part binary, _place int")
+
+
+def _hot_spans(texts: DataFrame, length: int) -> DataFrame:
+    """(_key, _from, _to) of repeated strings around hot anchors."""
+    rows = staged(_hot_parts(texts, length), "suffix-parts")
+    kinds = rows.groupBy("_g", "_m").agg(F.count("*").alias("_n"), F.first("_part").alias("_part"),
+                                         F.first("_place").alias("_place"))
+    kinds = staged(kinds, "suffix-kinds")
+    per = staged(kinds.groupBy("_g").agg(F.count("*").alias("_d"), F.sum("_n").alias("_all"))
+                 .filter("_all > 1").select("_g", "_d"), "suffix-groups")
+    live = kinds.join(per, "_g")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def flush(held):
+        # a part that occurs again is entered twice
+        twice = [x for r in held for x in [r[3:5]] * (2 if r[2] > 1 else 1)]
+        flags = repeated_starts(twice, length)
+        out, i = [], 0
+        for g, m, count, _, _ in held:
+            out += [(g, m, a, e) for a, e in _spans(flags[i], 0, length)]
+            i += 2 if count > 1 else 1
+        return _batch(out, ["_g", "_m", "_a", "_e"], [pa.int64(), pa.binary(), pa.int64(), pa.int64()])
+
+    def sort(batches):
+        held, size = [], 0
+        for b in batches:
+            for row in zip(*(b.column(i).to_pylist() for i in range(5))):
+                if size > CHUNK and row[0] != held[-1][0]:      # never inside one group
+                    yield flush(held)
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[3])
+        if held:
+            yield flush(held)
+
+    cols = ["_g", "_m", "_n", "_part", "_place"]
+    schema = "_g long, _m binary, _a long, _e long"
+    spans = (live.filter(F.col("_d") <= HOT).select(*cols).repartition(2 * n, "_g").sortWithinPartitions("_g")
+             .mapInArrow(sort, schema))
+    if not per.filter(F.col("_d") > HOT).isEmpty():
+        spans = spans.unionByName(_wide_spans(live.filter(F.col("_d") > HOT).select(*cols), length, schema))
+    return (rows.select("_g", "_m", "_key", "_start").join(spans, ["_g", "_m"])
+            .select("_key", (F.col("_start") + F.col("_a")).alias("_from"), (F.col("_start") + F.col("_e")).alias("_to")))
+
+
+def _wide_spans(kinds: DataFrame, length: int, schema: str) -> DataFrame:
+    """Spans of groups with very many different parts: at most RANGE strings a
+    part, counted by place and MD5."""
+    def run(batches):
+        for b in batches:
+            rows = []
+            for g, m, n, part, place in zip(*(b.column(i).to_pylist() for i in range(5))):
+                rows += [(g, m, n, i, hashlib.md5(part[i:i + length] + bytes([(place - i) & 255, (place - i) >> 8])).digest())
+                         for i in range(len(part) - length + 1)]
+            yield _batch(rows, ["_g", "_m", "_n", "_a", "_s"],
+                         [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()])
+
+    strings = staged(kinds.mapInArrow(run, "_g long, _m binary, _n long, _a long, _s binary"), "suffix-strings")
+    many = strings.groupBy("_g", "_s").agg(F.sum("_n").alias("_k")).filter("_k > 1").select("_g", "_s")
+    hit = strings.join(many, ["_g", "_s"])
+    return hit.select("_g", "_m", "_a", (F.col("_a") + length).alias("_e"))
 
 
 def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
@@ -396,18 +493,13 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
             .mapInArrow(run, "_key binary, _from long, _to long"))
 
 
-def _hot_spans(strings: DataFrame, length: int) -> DataFrame:
-    many = strings.groupBy("_h", "_s").agg(F.count("*").alias("_n")).filter("_n > 1").select("_h", "_s")
-    return (strings.join(many, ["_h", "_s"])
-            .select("_key", F.col("_start").alias("_from"), (F.col("_start") + length).alias("_to")))
-
-
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             length: int = LENGTH) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans (maximal removed runs),
     kept_sha256 (of the bytes left).
 
-    NULL counts as the empty text.  Texts shorter than ``length`` bytes keep all
+    A very long text is read whole, in one task.  NULL counts as the empty text.
+    Texts shorter than ``length`` bytes keep all
     bytes.  Rows of equal text (repeated rows too) are each other's repeats.
     """
     if length % SYMBOL or length < GRAM + SYMBOL or length > 4000:
@@ -415,10 +507,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = keyed_texts(docs, id_col, text_col)
     own = distinct_texts(texts)
     per, any_hot = repeated_anchors(texts, length)
-    spans = _sorted_spans(_contexts(own.join(per, "_key"), length, False), length)
+    spans = _sorted_spans(_contexts(own.join(per, "_key"), length), length)
     if any_hot:
         some = own.join(per.filter(F.exists("_anchors", lambda a: a["_hot"])), "_key")
-        spans = spans.unionByName(_hot_spans(staged(_contexts(some, length, True), "suffix-hot"), length))
+        spans = spans.unionByName(_hot_spans(some, length))
     per = staged(spans.groupBy("_key").agg(
         F.collect_list(F.struct("_from", "_to")).alias("_spans")), "suffix-spans")
 

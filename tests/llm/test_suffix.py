@@ -52,8 +52,51 @@ def test_shared_passages_and_periods(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows, 200)
     assert got(df) == want
-    monkeypatch.setattr(suffix, "HOT", 6)       # anchors with many contexts take the other way
-    assert got(df) == want
+    for hot in (12, 6, 1):      # anchors with many contexts fall apart into parts, groups into strings
+        monkeypatch.setattr(suffix, "HOT", hot)
+        assert got(df) == want
+
+
+def test_hot_groups_equal_brute_force(spark, monkeypatch):
+    """A passage in many documents, byte-equal parts, near copies, edges of every kind."""
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    p, long = word(420), word(900)
+    rows = [(i, word(rng.randint(0, 60)) + p[rng.randint(0, 20):rng.randint(330, 420)] + word(rng.randint(0, 60))) for i in range(60)]
+    for i in range(40):         # near copies: one byte differs
+        k = rng.randrange(900)
+        rows.append((100 + i, long[:k] + "X" + long[k + 1:]))
+    rows += [(200, "q" * 2000), (201, "q" * 1999 + "r"), (202, "pq" * 700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 200)
+    for hot in (512, 20, 3):
+        monkeypatch.setattr(suffix, "HOT", hot)
+        assert got(df) == want
+
+
+def test_parts_cover_each_string_once():
+    rng = random.Random(5)
+    for _ in range(300):
+        off = rng.randint(0, 168)
+        place = rng.randint(off, 168)
+        first = rng.randint(0, 5)
+        text = bytes(first + off + 200 + rng.randint(0, 9))
+        starts = []
+        for j, a, e, at, core in suffix.cut_parts(text, first << 24 | off << 12 | place, 200):
+            own = range(a, e - 199)
+            starts += own
+            assert a + at == first + place and all((first + place - x) // suffix.RANGE == j for x in own)
+            assert all(x <= a + core and a + core + 200 - suffix.RANGE + 1 <= x + 200 for x in own)
+        assert sorted(starts) == list(range(first, first + off + 1))
+
+
+def test_very_long_text(spark):
+    rng = random.Random(8)
+    body = "".join(rng.choice("abcdefgh ") for _ in range(150_000))
+    rows = [(1, body), (2, body[70_000:70_500]), (3, body[:100] + "!" + body[101:400])]
+    out = {r["doc_id"]: r for r in suffix.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1]["n_removed"] == 500 + 299 and out[1]["n_spans"] == 2
+    assert (out[2]["n_removed"], out[3]["n_removed"]) == (500, 299)
 
 
 def test_suffix_array():
