@@ -35,6 +35,7 @@ EPOCHS = 24
 PATIENCE = 4            # epochs without a better one after which the vectors are not trained on
 RATE = 0.2              # AdaGrad's step of the vectors
 BATCH = 32              # texts a step
+AT_ONCE = 100_000       # terms whose vectors are looked up together
 PREFIX = 4
 L1 = 1.5                # soft threshold of the weights, in deviations of a term's gradient
 RIDGE = 0.2
@@ -72,7 +73,15 @@ class Model:
         return float(self.margins([found])[0])
 
     def scores(self, texts) -> np.ndarray:
-        return _sigmoid(self.margins([terms(t) for t in texts]))
+        out, held, size = [], [], 0
+        for t in texts:
+            held.append(terms(t))
+            size += len(held[-1])
+            if size > AT_ONCE:          # bounded memory: a part of the texts at a time
+                out.append(self.margins(held))
+                held, size = [], 0
+        out.append(self.margins(held))
+        return _sigmoid(np.concatenate(out))
 
     def score(self, text: str | None) -> float:
         return float(self.scores([text])[0])
@@ -93,8 +102,7 @@ def _sigmoid(m):
 def _descend(docs: list[np.ndarray], y: np.ndarray, w: np.ndarray, l1: np.ndarray, ridge: float,
              steps: int = 200) -> tuple[np.ndarray, float]:
     """Accelerated proximal descent on the logistic loss, a step size per term."""
-    size = np.array([len(d) for d in docs])
-    at, row = np.concatenate(docs), np.repeat(np.arange(len(docs)), size)
+    at, row, size = _flat(docs)
     p = np.clip(y.mean(), 1e-6, 1 - 1e-6)
     b, t = np.log(p / (1 - p)), 1.0
     curve = np.bincount(at, weights=0.25 * (size[row] + 1), minlength=len(w)) + ridge + 1e-9
@@ -122,7 +130,7 @@ def _linear(docs: list[np.ndarray], y: np.ndarray, size: int) -> tuple[np.ndarra
 
 def _flat(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = np.array([len(d) for d in docs], dtype=np.int64)
-    return np.concatenate(docs), np.repeat(np.arange(len(docs)), size), size
+    return np.concatenate(docs), np.repeat(np.arange(len(docs), dtype=np.int32), size), size
 
 
 def _pairs(docs: list[np.ndarray], y: np.ndarray, w: np.ndarray, b: float, factors: int, epochs: int, seed: int):
@@ -163,10 +171,11 @@ def _best_epochs(docs: list[np.ndarray], y: np.ndarray, size: int, factors: int,
         return epochs
     w, b = _linear(train_docs, y[~held], size)
     base = np.array([b + w[d].sum() for d in test])
-    at, row, known = _flat(test)
+    parts = [test[i:i + 256] for i in range(0, len(test), 256)]
     best, least = 1, np.inf
     for e, v in enumerate(_pairs(train_docs, y[~held], w, b, factors, epochs, seed), 1):
-        m = base + _pair_sums(v[at], row, known)
+        flat = (_flat(part) for part in parts)
+        m = base + np.concatenate([_pair_sums(v[at], row, known) for at, row, known in flat])
         loss = np.logaddexp(0, np.where(ty == 1, -m, m)).mean()
         if loss < least:
             best, least = e, loss
@@ -184,8 +193,9 @@ def train(rows: list[tuple[np.ndarray, int]], share: float, factors: int = FACTO
         return Model(np.zeros(0, np.uint32), -30.0, np.zeros(0), np.zeros((0, factors)))
     keys, n = np.unique(np.concatenate([r for r, _ in rows]), return_counts=True)
     keys = keys[n >= MIN_DOCS]
-    docs = [np.flatnonzero(np.isin(keys, r, assume_unique=True)) if len(keys) < len(r) else
-            (lambda at: at[keys[at] == r])(np.minimum(np.searchsorted(keys, r), len(keys) - 1)) for r, _ in rows]
+    docs = [(np.flatnonzero(np.isin(keys, r, assume_unique=True)) if len(keys) < len(r) else
+             (lambda at: at[keys[at] == r])(np.minimum(np.searchsorted(keys, r), len(keys) - 1))).astype(np.int32)
+            for r, _ in rows]
     y = np.array([label for _, label in rows], dtype=float)
     odds = lambda p: np.log(np.clip(p, 1e-6, 1 - 1e-6) / (1 - np.clip(p, 1e-6, 1 - 1e-6)))
     w, b, v = np.zeros(len(keys)), odds(y.mean()), np.zeros((len(keys), factors))
@@ -218,8 +228,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # at most 2 * per_class ids are broadcast, and one text of each comes back
     sample = (text.join(F.broadcast(picked), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
               .select("_id", "_y", hashed("_text").alias("_terms")))
-    got = sorted(((r["_id"], r["_y"], r["_terms"]) for r in sample.toLocalIterator()), key=lambda r: r[0])
-    rows = [(np.array(t, dtype=np.uint32), y) for _, y, t in got]
+    got = sorted(((r["_id"], r["_y"], np.array(r["_terms"], dtype=np.uint32)) for r in sample.toLocalIterator()),
+                 key=lambda r: r[0])
+    rows = [(t, y) for _, y, t in got]
     return train(rows, n.get(1, 0) / max(1, sum(n.values())))
 
 
