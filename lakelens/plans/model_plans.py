@@ -2,8 +2,9 @@
 except the feature transforms that have an SQL twin).
 
 Stand-ins: price bars = events daily bars; heart = orders joined to customer
-(target: status F); churn = gen_churn keyed by customer; houses = gen_housing
-keyed by part; news = documents labelled by language.
+(target: status F); churn = customers with their orders (target: half of them
+finished); houses = parts with their lines (target: what they brought in);
+news = documents labelled by language.
 """
 
 import uuid
@@ -17,7 +18,6 @@ from ..operators import features as fx
 from ..operators import metrics, models, sampling, series, text, trees
 from ..session import materialize, scratch_path
 from .registry import register, table
-from .source_plans import churn_frame, housing_frame
 
 BAR_FEATURES = series.FEATURES
 
@@ -328,19 +328,24 @@ def q_score_new_rows(spark, sf):
     return out
 
 
-# ------------------------------------------------------------------ churn (R)
-CHURN_NUM = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges"]
-CHURN_CAT = ["gender", "Partner", "Dependents", "PhoneService", "MultipleLines", "InternetService",
-             "OnlineSecurity", "TechSupport", "Contract", "PaperlessBilling", "PaymentMethod"]
+# ------------------------------------------------------------------ customers (R)
+CUSTOMER_NUM = ["balance", "n_orders", "total"]
+CUSTOMER_CAT = ["segment", "nation"]
 
 
-def _churn_split(spark, sf):
-    c = churn_frame(spark, sf)
-    c = c.withColumn("TotalCharges", F.col("TotalCharges").cast("double")) \
-         .withColumn("label", (F.col("Churn") == "Yes").cast("int"))
-    c = sampling.stratified_split(c, "label", ["customerID"])
-    c = materialize(sampling.stratified_folds(c, "label", ["customerID"], 5, seed=3))
-    return c.where(F.col("part") == "train"), c.where(F.col("part") == "test")
+def _customers(spark, sf):
+    """Customers with orders: missing values on both kinds of column; label 1 if
+    at least half of their orders are finished.  Split and folds by label."""
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    per = o.groupBy("o_custkey").agg(F.count("*").cast("double").alias("n_orders"), F.sum("o_totalprice").alias("total"),
+                                     F.avg((F.col("o_orderstatus") == "F").cast("double")).alias("__f"))
+    d = c.join(per, c.c_custkey == per.o_custkey).select(
+        "c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance"), "n_orders", "total",
+        F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")).alias("segment"),
+        F.col("c_nationkey").cast("string").alias("nation"), (F.col("__f") >= 0.5).cast("int").alias("label"))
+    d = sampling.stratified_split(materialize(d), "label", ["c_custkey"])
+    d = materialize(sampling.stratified_folds(d, "label", ["c_custkey"], 5, seed=3))
+    return d.where(F.col("part") == "train"), d.where(F.col("part") == "test")
 
 
 def _mixed_sql(body):
@@ -389,18 +394,19 @@ def q_feature_names(spark, sf):
 @register("rf_classifier")
 def q_rf_classifier(spark, sf):
     from pyspark.ml import Pipeline
-    train, test = _churn_split(spark, sf)
-    m = Pipeline(stages=fx.column_transformer(CHURN_NUM, CHURN_CAT) + [models.rf_classifier()]).fit(train)
+    train, test = _customers(spark, sf)
+    m = Pipeline(stages=fx.column_transformer(CUSTOMER_NUM, CUSTOMER_CAT) + [models.rf_classifier()]).fit(train)
     return _binary_summary(m.transform(test))
 
 
 @register("grid_search")
 def q_grid_search(spark, sf):
-    train, test = _churn_split(spark, sf)
+    train, test = _customers(spark, sf)
     n = train.count()
     lr = models.logistic_regression(int(n * 0.8))
     maps = models.grid_maps(lr, int(n * 0.8), Cs=[0.01, 0.1, 1.0, 10.0, 100.0])
-    res = models.grid_search_by_fold(fx.column_transformer(CHURN_NUM, CHURN_CAT), lr, maps, train)
+    res = models.grid_search_by_fold(fx.column_transformer(CUSTOMER_NUM, CUSTOMER_CAT), lr, maps, train,
+                                     evaluator=models.exact_auc())
     i, pm = res["best_index"], res["best_params"]
     test_auc = metrics.roc_auc(models.predict_proba(res["model"].transform(test)), "label", "p1").first()[0]
     return spark.createDataFrame([(i, float(res["avg"][i]), float(res["std"][i]),
@@ -409,59 +415,66 @@ def q_grid_search(spark, sf):
                                  "elastic_net double, test_auc double")
 
 
-@register("sink_model")
+@register("sink_model", _mixed_sql("SELECT o_orderkey, train, " + ", ".join(
+    [f"ROUND(({c} - (SELECT avg({c}) FROM f WHERE train)) / (SELECT stddev_pop({c}) FROM f WHERE train), 6) AS f{i}"
+     for i, c in enumerate(MIXED_NUM)]
+    + [f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS f{i + len(MIXED_NUM)}"
+       for i, (c, v) in enumerate((c, v) for c, vs in MIXED_VALUES.items() for v in vs)]) + " FROM f"))
 def q_sink_model(spark, sf):
-    """Persist the fitted churn feature pipeline to the shared folder, load it
-    back, and score every churn row with the loaded copy."""
+    """Persist the fitted feature pipeline to the shared folder, load it back,
+    and score every order with the loaded copy."""
     from pyspark.ml import Pipeline
     from ..sources import files
-    train, test = _churn_split(spark, sf)
-    m = Pipeline(stages=fx.column_transformer(CHURN_NUM, CHURN_CAT)).fit(train)
-    path = scratch_path(spark, f"churn-features-{uuid.uuid4().hex}")
-    files.sink_model(m, path)
-    back = files.source_model(path)
-    return back.transform(train.unionByName(test)).select(
-        "customerID", "part", vector_to_array("features").alias("features"))
+    train, test = _mixed(spark, sf)
+    path = scratch_path(spark, f"order-features-{uuid.uuid4().hex}")
+    files.sink_model(Pipeline(stages=fx.column_transformer(MIXED_NUM, MIXED_CAT)).fit(train), path)
+    rows = train.withColumn("train", F.lit(True)).unionByName(test.withColumn("train", F.lit(False)))
+    a = vector_to_array("features")
+    return files.source_model(path).transform(rows).select(
+        "o_orderkey", "train", *[F.get(a, i).alias(f"f{i}") for i in range(len(MIXED_NAMES))])
 
 
-@register("verify_roundtrip")
+@register("verify_roundtrip", "SELECT CAST(ceil(CAST(count(*) AS DOUBLE) * 0.2) AS BIGINT) AS n_rows, "
+          "CAST(0 AS BIGINT) AS n_diff, true AS same_auc FROM orders JOIN customer ON o_custkey = c_custkey")
 def q_verify_roundtrip(spark, sf):
-    """Save the fitted churn pipeline, load it back, score the test rows with
+    """Save the fitted order pipeline, load it back, score the held-out rows with
     both: differing predictions must be 0 and AUC equal."""
-    from pyspark.ml import Pipeline
     from ..sources import files
-    train, test = _churn_split(spark, sf)
-    n = train.count()
-    m = Pipeline(stages=fx.column_transformer(CHURN_NUM, CHURN_CAT) + [models.logistic_regression(n)]).fit(train)
-    path = scratch_path(spark, f"churn-{uuid.uuid4().hex}")
+    train, test = _heart(spark, sf)
+    m = _heart_logistic(train)
+    path = scratch_path(spark, f"orders-{uuid.uuid4().hex}")
     files.sink_model(m, path)
-    back = files.source_model(path)
-    a = models.predict_proba(m.transform(test)).select("customerID", "label", F.col("p1").alias("p_a"))
-    b = models.predict_proba(back.transform(test)).select("customerID", F.col("p1").alias("p_b"))
-    j = a.join(b, "customerID")
-    auc_a = metrics.roc_auc(j, "label", "p_a").withColumnRenamed("auc", "auc_before")
-    auc_b = metrics.roc_auc(j, "label", "p_b").withColumnRenamed("auc", "auc_after")
+    a = models.predict_proba(m.transform(test)).select("o_orderkey", "label", F.col("p1").alias("p_a"))
+    b = models.predict_proba(files.source_model(path).transform(test)).select("o_orderkey", F.col("p1").alias("p_b"))
+    j = materialize(a.join(b, "o_orderkey"))
     d = j.agg(F.count(F.lit(1)).alias("n_rows"), F.sum((F.col("p_a") != F.col("p_b")).cast("long")).alias("n_diff"))
-    return d.withColumns({"auc_before": auc_a.select("auc_before").scalar(),
-                          "auc_after": auc_b.select("auc_after").scalar()})
+    before, after = metrics.roc_auc(j, "label", "p_a").first()[0], metrics.roc_auc(j, "label", "p_b").first()[0]
+    return d.withColumn("same_auc", F.lit(before is not None and before == after))
 
 
-# ------------------------------------------------------------------ houses (R)
-HOUSE_FEATURES = ["sqft", "bedrooms", "bathrooms", "house_age", "has_garage", "location_score"]
+# ------------------------------------------------------------------ parts (R)
+PART_FEATURES = ["p_retailprice", "p_size", "n_lines", "quantity", "discount", "tax"]
 
 
-def _houses(spark, sf):
-    h = housing_frame(spark, sf)
-    h = sampling.random_split(h, ["house_id"], 0.2, seed=42)
-    h = materialize(h.withColumn("log_price", F.log1p("price")))
-    return h.where(F.col("part") == "train"), h.where(F.col("part") == "test")
+def _parts(spark, sf):
+    """Parts with their lines summed up: what they brought in, and what tells it."""
+    li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    per = li.groupBy("l_partkey").agg(
+        F.count("*").cast("double").alias("n_lines"), F.avg("l_quantity").alias("quantity"),
+        F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax"), F.sum("l_extendedprice").alias("price"))
+    d = p.join(per, p.p_partkey == per.l_partkey).select(
+        "p_partkey", F.col("p_retailprice").cast("double").alias("p_retailprice"),
+        F.col("p_size").cast("double").alias("p_size"), "n_lines", "quantity", "discount", "tax", "price")
+    d = sampling.random_split(materialize(d), ["p_partkey"], 0.2, seed=42)
+    d = materialize(d.withColumn("log_price", F.log1p("price")))
+    return d.where(F.col("part") == "train"), d.where(F.col("part") == "test")
 
 
 @register("gbt_regression")
 def q_gbt(spark, sf):
     from pyspark.ml import Pipeline
-    train, test = _houses(spark, sf)
-    m = Pipeline(stages=[fx.assemble_features(HOUSE_FEATURES), models.gbt_regression("log_price")]).fit(train)
+    train, test = _parts(spark, sf)
+    m = Pipeline(stages=[fx.assemble_features(PART_FEATURES), models.gbt_regression("log_price")]).fit(train)
     p = m.transform(test).withColumn("pred_price", F.expm1("prediction"))
     return metrics.regression_metrics(p, "price", "pred_price")
 
@@ -469,9 +482,9 @@ def q_gbt(spark, sf):
 @register("huber_regression")
 def q_huber_regression(spark, sf):
     from pyspark.ml import Pipeline
-    train, test = _houses(spark, sf)
-    scl = fx.PopulationScaler(inputCols=HOUSE_FEATURES, outputCols=[c + "_s" for c in HOUSE_FEATURES])
-    m = Pipeline(stages=[scl, fx.assemble_features([c + "_s" for c in HOUSE_FEATURES]),
+    train, test = _parts(spark, sf)
+    scl = fx.PopulationScaler(inputCols=PART_FEATURES, outputCols=[c + "_s" for c in PART_FEATURES])
+    m = Pipeline(stages=[scl, fx.assemble_features([c + "_s" for c in PART_FEATURES]),
                          models.huber_regression("log_price")]).fit(train)
     p = m.transform(test).withColumn("pred_price", F.expm1("prediction"))
     return metrics.regression_metrics(p, "price", "pred_price")
@@ -481,8 +494,8 @@ def q_huber_regression(spark, sf):
 def q_learning_curve(spark, sf):
     """Train and held-out loss of every prefix of a boosted regressor (200 trees)."""
     from pyspark.ml import Pipeline
-    train, test = _houses(spark, sf)
-    m = Pipeline(stages=[fx.assemble_features(HOUSE_FEATURES), models.gbt_regression("log_price", iters=200)]).fit(train)
+    train, test = _parts(spark, sf)
+    m = Pipeline(stages=[fx.assemble_features(PART_FEATURES), models.gbt_regression("log_price", iters=200)]).fit(train)
     return trees.learning_curve(spark, m.stages[-1], m.stages[0].transform(train.unionByName(test)),
                                 scratch_path(spark, f"curve-{uuid.uuid4().hex}"), "log_price")
 

@@ -520,9 +520,28 @@ def q_vector_top_k(spark, sf):
     return text.vector_top_k_frame(e, centroids(spark, sf), 5).select("query_id", "vec_id", "score", "rank")
 
 
-@register("mmr_select")
+def _mmr_sql(fetch: int = 20, k: int = 5) -> str:
+    """DuckDB: the greedy picks unrolled (best of 0.5 * relevance - 0.5 * nearest pick; ties: smaller id)."""
+    cand = VEC_SQL.strip()
+    cand = cand[:cand.rindex("SELECT query_id, vec_id, ROUND")]
+    sim = ("list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v)))")
+    out = [f"""{cand.rstrip()},
+  c AS MATERIALIZED (SELECT r.query_id, r.vec_id, r.score AS rel, [CAST(x AS DOUBLE) FOR x IN embedding] AS v
+                     FROM r JOIN embeddings e ON e.vec_id = r.vec_id WHERE rank <= {fetch}),
+  k1 AS (SELECT query_id, arg_max(vec_id, (rel, -vec_id)) AS vec_id, 1 AS mmr_rank FROM c GROUP BY query_id)"""]
+    for t in range(2, k + 1):
+        out.append(f"""
+  s{t} AS (SELECT a.query_id, a.vec_id, 0.5 * any_value(a.rel) - 0.5 * max({sim}) AS score
+           FROM c a JOIN k{t - 1} p ON p.query_id = a.query_id JOIN c b ON b.query_id = p.query_id AND b.vec_id = p.vec_id
+           WHERE (a.query_id, a.vec_id) NOT IN (SELECT (query_id, vec_id) FROM k{t - 1}) GROUP BY 1, 2),
+  k{t} AS (SELECT * FROM k{t - 1} UNION ALL
+           SELECT query_id, arg_max(vec_id, (score, -vec_id)), {t} FROM s{t} GROUP BY query_id)""")
+    return ",".join(out) + f"\n  SELECT query_id, vec_id, CAST(mmr_rank AS INTEGER) AS mmr_rank FROM k{k}"
+
+
+@register("mmr_select", _mmr_sql())
 def q_mmr(spark, sf):
-    """Diversity re-rank of each query's 20 nearest to 5 (rows-only check)."""
+    """Diversity re-rank of each query's 20 nearest to 5."""
     e = table(spark, sf, "embeddings")
     cands = text.vector_top_k_frame(e, centroids(spark, sf), 20, keep_query_vec=True)
     return text.mmr_select(cands, 5, 0.5)
@@ -563,12 +582,12 @@ def q_map_batches(spark, sf):
 
 
 @register("map_rows", f"""
-  SELECT conv_id, turn, upper(substring(text, 7)) AS body, CAST(length(text) AS INTEGER) AS n_chars FROM ({DIALOGUE_SQL})
+  SELECT conv_id, turn, substring(text, 7) AS body, CAST(length(text) AS INTEGER) AS n_chars FROM ({DIALOGUE_SQL})
 """)
 def q_map_rows(spark, sf):
     from ..functions.udf import map_rows
     d = text.dialogue_pairs(table(spark, sf, "conversations")).select("conv_id", "turn", "text")
-    return map_rows(d, {"body": F.upper(F.substr("text", F.lit(7))), "n_chars": F.length("text")}, drop=["text"])
+    return map_rows(d, {"body": F.substr("text", F.lit(7)), "n_chars": F.length("text")}, drop=["text"])
 
 
 @register("reply_provider", f"""
