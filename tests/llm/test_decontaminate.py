@@ -1,5 +1,8 @@
+import random
 from collections import Counter
 
+import numpy as np
+
 from lakelens.llm import decontaminate as D
 
 
@@ -52,3 +55,50 @@ def test_short_items_parts_and_empty(spark, edge, empty, monkeypatch):
     monkeypatch.setattr(D, "MAX_ITEM_BYTES", 8)
     assert len(D.item_slices(items, "item_id", "text", 8)) == 3
     assert got(edge, items) == {} and got(empty, items) == {}
+
+
+def test_index_is_selective_and_complete():
+    """Every pair within the radius is found; under 5 % of chance pairs are looked at."""
+    rng = np.random.default_rng(1)
+    fps = rng.integers(0, 256, (400, 8), dtype=np.uint8)
+    far = rng.integers(0, 256, (300, 8), dtype=np.uint8)
+    index = D.Postings(fps, D.RADIUS)
+    row, item = index.candidates(far)
+    assert len(set(zip(row.tolist(), item.tolist()))) == len(row) < 0.05 * 300 * 400
+    near = np.unpackbits(fps, axis=1)
+    for b in near:
+        b[rng.permutation(64)[:rng.integers(0, D.RADIUS + 1)]] ^= 1
+    got = np.packbits(near, axis=1)
+    dist = np.unpackbits(got[:, None] ^ fps[None], axis=2).sum(2)
+    want = {(i, j) for i, j in zip(*np.nonzero(dist <= D.RADIUS))}
+    assert len(want) >= 400 and set(zip(*(x.tolist() for x in index.within(got)))) == {(int(i), int(j)) for i, j in want}
+
+
+def test_recall_over_similarity_bands_and_item_lengths():
+    """Items with some words changed, inside longer texts, against every window."""
+    rng = random.Random(2)
+    vocab = [f"v{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(vocab, k=n))) for i, n in enumerate([10, 15, 20, 30, 45, 60, 80, 100] * 12)]
+    index = D.Index(items)
+    by, found = Counter(), Counter()
+    for key, text in items:
+        for changes in (0, 1, 1, 2, 3):
+            w = text.split()
+            for _ in range(changes):
+                w[rng.randrange(len(w))] = rng.choice(vocab)
+            body = " ".join(rng.choices(vocab, k=30) + w + rng.choices(vocab, k=30))
+            want = brute([(1, body)], [(key, text)])
+            if want:
+                band = (len(w) > 40, int(want["1", key] * 20))
+                by[band] += 1
+                got = {x[0]: x[1] for x in index.scan(body)}
+                found[band] += got.get(key) == want["1", key]
+    assert sum(by.values()) >= 200 and len(by) >= 6
+    assert all(found[b] >= 0.9 * by[b] for b in by), (by, found)
+    assert sum(found.values()) >= 0.98 * sum(by.values())
+
+
+def test_very_long_text():
+    item = " ".join(f"x{i}" for i in range(40))
+    text = "y z " * 200_000 + item + " y" * 1000
+    assert D.Index([(7, item)]).scan(text) == [(7, 1.0, 400_000, 40)]
