@@ -11,8 +11,8 @@ P(w|h) = (1 - LAMBDA) * P(w) + LAMBDA * c(h w) / c(h), with P(w) smoothed as in
 the base score and all counts read from the filter.
 
 The filter is broadcast, in slices of at most ``slice_bytes``: with one slice a
-text is scored in one pass; with more, each slice answers the probes that belong
-to it and the answers are added up per text.
+text is scored in one pass; with more, one slice at a time answers the probes
+that belong to it, and the stored answers are put together per text.
 
 Words are told apart by a 64-bit hash throughout.
 """
@@ -353,14 +353,16 @@ def _tail_sums(rows: DataFrame, counted: DataFrame, head, buckets: int) -> DataF
 
 
 def _scored(rows: DataFrame, kind: str, head, f, total: int, vocabulary: int, begins: int) -> DataFrame:
-    """Per row: token count, base terms of head words, and the model's score."""
+    """Per row: token count, base terms of head words and, with a whole filter
+    ``f``, the model's score."""
     def run(batches):
         hw, hc = head.value
-        lm = f.value
+        lm = f.value if f is not None else None
         for b in batches:
             n, part, known, score = ([np.zeros(0, k)] for k in (np.int64, float, np.int64, float))
             for x, first in chunks(b.column(1).to_pylist()):
-                score.append(log_probs(codes(x, first, lm), first, total, vocabulary, begins))
+                score.append(log_probs(codes(x, first, lm), first, total, vocabulary, begins) if lm
+                             else np.full(len(first), np.nan))
                 c = np.zeros(len(x), np.int64)
                 inside = np.zeros(len(x), bool)
                 if len(hw):
@@ -379,26 +381,31 @@ def _scored(rows: DataFrame, kind: str, head, f, total: int, vocabulary: int, be
         run, f"_id {kind}, _doc long, n_tokens long, _part double, _known long, score double")
 
 
-def _sliced_scores(rows: DataFrame, slices: list, total: int, vocabulary: int, begins: int) -> DataFrame:
-    """(_doc, score) when the filter is broadcast slice by slice: the answers of
-    all slices are put together per text."""
+def _sliced_scores(rows: DataFrame, counted: DataFrame, buckets: int, ranges: list, total: int, vocabulary: int,
+                   begins: int) -> DataFrame:
+    """(_doc, score) when the filter takes several slices: one is loaded,
+    broadcast, asked and released before the next; the stored answers of all are
+    put together per text."""
     def probe(f):
         def run(batches):
             for b in batches:
                 one = np.zeros(1, np.int64)
                 got = [codes(tokens(t), one, f.value).tobytes() for t in b.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(1), pa.array(got, pa.binary())], ["_doc", "_codes"])
-        return rows.select("_text", "_doc").dropDuplicates(["_doc"]).select("_text", "_doc").mapInArrow(
-            run, "_doc long, _codes binary")
+        return texts.mapInArrow(run, "_doc long, _codes binary")
 
     def join(table: pa.Table) -> pa.Table:
         c = np.max([np.frombuffer(x, np.uint8) for x in table.column("_codes").to_pylist()], axis=0).reshape(3, -1)
         return pa.table({"_doc": table.column("_doc").slice(0, 1),
                          "score": pa.array(log_probs(c, np.zeros(1, np.int64), total, vocabulary, begins))})
 
+    texts = rows.select("_text", "_doc").dropDuplicates(["_doc"]).select("_text", "_doc")
     parts = None
-    for f in slices:
-        parts = probe(f) if parts is None else parts.unionByName(probe(f))
+    for first, last in ranges:
+        f = rows.sparkSession.sparkContext.broadcast(load_slice(counted, buckets, first, last))
+        got = staged(probe(f), "lm-codes")
+        f.destroy()
+        parts = got if parts is None else parts.unionByName(got)
     return parts.groupBy("_doc").applyInArrow(join, "_doc long, score double")
 
 
@@ -419,11 +426,11 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sc = docs.sparkSession.sparkContext
     head = sc.broadcast(_head(counted, total))      # at most HEAD words
     ranges = filter_slices(counted, buckets, slice_bytes)
-    # one slice is at most slice_bytes (or one bucket)
-    slices = [sc.broadcast(load_slice(counted, buckets, a, b)) for a, b in ranges]
-    out = _scored(rows, kind, head, slices[0], total, vocabulary, begins)
-    if len(slices) > 1:
-        out = out.drop("score").join(_sliced_scores(rows, slices, total, vocabulary, begins), "_doc")
+    # one slice is at most slice_bytes (or one bucket), and only one is alive at a time
+    whole = sc.broadcast(load_slice(counted, buckets, *ranges[0])) if len(ranges) == 1 else None
+    out = _scored(rows, kind, head, whole, total, vocabulary, begins)
+    if whole is None:
+        out = out.drop("score").join(_sliced_scores(rows, counted, buckets, ranges, total, vocabulary, begins), "_doc")
     out = out.join(_tail_sums(rows, counted, head, buckets), "_doc", "left")
     rate = float(np.log10(total + 0.1 * (vocabulary + 1)))
     return out.select(
