@@ -90,4 +90,18 @@ def stage_table(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    STAGED.append(path)
     return spark.read.parquet(path)
+
+
+STAGED: list[str] = []      # tables this process has staged and not yet deleted
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the staged tables of this process; call it once the results that
+    read them are written.  Returns how many there were."""
+    n = len(STAGED)
+    while STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(STAGED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
