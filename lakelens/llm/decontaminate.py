@@ -11,8 +11,9 @@ must lie within the radius and are then verified by the exact weighted Jaccard
 similarity of their shingles (weight: occurrences).  The radius keeps 98 % or more
 of the pairs at similarity 0.8, and all from 0.9 on (measured in the tests).
 
-A window without any shingle of the benchmark has similarity 0 with every item,
-so windows are only laid over places where such a shingle occurs.
+A window of a shingles reaches similarity s with an item of b only if they share
+s * (a + b) / (1 + s), so windows are only laid where so many shingles of the
+benchmark occur; all others are below s with every item.
 """
 
 from __future__ import annotations
@@ -164,11 +165,26 @@ class Index:
             if not len(hits):
                 continue
             m = min(n - k + 1, len(sh))         # shingles of a window; short texts are one window
-            starts = np.unique(np.clip((hits[:, None] - np.arange(m)[None]).ravel(), 0, len(sh) - m))
+            starts = self._starts(hits, m, n - k + 1, len(sh) - m)
+            if not len(starts):
+                continue
             for run in np.split(starts, np.flatnonzero(np.diff(starts) > 4 * m) + 1):
                 self._windows(words, sh, run, m, n, k, fps, keys, counts, best)
         return [(key, *v) for key, v in best.items()]
 
+    def _starts(self, hits: np.ndarray, m: int, full: int, last: int) -> np.ndarray:
+        """Starts of the windows of m shingles with enough hits to be like an item of ``full``."""
+        need = int(np.ceil(self.similarity * (m + full) / (1 + self.similarity) - 1e-9))
+        if len(hits) < need:
+            return np.zeros(0, np.int64)
+        # of ``need`` hits in a row within m places, the windows that hold them all
+        first, end = hits[:len(hits) - need + 1], hits[need - 1:]
+        ok = end - first < m
+        low, high = np.maximum(end[ok] - m + 1, 0), np.minimum(first[ok], last)
+        size = np.maximum(high - low + 1, 0)
+        at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return np.unique(at)
+
     def _windows(self, words, sh, run, m, n, k, fps, keys, counts, best):
         if n not in self.postings:
             self.postings[n] = Postings(fps, self.radius)

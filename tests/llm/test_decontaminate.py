@@ -102,3 +102,16 @@ def test_very_long_text():
     item = " ".join(f"x{i}" for i in range(40))
     text = "y z " * 200_000 + item + " y" * 1000
     assert D.Index([(7, item)]).scan(text) == [(7, 1.0, 400_000, 40)]
+
+
+def test_windows_with_enough_hits():
+    rng = random.Random(4)
+    index = D.Index([(1, "a b c d e f g h i j")])
+    for _ in range(300):
+        size, m = rng.randint(1, 60), rng.randint(1, 12)
+        m = min(m, size)
+        full = m if rng.random() < 0.7 else m + rng.randint(0, 3)
+        hits = np.array(sorted(rng.sample(range(size), rng.randint(0, size))), dtype=np.int64)
+        need = 0.8 * (m + full) / 1.8 - 1e-9
+        want = [p for p in range(size - m + 1) if sum(p <= h < p + m for h in hits) >= need]
+        assert index._starts(hits, m, full, size - m).tolist() == want
