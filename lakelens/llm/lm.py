@@ -146,7 +146,7 @@ class Filter:
         return out
 
 
-CHUNK = 1 << 20         # tokens looked up together
+CHUNK = 1 << 19         # tokens looked up together
 
 
 def chunks(texts: list[bytes | None]):
@@ -206,8 +206,10 @@ def count(rows: DataFrame, buckets: int) -> DataFrame:
             if not texts:
                 continue
             out = []
-            for kind, part in ((0, uni), (1, bi)):
+            while uni or bi:
+                kind, part = (0, uni) if uni else (1, bi)
                 keys, n = np.unique(np.concatenate(part), return_counts=True)
+                part.clear()        # one kind's tokens at a time
                 if kind == 0:       # a word goes where the filter keeps it
                     k = unigram_key(keys)
                     order = np.argsort(k)
@@ -298,20 +300,23 @@ def _tail_sums(rows: DataFrame, counted: DataFrame, head, buckets: int) -> DataF
                     rare = hw[np.minimum(np.searchsorted(hw, u), len(hw) - 1)] != u
                     u, n = u[rare], n[rare]
                 ws.append(u)
-                tf.append(n)
-                at.append(np.full(len(u), i, np.int64))
+                tf.append(n.astype(np.uint32))
+                at.append(np.full(len(u), i, np.int32))
             w, a, f = np.concatenate(ws), np.concatenate(at), np.concatenate(tf)
-            k = _bucket(unigram_key(w), buckets)
+            del ws, at, tf          # the lists and the sorted copies are not held together
+            k = _bucket(unigram_key(w), buckets).astype(np.int32)
             order = np.lexsort((w, k))
-            w, a, f = w[order], a[order], f[order]
             edge = np.searchsorted(k[order], np.arange(buckets + 1))
+            del k
+            w, a, f = w[order], a[order], f[order]
+            del order
             out = []
             for i in np.flatnonzero(np.diff(edge)).tolist():
                 s = slice(edge[i], edge[i + 1])
                 u, m = np.unique(w[s], return_counts=True)
                 own, place = np.unique(a[s], return_inverse=True)
                 out.append((i, block, u.tobytes(), m.astype(np.uint32).tobytes(), docs[own].tobytes(),
-                            place.astype(np.uint32).tobytes(), f[s].astype(np.uint32).tobytes()))
+                            place.astype(np.uint32).tobytes(), f[s].tobytes()))
             cols = list(zip(*out)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), *[pa.array(c, pa.binary()) for c in cols[2:]]],
