@@ -147,6 +147,7 @@ class Filter:
 
 
 CHUNK = 1 << 19         # tokens looked up together
+ROWS = 4096             # texts counted together
 
 
 def chunks(texts: list[bytes | None]):
@@ -162,6 +163,13 @@ def chunks(texts: list[bytes | None]):
         yield np.concatenate(held), np.cumsum([0, *map(len, held)])[:-1]
 
 
+def parts(batches):
+    """Arrow batches in parts of at most ROWS rows: bounds what a task holds."""
+    for b in batches:
+        for i in range(0, b.num_rows, ROWS):
+            yield b.slice(i, ROWS)
+
+
 def codes(t: np.ndarray, first: np.ndarray, f: Filter) -> np.ndarray:
     """Levels of (word, context, bigram) for every token of some texts: a 3 x n
     array.  Every distinct n-gram is probed once; the context of a text's first
@@ -195,7 +203,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def count(rows: DataFrame, buckets: int) -> DataFrame:
     """(_b, words, counts, segment, n, v, begins) per bucket of the training rows."""
     def send(batches):
-        for b in batches:
+        for b in parts(batches):
             uni, bi, texts = [], [], 0
             for t, train in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if train:
@@ -287,7 +295,7 @@ def _tail_sums(rows: DataFrame, counted: DataFrame, head, buckets: int) -> DataF
     def send(batches):
         hw = head.value[0]
         where = TaskContext.get().partitionId()
-        for turn, b in enumerate(batches):
+        for turn, b in enumerate(parts(batches)):
             docs = b.column(1).to_numpy(zero_copy_only=False)
             block = xxhash.xxh64_intdigest(docs.tobytes(), where * 1_000_003 + turn) >> 1
             ws, at, tf, seen = [], [], [], set()
