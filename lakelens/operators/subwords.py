@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAD_ID = 0
+TEXT_CHARS = 1 << 18    # characters of texts encoded at a time; a longer text is encoded alone
 DEFAULT_FILE = "word_bpe_49k.json"
 
 
@@ -42,6 +43,21 @@ def _encoder(spark: SparkSession, path: str):
     return get
 
 
+def _chunks(col: pa.Array):
+    """The texts of an Arrow column in runs of at most TEXT_CHARS characters: an
+    encoding takes some hundred bytes a subword, far more than its text."""
+    held, size = [], 0
+    for x in col:
+        t = x.as_py() or ""
+        if held and size + len(t) > TEXT_CHARS:
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t)
+    if held:
+        yield held
+
+
 def _kind(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
 
@@ -58,16 +74,19 @@ def subword_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str
     def run(batches):
         t = get()
         for b in batches:
-            texts = [x or "" for x in b.column(1).to_pylist()]
-            n, ids, mask = [], [], []
-            for e in t.encode_batch(texts, add_special_tokens=False):
-                own = head + e.ids[:room] + tail
-                n.append(len(e.ids))
-                ids.append(own + [pad] * (max_len - len(own)))
-                mask.append([1] * len(own) + [0] * (max_len - len(own)))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array(mask, pa.list_(pa.int32()))], ["_id", "n_tokens", "input_ids", "attention_mask"])
+            at = 0
+            for texts in _chunks(b.column(1)):
+                n, ids, mask = [], [], []
+                for e in t.encode_batch(texts, add_special_tokens=False):
+                    got = e.ids
+                    own = head + got[:room] + tail
+                    n.append(len(got))
+                    ids.append(own + [pad] * (max_len - len(own)))
+                    mask.append([1] * len(own) + [0] * (max_len - len(own)))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(ids, pa.list_(pa.int32())),
+                     pa.array(mask, pa.list_(pa.int32()))], ["_id", "n_tokens", "input_ids", "attention_mask"])
+                at += len(texts)
 
     schema = f"_id {_kind(docs, id_col)}, n_tokens long, input_ids array<int>, attention_mask array<int>"
     return docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).mapInArrow(run, schema) \
@@ -82,9 +101,12 @@ def subword_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches):
         t = get()
         for b in batches:
-            ids = [np.asarray(e.ids, dtype=np.int64)
-                   for e in t.encode_batch([x or "" for x in b.column(0).to_pylist()], add_special_tokens=False)]
-            u, n = np.unique(np.concatenate(ids) if ids else np.empty(0, np.int64), return_counts=True)
+            total = np.zeros(t.get_vocab_size(), np.int64)
+            for texts in _chunks(b.column(0)):
+                ids = [np.asarray(e.ids, dtype=np.int64) for e in t.encode_batch(texts, add_special_tokens=False)]
+                total += np.bincount(np.concatenate(ids), minlength=len(total))
+            u = np.flatnonzero(total)
+            n = total[u]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(u.astype(np.int32)), pa.array([t.id_to_token(int(i)) for i in u], pa.string()),
                  pa.array(n.astype(np.int64))], ["id", "piece", "n"])

@@ -78,3 +78,13 @@ def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert subwords.subword_encode(docs, subwords.tokenizer_path()).count() == 0
     assert subwords.subword_counts(docs, subwords.tokenizer_path()).count() == 0
+
+
+def test_texts_are_encoded_in_bounded_runs(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(subwords, "TEXT_CHARS", 10)
+    texts = ["abcd", "efgh", None, "ijk", "x" * 50, "", "lmno", "pqrstu", "v"]
+    runs = list(subwords._chunks(pa.array(texts)))
+    assert [t for r in runs for t in r] == [t or "" for t in texts]
+    assert all(len(r) == 1 or sum(map(len, r)) <= 10 for r in runs) and len(runs) > 3
+    assert list(subwords._chunks(pa.array([], pa.string()))) == []
