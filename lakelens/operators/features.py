@@ -233,27 +233,54 @@ def tfidf_vectors(docs: DataFrame, vocab: DataFrame, text: str = "text", out: st
 IMAGE_FEATURES = ["mean_b", "mean_g", "mean_r", "std_b", "std_g", "std_r"]
 
 
+PIXEL_BYTES = 1 << 22   # bytes of images worked on at once; a larger image is worked on alone
+
+
+def _same_shape(h: pd.Series, w: pd.Series, c: pd.Series, data: pd.Series):
+    """(places, height, width, channels, bytes as images x values) of images of one
+    shape, at most PIXEL_BYTES at a time, so that numpy works on many small images
+    in one call."""
+    by: dict[tuple, list[int]] = {}
+    for i, shape in enumerate(zip(h, w, c, data)):
+        hh, ww, cc, dd = int(shape[0]), int(shape[1]), int(shape[2]), shape[3]
+        if cc >= 3 and len(dd) != hh * ww * cc:
+            raise ValueError(f"image of {hh} x {ww} x {cc} holds {len(dd)} bytes")
+        by.setdefault((hh, ww, cc, len(dd)), []).append(i)
+    for (hh, ww, cc, size), rows in by.items():
+        step = max(1, PIXEL_BYTES // max(size, 1))
+        for k in range(0, len(rows), step):
+            at = rows[k:k + step]
+            yield at, hh, ww, cc, np.frombuffer(b"".join([data.iat[i] for i in at]), dtype=np.uint8).reshape(len(at), size)
+
+
 def image_color_features(images: DataFrame, image_col: str = "image", bins: int = 4) -> DataFrame:
     """Per image: mean and std of each channel and a ``bins``-bucket histogram
     per channel (B, G, R order, as the image source stores pixels)."""
     fields = ", ".join(f"{n} double" for n in IMAGE_FEATURES)
     hist_fields = ", ".join(f"hist_{ch}_{i} double" for ch in "bgr" for i in range(bins))
     schema = f"{fields}, {hist_fields}"
+    levels = np.arange(256)
+    starts = np.concatenate([[0], np.cumsum(np.histogram(levels, bins=bins, range=(0, 256))[0])])
+
+    def channel(v: np.ndarray) -> tuple:
+        """mean, std and histogram of every row, from counts by pixel value."""
+        n, px = v.shape
+        counts = np.bincount((v + 256 * np.arange(n)[:, None]).ravel(), minlength=256 * n).reshape(n, 256)
+        mean = counts @ levels / px
+        std = np.sqrt((counts * (levels - mean[:, None]) ** 2).sum(axis=1) / px)
+        run = np.concatenate([np.zeros((n, 1), counts.dtype), counts.cumsum(axis=1)], axis=1)
+        return mean, std, np.diff(run[:, starts], axis=1) / px
 
     @F.pandas_udf(schema)
     def feats(h: pd.Series, w: pd.Series, c: pd.Series, data: pd.Series) -> pd.DataFrame:
-        rows = []
-        for hh, ww, cc, dd in zip(h, w, c, data):
-            a = np.frombuffer(dd, dtype=np.uint8).astype(np.float64)
-            a = a.reshape(int(hh) * int(ww), int(cc))[:, :3] if cc >= 3 else np.repeat(
-                a.reshape(-1, 1), 3, axis=1)
-            r = list(a.mean(axis=0) / 255.0) + list(a.std(axis=0) / 255.0)
-            for ch in range(3):
-                cnt, _ = np.histogram(a[:, ch], bins=bins, range=(0, 256))
-                r += list(cnt / max(len(a), 1))
-            rows.append(r)
+        out = np.empty((len(data), 6 + 3 * bins))
+        for at, hh, ww, cc, a in _same_shape(h, w, c, data):
+            of = [channel(a.reshape(len(at), -1, cc)[:, :, ch]) for ch in range(3)] if cc >= 3 else [channel(a)] * 3
+            for ch, (mean, std, hist) in enumerate(of):
+                out[at, ch], out[at, 3 + ch] = mean / 255.0, std / 255.0
+                out[at, 6 + ch * bins:6 + (ch + 1) * bins] = hist
         cols = IMAGE_FEATURES + [f"hist_{ch}_{i}" for ch in "bgr" for i in range(bins)]
-        return pd.DataFrame(rows, columns=cols)
+        return pd.DataFrame(out, columns=cols)
 
     im = F.col(image_col)
     return images.withColumn("__f", feats(im.height, im.width, im.nChannels, im.data)).select("*", "__f.*").drop("__f")
@@ -264,18 +291,22 @@ def image_normalize(images: DataFrame, size: int = 8, image_col: str = "image",
     RGB order, flattened."""
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def norm(h: pd.Series, w: pd.Series, c: pd.Series, data: pd.Series) -> pd.Series:
-        out_rows = []
-        for hh, ww, cc, dd in zip(h, w, c, data):
-            a = np.frombuffer(dd, dtype=np.uint8).astype(np.float32).reshape(int(hh), int(ww), int(cc))
-            a = a[:, :, :3][:, :, ::-1] if cc >= 3 else np.repeat(a, 3, axis=2)
+        out_rows = [None] * len(data)
+        for at, hh, ww, cc, a in _same_shape(h, w, c, data):
+            a = a.reshape(len(at), hh, ww, cc)
+            a = a[..., 2::-1] if cc >= 3 else a.sum(axis=3, dtype=np.int64, keepdims=True)
+            per = 1 if cc >= 3 else cc
             ys = np.linspace(0, hh, size + 1).astype(int)
             xs = np.linspace(0, ww, size + 1).astype(int)
-            res = np.zeros((size, size, 3), dtype=np.float32)
+            res = np.zeros((len(at), size, size, 3), dtype=np.float32)
             for i in range(size):
+                y0, y1 = ys[i], max(ys[i + 1], ys[i] + 1)
+                band = a[:, y0:y1].sum(axis=1, dtype=np.int64)
                 for j in range(size):
-                    blk = a[ys[i]:max(ys[i + 1], ys[i] + 1), xs[j]:max(xs[j + 1], xs[j] + 1)]
-                    res[i, j] = blk.reshape(-1, 3).mean(axis=0)
-            out_rows.append(((res / 255.0 - 0.5) / 0.5).ravel().tolist())
+                    x0, x1 = xs[j], max(xs[j + 1], xs[j] + 1)
+                    res[:, i, j] = band[:, x0:x1].sum(axis=1) / ((y1 - y0) * (x1 - x0) * per)
+            for i, x in zip(at, ((res / 255.0 - 0.5) / 0.5).reshape(len(at), -1)):
+                out_rows[i] = x
         return pd.Series(out_rows)
 
     im = F.col(image_col)

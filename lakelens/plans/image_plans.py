@@ -5,6 +5,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import features as fx
+from ..session import stage_table
 from ..sources import files, generators
 from .registry import register
 from .source_plans import housing_frame, housing_sql
@@ -14,7 +15,9 @@ BINS = 4
 
 
 def tiles(spark, sf):
-    return generators.house_tiles(housing_frame(spark, sf).withColumn("price", F.round("price", 2)), TILE)
+    houses = stage_table(housing_frame(spark, sf).select(
+        "house_id", "img_path", F.round("price", 2).alias("price")), "houses")
+    return generators.house_tiles(houses, TILE)
 
 
 # Twin of house_tiles + image_color_features: a plain tile has one colour, so

@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources import files, generators
 from .registry import register, table
 
@@ -77,7 +77,7 @@ def churn_frame(spark, sf):
 
 
 def housing_frame(spark, sf):
-    return generators.gen_housing(table(spark, sf, "part").select(F.col("p_partkey").alias("id")))
+    return generators.gen_housing(spread(table(spark, sf, "part").select(F.col("p_partkey").alias("id"))))
 
 
 CHURN_COLS = ["customerID", "gender", "SeniorCitizen", "Partner", "Dependents", "tenure", "PhoneService",

@@ -80,6 +80,13 @@ def materialize(df):
     return stage_table(df, "fit-input")
 
 
+def spread(df, per_core: int = 2):
+    """Rows dealt evenly over all cores.  A small stored table is read by a few
+    tasks (one per row group); per-row work that costs far more than the row is
+    worth this shuffle of narrow rows."""
+    return df.repartition(per_core * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def stage_table(df, name: str):
     """Write an intermediate that later stages read several times (and that is
     expensive to derive) as parquet in the shared checkpoint folder, then read

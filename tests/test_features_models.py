@@ -2,6 +2,7 @@ import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -143,3 +144,41 @@ def test_grid_search_by_fold_equals_cross_validator(spark):
                         evaluator=models.auc_evaluator("label"), foldCol="fold", numFolds=3).fit(df)
     assert res["avg"] == pytest.approx(list(cv.avgMetrics), abs=1e-9)
     assert res["std"] == pytest.approx(list(cv.stdMetrics), abs=1e-9)
+
+
+def test_images_of_mixed_shapes_in_one_batch(spark, monkeypatch):
+    """Images are worked on by shape, many a call; each comes out at its own row."""
+    rng = np.random.default_rng(3)
+    shapes = [(4, 6, 3), (16, 16, 3), (4, 6, 3), (5, 7, 1), (9, 3, 4), (16, 16, 3), (2, 2, 3)]
+    pics = [rng.integers(0, 256, s, dtype=np.uint8) for s in shapes]
+    rows = [(i, ("", *p.shape[:2], p.shape[2], 16, bytearray(p.tobytes()))) for i, p in enumerate(pics)]
+    im = spark.createDataFrame(rows, "id int, image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>").coalesce(1)
+    f = {r["id"]: r for r in fx.image_color_features(im, bins=3).collect()}
+    px = {r["id"]: r["pixels"] for r in fx.image_normalize(im, 4).collect()}
+    for i, p in enumerate(pics):
+        a = p.reshape(-1, p.shape[2])[:, :3].astype(float) if p.shape[2] >= 3 else np.repeat(p.reshape(-1, 1), 3, 1).astype(float)
+        for ch, name in enumerate("bgr"):
+            assert np.isclose(f[i][f"mean_{name}"], a[:, ch].mean() / 255) and np.isclose(f[i][f"std_{name}"], a[:, ch].std() / 255)
+            want = np.histogram(a[:, ch], bins=3, range=(0, 256))[0] / len(a)
+            assert np.allclose([f[i][f"hist_{name}_{k}"] for k in range(3)], want)
+        h, w = p.shape[:2]
+        ys, xs = np.linspace(0, h, 5).astype(int), np.linspace(0, w, 5).astype(int)
+        rgb = p[:, :, :3][:, :, ::-1] if p.shape[2] >= 3 else np.repeat(p, 3, 2)
+        want = [[rgb[ys[y]:max(ys[y + 1], ys[y] + 1), xs[x]:max(xs[x + 1], xs[x] + 1)].reshape(-1, 3).mean(0) for x in range(4)]
+                for y in range(4)]
+        assert np.allclose(px[i], (np.array(want).ravel() / 255 - 0.5) / 0.5, atol=1e-6)
+    hh, ww, cc, dd = (pd.Series(x) for x in zip(*[(*p.shape, p.tobytes()) for p in pics]))
+    monkeypatch.setattr(fx, "PIXEL_BYTES", 100)
+    parts = [at for at, *_ in fx._same_shape(hh, ww, cc, dd)]
+    assert sorted(i for at in parts for i in at) == list(range(7)) and max(map(len, parts)) == 1
+    monkeypatch.setattr(fx, "PIXEL_BYTES", 1 << 22)
+    assert [0, 2] in [at for at, *_ in fx._same_shape(hh, ww, cc, dd)]
+
+
+def test_house_rows_are_dealt_over_all_cores(spark):
+    """``part`` is one row group: without dealing its keys out one task makes every house."""
+    from lakelens.plans.source_plans import housing_frame
+    df = housing_frame(spark, "/root/testdata/sf0.01")
+    counts = df.groupBy(F.spark_partition_id()).count().collect()
+    n = sum(r["count"] for r in counts)
+    assert len(counts) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in counts) < 0.5 * n
