@@ -194,14 +194,24 @@ def predict_proba(scored: DataFrame, prob: str = "probability", prediction: str
                                "confidence": F.get(arr, F.col(prediction).cast("int"))})
 
 
+def _bind(value, fn):
+    """``fn`` of ``value`` with the value computed once: lambdas are interpreted, so
+    an expression named inside one would be computed again for every element."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def softmax_argmax(logits) -> tuple:
     """(probabilities, best index, its confidence) for an array column, stable
-    (max subtracted), all array SQL."""
-    m = F.array_max(logits)
-    ex = F.transform(logits, lambda x: F.exp(x.cast("double") - m))
-    tot = F.aggregate(ex, F.lit(0.0), lambda a, b: a + b)
-    probs = F.transform(ex, lambda x: x / tot)
-    best = F.array_position(logits, m) - 1
+    (max subtracted), all array SQL.  Work per row is linear in the classes: the
+    maximum, the exponentials and their sum are bound before elements are mapped."""
+    def normalised(ex):
+        return _bind(F.aggregate(ex, F.lit(0.0), lambda a, b: a + b), lambda tot: F.transform(ex, lambda x: x / tot))
+
+    def exponentials(z):
+        return _bind(F.array_max(z), lambda m: F.transform(z, lambda x: F.exp(x.cast("double") - m)))
+
+    probs = _bind(_bind(logits, exponentials), normalised)
+    best = _bind(logits, lambda z: F.array_position(z, F.array_max(z)) - 1)
     return probs, best, F.get(probs, best.cast("int"))
 
 

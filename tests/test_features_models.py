@@ -146,6 +146,20 @@ def test_grid_search_by_fold_equals_cross_validator(spark):
     assert res["std"] == pytest.approx(list(cv.stdMetrics), abs=1e-9)
 
 
+def test_softmax_binds_what_elements_share(spark):
+    """The exponentials occur once in the plan: inside a lambda they would be
+    computed again for every class."""
+    df = spark.createDataFrame([(1, [1.0, 3.0, 2.0]), (2, None), (3, []), (4, [0.5, None])], "id int, z array<double>")
+    probs, best, conf = models.softmax_argmax(F.col("z"))
+    out = df.select("id", probs.alias("p"), best.alias("b"), conf.alias("c"))
+    plan = df.select(probs.alias("p"))._jdf.queryExecution().analyzed().toString().lower()
+    assert plan.count("exp(") == 1 and plan.count("array_max(") == 1
+    got = {r["id"]: r for r in out.collect()}
+    e = np.exp(np.array([1.0, 3.0, 2.0]) - 3.0)
+    assert np.allclose(got[1]["p"], e / e.sum()) and got[1]["b"] == 1 and np.isclose(got[1]["c"], 1 / e.sum())
+    assert got[2]["p"] is None and got[2]["b"] is None and got[3]["p"] == [] and got[4]["p"] == [None, None]
+
+
 def test_images_of_mixed_shapes_in_one_batch(spark, monkeypatch):
     """Images are worked on by shape, many a call; each comes out at its own row."""
     rng = np.random.default_rng(3)
