@@ -133,7 +133,8 @@ def roc_auc(df: DataFrame, y: str = "y", score: str = "score", n_buckets: int |
     Group by score first (a hot score collapses to one row), then running
     negatives below each score by bucketed prefix sums.
     """
-    sc = score_counts(df, y, score)
+    from ..session import stage_table
+    sc = stage_table(score_counts(df, y, score), "score-counts")   # read four times; scoring through a model is dear
     ps = prefix_sums(sc, "score", ["neg"], ascending=True, inclusive=False, n_buckets=n_buckets)
     contrib = F.col("pos").cast("double") * (F.col("cum_neg").cast("double") + F.col("neg") / 2.0)
     return ps.agg(safe_div(F.sum(contrib), F.sum("pos").cast("double") * F.sum("neg").cast("double"))

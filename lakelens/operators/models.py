@@ -149,6 +149,8 @@ def grid_search_by_fold(stages: list, lr, param_maps: list, train: DataFrame,
     from concurrent.futures import ThreadPoolExecutor
 
     import numpy as np
+
+    from ..session import materialize
     ev = evaluator or auc_evaluator(label)
     feats = lr.getFeaturesCol()
     scores = np.zeros((len(param_maps), n_folds))
@@ -156,8 +158,8 @@ def grid_search_by_fold(stages: list, lr, param_maps: list, train: DataFrame,
         tr = train.where(F.col(fold_col) != f)
         va = train.where(F.col(fold_col) == f)
         fm = Pipeline(stages=stages).fit(tr)
-        trf = fm.transform(tr).select(label, feats)
-        vaf = fm.transform(va).select(label, feats)
+        trf = materialize(fm.transform(tr).select(label, feats))      # read by every grid point, more than once
+        vaf = materialize(fm.transform(va).select(label, feats))
         def score(pm, trf=trf, vaf=vaf):
             return ev.evaluate(lr.fit(trf, pm).transform(vaf))
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

@@ -254,9 +254,9 @@ def q_fitted_comparison(spark, sf):
     auc = models.exact_auc()
     rows = []
     for name, m in fitted.items():
-        s = models.predict_proba(m.transform(test)).withColumn("pred", F.col("prediction").cast("int"))
+        s = materialize(models.predict_proba(m.transform(test)).select("label", F.col("prediction").cast("int").alias("pred"), "p1"))
         rows.append((name, metrics.accuracy(s, "label", "pred").first()["accuracy"], metrics.f1_binary(s, "label", "pred").first()["f1"],
-                     auc.evaluate(m.transform(test))))
+                     auc.evaluate(s)))
     best = max(rows, key=lambda r: (r[3], r[0]))[0]
     path = scratch_path(spark, f"best-{uuid.uuid4().hex}")
     files.sink_model(fitted[best], path)

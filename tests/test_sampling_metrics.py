@@ -91,3 +91,20 @@ def test_stratified_split_with_hot_class_spread_over_buckets(spark):
     for lab, n in sizes.items():
         assert got[(lab, "train")] + got[(lab, "test")] == n
         assert abs(got[(lab, "test")] - 0.2 * n) <= 1
+
+
+def test_auc_scores_rows_once(spark):
+    """The counts by score are stored: sizing, sketch, offsets and sums read them, not the scoring."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(400).select((F.col("id") % 2).cast("int").alias("y"), ((F.col("id") * 7 % 50) / 50).alias("score")) \
+        .mapInArrow(score, "y int, score double")
+    got = metrics.roc_auc(df, "y", "score").first()["auc"]
+    rows = [(i % 2, i * 7 % 50) for i in range(400)]
+    pos, neg = [s for y, s in rows if y], [s for y, s in rows if not y]
+    assert got == pytest.approx(sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg)))
+    assert seen.value == 400
