@@ -15,12 +15,14 @@ else.  The work is cut up by content:
 4. Contexts of an anchor with very many of them are cut into parts first: the
    strings whose anchor lies in the same RANGE places.  They all hold the same
    core of LENGTH - RANGE + 1 bytes, whose hash is the part's group, so a common
-   anchor falls apart into groups of equal cores.  Equal parts are counted, one
-   of each goes to the group's suffix array, and its spans are joined back to
-   all.  A group whose *different* parts are still very many (a passage's edge in
+   anchor falls apart into groups of equal cores.  Equal contexts are counted and
+   one of each is cut, equal parts are counted and one of each goes to the group's
+   suffix array.  The strings of a part all hold its core, those of a context its
+   anchor, so the repeated ones cover one span, which is joined back to all
+   places of the context.  A group whose *different* parts are still very many (a passage's edge in
    many documents) is finished string by string on those parts.
 
-Texts, parts and such strings are told apart by MD5, everything else by bytes.
+Texts, contexts, parts and such strings are told apart by MD5, everything else by bytes.
 Equal texts are worked on once; their strings are repeated by definition.
 """
 
@@ -338,8 +340,8 @@ def distinct_texts(texts: DataFrame) -> DataFrame:
     return z.groupBy("_key").agg(F.first("_z").alias("_z"), F.count("*").alias("_n"))
 
 
-def _contexts(texts: DataFrame, length: int) -> DataFrame:
-    """Contexts of the repeated anchors that are not hot."""
+def _contexts(texts: DataFrame, length: int, hot: bool = False) -> DataFrame:
+    """Contexts of the repeated anchors that are not hot, or of the hot ones."""
     def run(batches):
         d = zstandard.ZstdDecompressor()
         for b in batches:
@@ -347,7 +349,7 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
             for i, (z, own) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
                 t = d.decompress(z)
                 for x in own:
-                    if not x["_hot"]:
+                    if x["_hot"] == hot:
                         p = x["_p"]
                         a = p >> 24
                         parts.append(t[a:a + (p >> 12 & 0xFFF) + length])
@@ -376,40 +378,41 @@ def cut_parts(text: bytes, packed: int, length: int) -> list[tuple[int, int, int
     return out
 
 
-def _hot_parts(texts: DataFrame, length: int) -> DataFrame:
-    """(_g, _m, _key, _start, _part, _place): parts of the hot anchors' contexts;
-    ``_g`` hashes anchor, range and core, ``_m`` the part's bytes and place."""
+def _hot_parts(contexts: DataFrame, length: int) -> DataFrame:
+    """(_g, _m, _n, _c, _off, _part, _place): parts of different contexts ``_c`` that
+    occur ``_n`` times; ``_g`` hashes anchor, range and core, ``_m`` the part's bytes
+    and place, ``_off`` is where the part starts in the context."""
     core = length - RANGE + 1
 
     def run(batches):
-        d = zstandard.ZstdDecompressor()
         for b in batches:
-            gs, ms, starts, places, parts, at = [], [], [], [], [], []
-            for i, (z, own) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
-                t = d.decompress(z)
-                for x in own:
-                    if x["_hot"]:
-                        for j, a, e, place, c in cut_parts(t, x["_p"], length):
-                            part = t[a:e]
-                            gs.append(xxhash.xxh64_intdigest(part[c:c + core], (x["_h"] ^ j) & ((1 << 64) - 1)))
-                            ms.append(hashlib.md5(part + bytes([place & 255, place >> 8])).digest())
-                            starts.append(a)
-                            places.append(place)
-                            parts.append(part)
-                            at.append(i)
-            key = b.column(0).take(pa.array(at, pa.int64()))
+            gs, ms, offs, places, parts, at = [], [], [], [], [], []
+            for i, (h, t, anchor) in enumerate(zip(*(b.column(k).to_pylist() for k in range(3)))):
+                for j, a, e, place, c in cut_parts(t, (len(t) - length) << 12 | anchor, length):
+                    part = t[a:e]
+                    gs.append(xxhash.xxh64_intdigest(part[c:c + core], (h ^ j) & ((1 << 64) - 1)))
+                    ms.append(hashlib.md5(part + bytes([place & 255, place >> 8])).digest())
+                    offs.append(a)
+                    places.append(place)
+                    parts.append(part)
+                    at.append(i)
+            at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(gs, dtype=np.uint64).view(np.int64)), pa.array(ms, pa.binary()), key,
-                 pa.array(starts, pa.int64()), pa.array(parts, pa.binary()), pa.array(places, pa.int32())],
-                ["_g", "_m", "_key", "_start", "_part", "_place"])
-    return texts.select("_key", "_z", "_anchors").mapInArrow(
-        run, "_g long, _m binary, _key binary, _start long, _part binary, _place int")
+                [pa.array(np.array(gs, dtype=np.uint64).view(np.int64)), pa.array(ms, pa.binary()), b.column(3).take(at),
+                 b.column(4).take(at), pa.array(offs, pa.int64()), pa.array(parts, pa.binary()),
+                 pa.array(places, pa.int32())], ["_g", "_m", "_n", "_c", "_off", "_part", "_place"])
+    return contexts.select("_h", "_part", "_place", "_n", "_c").mapInArrow(
+        run, "_g long, _m binary, _n long, _c binary, _off long, _part binary, _place int")
 
 
 def _hot_spans(texts: DataFrame, length: int) -> DataFrame:
     """(_key, _from, _to) of repeated strings around hot anchors."""
-    rows = staged(_hot_parts(texts, length), "suffix-parts")
-    kinds = rows.groupBy("_g", "_m").agg(F.count("*").alias("_n"), F.first("_part").alias("_part"),
+    name = F.md5(F.concat("_part", F.encode(F.lpad(F.col("_place").cast("string"), 4, "0"), "utf-8")))
+    places = staged(_contexts(texts, length, hot=True).withColumn("_c", F.unhex(name)), "suffix-contexts")
+    own = places.groupBy("_c").agg(F.count("*").alias("_n"), F.first("_h").alias("_h"),
+                                   F.first("_part").alias("_part"), F.first("_place").alias("_place"))
+    rows = staged(_hot_parts(own, length), "suffix-parts")
+    kinds = rows.groupBy("_g", "_m").agg(F.sum("_n").alias("_n"), F.first("_part").alias("_part"),
                                          F.first("_place").alias("_place"))
     kinds = staged(kinds, "suffix-kinds")
     per = staged(kinds.groupBy("_g").agg(F.count("*").alias("_d"), F.sum("_n").alias("_all"))
@@ -445,7 +448,14 @@ def _hot_spans(texts: DataFrame, length: int) -> DataFrame:
              .mapInArrow(sort, schema))
     if not per.filter(F.col("_d") > HOT).isEmpty():
         spans = spans.unionByName(_wide_spans(live.filter(F.col("_d") > HOT).select(*cols), length, schema))
-    return (rows.select("_g", "_m", "_key", "_start").join(spans, ["_g", "_m"])
+    # One span a part, then one a context: no join makes more rows than it has parts
+    # or places.  Both are stored, so that a join sees them as plain tables, which
+    # may be broadcast or, for a very common context, dealt anew.
+    spans = staged(spans.groupBy("_g", "_m").agg(F.min("_a").alias("_a"), F.max("_e").alias("_e")), "suffix-part-spans")
+    per = staged(rows.select("_g", "_m", "_c", "_off").join(spans, ["_g", "_m"]).groupBy("_c")
+                 .agg(F.min(F.col("_off") + F.col("_a")).alias("_a"), F.max(F.col("_off") + F.col("_e")).alias("_e")),
+                 "suffix-context-spans")
+    return (places.select("_c", "_key", "_start").join(per, "_c")
             .select("_key", (F.col("_start") + F.col("_a")).alias("_from"), (F.col("_start") + F.col("_e")).alias("_to")))
 
 

@@ -74,6 +74,23 @@ def test_hot_groups_equal_brute_force(spark, monkeypatch):
         assert got(df) == want
 
 
+def test_hot_anchors_give_one_span_a_place(spark, monkeypatch):
+    """A passage in many documents with different bytes about it: the joins make at
+    most one row for each place of a common anchor, however many strings repeat there."""
+    rng = random.Random(13)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    p = word(300)
+    df = spark.createDataFrame([(i, word(30 + i) + p + word(80)) for i in range(40)], "doc_id long, text string")
+    for hot in (12, 1):
+        monkeypatch.setattr(suffix, "HOT", hot)
+        texts = suffix.keyed_texts(df, "doc_id", "text")
+        per, any_hot = suffix.repeated_anchors(texts, 200)
+        places = per.selectExpr("sum(size(filter(_anchors, a -> a._hot)))").first()[0]
+        spans = suffix._hot_spans(suffix.distinct_texts(texts).join(per, "_key"), 200)
+        assert any_hot and 0 < spans.count() <= places
+        assert spans.select("_key").distinct().count() == 40
+
+
 def test_parts_cover_each_string_once():
     rng = random.Random(5)
     for _ in range(300):
