@@ -68,15 +68,17 @@ def move_quotas(asked: dict[tuple[int, int], int], room: list[int]) -> dict[tupl
     return out
 
 
-def _admit(asked: DataFrame, room: list[int]) -> DataFrame:
-    """(_row, _to) admitted under the move quotas: links in hash order, whole
-    ones first; at most one link per pair of shards is admitted in part."""
+def _asked(asked: DataFrame) -> dict[tuple[int, int], int]:
+    """Requests from shard to shard: a table of shards x shards reaches the driver."""
+    return {(r["_from"], r["_to"]): r["n"] for r in
+            asked.groupBy("_from", "_to").agg(F.count("*").alias("n")).collect()}
+
+
+def _admit(asked: DataFrame, cap: dict[tuple[int, int], int], k: int) -> DataFrame:
+    """(_row, _to) admitted under the move quotas of ``k`` shards, exactly as many as
+    they say: links in hash order, whole ones first; at most one link per pair of
+    shards is admitted in part."""
     per = asked.groupBy("_from", "_to", "_link").agg(F.count("*").alias("_n"))
-    # a table of shards x shards reaches the driver
-    totals = {(r["_from"], r["_to"]): r["n"] for r in
-              per.groupBy("_from", "_to").agg(F.sum("_n").alias("n")).collect()}
-    k = len(room)
-    cap = move_quotas(totals, room)
     caps = F.array(*[F.lit(int(cap[i, j])) for i in range(k) for j in range(k)])
     pair = ["_from", "_to"]
     per = per.withColumn("_b", F.pmod(F.xxhash64("_link"), F.lit(BUCKETS)).cast("int"))
@@ -105,23 +107,25 @@ def propagate(members: DataFrame, linked: DataFrame, quota: list[int],
     shards = len(quota)
     state = staged(dense_index(linked.withColumn("_one", F.lit(0)), ["_one"], ["_row"], "_i")
                    .select("_row", (F.col("_i") % shards).cast("int").alias("_shard")), "shards")
-    quiet = 0
+    quiet, loads = 0, _loads(state, shards)
     for turn in range(rounds):
-        room = [q - n for q, n in zip(quota, _loads(state, shards))]
+        room = [q - n for q, n in zip(quota, loads)]
         free = [j for j, r in enumerate(room) if r > 0] if turn % 2 else list(range(shards))
-        moved = None
+        cap = {}
         if free:
             asked = staged(_requests(state, members, free, turn), "shard-asks")
-            if not asked.isEmpty():
-                moved = staged(_admit(asked, room), "shard-moves")
-        if moved is None or moved.isEmpty():
+            cap = move_quotas(_asked(asked), room)
+        if not any(cap.values()):
             quiet += 1
             if quiet == 2:
                 break
             continue
         quiet = 0
-        state = staged(state.join(moved, "_row", "left").select(
+        state = staged(state.join(_admit(asked, cap, shards), "_row", "left").select(
             "_row", F.coalesce("_to", "_shard").alias("_shard")), "shards")
+        for (i, j), n in cap.items():       # all that may move do
+            loads[i] -= n
+            loads[j] += n
     return state
 
 

@@ -57,3 +57,14 @@ def test_propagation_cuts_fewer_edges(spark):
     cut = sum(len({out[r] for r, x in m if x == g}) > 1 for g in range(40))
     dealt = sum(len({r % 8 for r, x in m if x == g}) > 1 for g in range(40))
     assert dealt == 40 and cut < dealt
+
+
+def test_turns_count_the_shards_once(spark, monkeypatch):
+    """Loads after a turn follow from what it admitted: no job counts the shards again."""
+    m = [(i, i // 6) for i in range(240)] + [(i, (i // 6 + 1) % 40) for i in range(0, 240, 6)]
+    members = spark.createDataFrame(m, "_row long, _link long")
+    count, seen = sharding._loads, []
+    monkeypatch.setattr(sharding, "_loads", lambda state, shards: seen.append(count(state, shards)) or seen[-1])
+    state = sharding.propagate(members, members.select("_row").distinct(), [30] * 8)
+    assert len(seen) == 1
+    assert count(state, 8) == [30] * 8
