@@ -38,9 +38,11 @@ def linear_regression(label: str = "label", features: str = "features") -> Linea
 
 
 def rf_regression(label="label", features="features", trees=200, depth=10, seed=42) -> RandomForestRegressor:
-    """All features at every split, as the reference's forest does."""
+    """All features at every split, as the reference's forest does.  Each row's node
+    in each tree is kept from level to level (the same forest: a row is not sent
+    down every tree from its root again)."""
     return RandomForestRegressor(labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth,
-                                 featureSubsetStrategy="all", seed=seed)
+                                 featureSubsetStrategy="all", seed=seed, cacheNodeIds=True)
 
 
 def logistic_regression(n_train: int, C: float = 1.0, penalty: str = "l2", label="label",

@@ -16,7 +16,7 @@ def rows(spark):
     return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(d)
 
 
-@pytest.mark.parametrize("make", [models.rf_classifier])
+@pytest.mark.parametrize("make", [models.rf_regression, models.rf_classifier])
 def test_kept_nodes_grow_the_same_forest(rows, make):
     est = make(trees=5, depth=6)
     assert est.getCacheNodeIds()
