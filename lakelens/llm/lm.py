@@ -34,6 +34,7 @@ PROBES = 8              # hash functions per key
 BITS_PER_KEY = 11.55    # PROBES / ln 2: about 0.4 % false positives
 FOLDS = 10
 BUCKET_BYTES = 16 << 20         # of text per counting bucket
+SEND_BYTES = 2 << 20            # of packed arrays sent at once
 SLICE_BYTES = 512 << 20         # of filter broadcast at once
 HEAD = 1 << 16          # words with count >= N / HEAD, at most HEAD of them
 END, BEGIN = np.uint64(0x656E64), np.uint64(0x626567)
@@ -55,10 +56,13 @@ def tokens(text: bytes | None) -> np.ndarray:
     return out
 
 
-def bigrams(t: np.ndarray) -> np.ndarray:
-    """Hash of (previous token, token) for every token."""
+def bigrams(t: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hash of (previous token, token) for every token of some texts."""
     before = np.concatenate([[BEGIN], t[:-1]])
-    return _mix(before * _GOLD + t)
+    before[first] = BEGIN
+    before *= _GOLD
+    before += t
+    return _mix(before)
 
 
 def unigram_key(t: np.ndarray) -> np.ndarray:
@@ -79,11 +83,37 @@ def _split(keys: np.ndarray, counts: np.ndarray, n: int):
         yield i, keys[at], counts[at]
 
 
-def _total(rows: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([np.frombuffer(k, np.uint64) for k, _ in rows])
-    n = np.concatenate([np.frombuffer(c, np.uint32) for _, c in rows]).astype(np.int64)
-    u, back = np.unique(keys, return_inverse=True)
-    return u, np.bincount(back, weights=n, minlength=len(u)).astype(np.int64)
+def blobs(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
+    """The binary values of a column as arrays of ``kind``, not copied."""
+    return [np.frombuffer(x.as_buffer(), kind) for c in column.chunks for x in c]
+
+
+def packed(rows, fields: list[tuple]):
+    """Record batches of the rows, each sent as soon as it holds SEND_BYTES."""
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*held), fields)], [n for n, _ in fields])
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += sum(len(x) for x in r if isinstance(x, bytes))
+        if size >= SEND_BYTES:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def _total(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts."""
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    k = np.concatenate(keys)
+    order = np.argsort(k)
+    k = k[order]
+    n = np.concatenate(counts)[order]
+    del order
+    edge = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+    return k[edge], np.add.reduceat(n, edge, dtype=np.int64)
 
 
 def quantise(c: np.ndarray) -> np.ndarray:
@@ -98,10 +128,12 @@ def expected(q: np.ndarray) -> np.ndarray:
     return np.where(q > 0, (BASE ** (q - 1) + np.maximum(BASE ** q - 1, BASE ** (q - 1))) / 2, 0.0)
 
 
-def _places(keys: np.ndarray, level: int, bits: np.ndarray) -> list[np.ndarray]:
+def _places(keys: np.ndarray, level: int, bits: np.ndarray):
+    """The keys' bits, one probe after the other."""
     a = _mix(keys + np.uint64(level * int(_GOLD) & 0xFFFFFFFFFFFFFFFF))
     b = _mix(a ^ _GOLD) | np.uint64(1)
-    return [(a + np.uint64(i) * b) % bits for i in range(PROBES)]
+    for i in range(PROBES):
+        yield (a + np.uint64(i) * b) % bits
 
 
 def segment(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -150,7 +182,7 @@ CHUNK = 1 << 19         # tokens looked up together
 ROWS = 4096             # texts counted together
 
 
-def chunks(texts: list[bytes | None]):
+def chunks(texts):
     """(tokens, first token of every text) of as many texts as make a chunk."""
     held, size = [], 0
     for t in texts:
@@ -174,13 +206,11 @@ def codes(t: np.ndarray, first: np.ndarray, f: Filter) -> np.ndarray:
     """Levels of (word, context, bigram) for every token of some texts: a 3 x n
     array.  Every distinct n-gram is probed once; the context of a text's first
     token has level 0."""
-    before = np.concatenate([[BEGIN], t[:-1]])
-    before[first] = BEGIN
     u, back = np.unique(t, return_inverse=True)
     word = f.levels(unigram_key(u))[back]
     context = np.concatenate([[0], word[:-1]])
     context[first] = 0
-    u, back = np.unique(_mix(before * _GOLD + t), return_inverse=True)
+    u, back = np.unique(bigrams(t, first), return_inverse=True)
     return np.stack([word, context, f.levels(u)[back]]).astype(np.uint8)
 
 
@@ -202,47 +232,36 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def count(rows: DataFrame, buckets: int) -> DataFrame:
     """(_b, words, counts, segment, n, v, begins) per bucket of the training rows."""
+    def pack(b):
+        held = [tokens(t.as_py()) for t, train in zip(b.column(0), b.column(1).to_pylist()) if train]
+        if not held:
+            return
+        first = np.cumsum([0, *map(len, held)])[:-1]
+        yield 0, 2, b"", b"", len(held)
+        t = np.concatenate(held)
+        del held
+        keys, n = np.unique(t, return_counts=True)
+        k = unigram_key(keys)           # a word goes where the filter keeps it
+        order = np.argsort(k)
+        keys, n, at = keys[order], n[order].astype(np.uint32), _bucket(k[order], buckets)
+        for i in np.unique(at).tolist():
+            yield i, 0, keys[at == i].tobytes(), n[at == i].tobytes(), 0
+        del keys, n, k, order, at       # one kind's counts at a time
+        keys, n = np.unique(bigrams(t, first), return_counts=True)
+        for i, k, c in _split(keys, n.astype(np.uint32), buckets):
+            yield i, 1, k.tobytes(), c.tobytes(), 0
+
     def send(batches):
         for b in parts(batches):
-            uni, bi, texts = [], [], 0
-            for t, train in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if train:
-                    x = tokens(t)
-                    uni.append(x)
-                    bi.append(bigrams(x))
-                    texts += 1
-            if not texts:
-                continue
-            out = []
-            while uni or bi:
-                kind, part = (0, uni) if uni else (1, bi)
-                keys, n = np.unique(np.concatenate(part), return_counts=True)
-                part.clear()        # one kind's tokens at a time
-                if kind == 0:       # a word goes where the filter keeps it
-                    k = unigram_key(keys)
-                    order = np.argsort(k)
-                    keys, n, k = keys[order], n[order], k[order]
-                    at = _bucket(k, buckets)
-                    for i in np.unique(at).tolist():
-                        out.append((i, 0, keys[at == i].tobytes(), n[at == i].astype(np.uint32).tobytes(), 0))
-                else:
-                    out += [(i, 1, k.tobytes(), c.astype(np.uint32).tobytes(), 0) for i, k, c in _split(keys, n, buckets)]
-            out.append((0, 2, b"", b"", texts))
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()),
-                 pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.int64())], ["_b", "_kind", "_k", "_c", "_n"])
+            yield from packed(pack(b), [("_b", pa.int64()), ("_kind", pa.int32()), ("_k", pa.binary()),
+                                        ("_c", pa.binary()), ("_n", pa.int64())])
 
     def add(table: pa.Table) -> pa.Table:
-        got = {0: [], 1: []}
-        begins = 0
-        for kind, k, c, n in zip(*(table.column(i).to_pylist() for i in ("_kind", "_k", "_c", "_n"))):
-            if kind == 2:
-                begins += n
-            else:
-                got[kind].append((k, c))
-        words, wn = _total(got[0]) if got[0] else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        grams, gn = _total(got[1]) if got[1] else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        kind = table.column("_kind").to_numpy()
+        begins = int(table.column("_n").to_numpy().sum())
+        k, c = blobs(table.column("_k"), np.uint64), blobs(table.column("_c"), np.uint32)
+        (words, wn), (grams, gn) = (_total([k[i] for i in at], [c[i] for i in at])
+                                    for at in (np.flatnonzero(kind == x).tolist() for x in (0, 1)))
         seg = segment(np.concatenate([unigram_key(words), grams]), np.concatenate([wn, gn]))
         return pa.table({"_b": pa.array([table.column("_b")[0].as_py()], pa.int64()),
                          "_words": pa.array([words.tobytes()], pa.binary()), "_counts": pa.array([wn.tobytes()], pa.binary()),
@@ -292,59 +311,62 @@ def _tail_sums(rows: DataFrame, counted: DataFrame, head, buckets: int) -> DataF
     A block of texts sends (word, text, times) to the word's bucket, where the
     exact counts are; sums per text go back to the block.
     """
+    def pack(b, hw, where, turn):
+        docs = b.column(1).to_numpy(zero_copy_only=False)
+        block = xxhash.xxh64_intdigest(docs.tobytes(), where * 1_000_003 + turn) >> 1
+        ws, at, tf, seen = [], [], [], set()
+        for i, t in enumerate(b.column(0)):
+            if docs[i] in seen:         # a repeated row has the same sums
+                continue
+            seen.add(docs[i])
+            u, n = np.unique(tokens(t.as_py()), return_counts=True)
+            if len(hw):
+                rare = hw[np.minimum(np.searchsorted(hw, u), len(hw) - 1)] != u
+                u, n = u[rare], n[rare]
+            ws.append(u)
+            tf.append(n.astype(np.uint32))
+            at.append(np.full(len(u), i, np.int32))
+        w = np.concatenate(ws)
+        del ws
+        k = _bucket(unigram_key(w), buckets).astype(np.int32)
+        order = np.lexsort((w, k))
+        edge = np.searchsorted(k[order], np.arange(buckets + 1))
+        del k                           # the lists and the sorted copies are not held together
+        w = w[order]
+        a = np.concatenate(at)[order]
+        del at
+        f = np.concatenate(tf)[order]
+        del tf, order
+        for i in np.flatnonzero(np.diff(edge)).tolist():
+            s = slice(edge[i], edge[i + 1])
+            u, m = np.unique(w[s], return_counts=True)
+            own, place = np.unique(a[s], return_inverse=True)
+            yield (i, block, u.tobytes(), m.astype(np.uint32).tobytes(), docs[own].tobytes(),
+                   place.astype(np.uint32).tobytes(), f[s].tobytes())
+
     def send(batches):
-        hw = head.value[0]
         where = TaskContext.get().partitionId()
         for turn, b in enumerate(parts(batches)):
-            docs = b.column(1).to_numpy(zero_copy_only=False)
-            block = xxhash.xxh64_intdigest(docs.tobytes(), where * 1_000_003 + turn) >> 1
-            ws, at, tf, seen = [], [], [], set()
-            for i, t in enumerate(b.column(0).to_pylist()):
-                if docs[i] in seen:         # a repeated row has the same sums
-                    continue
-                seen.add(docs[i])
-                u, n = np.unique(tokens(t), return_counts=True)
-                if len(hw):
-                    rare = hw[np.minimum(np.searchsorted(hw, u), len(hw) - 1)] != u
-                    u, n = u[rare], n[rare]
-                ws.append(u)
-                tf.append(n.astype(np.uint32))
-                at.append(np.full(len(u), i, np.int32))
-            w, a, f = np.concatenate(ws), np.concatenate(at), np.concatenate(tf)
-            del ws, at, tf          # the lists and the sorted copies are not held together
-            k = _bucket(unigram_key(w), buckets).astype(np.int32)
-            order = np.lexsort((w, k))
-            edge = np.searchsorted(k[order], np.arange(buckets + 1))
-            del k
-            w, a, f = w[order], a[order], f[order]
-            del order
-            out = []
-            for i in np.flatnonzero(np.diff(edge)).tolist():
-                s = slice(edge[i], edge[i + 1])
-                u, m = np.unique(w[s], return_counts=True)
-                own, place = np.unique(a[s], return_inverse=True)
-                out.append((i, block, u.tobytes(), m.astype(np.uint32).tobytes(), docs[own].tobytes(),
-                            place.astype(np.uint32).tobytes(), f[s].tobytes()))
-            cols = list(zip(*out)) or [()] * 7
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), *[pa.array(c, pa.binary()) for c in cols[2:]]],
-                ["_b", "_block", "_u", "_m", "_d", "_a", "_f"])
+            yield from packed(pack(b, head.value[0], where, turn), [
+                ("_b", pa.int64()), ("_block", pa.int64()), *[(c, pa.binary()) for c in ("_u", "_m", "_d", "_a", "_f")]])
 
     def look_up(mine: pa.Table, exact: pa.Table) -> pa.Table:
-        words = np.frombuffer(b"".join(exact.column("_words").to_pylist()), np.uint64)
-        n = np.frombuffer(b"".join(exact.column("_counts").to_pylist()), np.int64)
+        # a bucket has one row of counts; a bucket of held-out words alone has none
+        words, n = (np.concatenate([np.zeros(0, t), *blobs(exact.column(c), t)])
+                    for c, t in (("_words", np.uint64), ("_counts", np.int64)))
         out = []
-        for block, u, m, d, a, f in zip(*(mine.column(c).to_pylist() for c in ("_block", "_u", "_m", "_d", "_a", "_f"))):
-            u, m = np.frombuffer(u, np.uint64), np.frombuffer(m, np.uint32)
+        for block, u, m, d, a, f in zip(mine.column("_block").to_pylist(), *(
+                blobs(mine.column(c), t) for c, t in (("_u", np.uint64), ("_m", np.uint32), ("_d", np.int64),
+                                                      ("_a", np.uint32), ("_f", np.uint32)))):
             c = np.zeros(len(u), np.int64)
             if len(words):
                 p = np.minimum(np.searchsorted(words, u), len(words) - 1)
                 c = np.where(words[p] == u, n[p], 0)
             c = np.repeat(c, m)
-            a, f = np.frombuffer(a, np.uint32), np.frombuffer(f, np.uint32).astype(np.float64)
-            part = np.bincount(a, weights=f * np.log10(c + 0.1), minlength=len(d) // 8)
-            known = np.bincount(a, weights=f * (c > 0), minlength=len(d) // 8)
-            out.append((block, d, part.tobytes(), known.tobytes()))
+            f = f.astype(np.float64)
+            part = np.bincount(a, weights=f * np.log10(c + 0.1), minlength=len(d))
+            known = np.bincount(a, weights=f * (c > 0), minlength=len(d))
+            out.append((block, d.tobytes(), part.tobytes(), known.tobytes()))
         cols = list(zip(*out)) or [()] * 4
         return pa.table({"_block": pa.array(cols[0], pa.int64()), **{
             k: pa.array(c, pa.binary()) for k, c in zip(("_d", "_part", "_known"), cols[1:])}})
@@ -373,7 +395,7 @@ def _scored(rows: DataFrame, kind: str, head, f, total: int, vocabulary: int, be
         lm = f.value if f is not None else None
         for b in batches:
             n, part, known, score = ([np.zeros(0, k)] for k in (np.int64, float, np.int64, float))
-            for x, first in chunks(b.column(1).to_pylist()):
+            for x, first in chunks(t.as_py() for t in b.column(1)):
                 score.append(log_probs(codes(x, first, lm), first, total, vocabulary, begins) if lm
                              else np.full(len(first), np.nan))
                 c = np.zeros(len(x), np.int64)

@@ -1,8 +1,10 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from lakelens.llm import lm
 
@@ -66,3 +68,38 @@ def test_filter_returns_levels():
     assert (f.levels(rng.integers(0, 1 << 63, 20_000, dtype=np.uint64)) > 0).mean() < 0.03
     assert len(order) == len(keys)
     assert lm.quantise(np.array([1, 2, 3, 4, 7, 8])).tolist() == [1, 2, 2, 3, 3, 4]
+
+
+def test_packed_rows_are_sent_in_bounded_batches():
+    made = []
+
+    def rows():
+        for i in range(100):
+            made.append(i)
+            yield i, bytes([i]) * 100_000
+    got, held = [], []
+    for b in lm.packed(rows(), [("_b", pa.int64()), ("_k", pa.binary())]):
+        held.append(len(made) - len(got))       # rows made and not yet sent
+        got += list(zip(*(c.to_pylist() for c in b.columns)))
+    assert got == [(i, bytes([i]) * 100_000) for i in range(100)]
+    assert max(held) * 100_000 < lm.SEND_BYTES + 100_000
+    assert list(lm.packed(iter([]), [("_b", pa.int64())])) == []
+
+
+def test_a_segment_holds_one_probe_at_a_time():
+    keys = np.unique(np.random.default_rng(5).integers(0, 1 << 63, 200_000, dtype=np.uint64))
+    tracemalloc.start()
+    try:
+        lm.segment(keys, np.ones(len(keys), np.int64))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 80 * len(keys)
+
+
+def test_totals_add_equal_keys():
+    keys = [np.array([7, 1, 1 << 63], np.uint64), np.zeros(0, np.uint64), np.array([1, 9], np.uint64)]
+    n = [np.array([1, 2 ** 32 - 1, 3], np.uint32), np.zeros(0, np.uint32), np.array([2 ** 32 - 1, 4], np.uint32)]
+    k, c = lm._total(keys, n)
+    assert k.tolist() == [1, 7, 9, 1 << 63] and c.tolist() == [2 ** 33 - 2, 1, 4, 3]
+    assert [x.tolist() for x in lm._total([], [])] == [[], []]
