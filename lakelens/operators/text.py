@@ -281,13 +281,15 @@ def parse_reply(df: DataFrame, reply: str = "reply") -> DataFrame:
     element of an array.
     """
     d = _reply_body_cols(df, reply, "__b")
+    # a body without the outer braces is a fallback whatever the reader makes of it
+    braces = F.col("__b").startswith("{") & F.col("__b").endswith("}")
     parsed = F.from_json(F.col("__b"), REPLY_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
                                                       "allowSingleQuotes": "false"})
-    d = d.withColumn("__p", parsed)
+    d = d.withColumn("__p", F.when(braces, parsed))
     # one JSON value and nothing after it: as the only element of an array
     alone = F.size(F.from_json(F.concat(F.lit("["), F.col("__b"), F.lit("]")), "array<string>",
                                {"allowSingleQuotes": "false"})) == 1
-    strict = F.col("__b").startswith("{") & F.col("__b").endswith("}") & F.coalesce(alone, F.lit(False))
+    strict = braces & F.coalesce(alone, F.lit(False))
     ok_obj = F.col("__p").isNotNull() & F.col("__p._corrupt").isNull() & strict
     tags = F.transform(F.col("__p.tags"), lambda t: F.struct(
         t["tag"].alias("tag"), t["confidence"].try_cast("double").alias("confidence"), t["reason"].alias("reason")))
