@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,6 +37,7 @@ FOLDS = 10
 BUCKET_BYTES = 16 << 20         # of text per counting bucket
 SEND_BYTES = 2 << 20            # of packed arrays sent at once
 SLICE_BYTES = 512 << 20         # of filter broadcast at once
+BLOCK_BYTES = 1 << 20           # of text made tokens at once, or whose answers travel together
 HEAD = 1 << 16          # words with count >= N / HEAD, at most HEAD of them
 END, BEGIN = np.uint64(0x656E64), np.uint64(0x626567)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -56,6 +58,77 @@ def tokens(text: bytes | None) -> np.ndarray:
     return out
 
 
+_P = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_WORD = np.ones(256, bool)
+_WORD[list(b" \t\n\r\x0b\x0c")] = False
+
+
+def _rotl(x: np.ndarray, k: int) -> np.ndarray:
+    return (x << np.uint64(k)) | (x >> np.uint64(64 - k))
+
+
+def _xxh64(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """XXH64 of data[start:start + size] for every word, all words of a length side by side."""
+    out = np.empty(len(start), np.uint64)
+    eights = np.concatenate([data, np.zeros(24 - len(data) % 8, np.uint8)]).view("<u8")
+
+    def lane(at):
+        """Eight bytes from each place, the first one lowest."""
+        i, shift = at >> 3, (at & 7).astype(np.uint64) << np.uint64(3)
+        return (eights[i] >> shift) | np.where(shift > 0, eights[i + 1] << (np.uint64(64) - shift & np.uint64(63)), np.uint64(0))
+
+    kind = np.minimum(size, 32).astype(np.uint8)
+    order = np.argsort(kind, kind="stable")
+    edge = np.searchsorted(kind[order], np.arange(34))
+    for n in np.flatnonzero(np.diff(edge)).tolist():
+        own = order[edge[n]:edge[n + 1]]
+        at = start[own]
+        if n == 32:         # as long or longer
+            out[own] = np.fromiter((xxhash.xxh64_intdigest(data[a:a + k]) for a, k in zip(at.tolist(), size[own].tolist())),
+                                   np.uint64, len(own))
+            continue
+        h = np.full(len(own), _P[4] + np.uint64(n), np.uint64)
+        for _ in range(n // 8):
+            h = _rotl(h ^ _rotl(lane(at) * _P[1], 31) * _P[0], 27) * _P[0] + _P[3]
+            at = at + 8
+        left = n % 8
+        rest = lane(at) if left else None
+        if left >= 4:
+            h = _rotl(h ^ (rest & np.uint64(0xFFFFFFFF)) * _P[0], 23) * _P[1] + _P[2]
+            rest = rest >> np.uint64(32)
+            left -= 4
+        for _ in range(left):
+            h = _rotl(h ^ (rest & np.uint64(0xFF)) * _P[4], 11) * _P[0]
+            rest = rest >> np.uint64(8)
+        h = (h ^ (h >> np.uint64(33))) * _P[1]
+        h = (h ^ (h >> np.uint64(29))) * _P[2]
+        out[own] = h ^ (h >> np.uint64(32))
+    return out
+
+
+def token_rows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(``tokens`` of all the texts, first token of every text)."""
+    texts = texts.fill_null(b"") if texts.null_count else texts
+    off = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_binary(texts.type) else np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[off[0]:off[-1]]
+    off -= off[0]
+    data = _LOWER[data]
+    edge = np.ones(len(data) + 1, bool)         # places where a word cannot go on
+    np.logical_not(_WORD[data], out=edge[:-1])
+    word = ~edge[:-1]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[off] = True
+    start = np.flatnonzero(word & (np.concatenate([[True], edge[:-2]]) | cut[:-1])) if len(data) else np.zeros(0, np.int64)
+    end = np.flatnonzero(word & (edge[1:] | cut[1:])) + 1
+    count = np.diff(np.searchsorted(start, off))
+    first = np.cumsum(count + 1) - count - 1
+    out = np.full(len(start) + len(texts), END, np.uint64)
+    out[np.arange(len(start)) + np.repeat(np.arange(len(texts)), count)] = _xxh64(data, start, end - start)
+    return out, first
+
+
 def bigrams(t: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Hash of (previous token, token) for every token of some texts."""
     before = np.concatenate([[BEGIN], t[:-1]])
@@ -128,10 +201,17 @@ def expected(q: np.ndarray) -> np.ndarray:
     return np.where(q > 0, (BASE ** (q - 1) + np.maximum(BASE ** q - 1, BASE ** (q - 1))) / 2, 0.0)
 
 
+_EXPECTED = expected(np.arange(256))
+
+
+def _pair(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    a = _mix(keys + np.uint64(level * int(_GOLD) & 0xFFFFFFFFFFFFFFFF))
+    return a, _mix(a ^ _GOLD) | np.uint64(1)
+
+
 def _places(keys: np.ndarray, level: int, bits: np.ndarray):
     """The keys' bits, one probe after the other."""
-    a = _mix(keys + np.uint64(level * int(_GOLD) & 0xFFFFFFFFFFFFFFFF))
-    b = _mix(a ^ _GOLD) | np.uint64(1)
+    a, b = _pair(keys, level)
     for i in range(PROBES):
         yield (a + np.uint64(i) * b) % bits
 
@@ -149,15 +229,20 @@ def segment(keys: np.ndarray, counts: np.ndarray) -> bytes:
 
 
 class Filter:
-    """Segments of the buckets [first, last), one after the other."""
-
-    def __init__(self, buckets: int, first: int, segments: list[bytes]):
-        self.buckets, self.first, self.last = buckets, first, first + len(segments)
-        size = np.array([len(s) for s in segments], np.int64)
+    """Segments of the buckets from ``first`` on, one after the other.  With
+    ``size``, the bytes of each, ``segments`` may come as (place, bits) pairs of
+    those that hold any."""
+
+    def __init__(self, buckets: int, first: int, segments, size: np.ndarray | None = None):
+        if size is None:
+            size, segments = np.array([len(s) for s in segments], np.int64), enumerate(segments)
+        self.buckets, self.first, self.last = buckets, first, first + len(size)
         self.start = (np.cumsum(size) - size).astype(np.uint64)
         self.bits = np.maximum(size, 1).astype(np.uint64) * np.uint64(8)
         self.size = size
-        self.data = np.frombuffer(b"".join(segments) or b"\0", np.uint8)
+        self.data = np.zeros(max(1, int(size.sum())), np.uint8)
+        for i, s in segments:
+            self.data[int(self.start[i]):int(self.start[i]) + len(s)] = np.frombuffer(s, np.uint8)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Quantised count of each key; 0 also where another slice holds it."""
@@ -165,34 +250,50 @@ class Filter:
         b = _bucket(keys, self.buckets) - self.first
         live = np.flatnonzero((b >= 0) & (b < self.last - self.first))
         live = live[self.size[b[live]] > 0]
+        b = b[live]
+        # keys of a bucket side by side: one segment fits a cache, the whole filter does not
+        by = np.argsort(b.astype(np.uint16) if len(self.size) <= 1 << 16 else b, kind="stable")
+        live, b = live[by], b[by]
+        key, bits, start = keys[live], self.bits[b], self.start[b]
         level = 1
         while len(live):
-            k, at = keys[live], b[live]
-            hit = np.ones(len(live), bool)
-            for p in _places(k, level, self.bits[at]):
-                byte = self.data[(self.start[at] + (p >> np.uint64(3))).astype(np.int64)]
-                hit &= (byte >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0
-            live = live[hit]
+            at, ok = None, np.ones(len(live), bool)
+            x, y = _pair(key, level)
+            m, s = bits, start
+            for i in range(PROBES):
+                p = (x + np.uint64(i) * y) % m
+                ok &= (self.data[(s + (p >> np.uint64(3))).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0
+                if np.count_nonzero(ok) < 0.75 * len(ok):       # the others need no more probes
+                    at = np.flatnonzero(ok) if at is None else at[ok]
+                    x, y, m, s = x[ok], y[ok], m[ok], s[ok]
+                    ok = np.ones(len(x), bool)
+            at = np.flatnonzero(ok) if at is None else at[ok]
+            live, key, bits, start = live[at], key[at], bits[at], start[at]
             out[live] = level
             level += 1
         return out
 
 
-CHUNK = 1 << 19         # tokens looked up together
+CHUNK_BYTES = 3 << 20   # of text looked up together
 ROWS = 4096             # texts counted together
 
 
-def chunks(texts):
-    """(tokens, first token of every text) of as many texts as make a chunk."""
-    held, size = [], 0
-    for t in texts:
-        held.append(tokens(t))
-        size += len(held[-1])
-        if size >= CHUNK:
-            yield np.concatenate(held), np.cumsum([0, *map(len, held)])[:-1]
-            held, size = [], 0
-    if held:
-        yield np.concatenate(held), np.cumsum([0, *map(len, held)])[:-1]
+def chunks(texts: pa.Array, most: int = CHUNK_BYTES):
+    """(row of the first text, tokens, first token of every text) of as many texts
+    as hold ``most`` bytes, or of one longer text."""
+    size = np.cumsum(pc.binary_length(texts.fill_null(b"")).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
+        yield at, *token_rows(texts.slice(at, end - at))
+        at = end
+
+
+def gathered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, first token of every text) of all the texts, made a chunk at a time."""
+    held = [(t, first) for _, t, first in chunks(texts, BLOCK_BYTES)]
+    size = np.cumsum([0, *(len(t) for t, _ in held)])
+    return np.concatenate([t for t, _ in held]), np.concatenate([f + at for (_, f), at in zip(held, size)])
 
 
 def parts(batches):
@@ -206,17 +307,21 @@ def codes(t: np.ndarray, first: np.ndarray, f: Filter) -> np.ndarray:
     """Levels of (word, context, bigram) for every token of some texts: a 3 x n
     array.  Every distinct n-gram is probed once; the context of a text's first
     token has level 0."""
-    u, back = np.unique(t, return_inverse=True)
-    word = f.levels(unigram_key(u))[back]
-    context = np.concatenate([[0], word[:-1]])
-    context[first] = 0
+    d = pa.array(t).dictionary_encode()
+    word = f.levels(unigram_key(d.dictionary.to_numpy()))[d.indices.to_numpy()].astype(np.uint8)
     u, back = np.unique(bigrams(t, first), return_inverse=True)
-    return np.stack([word, context, f.levels(u)[back]]).astype(np.uint8)
+    return with_context(word, f.levels(u).astype(np.uint8)[back], first)
+
+
+def with_context(word: np.ndarray, both: np.ndarray, first: np.ndarray) -> np.ndarray:
+    context = np.concatenate([np.zeros(1, np.uint8), word[:-1]])
+    context[first] = 0
+    return np.stack([word, context, both])
 
 
 def log_probs(c: np.ndarray, first: np.ndarray, total: int, vocabulary: int, begins: int) -> np.ndarray:
     """log10 probability of each text from the levels of its tokens."""
-    word, before, both = expected(c[0].astype(np.int64)), expected(c[1].astype(np.int64)), expected(c[2].astype(np.int64))
+    word, before, both = _EXPECTED[c[0]], _EXPECTED[c[1]], _EXPECTED[c[2]]
     before[first] = begins      # the context of the first token: one per training text
     p1 = (word + 0.1) / (total + 0.1 * (vocabulary + 1))
     p2 = np.minimum(1.0, both / np.maximum(before, 1.0))
@@ -233,13 +338,11 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def count(rows: DataFrame, buckets: int) -> DataFrame:
     """(_b, words, counts, segment, n, v, begins) per bucket of the training rows."""
     def pack(b):
-        held = [tokens(t.as_py()) for t, train in zip(b.column(0), b.column(1).to_pylist()) if train]
-        if not held:
+        own = b.column(0).filter(b.column(1))
+        if not len(own):
             return
-        first = np.cumsum([0, *map(len, held)])[:-1]
-        yield 0, 2, b"", b"", len(held)
-        t = np.concatenate(held)
-        del held
+        yield 0, 2, b"", b"", len(own)
+        t, first = gathered(own)
         keys, n = np.unique(t, return_counts=True)
         k = unigram_key(keys)           # a word goes where the filter keeps it
         order = np.argsort(k)
@@ -287,8 +390,12 @@ def filter_slices(counted: DataFrame, buckets: int, slice_bytes: int) -> list[li
 
 
 def load_slice(counted: DataFrame, buckets: int, first: int, last: int) -> Filter:
-    part = {r["_b"]: bytes(r["_seg"]) for r in counted.filter(F.col("_b").between(first, last - 1)).select("_b", "_seg").toLocalIterator()}
-    return Filter(buckets, first, [part.get(b, b"") for b in range(first, last)])
+    own = counted.filter(F.col("_b").between(first, last - 1))
+    size = np.zeros(last - first, np.int64)
+    for r in own.select("_b", F.octet_length("_seg").alias("s")).collect():
+        size[r["_b"] - first] = r["s"]
+    # put in its place as it comes: the driver holds the slice once
+    return Filter(buckets, first, ((r["_b"] - first, r["_seg"]) for r in own.select("_b", "_seg").toLocalIterator()), size)
 
 
 def _head(counted: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
@@ -314,29 +421,31 @@ def _tail_sums(rows: DataFrame, counted: DataFrame, head, buckets: int) -> DataF
     def pack(b, hw, where, turn):
         docs = b.column(1).to_numpy(zero_copy_only=False)
         block = xxhash.xxh64_intdigest(docs.tobytes(), where * 1_000_003 + turn) >> 1
-        ws, at, tf, seen = [], [], [], set()
-        for i, t in enumerate(b.column(0)):
-            if docs[i] in seen:         # a repeated row has the same sums
-                continue
-            seen.add(docs[i])
-            u, n = np.unique(tokens(t.as_py()), return_counts=True)
-            if len(hw):
-                rare = hw[np.minimum(np.searchsorted(hw, u), len(hw) - 1)] != u
-                u, n = u[rare], n[rare]
-            ws.append(u)
-            tf.append(n.astype(np.uint32))
-            at.append(np.full(len(u), i, np.int32))
-        w = np.concatenate(ws)
-        del ws
-        k = _bucket(unigram_key(w), buckets).astype(np.int32)
-        order = np.lexsort((w, k))
-        edge = np.searchsorted(k[order], np.arange(buckets + 1))
-        del k                           # the lists and the sorted copies are not held together
-        w = w[order]
-        a = np.concatenate(at)[order]
-        del at
-        f = np.concatenate(tf)[order]
-        del tf, order
+        t, first = gathered(b.column(0))
+        mine = np.zeros(len(docs), bool)
+        mine[np.unique(docs, return_index=True)[1]] = True      # a repeated row has the same sums
+        rows = np.repeat(np.arange(len(docs), dtype=np.int32), np.diff(np.append(first, len(t))))
+        words = pa.array(t).dictionary_encode()
+        del t, first                    # the lists and the sorted copies are not held together
+        u, place = words.dictionary.to_numpy(), words.indices.to_numpy()
+        keep = np.ones(len(u), bool)
+        if len(hw):
+            keep = hw[np.minimum(np.searchsorted(hw, u), len(hw) - 1)] != u
+        k = _bucket(unigram_key(u), buckets).astype(np.int32)
+        order = np.lexsort((u, k))
+        turn = np.empty(len(u), np.int64)       # of each word by bucket, then by hash
+        turn[order] = np.arange(len(u))
+        own = keep[place] & mine[rows]
+        key = turn[place[own]]          # one number a token: its word's turn, then its text
+        key *= len(docs)
+        key += rows[own]
+        del rows, place, words, own
+        key, f = np.unique(key, return_counts=True)
+        f = f.astype(np.uint32)
+        word, a = key // len(docs), (key % len(docs)).astype(np.int32)
+        del key
+        w, edge = u[order][word], np.searchsorted(k[order][word], np.arange(buckets + 1))
+        del word
         for i in np.flatnonzero(np.diff(edge)).tolist():
             s = slice(edge[i], edge[i + 1])
             u, m = np.unique(w[s], return_counts=True)
@@ -395,7 +504,7 @@ def _scored(rows: DataFrame, kind: str, head, f, total: int, vocabulary: int, be
         lm = f.value if f is not None else None
         for b in batches:
             n, part, known, score = ([np.zeros(0, k)] for k in (np.int64, float, np.int64, float))
-            for x, first in chunks(t.as_py() for t in b.column(1)):
+            for _, x, first in chunks(b.column(1)):
                 score.append(log_probs(codes(x, first, lm), first, total, vocabulary, begins) if lm
                              else np.full(len(first), np.nan))
                 c = np.zeros(len(x), np.int64)
@@ -419,29 +528,43 @@ def _scored(rows: DataFrame, kind: str, head, f, total: int, vocabulary: int, be
 def _sliced_scores(rows: DataFrame, counted: DataFrame, buckets: int, ranges: list, total: int, vocabulary: int,
                    begins: int) -> DataFrame:
     """(_doc, score) when the filter takes several slices: one is loaded,
-    broadcast, asked and released before the next; the stored answers of all are
-    put together per text."""
-    def probe(f):
+    broadcast, asked and released before the next.  A block of texts stores the
+    levels that a slice gives to its words and bigrams; the answers of all slices
+    are put together per block."""
+    def probe(f, number):
         def run(batches):
             for b in batches:
-                one = np.zeros(1, np.int64)
-                got = [codes(tokens(t), one, f.value).tobytes() for t in b.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(1), pa.array(got, pa.binary())], ["_doc", "_codes"])
-        return texts.mapInArrow(run, "_doc long, _codes binary")
+                docs = b.column(1).to_numpy(zero_copy_only=False)
+                for at, t, first in chunks(b.column(0), BLOCK_BYTES):
+                    own = docs[at:at + len(first)].tobytes()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([xxhash.xxh64_intdigest(own) >> 1], pa.int64()), pa.array([number], pa.int32()),
+                         pa.array([own], pa.binary()), pa.array([first.astype(np.int64).tobytes()], pa.binary()),
+                         pa.array([codes(t, first, f.value)[::2].tobytes()], pa.binary())],
+                        ["_block", "_slice", "_docs", "_first", "_codes"])
+        return rows.select("_text", "_doc").mapInArrow(
+            run, "_block long, _slice int, _docs binary, _first binary, _codes binary")
 
     def join(table: pa.Table) -> pa.Table:
-        c = np.max([np.frombuffer(x, np.uint8) for x in table.column("_codes").to_pylist()], axis=0).reshape(3, -1)
-        return pa.table({"_doc": table.column("_doc").slice(0, 1),
-                         "score": pa.array(log_probs(c, np.zeros(1, np.int64), total, vocabulary, begins))})
-
-    texts = rows.select("_text", "_doc").dropDuplicates(["_doc"]).select("_text", "_doc")
-    parts = None
-    for first, last in ranges:
+        if set(table.column("_slice").to_pylist()) != set(range(len(ranges))):
+            raise RuntimeError("a block of texts was not asked in every slice")
+        both = None
+        for c in blobs(table.column("_codes"), np.uint8):       # one block at a time
+            both = c.copy() if both is None else np.maximum(both, c, out=both)
+        word, gram = both.reshape(2, -1)
+        docs, first = (blobs(table.column(x), np.int64)[0] for x in ("_docs", "_first"))
+        return pa.table({"_doc": pa.array(docs), "score": pa.array(
+            log_probs(with_context(word, gram, first), first, total, vocabulary, begins))})
+
+    asked = None
+    for number, (first, last) in enumerate(ranges):
         f = rows.sparkSession.sparkContext.broadcast(load_slice(counted, buckets, first, last))
-        got = staged(probe(f), "lm-codes")
+        got = staged(probe(f, number), "lm-codes")
         f.destroy()
-        parts = got if parts is None else parts.unionByName(got)
-    return parts.groupBy("_doc").applyInArrow(join, "_doc long, score double")
+        asked = got if asked is None else asked.unionByName(got)
+    per = asked.groupBy("_block").applyInArrow(join, "_doc long, score double")
+    # a repeated row has the same score
+    return per.groupBy("_doc").agg(F.max("score").alias("score"))
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -1,4 +1,5 @@
 import math
+import random
 import tracemalloc
 import zlib
 from collections import Counter
@@ -103,3 +104,29 @@ def test_totals_add_equal_keys():
     k, c = lm._total(keys, n)
     assert k.tolist() == [1, 7, 9, 1 << 63] and c.tolist() == [2 ** 33 - 2, 1, 4, 3]
     assert [x.tolist() for x in lm._total([], [])] == [[], []]
+
+
+def test_tokens_of_many_texts_are_those_of_each():
+    rng = random.Random(1)
+    texts = [bytes(rng.choice(b"aZ \t\x0b\xff\x00\xc3\n@[`{") for _ in range(rng.choice([0, 1, 3, 8, 9, 31, 32, 33, 64, 200])))
+             for _ in range(300)] + [None, b"", b" "] + [b"Q" * n for n in range(70)]
+    for part in (pa.array(texts, pa.binary()), pa.array(texts, pa.binary()).slice(7, 100), pa.array([None], pa.binary())):
+        held = [lm.tokens(x.as_py()) for x in part]
+        t, first = lm.gathered(part)
+        assert t.tolist() == np.concatenate(held).tolist()
+        assert first.tolist() == np.cumsum([0, *map(len, held)])[:-1].tolist()
+        assert [at for at, _, _ in lm.chunks(part, 1)][:2] == list(range(len(part)))[:2]
+
+
+def test_slices_answer_in_blocks_of_texts(docs, monkeypatch):
+    """One stored answer a block and slice, not one a text."""
+    stored, keep = [], lm.staged
+
+    def staged(df, name):
+        got = keep(df, name)
+        stored.extend([got] if name == "lm-codes" else [])
+        return got
+    monkeypatch.setattr(lm, "staged", staged)
+    some = docs.coalesce(1)
+    assert lm.scores(some, slice_bytes=20_000, bucket_bytes=50_000).count() == some.count()
+    assert len(stored) > 1 and all(s.count() < some.count() / 10 for s in stored)
