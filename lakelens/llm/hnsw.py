@@ -39,6 +39,7 @@ BEAM = 32                   # first beam width
 AUDIT = 256                 # audit queries a shard
 RECALL = 0.995              # of the audit's leaders in reach
 BLOCK = 512                 # vectors searched side by side
+PAIRS = 512                 # of them and their candidates compared at once
 SLACK = 1e-9                # angles nearer than this to a limit are verified
 
 
@@ -64,7 +65,9 @@ class Graph:
         live = np.arange(len(q))
         while len(live):
             nb = self.links[layer][at[live]]
-            sims = np.einsum("ij,ikj->ik", q[live], self.x[nb])
+            step = max(1, PAIRS // nb.shape[1])
+            sims = np.concatenate([np.einsum("ij,ikj->ik", q[live[k:k + step]], np.take(self.x, nb[k:k + step], axis=0, mode="wrap"))
+                                   for k in range(0, len(live), step)])
             sims[nb < 0] = -2
             k = sims.argmax(1)
             val = sims[np.arange(len(live)), k]
@@ -93,43 +96,52 @@ class Graph:
         return ids, sims
 
     def _beam(self, q, at, layer, beam):
-        n = len(q)
+        n, size = len(q), max(self.size, 1)
         ids = np.full((n, beam), -1, dtype=np.int32)
         sims = np.full((n, beam), -2.0, dtype=q.dtype)
         done = np.ones((n, beam), dtype=bool)
         ids[:, 0], sims[:, 0], done[:, 0] = at, np.einsum("ij,ij->i", q, self.x[at]), False
-        seen = np.zeros((n, self.size), dtype=bool)
-        seen[np.arange(n), at] = True
+        seen = np.zeros(n * size, dtype=bool)
+        seen[np.arange(n) * size + at] = True
+        links = self.links[layer]
+        width = links.shape[1]
+        near, far = np.empty((2, PAIRS, q.shape[1]), dtype=q.dtype)
         live = np.arange(n)
         while True:
-            live = live[~done[live].all(1)]
+            open_ = ~np.take(done, live, axis=0)
+            first = open_.argmax(1)             # 0 also where none is open
+            some = np.take(open_.ravel(), first + np.arange(len(live)) * beam)
+            live, first = live[some], first[some]
             if not len(live):
                 return ids, sims
-            m = len(live)
-            first = (~done[live]).argmax(1)
-            node = ids[live, first]
-            done[live, first] = True
-            nb = self.links[layer][node]
-            row = live[:, None]
-            fresh = (nb >= 0) & ~seen[row, nb]
-            r, c = np.nonzero(fresh)
-            if not len(r):
+            flat = live * beam + first
+            done.ravel()[flat] = True
+            nb = np.take(links, np.take(ids.ravel(), flat), axis=0)
+            spot = (nb + (live * size)[:, None]).ravel()
+            at_ = np.flatnonzero((nb.ravel() >= 0) & ~np.take(seen, spot, mode="clip"))
+            if not len(at_):
                 continue
-            new = nb[r, c]
-            seen[live[r], new] = True
+            seen[spot[at_]] = True
+            r, to = np.take(live, at_ // width), np.take(nb.ravel(), at_)
             val = np.full(nb.shape, -2.0, dtype=q.dtype)
-            val[r, c] = np.einsum("ij,ij->i", q[live[r]], self.x[new])
-            hit = val.max(1) > sims[live, -1]       # rows whose beam changes
-            if not hit.any():
+            for k in range(0, len(at_), PAIRS):     # few at a time: both sides stay in the cache
+                m = min(PAIRS, len(at_) - k)
+                np.take(q, r[k:k + m], axis=0, out=near[:m], mode="clip")
+                np.take(self.x, to[k:k + m], axis=0, out=far[:m], mode="clip")
+                val.ravel()[at_[k:k + m]] = np.einsum("ij,ij->i", near[:m], far[:m])
+            hit = np.flatnonzero(val.max(1) > sims[live, -1])       # rows whose beam changes
+            if not len(hit):
                 continue
-            h = live[hit]
-            all_s = np.concatenate([sims[h], val[hit]], axis=1)
-            all_i = np.concatenate([ids[h], np.where(fresh[hit], nb[hit], -1)], axis=1)
-            all_d = np.concatenate([done[h], ~fresh[hit]], axis=1)
+            h, val = live[hit], val[hit]
+            fresh = val > -2
+            all_s = np.concatenate([np.take(sims, h, axis=0), val], axis=1)
+            all_i = np.concatenate([np.take(ids, h, axis=0), np.where(fresh, nb[hit], -1)], axis=1)
+            all_d = np.concatenate([np.take(done, h, axis=0), ~fresh], axis=1)
             order = np.argsort(-all_s, axis=1, kind="stable")[:, :beam]
-            sims[h] = np.take_along_axis(all_s, order, 1)
-            ids[h] = np.take_along_axis(all_i, order, 1)
-            done[h] = np.take_along_axis(all_d, order, 1)
+            order += (np.arange(len(h)) * (beam + width))[:, None]
+            sims[h] = np.take(all_s.ravel(), order)
+            ids[h] = np.take(all_i.ravel(), order)
+            done[h] = np.take(all_d.ravel(), order)
 
     def _diverse(self, node: np.ndarray, cand: np.ndarray, sims: np.ndarray, k: int) -> np.ndarray:
         """Up to k of ``cand`` (best first), each nearer to the node than to any

@@ -103,3 +103,20 @@ def test_stored_shard_answers_alike():
     a, b = first.query(u, np.arange(900) * 7), back.query(u, np.arange(900) * 7)
     assert all((p == q).all() for p, q in zip(a, b))
     assert (a[0] == (u @ u.T >= 0.9).sum(1)).mean() > 0.99
+
+
+def test_a_search_compares_few_pairs_at_once():
+    """Vectors gathered for the comparisons fit a cache, whatever the block."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((1000, 256))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    s = hnsw.Shard(x[:400], np.arange(400), 0.9)
+    tracemalloc.start()
+    ids, sims = s.graph.search(x[400:912], 32)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20          # 512 x 32 pairs of 256 doubles on two sides: 64 MB
+    want = np.sort(x[400:912] @ s.graph.x.T, axis=1)[:, ::-1][:, :32]
+    assert (np.diff(sims, axis=1) <= 0).all() and (sims[:, 0] <= want[:, 0] + 1e-12).all()
+    assert np.allclose(sims, np.einsum("ij,ikj->ik", x[400:912], s.graph.x[ids]))
